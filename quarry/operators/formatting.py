@@ -185,7 +185,7 @@ def parse_processed(text: Column | str, file_name: Column | str) -> Column:
 
     def last(prefix: str) -> Column:
         hits = F.filter(lines, lambda ln: ln.startswith(prefix))
-        value = F.element_at(hits, -1).substr(len(prefix) + 1, F.lit(1 << 30))
+        value = F.element_at(hits, -1).substr(F.lit(len(prefix) + 1), F.lit(1 << 30))
         return F.when(F.size(hits) > 0, _strip(value))
 
     stem = F.regexp_replace(name, r"\.[^./]*$", "")

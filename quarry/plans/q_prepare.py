@@ -88,7 +88,7 @@ def q_idx_from_name(spark, sf):
 
 
 ENRICH_SQL = f"""
-  SELECT pd.doc_id, pd.source, pd.raw_text,
+  SELECT pd.doc_id, pd.source, pd.raw_text, pd.lang,
     coalesce(cat.title, regexp_replace(pd.source, '\\.[^.]*$', '')) AS title,
     coalesce(cat.date, '') AS date
   FROM pd LEFT JOIN cat ON cat.idx = {S.idx_from_name('pd.source')}"""
