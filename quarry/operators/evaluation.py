@@ -296,3 +296,28 @@ def strided_windows(df: DataFrame, n_tokens: str, max_length: int, stride: int)
     return x.withColumn("begin", begin.cast("bigint")).withColumn("end", end.cast("bigint")).withColumn(
         "score_from", prev_end.cast("bigint")
     ).withColumn("n_scored", (F.col("end") - F.col("score_from")).cast("bigint"))
+
+
+# --------------------------------------------------------------------- E5
+def hashed_tf_embedding(text: Column | str, dim: int = 64) -> Column:
+    """E5 (native default): term-frequency vector of lower-cased tokens
+    hashed into ``dim`` buckets (md5 prefix), as ``ARRAY<FLOAT>``."""
+    hs = F.transform(TK.tokens(text, lower=True), lambda t: F.pmod(F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint"), F.lit(dim)))
+    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.size(F.filter(hs, lambda h: h == i)).cast("float"))
+
+
+def embed_with(make_model, dim: int):
+    """E5 plug-in: ``make_model()`` -> ``encode(list[str]) -> array (n, dim)``,
+    loaded once per Python worker and called per Arrow batch."""
+    from pyspark.sql.functions import pandas_udf
+
+    state: dict = {}
+
+    @pandas_udf(f"array<float>")
+    def _embed(texts: pd.Series) -> pd.Series:
+        if "m" not in state:
+            state["m"] = make_model()
+        vecs = np.asarray(state["m"](texts.fillna("").tolist()), dtype=np.float32).reshape(len(texts), dim)
+        return pd.Series(list(vecs))
+
+    return _embed

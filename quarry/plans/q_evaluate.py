@@ -526,3 +526,30 @@ def q_best(spark, sf):
 def q_retain(spark, sf):
     """T7 keep 3 checkpoints per run: the best plus the newest"""
     return T.retain_checkpoints(run_evals(spark, sf), 3)
+
+
+# --------------------------------------------------------------------- E5
+EMB_DIM = 64
+HASH_SQL = f"list_transform(regexp_extract_all(lower(text), {TOK}), lambda t: CAST(('0x' || substr(md5(t), 1, 8)) AS BIGINT) % {EMB_DIM})"
+
+
+@query(
+    "embed_text",
+    f"""SELECT conv_id, turn, array_to_string(list_transform(range({EMB_DIM}), lambda i: CAST(len(list_filter(hs, lambda h: h = i)) AS VARCHAR)), ',') AS vec
+        FROM (SELECT conv_id, turn, {HASH_SQL} AS hs FROM conversations WHERE role = 'assistant')""",
+)
+def q_embed(spark, sf):
+    """E5 hashed term-frequency embedding of assistant turns"""
+    c = V.table(spark, sf, "conversations").filter(F.col("role") == "assistant")
+    v = E.hashed_tf_embedding("text", EMB_DIM)
+    return c.select("conv_id", "turn", F.array_join(F.transform(v, lambda x: x.cast("int").cast("string")), ",").alias("vec"))
+
+
+@query("response_entropy")
+def q_response_entropy(spark, sf):
+    """E5 -> E6..E10: entropy of a conversation's assistant turns, embedded from text"""
+    c = V.table(spark, sf, "conversations").filter(F.col("role") == "assistant")
+    resp = c.select(F.col("conv_id").alias("grp"), (F.col("conv_id") * 1000 + F.col("turn")).alias("rid"),
+                    E.hashed_tf_embedding("text", EMB_DIM).alias("embedding"))
+    ent = E.entropy_by_prompt(resp, fixed.ENTAILMENT_THRESHOLD)
+    return ent.select("grp", r6(F.col("entropy")).alias("entropy"), "n_responses")
