@@ -54,10 +54,10 @@ def weighted_loss(df: DataFrame, loss: str = "loss", n: str = "n_tokens") -> Dat
 
 
 # --------------------------------------------------------------------- E4
-def token_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, tok, k): lower-cased native tokens counted per document."""
-    toks = docs.select(key, F.explode(TK.tokens(text, lower=True)).alias("tok"))
-    return toks.groupBy(key, "tok").agg(F.count(F.lit(1)).alias("k"))
+def token_counts(docs: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
+    """(keys..., tok, k): lower-cased native tokens counted per document."""
+    toks = docs.select(*keys, F.explode(TK.tokens(text, lower=True)).alias("tok"))
+    return toks.groupBy(*keys, "tok").agg(F.count(F.lit(1)).alias("k"))
 
 
 def unigram_vocab(train_docs: DataFrame, text: str) -> DataFrame:
@@ -67,25 +67,32 @@ def unigram_vocab(train_docs: DataFrame, text: str) -> DataFrame:
 
 
 def unigram_doc_losses(
-    eval_docs: DataFrame,
-    train_docs: DataFrame,
+    docs: DataFrame,
     key: str,
     text: str,
+    split_col: str = "split",
     alphas: Sequence[float] = (1.0,),
     salts: int = 8,
+    train: str = "train",
+    evaluate: str = "eval",
 ) -> DataFrame:
-    """Per-document mean negative log-likelihood under add-alpha unigrams.
+    """Per-document mean negative log-likelihood under add-alpha unigrams
+    fitted on the ``train`` rows, for the ``evaluate`` rows.
 
     ``p(t) = (c_t + a) / (N + a V)`` with ``V`` = train vocabulary + 1
-    (unknown). Returns ``key, n_tokens, loss`` (first alpha) plus
-    ``loss_<i>`` for every alpha. Eval tokens are counted per document before
-    the join and the join is salted, so a very common token is not one task.
+    (unknown). Returns ``key, n_tokens, loss`` (first alpha) plus ``loss_<i>``
+    for every alpha. Texts are tokenised once into per-document token counts
+    (written at a phase boundary); the eval-side join to the vocabulary is
+    salted, so a very common token is not one task.
     """
-    vocab = unigram_vocab(train_docs, text)
+    from quarry.session import materialize
+
+    counts = materialize(token_counts(docs.select(key, split_col, text), [key, split_col], text))
+    vocab = counts.filter(F.col(split_col) == train).groupBy("tok").agg(F.sum("k").alias("c"))
     consts = vocab.agg(F.sum("c").alias("N"), (F.count(F.lit(1)) + 1).alias("V")).first()
     n_all, v_all = float(consts["N"] or 0), float(consts["V"])
-    counts = token_counts(eval_docs, key, text)
-    j = salted_join(counts, vocab, ["tok"], salts, F.xxhash64(F.col(key), F.col("tok")))
+    ev = counts.filter(F.col(split_col) == evaluate).select(key, "tok", "k")
+    j = salted_join(ev, vocab, ["tok"], salts, F.xxhash64(F.col(key), F.col("tok")))
     c = F.coalesce(F.col("c"), F.lit(0)).cast("double")
     aggs = [F.sum("k").alias("n_tokens")]
     for i, a in enumerate(alphas):

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import fixed
+from quarry.operators.joins import salted_join
 
 SPLIT_BUCKET_HEX = 4  # 16**4 = 65,536 buckets in the count table
 
@@ -76,17 +77,22 @@ def run_summary(
     rejected: DataFrame | None = None,
     split_col: str = "split",
 ) -> DataFrame:
-    """One-row summary; the reject count is joined as a second one-row aggregate."""
-    agg = examples.agg(
-        F.count(F.lit(1)).alias("total_processed"),
-        F.count(F.when(F.col(split_col) == "train", 1)).alias("train_samples"),
-        F.count(F.when(F.col(split_col) == "eval", 1)).alias("eval_samples"),
-        F.coalesce(F.sum("word_count"), F.lit(0)).cast("bigint").alias("total_words"),
-    ).withColumn("format_style", F.lit(style)).withColumn("llm_filtered", F.lit(bool(llm_filtered)))
-    if rejected is None or not llm_filtered:
-        return agg.withColumn("rejected_count", F.lit(0).cast("bigint"))
-    rej = rejected.agg(F.count(F.lit(1)).alias("rejected_count"))
-    return agg.crossJoin(rej)  # both sides are single-row aggregates
+    """One-row summary. Rejects (when the filter ran) are unioned in and
+    counted by the same single aggregate."""
+    ex = examples.select(F.col(split_col).alias("_s"), F.col("word_count").alias("_w"), F.lit(False).alias("_rej"))
+    if rejected is not None and llm_filtered:
+        rej = rejected.select(F.lit(None).cast("string").alias("_s"), F.lit(None).cast("bigint").alias("_w"), F.lit(True).alias("_rej"))
+        ex = ex.unionByName(rej)
+    kept = ~F.col("_rej")
+    return ex.agg(
+        F.count(F.when(kept, 1)).alias("total_processed"),
+        F.count(F.when(kept & (F.col("_s") == "train"), 1)).alias("train_samples"),
+        F.count(F.when(kept & (F.col("_s") == "eval"), 1)).alias("eval_samples"),
+        F.coalesce(F.sum(F.when(kept, F.col("_w"))), F.lit(0)).cast("bigint").alias("total_words"),
+        F.lit(style).alias("format_style"),
+        F.lit(bool(llm_filtered)).alias("llm_filtered"),
+        F.count(F.when(F.col("_rej"), 1)).alias("rejected_count"),
+    )
 
 
 def truncate_tokens(tokens: Column | str, max_length: int) -> Column:
@@ -153,7 +159,7 @@ def retain_checkpoints(
         F.max(step).alias("_n"),
         F.min(F.struct(F.col(loss).alias("l"), F.col(step).alias("s"))).alias("_b"),
     ).select(run, "_n", F.col("_b.s").alias("_best"))
-    j = evals.join(per_run, run)
+    j = salted_join(evals, per_run, [run], 8, F.xxhash64(F.col(step)), how="inner")  # a run may hold most rows
     best_in_newest = F.col("_best") > F.col("_n") - keep
     newest = F.when(best_in_newest, F.col(step) > F.col("_n") - keep).otherwise(
         F.col(step) > F.col("_n") - (keep - 1)

@@ -16,28 +16,28 @@ from pyspark.sql import functions as F
 from quarry.functions import fixed
 
 
+def frequency(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
+    """``(group..., _v, _c)``: rows counted per distinct value (partial aggregate)."""
+    return df.groupBy(*group, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+
+
 def _value_at(rank: Column) -> Column:
     """min value whose running count exceeds the 0-based ``rank``."""
     return F.min(F.when(F.col("_cum") > rank, F.col("_v")))
 
 
-def exact_quantiles(
-    df: DataFrame, value: str, probs: Sequence[float], group: Sequence[str] = (), names: Sequence[str] | None = None
+def quantiles_from_frequency(
+    freq: DataFrame, probs: Sequence[float], group: Sequence[str] = (), names: Sequence[str] | None = None
 ) -> DataFrame:
-    """Linear-interpolation quantiles (numpy's default) per group."""
+    """Linear-interpolation quantiles (numpy's default) read off a frequency table."""
     g = list(group)
-    freq = df.groupBy(*g, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*g).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     freq = freq.withColumn("_cum", F.sum("_c").over(w)).withColumn("_n", F.sum("_c").over(Window.partitionBy(*g)))
     aggs = []
     for i, p in enumerate(probs):
         pos = (F.col("_n") - 1) * F.lit(float(p))
         lo, hi = F.floor(pos), F.ceil(pos)
-        aggs += [
-            _value_at(lo).alias(f"_lo{i}"),
-            _value_at(hi).alias(f"_hi{i}"),
-            F.first(pos - lo).alias(f"_f{i}"),
-        ]
+        aggs += [_value_at(lo).alias(f"_lo{i}"), _value_at(hi).alias(f"_hi{i}"), F.first(pos - lo).alias(f"_f{i}")]
     out = freq.groupBy(*g).agg(*aggs)
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
     cols = [
@@ -47,54 +47,71 @@ def exact_quantiles(
     return out.select(*g, *cols)
 
 
+def exact_quantiles(
+    df: DataFrame, value: str, probs: Sequence[float], group: Sequence[str] = (), names: Sequence[str] | None = None
+) -> DataFrame:
+    """M4: exact quantiles per group without buffering a group's values."""
+    return quantiles_from_frequency(frequency(df, value, group), probs, group, names)
+
+
+def stats_from_frequency(freq: DataFrame, group: Sequence[str]) -> DataFrame:
+    """count, min, max, mean, median per group from a frequency table."""
+    g = list(group)
+    basic = freq.groupBy(*g).agg(
+        F.sum("_c").cast("bigint").alias("count"),
+        F.min("_v").cast("bigint").alias("min"),
+        F.max("_v").cast("bigint").alias("max"),
+        (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("mean"),
+    )
+    med = quantiles_from_frequency(freq, [0.5], g, ["median"])
+    return basic.join(med, g)
+
+
 def length_stats(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
-    """M2/M3: count, min, max, mean, median of ``value`` per group."""
+    """M2: count, min, max, mean, median of ``value`` per group (one scan)."""
     g = list(group)
     if not g:
         return length_stats(df.withColumn("_all", F.lit(1)), value, ["_all"]).drop("_all")
-    basic = df.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("count"),
-        F.min(value).cast("bigint").alias("min"),
-        F.max(value).cast("bigint").alias("max"),
-        F.avg(value).alias("mean"),
-    )
-    med = exact_quantiles(df, value, [0.5], g, ["median"])
-    return basic.join(med, g)
+    return stats_from_frequency(frequency(df, value, g), g)
 
 
 def length_stats_with_total(df: DataFrame, value: str, group: str, total_label: str = "all") -> DataFrame:
-    """M3: per-group stats plus one row over all groups (label ``total_label``)."""
-    per = length_stats(df, value, [group])
-    whole = length_stats(df.withColumn(group, F.lit(total_label)), value, [group])
-    return per.unionByName(whole)
+    """M3: per-group stats plus one row over all groups, from one frequency table."""
+    freq = frequency(df, value, [group])
+    total = freq.groupBy("_v").agg(F.sum("_c").alias("_c")).withColumn(group, F.lit(total_label))
+    return stats_from_frequency(freq.unionByName(total), [group])
 
 
 def histogram(df: DataFrame, value: str, bins: int = fixed.HISTOGRAM_BINS) -> DataFrame:
     """M5: equal-width bins on [min, max], last bin closed; empty bins kept.
 
-    The bounds are one small aggregate fetched to the driver (two numbers);
-    every row is then binned in place and counted with a partial aggregate.
-    min == max uses the range [v - 0.5, v + 0.5].
+    One scan: values are counted into a frequency table; bounds and bins are
+    computed over that table (a window over one row per distinct value),
+    and the bin list is generated from the one-row bounds, then joined to
+    the counts on the bin number. min == max uses [v - 0.5, v + 0.5].
     """
-    b = df.agg(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi")).first()
-    if b is None or b["lo"] is None:
-        return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, count bigint")
-    lo, hi = b["lo"], b["hi"]
-    if lo == hi:
-        lo, hi = lo - 0.5, hi + 0.5
-    width = (hi - lo) / bins
-    idx = F.least(F.floor((F.col(value).cast("double") - F.lit(lo)) * F.lit(bins / (hi - lo))), F.lit(bins - 1))
-    counts = df.groupBy(idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    spark = df.sparkSession
-    all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (
-        all_bins.join(counts, "bin", "left")
-        .select(
-            "bin",
-            (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lo"),
-            (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("hi"),
-            F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
-        )
+    freq = frequency(df, value)
+
+    def bounds(lo0: Column, hi0: Column) -> tuple[Column, Column]:
+        same = lo0 == hi0
+        return F.when(same, lo0 - 0.5).otherwise(lo0), F.when(same, hi0 + 0.5).otherwise(hi0)
+
+    whole = Window.partitionBy()  # over the frequency table only (one row per distinct value)
+    lo_w, hi_w = bounds(F.min("_v").over(whole).cast("double"), F.max("_v").over(whole).cast("double"))
+    binned = freq.select("_v", "_c", lo_w.alias("lo"), hi_w.alias("hi"))
+    scale = F.lit(float(bins)) / (F.col("hi") - F.col("lo"))
+    idx = F.least(F.floor((F.col("_v").cast("double") - F.col("lo")) * scale), F.lit(bins - 1)).cast("int")
+    counts = binned.groupBy(idx.alias("bin")).agg(F.sum("_c").alias("count"))
+    b = freq.agg(F.min("_v").cast("double").alias("lo0"), F.max("_v").cast("double").alias("hi0"))
+    lo_b, hi_b = bounds(F.col("lo0"), F.col("hi0"))
+    b = b.select(lo_b.alias("lo"), hi_b.alias("hi")).filter(F.col("lo").isNotNull())
+    edges = b.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+    return edges.join(counts, "bin", "left").select(
+        F.col("bin").cast("int").alias("bin"),
+        (F.col("lo") + F.col("bin") * width).alias("lo"),
+        (F.col("lo") + (F.col("bin") + 1) * width).alias("hi"),
+        F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
     )
 
 

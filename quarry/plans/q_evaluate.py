@@ -152,10 +152,7 @@ def _ngram_sql(alpha: float) -> dict:
 
 
 def doc_losses(spark, sf, alphas=(1.0,)):
-    sp = docs_split(spark, sf)
-    return E.unigram_doc_losses(
-        sp.filter(F.col("split") == "eval"), sp.filter(F.col("split") == "train"), "doc_id", "text", alphas
-    )
+    return E.unigram_doc_losses(split_documents(spark, sf), "doc_id", "text", "split", alphas)
 
 
 @query("ngram_perplexity", with_views("SELECT doc_id, n_tokens, round(loss, 6) AS loss FROM dl", **_ngram_sql(1.0)))

@@ -13,6 +13,7 @@ from quarry.operators import splits as T
 from quarry.plans import views as V
 from quarry.plans.q_prepare import PREPARED_VIEWS, regex_phase, sql_examples, sql_split_on
 from quarry.plans.registry import query, with_views
+from quarry.session import materialize
 
 PD = V.press_documents_sql()
 BLANK_INPUT = " \n\t "
@@ -212,9 +213,9 @@ def q_score_batches(spark, sf):
 # -------------------------------------------------- F9 and the filtered run
 def filtered_phase(spark, sf):
     """Regex phase output screened by the rule validator: (accepted, rejected)."""
-    rx = regex_phase(spark, sf).withColumnRenamed("cleaned", "text_in")
+    rx = regex_phase(spark, sf).select("title", "date", "source", "lang", F.col("cleaned").alias("text_in"))
     gen = rx.withColumn("generated", L.rule_verdict("title", "text_in", "lang"))
-    v = L.verdicts(gen, text="text_in")
+    v = materialize(L.verdicts(gen, text="text_in"))  # one verdict table feeds both branches
     return L.split_verdicts(v)
 
 

@@ -14,6 +14,7 @@ from quarry.operators import tokens as TK
 from quarry.plans import sqlfrag as S
 from quarry.plans import views as V
 from quarry.plans.registry import query, with_views
+from quarry.session import materialize
 
 PD = V.press_documents_sql()
 CAT = V.catalog_sql()
@@ -259,7 +260,9 @@ def regex_phase(spark, sf):
 
 
 def prepared_no_filter(spark, sf, style="instruct"):
-    ex = FM.training_examples(regex_phase(spark, sf), style, content="cleaned")
+    """Regex phase written at a phase boundary, then format and split."""
+    rx = materialize(regex_phase(spark, sf).select("title", "date", "source", "cleaned"))
+    ex = FM.training_examples(rx, style, content="cleaned")
     return T.train_eval_split(ex, "source_pdf")
 
 

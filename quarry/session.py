@@ -65,3 +65,15 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return _checkpoint_base(spark)
+
+
+def materialize(df):
+    """Phase boundary: write ``df`` to the shared checkpoint folder and
+    continue from the written copy.
+
+    Later branches that read the phase output (counts, joins, unions) no
+    longer recompute it, and a lost executor only costs the work after the
+    boundary. Uses reliable ``checkpoint`` (never a local one).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
