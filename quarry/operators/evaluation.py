@@ -87,7 +87,12 @@ def unigram_doc_losses(
     """
     from quarry.session import materialize
 
-    counts = materialize(token_counts(docs.select(key, split_col, text), [key, split_col], text))
+    # one tokenisation: train tokens are counted per token only, eval tokens per document
+    is_train = F.col(split_col) == train
+    scoped = docs.filter(is_train | (F.col(split_col) == evaluate)).select(
+        F.when(is_train, F.lit(None)).otherwise(F.col(key)).alias(key), split_col, text
+    )
+    counts = materialize(token_counts(scoped, [key, split_col], text))
     vocab = counts.filter(F.col(split_col) == train).groupBy("tok").agg(F.sum("k").alias("c"))
     consts = vocab.agg(F.sum("c").alias("N"), (F.count(F.lit(1)) + 1).alias("V")).first()
     n_all, v_all = float(consts["N"] or 0), float(consts["V"])
@@ -175,26 +180,37 @@ def connected_components(vertices: DataFrame, edges: DataFrame, rid: str = "rid"
     """``(rid, cluster)`` with cluster = smallest member id of the
     connected component (transitive closure of the links).
 
-    Min-label propagation over the edge list: each round sends every
-    vertex's label across its edges, keeps the minimum per vertex (a
-    partial aggregate, so a hub vertex is no hot task) and stops when no
-    label changed. Each round's labels are checkpointed to the shared
-    checkpoint folder, which cuts the lineage and survives executor loss.
-    Only vertices with edges take part; the others are their own cluster.
+    Min-label propagation with pointer jumping: each round every vertex
+    takes the smallest label among itself and its neighbours (a partial
+    aggregate, so a hub vertex is no hot task) and then the label of that
+    label, which roughly halves the remaining distance to the component's
+    smallest id. Rounds repeat until no label changes (no cap). Each
+    round's labels are checkpointed to the shared folder, which cuts the
+    lineage and survives executor loss. Only vertices with edges take part;
+    the others are their own cluster.
     """
-    from quarry.session import ensure_checkpoint_dir
+    from quarry.session import materialize
 
-    ensure_checkpoint_dir(edges.sparkSession)
-    e = edges.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b"))
+    # the edge list is read every round: compute it once
+    e = materialize(edges.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b")), "cc-edges")
     und = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = und.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("cl")).withColumnRenamed("a", "v")
-    labels = labels.checkpoint()
-    while True:  # ends after at most (component diameter + 1) rounds
-        msgs = und.join(labels, und["a"] == labels["v"]).select(F.col("b").alias("v"), "cl")
-        new = labels.unionByName(msgs).groupBy("v").agg(F.min("cl").alias("cl")).checkpoint()
-        changed = new.join(labels.withColumnRenamed("cl", "old"), "v").filter(F.col("cl") != F.col("old")).limit(1)
-        labels = new
-        if changed.isEmpty():
+    def step(lab: DataFrame) -> DataFrame:
+        sent = und.join(lab, und["a"] == lab["v"]).select(F.col("b").alias("v"), "cl")
+        m = lab.unionByName(sent).groupBy("v").agg(F.min("cl").alias("cl"))
+        x, y = m.alias("x"), m.alias("y")
+        return x.join(y, F.col("x.cl") == F.col("y.v")).select(
+            F.col("x.v").alias("v"), F.least(F.col("x.cl"), F.col("y.cl")).alias("cl")
+        )
+
+    while True:  # two propagate-and-jump steps per written round; ends when nothing changes
+        nxt = step(step(labels))
+        new = materialize(
+            nxt.join(labels.withColumnRenamed("cl", "_old"), "v").withColumn("_chg", F.col("cl") != F.col("_old")).drop("_old"),
+            "cc-labels",
+        )
+        labels = new.select("v", "cl")
+        if new.filter("_chg").isEmpty():
             break
     out = vertices.join(labels, vertices[rid] == labels["v"], "left")
     return out.select(*[vertices[c] for c in vertices.columns], F.coalesce(F.col("cl"), vertices[rid]).alias("cluster"))

@@ -67,13 +67,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return _checkpoint_base(spark)
 
 
-def materialize(df):
-    """Phase boundary: write ``df`` to the shared checkpoint folder and
-    continue from the written copy.
+def materialize(df, name: str = "phase"):
+    """Phase boundary: write ``df`` as Parquet into a fresh folder of the
+    shared checkpoint folder and continue from the written table.
 
     Later branches that read the phase output (counts, joins, unions) no
     longer recompute it, and a lost executor only costs the work after the
-    boundary. Uses reliable ``checkpoint`` (never a local one).
+    boundary. Unlike ``RDD.checkpoint`` (which computes an unpersisted
+    input twice) the plan runs once; the folder is shared storage, never a
+    machine-local one.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
