@@ -189,9 +189,9 @@ def q_perplexity(spark, sf):
 
 
 # ------------------------------------------------------------------ E6-E10
-def _edges_sql(by: str, t: float) -> dict:
+def _edges_sql(by: str, t: float, r_sql: str | None = None) -> dict:
     return dict(
-        r=V.responses_sql(by),
+        r=r_sql or V.responses_sql(by),
         rr="SELECT grp, rid, CAST(embedding AS DOUBLE[]) AS v, "
         "sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS nv FROM r",
         pairs="SELECT x.grp, x.rid AS a, y.rid AS b, list_dot_product(x.v, y.v) / greatest(x.nv * y.nv, 1e-8) AS cos "
@@ -200,8 +200,8 @@ def _edges_sql(by: str, t: float) -> dict:
     )
 
 
-def _cc_sql(by: str, t: float, body: str) -> str:
-    views = _edges_sql(by, t)
+def _cc_sql(by: str, t: float, body: str, r_sql: str | None = None) -> str:
+    views = _edges_sql(by, t, r_sql)
     views["und"] = "SELECT a, b FROM e UNION ALL SELECT b AS a, a AS b FROM e"
     ctes = ",\n".join(f"{k} AS ({v})" for k, v in views.items())
     return f"""WITH RECURSIVE {ctes},
@@ -542,7 +542,15 @@ def q_embed(spark, sf):
     return c.select("conv_id", "turn", F.array_join(F.transform(v, lambda x: x.cast("int").cast("string")), ",").alias("vec"))
 
 
-@query("response_entropy")
+RESP_TEXT_SQL = f"""SELECT conv_id AS grp, conv_id * 1000 + turn AS rid,
+    list_transform(range({EMB_DIM}), lambda i: CAST(len(list_filter(hs, lambda h: h = i)) AS FLOAT)) AS embedding
+  FROM (SELECT conv_id, turn, {HASH_SQL} AS hs FROM conversations WHERE role = 'assistant')"""
+
+
+@query(
+    "response_entropy",
+    _cc_sql("prompt", fixed.ENTAILMENT_THRESHOLD, "SELECT grp, round(entropy, 6) AS entropy, n_responses FROM ent", RESP_TEXT_SQL),
+)
 def q_response_entropy(spark, sf):
     """E5 -> E6..E10: entropy of a conversation's assistant turns, embedded from text"""
     c = V.table(spark, sf, "conversations").filter(F.col("role") == "assistant")

@@ -203,11 +203,17 @@ def q_reasons(spark, sf):
     return L.reject_reasons(rule_verdicts(spark, sf).filter("rejected"))
 
 
-@query("score_batches")
+ECHO_SQL = f"""SELECT doc_id, false AS rejected, CAST(NULL AS VARCHAR) AS reason,
+    CAST(length({sql_strip(f'substr(text, 1, {fixed.FILTER_MAX_INPUT_CHARS})')}
+         || CASE WHEN length(text) > {fixed.FILTER_MAX_INPUT_CHARS} THEN substr(text, {fixed.FILTER_MAX_INPUT_CHARS + 1}) ELSE '' END) AS BIGINT) AS n_chars
+  FROM fi WHERE NOT {sql_blank('text')}"""
+
+
+@query("score_batches", with_views(ECHO_SQL, pd=PD, fi=FI_SQL))
 def q_score_batches(spark, sf):
     """L4 batched generator plug-in (stand-in generator) followed by the verdict parse"""
     scored = L.score_batches(filter_inputs(spark, sf), L.echo_generator)
-    return L.verdicts(scored).select("doc_id", "rejected", "reason", F.length("content").alias("n_chars"))
+    return L.verdicts(scored).select("doc_id", "rejected", "reason", F.length("content").cast("bigint").alias("n_chars"))
 
 
 # -------------------------------------------------- F9 and the filtered run

@@ -13,8 +13,9 @@ from quarry.operators import discover as C
 from quarry.operators import formatting as FM
 from quarry.operators import splits as T
 from quarry.plans import views as V
-from quarry.plans.q_collect import UNTITLED, sql_safe_title
-from quarry.plans.q_prepare import prepared_no_filter
+from quarry.plans import sqlfrag as SQ
+from quarry.plans.q_collect import ARTICLE_SQL, MD_SQL, UNTITLED, sql_safe_title
+from quarry.plans.q_prepare import PREPARED_SQL, PREPARED_VIEWS, prepared_no_filter, sql_split_on
 from quarry.plans.registry import query, with_views
 from quarry.session import shared_dir
 from quarry.sources import io as S
@@ -110,7 +111,14 @@ def q_assemble(spark, sf):
     return X.assemble_pages(pages_long(spark, sf), key="doc_id", page_no="page_no", text="t")
 
 
-@query("decode_pdf_pages")
+@query(
+    "decode_pdf_pages",
+    with_views(
+        f"SELECT path, CAST(length(c) AS BIGINT) AS n_chars FROM (SELECT printf('%03d.pdf', idx) AS path, "
+        f"{SQ.clean_text('html')} AS c FROM f WHERE status = 200 AND idx % 3 <> 0 AND html <> '') WHERE length(c) <= 1000000",
+        f="SELECT page_id AS idx, CASE WHEN page_id % 5 = 0 THEN 404 ELSE 200 END AS status, html FROM pages",
+    ),
+)
 def q_decode(spark, sf):
     """X1 decoder plug-in: fetched attachment bytes -> pages -> assembled, cleaned text"""
     f = V.fetches(spark, sf).withColumn("result", A.fetch_status("status", "content"))
@@ -120,6 +128,12 @@ def q_decode(spark, sf):
     return X.clean_documents(docs).select("path", F.length("cleaned").alias("n_chars"))
 
 
+def _filtered_views():
+    from quarry.plans.q_filter import FILTERED_VIEWS
+
+    return FILTERED_VIEWS
+
+
 # ------------------------------------------------------------------ S1-S12
 @query("src_pages", "SELECT page_id, url, CAST(length(html) AS BIGINT) AS n_chars FROM pages")
 def q_src_pages(spark, sf):
@@ -127,14 +141,14 @@ def q_src_pages(spark, sf):
     return V.table(spark, sf, "pages").select("page_id", "url", F.length("html").cast("bigint").alias("n_chars"))
 
 
-@query("sink_catalog")
+@query("sink_catalog", with_views("SELECT *, CAST(NULL AS VARCHAR) AS scraped_at FROM cat", cat=CAT))
 def q_sink_catalog(spark, sf):
     """S2 catalog snapshot written to a new folder, read back"""
     path = S.write_catalog(V.catalog(spark, sf).withColumn("scraped_at", F.lit(None).cast("string")), shared_dir(spark, "catalog"))
     return S.read_catalog(spark, path)
 
 
-@query("src_catalog")
+@query("src_catalog", with_views("SELECT *, CAST(NULL AS VARCHAR) AS scraped_at FROM cat", cat=CAT))
 def q_src_catalog(spark, sf):
     """S1 catalog as JSON array files (one per partition), idx kept"""
     cat = V.catalog(spark, sf).withColumn("scraped_at", F.lit(None).cast("string"))
@@ -142,7 +156,7 @@ def q_src_catalog(spark, sf):
     return S.read_catalog_json_array(spark, directory)
 
 
-@query("sink_scraped_json")
+@query("sink_scraped_json", with_views("SELECT * FROM a", md=MD_SQL, a=ARTICLE_SQL))
 def q_sink_scraped(spark, sf):
     """S4 article records as JSON lines, read back with a schema"""
     from quarry.operators import pages as P
@@ -151,7 +165,15 @@ def q_sink_scraped(spark, sf):
     return S.read_scraped(spark, S.write_scraped(recs, shared_dir(spark, "scraped")))
 
 
-@query("src_pdf_binary")
+@query(
+    "src_pdf_binary",
+    with_views(
+        f"SELECT {PDF_NAME_SQL} AS file_name, CAST(octet_length(content) AS BIGINT) AS length FROM f JOIN cat USING (idx) "
+        "WHERE status = 200 AND content[1:4] = '%PDF'::BLOB",
+        f=V.fetches_sql(),
+        cat=CAT,
+    ),
+)
 def q_pdf_binary(spark, sf):
     """S5 attachment files written by the executors, scanned with binaryFile (*.pdf)"""
     cat = V.catalog(spark, sf).select("idx", "title")
@@ -217,7 +239,15 @@ def q_parse(spark, sf):
     return p.select("doc_id", "p.title", "p.date", "p.source", "p.content")
 
 
-@query("processed_text_files")
+@query(
+    "processed_text_files",
+    with_views(
+        "SELECT regexp_replace(title, '\\A\\s+|\\s+\\z', '', 'g') AS title, "
+        "CASE WHEN doc_id % 3 = 0 THEN NULL ELSE '2024-01-01' END AS date, source, "
+        "CAST(length(regexp_replace(text, '\\A\\s+|\\s+\\z', '', 'g')) AS BIGINT) AS n_chars FROM pd",
+        pd=V.press_documents_sql(),
+    ),
+)
 def q_processed_files(spark, sf):
     """S6/S7 file form: framed texts written one file per document, read back whole"""
     f = framed(spark, sf).withColumn("name", F.replace(F.col("source"), F.lit(".pdf"), F.lit(".txt")))
@@ -227,21 +257,24 @@ def q_processed_files(spark, sf):
     return p.select("p.title", "p.date", "p.source", F.length("p.content").alias("n_chars"))
 
 
-@query("sink_splits")
+@query("sink_splits", with_views("SELECT * FROM sp WHERE split = 'eval'", **PREPARED_VIEWS, sp=sql_split_on("ex", "source_pdf")))
 def q_sink_splits(spark, sf):
     """S8 split dataset as partitioned Parquet; eval split read with partition pruning"""
     path = S.write_splits(prepared_no_filter(spark, sf), shared_dir(spark, "splits"))
     return S.read_split(spark, path, "eval")
 
 
-@query("sink_jsonl")
+@query("sink_jsonl", PREPARED_SQL)
 def q_sink_jsonl(spark, sf):
     """S9 JSON lines per split (nulls kept), read back"""
     path = S.write_jsonl(prepared_no_filter(spark, sf), shared_dir(spark, "jsonl"))
     return spark.read.json(path)
 
 
-@query("sink_rejects")
+@query(
+    "sink_rejects",
+    with_views("SELECT source, title, reason_ AS reason, reasoning_ AS reasoning, 'run-1' AS run_id FROM v WHERE rejected", **_filtered_views()),
+)
 def q_sink_rejects(spark, sf):
     """S10 reject log partitioned by run"""
     from quarry.plans.q_filter import filtered_phase
@@ -252,7 +285,16 @@ def q_sink_rejects(spark, sf):
     return spark.read.json(path)
 
 
-@query("sink_summary")
+@query(
+    "sink_summary",
+    with_views(
+        "SELECT count(*) AS total_processed, count(*) FILTER (WHERE split = 'train') AS train_samples, "
+        "count(*) FILTER (WHERE split = 'eval') AS eval_samples, coalesce(sum(word_count), 0) AS total_words, "
+        "'instruct' AS format_style, false AS llm_filtered, 0 AS rejected_count FROM sp",
+        **PREPARED_VIEWS,
+        sp=sql_split_on("ex", "source_pdf"),
+    ),
+)
 def q_sink_summary(spark, sf):
     """S11 one-row run summary as a single JSON file"""
     summary = T.run_summary(prepared_no_filter(spark, sf), "instruct", llm_filtered=False)
@@ -260,7 +302,14 @@ def q_sink_summary(spark, sf):
 
 
 # ------------------------------------------------------------------- I1
-@query("incremental_clean")
+@query(
+    "incremental_clean",
+    with_views(
+        f"SELECT doc_id, source, length(c) AS n_chars FROM (SELECT doc_id, source, {SQ.clean_text('raw_text')} AS c "
+        "FROM pd WHERE raw_text <> '') WHERE length(c) <= 1000000",
+        pd=V.press_documents_sql(),
+    ),
+)
 def q_incremental(spark, sf):
     """I1 cleaning as an availableNow stream over two arriving batches of files"""
     pd = V.press_documents(spark, sf).select("doc_id", "source", "raw_text")

@@ -136,7 +136,8 @@ def write_jsonl(examples: DataFrame, path: str, split_col: str = "split") -> str
 
 def write_rejects(rejected: DataFrame, path: str, run_id: str) -> str:
     """Reject log, one partition per run (earlier runs are kept)."""
-    rejected.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").json(path)
+    out = rejected.withColumn("run_id", F.lit(run_id)).write.mode("append").option("ignoreNullFields", "false")
+    out.partitionBy("run_id").json(path)
     return path
 
 
