@@ -176,7 +176,7 @@ def similarity_edges(
     return x.groupBy("grp", "_lo", "_hi").applyInPandas(_block_kernel(threshold, fixed.COSINE_EPS), EDGE_SCHEMA)
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, rid: str = "rid") -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame, rid: str = "rid", salts: int = 8) -> DataFrame:
     """``(rid, cluster)`` with cluster = smallest member id of the
     connected component (transitive closure of the links).
 
@@ -196,11 +196,13 @@ def connected_components(vertices: DataFrame, edges: DataFrame, rid: str = "rid"
     und = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = und.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("cl")).withColumnRenamed("a", "v")
     def step(lab: DataFrame) -> DataFrame:
-        sent = und.join(lab, und["a"] == lab["v"]).select(F.col("b").alias("v"), "cl")
-        m = lab.unionByName(sent).groupBy("v").agg(F.min("cl").alias("cl"))
-        x, y = m.alias("x"), m.alias("y")
-        return x.join(y, F.col("x.cl") == F.col("y.v")).select(
-            F.col("x.v").alias("v"), F.least(F.col("x.cl"), F.col("y.cl")).alias("cl")
+        # a hub vertex has many edges: salt its edge rows
+        sent = salted_join(und, lab.withColumnRenamed("v", "a"), ["a"], salts, F.xxhash64("b"), how="inner")
+        m = lab.unionByName(sent.select(F.col("b").alias("v"), "cl")).groupBy("v").agg(F.min("cl").alias("cl"))
+        # a giant component shares one label: salt the vertices that point to it
+        parent = m.select(F.col("v").alias("cl"), F.col("cl").alias("pcl"))
+        return salted_join(m, parent, ["cl"], salts, F.xxhash64("v"), how="inner").select(
+            "v", F.least(F.col("cl"), F.col("pcl")).alias("cl")
         )
 
     while True:  # two propagate-and-jump steps per written round; ends when nothing changes
