@@ -21,6 +21,32 @@ def split_hash(key: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
+def bucket_offsets(counts: DataFrame) -> DataFrame:
+    """Exclusive running sum of ``_cnt`` in ``_b`` (hex string) order, plus the total ``_n``.
+
+    Two levels, no single-partition window: a window per leading hex digit
+    (16 partitions) gives the offset inside the digit group, and the 16
+    group totals - one aggregate of at most 16 elements - give the group
+    offsets.
+    """
+    lvl = counts.withColumn("_b1", F.substring("_b", 1, 1))
+    w = Window.partitionBy("_b1").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lvl = lvl.withColumn("_in", F.sum("_cnt").over(w) - F.col("_cnt"))
+    groups = counts.groupBy(F.substring("_b", 1, 1).alias("_b1")).agg(F.sum("_cnt").alias("_c1"))
+    arr = groups.agg(F.array_sort(F.collect_list(F.struct("_b1", "_c1"))).alias("_a"))  # <= 16 elements
+    starts = F.transform(
+        "_a",
+        lambda x, i: F.struct(
+            x["_b1"].alias("_b1"),
+            F.aggregate(F.slice("_a", 1, i), F.lit(0).cast("bigint"), lambda acc, y: acc + y["_c1"]).alias("_off1"),
+        ),
+    )
+    total = F.aggregate("_a", F.lit(0).cast("bigint"), lambda acc, y: acc + y["_c1"])
+    first = arr.select(F.inline(starts), total.alias("_n"))
+    out = lvl.join(F.broadcast(first), "_b1")
+    return out.select("_b", "_cnt", (F.col("_off1") + F.col("_in")).alias("_before"), "_n")
+
+
 def train_eval_split(
     df: DataFrame,
     key: str,
@@ -33,23 +59,18 @@ def train_eval_split(
     ``(md5(seed:key), key)`` order are ``train``, the rest ``eval``.
 
     Plan: the rows are counted per hash prefix (partial aggregation, at most
-    ``16**bucket_hex`` groups); a running sum over that bounded count table
-    gives each bucket's offset; buckets wholly before the cut are train,
-    wholly after are eval, and only the single boundary bucket is ranked by
-    a window. The count table is broadcast (its size bound is
-    ``16**bucket_hex`` rows), the document rows are never shuffled except
-    for that one bucket.
+    ``16**bucket_hex`` groups); a two-level running sum over that bounded
+    count table gives each bucket's offset; buckets wholly before the cut
+    are train, wholly after are eval, and only the single boundary bucket is
+    ranked by a window. The count table is broadcast (its size bound is
+    ``16**bucket_hex`` rows); document rows are not shuffled except for that
+    one bucket.
     """
     h = split_hash(F.col(key), seed)
     rows = df.withColumn("_h", h).withColumn("_b", F.substring(F.col("_h"), 1, bucket_hex))
     counts = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    w_all = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = (
-        counts.withColumn("_before", F.sum("_cnt").over(w_all) - F.col("_cnt"))
-        .withColumn("_n", F.sum("_cnt").over(Window.partitionBy()))
-        .withColumn("_ntrain", F.floor(F.col("_n") * F.lit(float(ratio))).cast("bigint"))
-        .select("_b", "_cnt", "_before", "_ntrain")
-    )
+    offsets = bucket_offsets(counts).withColumn("_ntrain", F.floor(F.col("_n") * F.lit(float(ratio))).cast("bigint"))
+    offsets = offsets.select("_b", "_cnt", "_before", "_ntrain")
     j = rows.join(F.broadcast(offsets), "_b")
     whole_train = F.col("_before") + F.col("_cnt") <= F.col("_ntrain")
     whole_eval = F.col("_before") >= F.col("_ntrain")
