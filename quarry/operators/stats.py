@@ -115,11 +115,12 @@ def histogram(df: DataFrame, value: str, bins: int = fixed.HISTOGRAM_BINS) -> Da
     )
 
 
-def corpus_totals(df: DataFrame, text: str, n_tokens: str) -> DataFrame:
+def corpus_totals(df: DataFrame, n_tokens: str, n_chars: str) -> DataFrame:
     """M6: rows, characters, characters/4 estimate and token total."""
+    chars = F.coalesce(F.sum(n_chars), F.lit(0))
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.length(text)), F.lit(0)).cast("bigint").alias("total_chars"),
-        (F.coalesce(F.sum(F.length(text)), F.lit(0)) / 4.0).alias("est_tokens"),
+        chars.cast("bigint").alias("total_chars"),
+        (chars / 4.0).alias("est_tokens"),
         F.coalesce(F.sum(n_tokens), F.lit(0)).cast("bigint").alias("total_tokens"),
     )

@@ -15,6 +15,7 @@ from quarry.operators.windows import row_number_within
 from quarry.plans import views as V
 from quarry.plans.q_prepare import SPLIT_SQL, sql_prompt, split_documents
 from quarry.plans.registry import query, with_views
+from quarry.session import materialize
 
 TOK = sql_str(TK.TOKEN_RE2)
 NTOK_SQL = f"CAST(len(regexp_extract_all(text, {TOK})) AS BIGINT)"
@@ -27,7 +28,9 @@ def r6(c):
 
 
 def docs_split(spark, sf):
-    return split_documents(spark, sf).withColumn("n", TK.token_count("text"))
+    """The saved split dataset the statistics read: (doc_id, split, n tokens, characters)."""
+    d = split_documents(spark, sf).select("doc_id", "split", TK.token_count("text").alias("n"), F.length("text").alias("n_chars"))
+    return materialize(d, "split-lengths")
 
 
 # ------------------------------------------------------------------ M1-M6
@@ -105,7 +108,7 @@ def q_hist(spark, sf):
 )
 def q_totals(spark, sf):
     """M6 train-split totals: rows, characters, chars/4, tokens"""
-    t = M.corpus_totals(docs_split(spark, sf).filter(F.col("split") == "train"), "text", "n")
+    t = M.corpus_totals(docs_split(spark, sf).filter(F.col("split") == "train"), "n", "n_chars")
     return t.select(F.col("rows").cast("bigint"), "total_chars", r6(F.col("est_tokens")).alias("est_tokens"), "total_tokens")
 
 
