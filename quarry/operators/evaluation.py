@@ -15,7 +15,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import fixed
@@ -111,16 +111,42 @@ def unigram_doc_losses(
 EDGE_SCHEMA = "grp bigint, a bigint, b bigint, cos double"
 
 
-def _block_kernel(threshold: float, eps: float):
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Replace a set of links by one star per connected component, centred
+    on the component's smallest id (union-find over the ids of one task)."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while parent.get(root, root) != root:
+            root = parent[root]
+        while parent.get(x, x) != root:  # path compression
+            parent[x], x = root, parent[x]
+        return root
+
+    for x, y in zip(a.tolist(), b.tolist()):
+        rx, ry = find(x), find(y)
+        if rx != ry:
+            parent[max(rx, ry)] = min(rx, ry)
+    members = [v for v in parent]
+    roots = [find(v) for v in members]
+    centre = np.asarray(roots, dtype=np.int64)
+    leaf = np.asarray(members, dtype=np.int64)
+    keep = leaf != centre
+    return centre[keep], leaf[keep]
+
+
+def _block_kernel(threshold: float, eps: float, contract: bool):
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(pdf["_lo"].iloc[0]), int(pdf["_hi"].iloc[0])
         grp = int(pdf["grp"].iloc[0])
         a_side = pdf[pdf["_blk"] == lo]
         b_side = pdf[pdf["_blk"] == hi] if hi != lo else a_side
+        empty = pd.DataFrame({"grp": [], "a": [], "b": [], "cos": []}).astype(
+            {"grp": "int64", "a": "int64", "b": "int64", "cos": "float64"}
+        )
         if a_side.empty or b_side.empty:
-            return pd.DataFrame({"grp": [], "a": [], "b": [], "cos": []}).astype(
-                {"grp": "int64", "a": "int64", "b": "int64", "cos": "float64"}
-            )
+            return empty
         xa = np.stack([np.asarray(v, dtype=np.float64) for v in a_side["vec"]])
         xb = np.stack([np.asarray(v, dtype=np.float64) for v in b_side["vec"]])
         na = np.sqrt((xa * xa).sum(axis=1))
@@ -133,14 +159,11 @@ def _block_kernel(threshold: float, eps: float):
             mask &= ra[:, None] < rb[None, :]
         i, j = np.nonzero(mask)
         x, y = ra[i], rb[j]
-        return pd.DataFrame(
-            {
-                "grp": np.full(len(i), grp, dtype=np.int64),
-                "a": np.minimum(x, y),
-                "b": np.maximum(x, y),
-                "cos": cos[i, j],
-            }
-        )
+        a, b, c = np.minimum(x, y), np.maximum(x, y), cos[i, j]
+        if contract:
+            a, b = _stars(a, b)
+            c = np.full(len(a), np.nan)
+        return pd.DataFrame({"grp": np.full(len(a), grp, dtype=np.int64), "a": a, "b": b, "cos": c})
 
     return kernel
 
@@ -153,6 +176,7 @@ def similarity_edges(
     vec: str = "embedding",
     block: int = 256,
     salts: int = 8,
+    contract: bool = False,
 ) -> DataFrame:
     """Pairs of responses of one prompt with cosine > ``threshold``.
 
@@ -164,6 +188,11 @@ def similarity_edges(
     many tasks, each holding at most two blocks. Cosine is computed in
     double with the norm product clamped at 1e-8 (zero vectors never link
     for a non-negative threshold).
+
+    With ``contract=True`` each task replaces its links by one star per
+    local connected component (same connectivity, far fewer edges; cos is
+    then null). Clustering uses this form: when a prompt fits in one block,
+    its components are already complete.
     """
     r = resp.select(F.col(grp).alias("grp"), F.col(rid).cast("bigint").alias("rid"), F.col(vec).alias("vec"))
     sizes = r.groupBy("grp").agg(F.count(F.lit(1)).alias("_n"))
@@ -173,7 +202,7 @@ def similarity_edges(
     x = x.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
     x = x.withColumn("_lo", F.least("_blk", "_j")).withColumn("_hi", F.greatest("_blk", "_j"))
     x = x.select("grp", "rid", "vec", "_blk", "_lo", "_hi")
-    return x.groupBy("grp", "_lo", "_hi").applyInPandas(_block_kernel(threshold, fixed.COSINE_EPS), EDGE_SCHEMA)
+    return x.groupBy("grp", "_lo", "_hi").applyInPandas(_block_kernel(threshold, fixed.COSINE_EPS, contract), EDGE_SCHEMA)
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame, rid: str = "rid", salts: int = 8) -> DataFrame:
@@ -229,8 +258,8 @@ def semantic_entropy(clustered: DataFrame, grp: str = "grp") -> DataFrame:
     Computed as ``0.0 - sum`` so that a single cluster gives +0.0.
     """
     sizes = cluster_sizes(clustered, grp)
-    n = F.sum("size").over(Window.partitionBy(grp))
-    p = sizes.withColumn("p", F.col("size") / n)
+    totals = sizes.groupBy(grp).agg(F.sum("size").alias("_tot"))  # no per-prompt window: a prompt may have many clusters
+    p = salted_join(sizes, totals, [grp], 8, F.xxhash64("cluster"), how="inner").withColumn("p", F.col("size") / F.col("_tot"))
     return p.groupBy(grp).agg(
         (F.lit(0.0) - F.sum(F.col("p") * F.log("p"))).alias("entropy"),
         F.sum("size").cast("bigint").alias("n_responses"),
@@ -250,7 +279,7 @@ def entropy_summary(entropies: DataFrame) -> DataFrame:
 
 def entropy_by_prompt(resp: DataFrame, threshold: float = fixed.ENTAILMENT_THRESHOLD, **kw) -> DataFrame:
     """E6 -> E7 -> E9 for a response table ``(grp, rid, embedding)``."""
-    edges = similarity_edges(resp, threshold, **kw)
+    edges = similarity_edges(resp, threshold, contract=True, **kw)
     clustered = connected_components(resp.select("grp", "rid"), edges)
     return semantic_entropy(clustered)
 

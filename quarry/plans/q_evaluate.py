@@ -218,7 +218,7 @@ def _cc_sql(by: str, t: float, body: str, r_sql: str | None = None) -> str:
 
 def _clusters(spark, sf, by, t):
     resp = V.responses(spark, sf, by)
-    edges = E.similarity_edges(resp, t)
+    edges = E.similarity_edges(resp, t, contract=True)
     return E.connected_components(resp.select("grp", "rid"), edges)
 
 
@@ -497,7 +497,7 @@ EVALS_SQL = """SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id
 
 def run_evals(spark, sf):
     ev = V.table(spark, sf, "events")
-    ev = row_number_within(ev, "user_id", ["ts", "event_id"], F.date_trunc("day", F.col("ts")), "step")
+    ev = row_number_within(ev, "user_id", ["ts", "event_id"], F.date_trunc("hour", F.col("ts")), "step")
     return ev.select(F.col("user_id").alias("run_id"), "step", F.col("value").alias("eval_loss"))
 
 

@@ -74,3 +74,24 @@ def test_strip_prompt_variants(spark):
     out = "user\nQ\n  answer"
     assert one(spark, E.strip_prompt(F.col("o"), F.col("p")), o=out, p=prompt) == "answer"
     assert one(spark, E.strip_prompt(F.col("o"), F.col("p"), "raw"), o=out, p=prompt) == ""
+
+
+def test_contracted_blocks_give_same_clusters(spark):
+    import random
+
+    rnd = random.Random(7)
+    vecs = [[rnd.random() for _ in range(4)] for _ in range(60)]
+    resp = spark.createDataFrame([(0, i, v) for i, v in enumerate(vecs)], "grp bigint, rid bigint, embedding array<float>")
+    verts = resp.select("grp", "rid")
+    full = E.connected_components(verts, E.similarity_edges(resp, 0.97, block=256))
+    small = E.connected_components(verts, E.similarity_edges(resp, 0.97, block=7, contract=True))
+    a = {r["rid"]: r["cluster"] for r in full.collect()}
+    b = {r["rid"]: r["cluster"] for r in small.collect()}
+    assert a == b and len(set(a.values())) < 60
+
+
+def test_hub_and_chain_graph(spark):
+    edges = spark.createDataFrame([(0, i) for i in range(1, 50)] + [(100 + i, 101 + i) for i in range(30)], "a bigint, b bigint")
+    verts = spark.createDataFrame([(0, i) for i in range(50)] + [(0, 100 + i) for i in range(31)] + [(0, 999)], "grp bigint, rid bigint")
+    got = {r["rid"]: r["cluster"] for r in E.connected_components(verts, edges).collect()}
+    assert all(got[i] == 0 for i in range(50)) and all(got[100 + i] == 100 for i in range(31)) and got[999] == 999
