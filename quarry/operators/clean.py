@@ -168,14 +168,12 @@ def enrich_metadata(docs: DataFrame, catalog: DataFrame, name_col: str = "source
         F.col("idx").alias("_idx"), F.col("title").alias("_cat_title"), F.col("date").alias("_cat_date")
     )
     stem = F.regexp_replace(F.col(name_col), r"\.[^.]*$", "")
-    keyed = docs.withColumn("_idx", idx_from_name(name_col))
-    # rows without an index can never match: keep them out of the shuffle so
-    # that their null key does not send them all to one task
-    matched = keyed.filter(F.col("_idx").isNotNull()).join(cat, "_idx", "left")
-    unmatched = keyed.filter(F.col("_idx").isNull()).select(
-        "*", *[F.lit(None).cast("string").alias(c) for c in ("_cat_title", "_cat_date")]
-    )
-    joined = matched.unionByName(unmatched)
+    # a row without an index can never match; instead of a null key (all such
+    # rows would meet in one task) it gets a spread negative key that no
+    # catalog position (>= 0) has
+    idx = idx_from_name(name_col)
+    spread_miss = -1 - F.pmod(F.xxhash64(F.col(name_col)), F.lit(1 << 16))
+    joined = docs.withColumn("_idx", F.coalesce(idx, spread_miss)).join(cat, "_idx", "left")
     return joined.withColumn("title", F.coalesce(F.col("_cat_title"), stem)).withColumn(
         "date", F.coalesce(F.col("_cat_date"), F.lit(""))
     ).drop("_idx", "_cat_title", "_cat_date")
