@@ -125,7 +125,7 @@ def q_decode(spark, sf):
     ok = f.filter(F.col("result") == "ok").withColumn("path", F.format_string("%03d.pdf", F.col("idx")))
     pages = A.decode_pages(ok, "path", "content")
     docs = X.assemble_pages(pages, key="path", page_no="page_no", text="text")
-    return X.clean_documents(docs).select("path", F.length("cleaned").alias("n_chars"))
+    return X.clean_documents(docs).select("path", F.length("cleaned").cast("bigint").alias("n_chars"))
 
 
 def _filtered_views():
@@ -254,7 +254,7 @@ def q_processed_files(spark, sf):
     directory = S.write_files(f, shared_dir(spark, "processed"), "name", "framed")
     back = S.read_text_files(spark, directory)
     p = back.select(FM.parse_processed("value", "file_name").alias("p"))
-    return p.select("p.title", "p.date", "p.source", F.length("p.content").alias("n_chars"))
+    return p.select("p.title", "p.date", "p.source", F.length("p.content").cast("bigint").alias("n_chars"))
 
 
 @query("sink_splits", with_views("SELECT * FROM sp WHERE split = 'eval'", **PREPARED_VIEWS, sp=sql_split_on("ex", "source_pdf")))
@@ -289,8 +289,8 @@ def q_sink_rejects(spark, sf):
     "sink_summary",
     with_views(
         "SELECT count(*) AS total_processed, count(*) FILTER (WHERE split = 'train') AS train_samples, "
-        "count(*) FILTER (WHERE split = 'eval') AS eval_samples, coalesce(sum(word_count), 0) AS total_words, "
-        "'instruct' AS format_style, false AS llm_filtered, 0 AS rejected_count FROM sp",
+        "count(*) FILTER (WHERE split = 'eval') AS eval_samples, CAST(coalesce(sum(word_count), 0) AS BIGINT) AS total_words, "
+        "'instruct' AS format_style, false AS llm_filtered, CAST(0 AS BIGINT) AS rejected_count FROM sp",
         **PREPARED_VIEWS,
         sp=sql_split_on("ex", "source_pdf"),
     ),
@@ -320,4 +320,4 @@ def q_incremental(spark, sf):
     I.run_incremental_clean(spark, inbox, pd.schema, out, ckpt)
     second.write.parquet(f"{inbox}/batch=2")
     I.run_incremental_clean(spark, inbox, pd.schema, out, ckpt)  # only the new files are processed
-    return I.read_output(spark, out).select("doc_id", "source", F.length("cleaned").alias("n_chars"))
+    return I.read_output(spark, out).select("doc_id", "source", F.length("cleaned").cast("bigint").alias("n_chars"))
