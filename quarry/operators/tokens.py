@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,7 +46,6 @@ def plugin_token_counts(count_fn: Callable[[list[str]], list[int]]):
     ``count_fn`` receives a list of texts and returns their token counts;
     it is called once per Arrow batch on the executors.
     """
-    import pandas as pd
     from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("bigint")
