@@ -321,3 +321,21 @@ def q_incremental(spark, sf):
     second.write.parquet(f"{inbox}/batch=2")
     I.run_incremental_clean(spark, inbox, pd.schema, out, ckpt)  # only the new files are processed
     return I.read_output(spark, out).select("doc_id", "source", F.length("cleaned").cast("bigint").alias("n_chars"))
+
+
+@query(
+    "incremental_filter",
+    with_views(
+        "SELECT source, title, date, content FROM v WHERE NOT rejected",
+        **{k: v for k, v in _filtered_views().items() if k not in ("acc", "ex")},
+    ),
+)
+def q_incremental_filter(spark, sf):
+    """I1 filter phase as an availableNow stream with foreachBatch (accepted + reject log)"""
+    from quarry.plans.q_prepare import regex_phase
+
+    rx = regex_phase(spark, sf).select("source", "title", "date", "lang", F.col("cleaned").alias("text"))
+    inbox, acc, rej, ckpt = (shared_dir(spark, n) for n in ("rx-inbox", "accepted", "rejected", "filter-ckpt"))
+    rx.write.parquet(f"{inbox}/batch=1")
+    I.run_incremental_filter(spark, inbox, rx.schema, acc, rej, ckpt)
+    return spark.read.parquet(acc).drop("batch_id")
