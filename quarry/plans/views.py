@@ -133,9 +133,6 @@ def catalog_sql() -> str:
 
 
 # --------------------------------------------------------------- dated text
-DATE_FORMS = 3
-
-
 def dated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents prefixed by a dateline in one of three forms (some impossible)."""
     d = table(spark, sf_dir, "documents")
