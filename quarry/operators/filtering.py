@@ -158,13 +158,20 @@ def cut_before_title(text: Column, title: Column) -> Column:
 
 
 def stop_word_hits(words: Column, lang: str) -> Column:
-    sw = F.array(*[F.lit(w) for w in STOP_WORDS[lang]])
-    return F.size(F.filter(words, lambda w: F.array_contains(sw, w)))
+    return F.size(F.filter(words, lambda w: w.isin(STOP_WORDS[lang])))
+
+
+ALL_STOP_WORDS = sorted({w for ws in STOP_WORDS.values() for w in ws})
 
 
 def guessed_language(text: Column) -> Column:
-    """Language with the most stop-word hits (ties in ``LANG_ORDER``); null if none."""
+    """Language with the most stop-word hits (ties in ``LANG_ORDER``); null if none.
+
+    One pass keeps only stop words (a hash-set test per word); the four
+    per-language counts then run over that short array.
+    """
     words = F.split(F.lower(text), r"[^\p{L}]+")
+    stops = F.filter(words, lambda w: w.isin(ALL_STOP_WORDS))
 
     def pick(h: Column) -> Column:
         best = F.array_max(h)
@@ -173,7 +180,7 @@ def guessed_language(text: Column) -> Column:
             out = out.when(h[i] == best, F.lit(lang))
         return out
 
-    hits = bind(words, lambda w: F.array(*[stop_word_hits(w, lang) for lang in LANG_ORDER]))
+    hits = bind(stops, lambda w: F.array(*[stop_word_hits(w, lang) for lang in LANG_ORDER]))
     return bind(hits, pick)
 
 
