@@ -60,12 +60,6 @@ def token_counts(docs: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     return toks.groupBy(*keys, "tok").agg(F.count(F.lit(1)).alias("k"))
 
 
-def unigram_vocab(train_docs: DataFrame, text: str) -> DataFrame:
-    """(tok, c) over the training split; a partial aggregate per token."""
-    toks = train_docs.select(F.explode(TK.tokens(text, lower=True)).alias("tok"))
-    return toks.groupBy("tok").agg(F.count(F.lit(1)).alias("c"))
-
-
 def unigram_doc_losses(
     docs: DataFrame,
     key: str,

@@ -333,7 +333,9 @@ def q_truncate_tokens(spark, sf):
 
 
 PACK_L = 2048
-PACK_SHARDS = 8
+# shards are the unit of parallelism of the running sum; on a cluster use at
+# least as many as there are cores
+PACK_SHARDS = 64
 
 
 @query(
@@ -349,6 +351,6 @@ PACK_SHARDS = 8
     FROM z""",
 )
 def q_pack(spark, sf):
-    """T5 sequence packing into 2048-token blocks, 8 shards"""
+    """T5 sequence packing into 2048-token blocks, 64 shards"""
     d = V.table(spark, sf, "documents").select("doc_id", TK.token_count("text").alias("n"))
     return T.pack_sequences(d, "doc_id", "n", PACK_L, F.col("doc_id") % PACK_SHARDS)
