@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import fixed
+from quarry.operators.windows import running_count
 
 
 def frequency(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
@@ -31,8 +32,7 @@ def quantiles_from_frequency(
 ) -> DataFrame:
     """Linear-interpolation quantiles (numpy's default) read off a frequency table."""
     g = list(group)
-    w = Window.partitionBy(*g).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    freq = freq.withColumn("_cum", F.sum("_c").over(w)).withColumn("_n", F.sum("_c").over(Window.partitionBy(*g)))
+    freq = running_count(freq, "_v", "_c", g)
     aggs = []
     for i, p in enumerate(probs):
         pos = (F.col("_n") - 1) * F.lit(float(p))
@@ -85,32 +85,31 @@ def length_stats_with_total(df: DataFrame, value: str, group: str, total_label:
 def histogram(df: DataFrame, value: str, bins: int = fixed.HISTOGRAM_BINS) -> DataFrame:
     """M5: equal-width bins on [min, max], last bin closed; empty bins kept.
 
-    One scan: values are counted into a frequency table; bounds and bins are
-    computed over that table (a window over one row per distinct value),
-    and the bin list is generated from the one-row bounds, then joined to
-    the counts on the bin number. min == max uses [v - 0.5, v + 0.5].
+    One pass over the rows: values are counted into a frequency table (one
+    row per distinct value), which is written once; the two bounds are read
+    from it and every distinct value is binned with them as literals. The
+    bin list comes from ``range(bins)`` joined on the bin number. min == max
+    uses [v - 0.5, v + 0.5].
     """
-    freq = frequency(df, value)
-
-    def bounds(lo0: Column, hi0: Column) -> tuple[Column, Column]:
-        same = lo0 == hi0
-        return F.when(same, lo0 - 0.5).otherwise(lo0), F.when(same, hi0 + 0.5).otherwise(hi0)
-
-    whole = Window.partitionBy()  # over the frequency table only (one row per distinct value)
-    lo_w, hi_w = bounds(F.min("_v").over(whole).cast("double"), F.max("_v").over(whole).cast("double"))
-    binned = freq.select("_v", "_c", lo_w.alias("lo"), hi_w.alias("hi"))
-    scale = F.lit(float(bins)) / (F.col("hi") - F.col("lo"))
-    idx = F.least(F.floor((F.col("_v").cast("double") - F.col("lo")) * scale), F.lit(bins - 1)).cast("int")
-    counts = binned.groupBy(idx.alias("bin")).agg(F.sum("_c").alias("count"))
-    b = freq.agg(F.min("_v").cast("double").alias("lo0"), F.max("_v").cast("double").alias("hi0"))
-    lo_b, hi_b = bounds(F.col("lo0"), F.col("hi0"))
-    b = b.select(lo_b.alias("lo"), hi_b.alias("hi")).filter(F.col("lo").isNotNull())
-    edges = b.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+    from quarry.session import materialize
+
+    freq = materialize(frequency(df, value), "histogram-freq")
+    b = freq.agg(F.min("_v").cast("double").alias("lo"), F.max("_v").cast("double").alias("hi")).first()
+    spark = df.sparkSession
+    if b is None or b["lo"] is None:
+        return spark.createDataFrame([], "bin int, lo double, hi double, count bigint")
+    lo, hi = b["lo"], b["hi"]
+    if lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    scale = bins / (hi - lo)
+    idx = F.least(F.floor((F.col("_v").cast("double") - F.lit(lo)) * F.lit(scale)), F.lit(bins - 1)).cast("int")
+    counts = freq.groupBy(idx.alias("bin")).agg(F.sum("_c").alias("count"))
+    width = (hi - lo) / bins
+    edges = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     return edges.join(counts, "bin", "left").select(
-        F.col("bin").cast("int").alias("bin"),
-        (F.col("lo") + F.col("bin") * width).alias("lo"),
-        (F.col("lo") + (F.col("bin") + 1) * width).alias("hi"),
+        "bin",
+        (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lo"),
+        (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("hi"),
         F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
     )
 
