@@ -131,16 +131,12 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _block_kernel(threshold: float, eps: float, contract: bool):
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         lo, hi = int(pdf["_lo"].iloc[0]), int(pdf["_hi"].iloc[0])
-        grp = int(pdf["grp"].iloc[0])
         a_side = pdf[pdf["_blk"] == lo]
         b_side = pdf[pdf["_blk"] == hi] if hi != lo else a_side
-        empty = pd.DataFrame({"grp": [], "a": [], "b": [], "cos": []}).astype(
-            {"grp": "int64", "a": "int64", "b": "int64", "cos": "float64"}
-        )
         if a_side.empty or b_side.empty:
-            return empty
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
         xa = np.stack([np.asarray(v, dtype=np.float64) for v in a_side["vec"]])
         xb = np.stack([np.asarray(v, dtype=np.float64) for v in b_side["vec"]])
         na = np.sqrt((xa * xa).sum(axis=1))
@@ -157,7 +153,21 @@ def _block_kernel(threshold: float, eps: float, contract: bool):
         if contract:
             a, b = _stars(a, b)
             c = np.full(len(a), np.nan)
-        return pd.DataFrame({"grp": np.full(len(a), grp, dtype=np.int64), "a": a, "b": b, "cos": c})
+        return a, b, c
+
+    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+        # one call holds either one block pair of a large prompt or many
+        # whole small prompts; pairs never cross prompts
+        out = []
+        for grp, part in pdf.groupby("grp", sort=False):
+            a, b, c = one(part)
+            if len(a):
+                out.append(pd.DataFrame({"grp": np.full(len(a), int(grp), dtype=np.int64), "a": a, "b": b, "cos": c}))
+        if not out:
+            return pd.DataFrame({"grp": [], "a": [], "b": [], "cos": []}).astype(
+                {"grp": "int64", "a": "int64", "b": "int64", "cos": "float64"}
+            )
+        return pd.concat(out, ignore_index=True)
 
     return kernel
 
@@ -195,8 +205,12 @@ def similarity_edges(
     x = x.withColumn("_nb", nblk).withColumn("_blk", F.pmod(F.xxhash64("rid"), F.col("_nb")).cast("int"))
     x = x.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
     x = x.withColumn("_lo", F.least("_blk", "_j")).withColumn("_hi", F.greatest("_blk", "_j"))
-    x = x.select("grp", "rid", "vec", "_blk", "_lo", "_hi")
-    return x.groupBy("grp", "_lo", "_hi").applyInPandas(_block_kernel(threshold, fixed.COSINE_EPS, contract), EDGE_SCHEMA)
+    # prompts that fit in one block share kernel calls (packed by hash);
+    # a larger prompt gets one call per block pair
+    packs = max(1, r.sparkSession.sparkContext.defaultParallelism * 4)
+    pack = F.when(F.col("_nb") == 1, -1 - F.pmod(F.xxhash64("grp"), F.lit(packs))).otherwise(F.col("grp"))
+    x = x.select("grp", "rid", "vec", "_blk", "_lo", "_hi", pack.alias("_pk"))
+    return x.groupBy("_pk", "_lo", "_hi").applyInPandas(_block_kernel(threshold, fixed.COSINE_EPS, contract), EDGE_SCHEMA)
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame, rid: str = "rid", salts: int = 8) -> DataFrame:
