@@ -230,6 +230,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame, rid: str = "rid"
 
     # the edge list is read every round: compute it once
     e = materialize(edges.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b")), "cc-edges")
+    if e.isEmpty():  # no links: every response is its own cluster
+        return vertices.withColumn("cluster", F.col(rid))
     und = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = und.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("cl")).withColumnRenamed("a", "v")
     def step(lab: DataFrame) -> DataFrame:
