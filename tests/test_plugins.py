@@ -33,8 +33,8 @@ def test_hashed_embedding_counts_tokens(spark):
 
 
 def test_result_names(spark):
-    assert RS.result_name("Qwen/Qwen3-8B") == "evaluation_results_Qwen3-8B.json"
+    assert RS.result_name("org/base-model-8b") == "evaluation_results_base-model-8b.json"
     assert RS.result_name("checkpoints/x/final", "configs/dropped_lora.yaml") == "evaluation_results_dropped_lora.json"
-    df = spark.createDataFrame([("Qwen/Qwen3-8B", None), ("ck/final", "configs/pruned.yaml")], "m string, c string")
+    df = spark.createDataFrame([("org/base-model-8b", None), ("ck/final", "configs/pruned.yaml")], "m string, c string")
     got = [r[0] for r in df.select(RS.result_name_col(F.col("m"), F.col("c"))).collect()]
-    assert got == ["evaluation_results_Qwen3-8B.json", "evaluation_results_pruned.json"]
+    assert got == ["evaluation_results_base-model-8b.json", "evaluation_results_pruned.json"]
