@@ -349,33 +349,44 @@ def q_group_responses(spark, sf):
 MODELS = [(f"unigram-a{a:g}", a) for a in ALPHAS]
 
 
-def assembled_results(spark, sf):
-    """One nested record per model variant (alpha), flattened columns."""
-    losses = doc_losses(spark, sf, ALPHAS)
-    w = losses.agg(
-        F.sum("n_tokens").cast("bigint").alias("total_tokens"),
-        *[(F.sum(F.col(f"loss_{i}") * F.col("n_tokens")) / F.sum("n_tokens")).alias(f"l{i}") for i in range(len(ALPHAS))],
-    )
-    rows = F.array(
-        *[
-            F.struct(F.lit(name).alias("model"), F.col(f"l{i}").alias("avg_loss"))
-            for i, (name, _) in enumerate(MODELS)
-        ]
-    )
-    per_model = w.select("total_tokens", F.inline(rows))
-    ent = entropy_summary_df(spark, sf).first()
+def assembled_results(spark, sf, entropy_fn=None, losses_fn=None):
+    """One nested record per model variant (alpha).
+
+    Each metric is computed on its own; a metric that fails leaves its
+    struct null and its message in ``error`` while the others are kept.
+    """
+    entropy_fn = entropy_fn or entropy_summary_df
+    losses_fn = losses_fn or doc_losses
+    errors = []
+    try:
+        ent = entropy_fn(spark, sf).first()
+    except Exception as e:  # noqa: BLE001 - recorded in the result record
+        ent, errors = None, errors + [f"semantic_entropy: {str(e).splitlines()[0][:200]}"]
+    names = F.array(*[F.lit(name) for name, _ in MODELS])
+    try:
+        losses = losses_fn(spark, sf, ALPHAS)
+        w = losses.agg(
+            F.sum("n_tokens").cast("bigint").alias("total_tokens"),
+            *[(F.sum(F.col(f"loss_{i}") * F.col("n_tokens")) / F.sum("n_tokens")).alias(f"l{i}") for i in range(len(ALPHAS))],
+        )
+        rows = F.array(*[F.struct(F.lit(name).alias("model"), F.col(f"l{i}").alias("avg_loss")) for i, (name, _) in enumerate(MODELS)])
+        per_model = w.select("total_tokens", F.inline(rows))
+        ppl = F.struct(F.exp("avg_loss").alias("perplexity"), F.col("avg_loss"), F.col("total_tokens"))
+    except Exception as e:  # noqa: BLE001 - recorded in the result record
+        errors.append(f"perplexity: {str(e).splitlines()[0][:200]}")
+        per_model = spark.range(1).select(F.explode(names).alias("model"))
+        ppl = F.lit(None).cast("struct<perplexity:double,avg_loss:double,total_tokens:bigint>")
+    if ent is not None:
+        ent_struct = F.struct(*[F.lit(ent[c]).alias(c) for c in ("mean_entropy", "max_entropy", "min_entropy")])
+    else:
+        ent_struct = F.lit(None).cast("struct<mean_entropy:double,max_entropy:double,min_entropy:double>")
+    last = F.element_at(F.split(F.concat(F.lit("hub/"), F.col("model")), "/"), -1)
     return per_model.select(
         "model",
-        F.concat(F.lit("evaluation_results_"), F.element_at(F.split(F.concat(F.lit("hub/"), F.col("model")), "/"), -1), F.lit(".json")).alias("result_name"),
-        F.struct(
-            F.exp("avg_loss").alias("perplexity"), F.col("avg_loss"), F.col("total_tokens")
-        ).alias("perplexity"),
-        F.struct(
-            F.lit(ent["mean_entropy"]).alias("mean_entropy"),
-            F.lit(ent["max_entropy"]).alias("max_entropy"),
-            F.lit(ent["min_entropy"]).alias("min_entropy"),
-        ).alias("semantic_entropy"),
-        F.lit(None).cast("string").alias("error"),
+        F.concat(F.lit("evaluation_results_"), last, F.lit(".json")).alias("result_name"),
+        ppl.alias("perplexity"),
+        ent_struct.alias("semantic_entropy"),
+        (F.lit("; ".join(errors)) if errors else F.lit(None).cast("string")).alias("error"),
     )
 
 

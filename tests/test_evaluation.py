@@ -95,3 +95,16 @@ def test_hub_and_chain_graph(spark):
     verts = spark.createDataFrame([(0, i) for i in range(50)] + [(0, 100 + i) for i in range(31)] + [(0, 999)], "grp bigint, rid bigint")
     got = {r["rid"]: r["cluster"] for r in E.connected_components(verts, edges).collect()}
     assert all(got[i] == 0 for i in range(50)) and all(got[100 + i] == 100 for i in range(31)) and got[999] == 999
+
+
+def test_failing_metric_is_recorded_not_fatal(spark):
+    from conftest import SF_SMALL
+    from quarry.plans import q_evaluate as QE
+
+    def broken(spark, sf):
+        raise RuntimeError("embedder unavailable")
+
+    rows = QE.assembled_results(spark, SF_SMALL, entropy_fn=broken).collect()
+    assert len(rows) == 3
+    assert all(r["semantic_entropy"] is None and "embedder unavailable" in r["error"] for r in rows)
+    assert all(r["perplexity"]["perplexity"] > 1 for r in rows)
