@@ -52,3 +52,20 @@ def test_best_and_retained_checkpoints(spark):
     assert T.best_checkpoint(ev).first()["best_step"] == 2
     kept = sorted(r["step"] for r in T.retain_checkpoints(ev, 2).collect())
     assert kept == [2, 5]
+
+
+def test_histogram_single_value_and_quantiles(spark):
+    from quarry.operators import stats as M
+
+    df = spark.createDataFrame([(7,)] * 5, "n bigint")
+    h = {r["bin"]: (r["lo"], r["hi"], r["count"]) for r in M.histogram(df, "n", 50).collect()}
+    assert len(h) == 50 and sum(c for _, _, c in h.values()) == 5 and h[25][2] == 5 and h[0][0] == 6.5
+    q = M.exact_quantiles(spark.createDataFrame([(v,) for v in [1, 2, 3, 4, -5]], "n bigint"), "n", [0.5, 0.9]).first()
+    assert q["p50"] == 2.0 and abs(q["p90"] - 3.6) < 1e-12
+
+
+def test_missing_catalog_is_empty(spark):
+    from quarry.session import shared_dir
+    from quarry.sources import io as S
+
+    assert S.read_catalog(spark, shared_dir(spark, "no-such-catalog")).count() == 0
