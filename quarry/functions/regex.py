@@ -1,4 +1,4 @@
-"""One place where rule patterns get their engine-specific flags.
+"""One place where rule patterns get their engine-specific form.
 
 Rules are stored in Python ``re`` syntax (see ``fixed.py``). Spark runs Java
 regular expressions, the DuckDB oracle runs RE2. The differences that matter
@@ -6,8 +6,10 @@ for the rules are handled here and nowhere else:
 
 * ``\\Z`` (Python: end of text) is ``\\z`` in Java and RE2; Java's ``\\Z``
   would also stop before a final newline.
-* Python's ``\\w``/``\\s``/``\\d`` are Unicode; Java needs ``(?U)``, RE2
-  needs explicit Unicode classes for ``\\w``.
+* Python's ``\\w``/``\\d``/``\\s`` in str patterns are Unicode classes. They
+  are spelled out explicitly (letters, numbers and underscore; decimal
+  digits; Python's whitespace set), so Java and RE2 read the same class.
+* IGNORECASE with Unicode case folding is ``(?iu)`` in Java (``(?i)`` in RE2).
 * ``(?d)`` makes Java treat only ``\\n`` as a line end, like Python.
 * RE2 has no look-ahead. The rules only use a trailing look-ahead; it is
   rewritten as a capture group that the replacement puts back (``\\1``).
@@ -18,33 +20,23 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-# Unicode "word" characters as Java's (?U)\w sees them (letters, marks,
-# decimal digits, connector punctuation), spelled out for RE2.
-_RE2_WORD = r"\p{L}\p{Mn}\p{Mc}\p{Me}\p{Nd}\p{Pc}"
+PY_WORD = r"\p{L}\p{N}_"
+PY_DIGIT = r"\p{Nd}"
+PY_SPACE = r"\t\n\x{0B}\f\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_CLASSES = {"w": PY_WORD, "d": PY_DIGIT, "s": PY_SPACE}
 
 
-def jre(pattern: str, flags: str = "imsdU") -> str:
-    """Java form of a Python-syntax pattern with inline flags."""
-    body = pattern.replace(r"\Z", r"\z")
-    return f"(?{flags}){body}" if flags else body
-
-
-@dataclass(frozen=True)
-class Re2Rule:
-    pattern: str
-    replacement: str
-
-
-def _re2_word_classes(p: str) -> str:
+def _spell_classes(p: str) -> str:
+    """Replace ``\\w``, ``\\d``, ``\\s`` (inside or outside brackets) by explicit classes."""
     out: list[str] = []
     i = 0
     in_class = False
     while i < len(p):
         ch = p[i]
         if ch == "\\" and i + 1 < len(p):
-            nxt = p[i + 1]
-            if nxt == "w":
-                out.append(_RE2_WORD if in_class else f"[{_RE2_WORD}]")
+            cls = _CLASSES.get(p[i + 1])
+            if cls is not None:
+                out.append(cls if in_class else f"[{cls}]")
             else:
                 out.append(p[i : i + 2])
             i += 2
@@ -58,10 +50,21 @@ def _re2_word_classes(p: str) -> str:
     return "".join(out)
 
 
+def jre(pattern: str, flags: str = "imsdu") -> str:
+    """Java form of a Python-syntax pattern with inline flags."""
+    body = _spell_classes(pattern.replace(r"\Z", r"\z"))
+    return f"(?{flags}){body}" if flags else body
+
+
+@dataclass(frozen=True)
+class Re2Rule:
+    pattern: str
+    replacement: str
+
+
 def re2(pattern: str, flags: str = "ims") -> Re2Rule:
     """RE2 form of a Python-syntax pattern for ``regexp_replace(.., 'g')``."""
-    body = pattern.replace(r"\Z", r"\z")
-    body = _re2_word_classes(body)
+    body = _spell_classes(pattern.replace(r"\Z", r"\z"))
     replacement = ""
     if body.endswith(")") and "(?=" in body:
         start = body.rfind("(?=")

@@ -73,7 +73,7 @@ def strip_sections(text: Column | str, rules=fixed.PAGE_SECTION_RULES) -> Column
     """Remove the trailing page sections (contacts, downloads, ...)."""
     t = _c(text)
     for p in rules:
-        t = F.regexp_replace(t, jre(p, "isU"), "")
+        t = F.regexp_replace(t, jre(p, "isu"), "")
     return t
 
 
