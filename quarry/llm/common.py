@@ -78,3 +78,14 @@ def bytes_of(texts):
     data = texts.buffers()[2]
     raw = np.frombuffer(data, dtype=np.uint8)[off[0] : off[-1]] if data is not None else np.zeros(0, np.uint8)
     return raw, off - off[0]
+
+
+def rebuilt(cls, state: dict):
+    """An object of ``cls`` from its broadcast attributes.
+
+    Broadcasts are pickled by reference, and executors need not have this
+    package installed; the class itself travels with the function.
+    """
+    obj = cls.__new__(cls)
+    obj.__dict__.update(state)
+    return obj

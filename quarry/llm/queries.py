@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import exact_dedup, fingerprint, mixing, packing, token_hist
-from quarry.llm.common import SPACES, table, tokenizer_path
+from quarry.llm import exact_dedup, fingerprint, language, mixing, ngram_join, packing, quality, token_hist
+from quarry.llm.common import SPACES, held_out, may_learn, table, tokenizer_path
 from quarry.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,23 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = token_hist.length_histogram(table(spark, sf_dir, "documents"), tokenizer_path())
     return token_hist.context_totals(materialize(h, "length-histogram"))
+
+
+@register("op7_ngram_jaccard_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@register("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    trees = language.fit(docs.filter(may_learn("doc_id", 4, 2)))
+    return language.predict(docs.select("doc_id", "text"), trees).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@register("op9_quality_model")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feats = materialize(quality.features(table(spark, sf_dir, "documents")), "quality-features")
+    labels = table(spark, sf_dir, "labels").filter(may_learn("doc_id", 3, 1))
+    scored = quality.predict(feats, quality.fit(feats, labels))
+    return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
