@@ -86,13 +86,13 @@ def drop_exact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     repeats with an equal text, one of those rows stays.
     """
     g = materialize(exact_groups(docs, key, text), "dedup-groups-all").filter("group_size > 1")
-    lost = g.groupBy(F.col(key).alias("_k"), F.col("full_hash").alias("_h")).agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows"))
-    lost = materialize(lost.filter("not _kept or _rows > 1"), "dedup-lost")
-    x = docs.withColumn("_x_hash", F.sha2(F.encode(normalised(text), "UTF-8"), 256))
-    same = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_x_hash") == F.col("_h"))
-    out = x.join(lost.filter("not _kept").select("_k", "_h"), same, "left_anti")
-    again = lost.filter("_kept and _rows > 1").select("_k", "_h")
+    lost = g.groupBy(F.col(key).alias("_xd_k"), F.col("full_hash").alias("_xd_h")).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
+    lost = materialize(lost.filter("not kept or rows > 1"), "dedup-lost")
+    x = docs.withColumn("_xd_hash", F.sha2(F.encode(normalised(text), "UTF-8"), 256))
+    same = F.col(key).eqNullSafe(F.col("_xd_k")) & (F.col("_xd_hash") == F.col("_xd_h"))
+    out = x.join(lost.filter("not kept").select("_xd_k", "_xd_h"), same, "left_anti")
+    again = lost.filter("kept and rows > 1").select("_xd_k", "_xd_h")
     if not again.isEmpty():
-        twice = out.join(again, same, "left_semi").dropDuplicates([key, "_x_hash"])
+        twice = out.join(again, same, "left_semi").dropDuplicates([key, "_xd_hash"])
         out = out.join(again, same, "left_anti").unionByName(twice)
-    return out.drop("_x_hash")
+    return out.drop("_xd_hash")

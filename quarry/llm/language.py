@@ -236,7 +236,7 @@ def fit(
 
 
 def predict(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFrame:
-    """Adds lang_pred and score to ``docs``; every other column stays.
+    """Adds lang_pred and score to ``docs``; every other column stays (older ones of these names go).
 
     The score is the winner's posterior under equal priors, from code lengths
     of the whole text: 2^-bits over the sum for all languages. A null text
@@ -244,7 +244,9 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFra
     first in code-point order. Without any learned language all are ``und``.
     """
     model = docs.sparkSession.sparkContext.broadcast(vars(trees))
+    docs = docs.drop("lang_pred", "score")
     names = docs.columns
+    at = names.index(text)
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -253,7 +255,7 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFra
 
         t = rebuilt(ContextTrees, model.value)
         for b in batches:
-            col = b.column(len(names))  # the text, once more at the end
+            col = b.column(at).cast(pa.large_string())
             letters = pc.fill_null(pc.match_substring_regex(col, "\\p{L}"), False).to_numpy(zero_copy_only=False)
             bits = [np.zeros((0, max(1, len(t.langs))))]
             if t.langs:
@@ -268,8 +270,7 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFra
                 won, score = np.zeros(len(col), int), np.zeros(len(col))
             known = letters & bool(t.langs)
             pred = [t.langs[i] if k else UNKNOWN for i, k in zip(won, known, strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(pred, pa.string()), pa.array(np.where(known, score, 0.0))], [*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(np.where(known, score, 0.0))], [*names, "lang_pred", "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    src = docs.select(*[F.col(f"`{c}`") for c in names], F.col(text).alias("_text_"))
-    return src.mapInArrow(run, schema + ", lang_pred string, score double")
+    return docs.mapInArrow(run, schema + ", lang_pred string, score double")

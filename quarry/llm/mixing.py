@@ -22,7 +22,7 @@ MAX_COPIES = 3
 
 
 def word_sizes(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """(key, source, size): number of words of every whole text; null is 0."""
+    """(key, source, text_hash, size): number of words of every whole text; null is 0."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -30,7 +30,7 @@ def word_sizes(docs: DataFrame, key: str = "doc_id", source: str = "source", tex
 
         for b in batches:
             sizes = [np.zeros(0, np.int64)]
-            for _, part in text_slices(b.column(2)):
+            for _, part in text_slices(b.column(3)):
                 raw, off = bytes_of(part)
                 word = (raw != 32) & ((raw < 9) | (raw > 13))
                 first = word.copy()
@@ -39,10 +39,10 @@ def word_sizes(docs: DataFrame, key: str = "doc_id", source: str = "source", tex
                 first[starts] = word[starts]
                 at = np.concatenate([[0], np.cumsum(first, dtype=np.int64)])
                 sizes.append(at[off[1:]] - at[off[:-1]])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.concatenate(sizes))], ["k", "s", "size"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(np.concatenate(sizes))], ["k", "s", "text_hash", "size"])
 
-    x = docs.select(F.col(key).cast("bigint").alias("k"), F.col(source).alias("s"), F.coalesce(text, F.lit("")).alias("t"))
-    return x.mapInArrow(run, "k bigint, s string, size bigint").select(F.col("k").alias(key), F.col("s").alias(source), "size")
+    x = docs.select(F.col(key).cast("bigint").alias("k"), F.col(source).alias("s"), F.xxhash64(text).alias("text_hash"), F.coalesce(text, F.lit("")).alias("t"))
+    return x.mapInArrow(run, "k bigint, s string, text_hash bigint, size bigint").select(F.col("k").alias(key), F.col("s").alias(source), "text_hash", "size")
 
 
 def ranked(names: DataFrame, column: str) -> DataFrame:
@@ -159,18 +159,18 @@ def quotas(sizes: DataFrame, per_source: DataFrame, source: str = "source") -> D
 
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: int = 7, **kw) -> DataFrame:
-    """(key, source, size, source_size, target, copies): one row per row of ``docs``.
+    """(key, source, text_hash, size, source_size, target, copies): one row per row of ``docs``.
 
     ``copies`` (0..3) is how often the mix takes the document. Empty and null
     texts have size 0 and are taken as often as their source's whole copies.
-    Rows that repeat key and size are told apart by nothing but their number.
+    Rows that repeat key and text are told apart by nothing but their number.
     An empty table gives no rows.
     """
     sizes = materialize(word_sizes(docs, key, source, text), "mix-sizes")
     per = targets(sizes, source, **kw)
     q = materialize(quotas(sizes, per, source), "mix-quotas")
     q = q.select(F.col(source).alias("_s"), F.col("size").alias("_z"), "n", "source_size", "target", "copies", "extra")
-    rows = sizes.withColumn("_h", F.xxhash64(key, "size", F.lit(seed))).withColumn("_slice", F.shiftrightunsigned("_h", 54))
+    rows = sizes.withColumn("_h", F.xxhash64(key, "text_hash", F.lit(seed))).withColumn("_slice", F.shiftrightunsigned("_h", 54))
     # the cut: the slice of 1,024 in which the last extra document lies, and how many of it are taken
     per_slice = rows.groupBy(F.col(source).alias("_s"), F.col("size").alias("_z"), "_slice").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy("_s", "_z").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -181,9 +181,28 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     qc = materialize(qc, "mix-cuts")
     j = rows.join(qc, F.col(source).eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")), "inner").drop("_s", "_z")
     edge = F.coalesce(F.col("_slice") == F.col("_cut"), F.lit(False))
-    out = [key, source, "size", "source_size", "target"]
+    out = [key, source, "text_hash", "size", "source_size", "target"]
     sure = F.when(F.col("extra") == 0, F.lit(0)).when(F.col("extra") >= F.col("n"), F.lit(1)).when(F.col("_slice") < F.col("_cut"), F.lit(1)).otherwise(F.lit(0))
     rank = F.row_number().over(Window.partitionBy(source, "size").orderBy("_h", key))
     near = j.filter(edge).withColumn("_one", (rank <= F.col("_of_cut")).cast("int"))
     both = j.filter(~edge).withColumn("_one", sure).unionByName(near)
     return both.select(*out, (F.col("copies") + F.col("_one")).cast("bigint").alias("copies"))
+
+
+def apply_mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **kw) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it (0 to 3 times); all columns as they are."""
+    m = mix(docs, key, source, text, **kw)
+    m = m.groupBy(F.col(key).alias("_xm_k"), F.col("text_hash").alias("_xm_t")).agg(F.sum("copies").alias("_xm_n"), F.count(F.lit(1)).alias("_xm_rows"))
+    m = materialize(m.filter("_xm_n > 0"), "mix-copies")
+    same = F.col(key).eqNullSafe(F.col("_xm_k")) & (F.xxhash64(text) == F.col("_xm_t"))
+
+    def taken(x: DataFrame, n: DataFrame) -> DataFrame:
+        j = x.join(n, same).withColumn("_xm_i", F.explode(F.sequence(F.lit(1), F.col("_xm_n"))))
+        return j.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+    out = taken(docs, m.filter("_xm_rows = 1"))
+    again = m.filter("_xm_rows > 1")
+    if not again.isEmpty():  # rows that repeat: their copies together
+        once = docs.withColumn("_xm_h", F.xxhash64(text)).join(again, same, "left_semi").dropDuplicates([key, "_xm_h"]).drop("_xm_h")
+        out = out.unionByName(taken(once, again))
+    return out

@@ -370,9 +370,15 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 90, width: int = 3) -> DataFrame:
     """``docs`` with one document of each component: that whose key is its component_id; all columns as they are.
 
-    Rows repeating a key with text keep one row. Documents without shingles
-    and rows with a null key whose component has no key stay.
+    Of rows that repeat this key one stays. Documents without shingles stay,
+    and so do rows with a null key whose component has no other.
     """
-    lost = jaccard_components(docs, key, text, percent, width).filter(f"{key} <> component_id or ({key} is null and component_id is not null)")
-    lost = materialize(lost.select(F.col(key).alias("_k")).distinct(), "jaccard-lost")
-    return docs.join(lost, F.col(key).eqNullSafe(F.col("_k")), "left_anti")
+    c = materialize(jaccard_components(docs, key, text, percent, width), "jaccard-components")
+    lost = c.filter(f"`{key}` <> component_id or (`{key}` is null and component_id is not null)")
+    again = c.filter(f"`{key}` = component_id and n_shingles > 0").groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    lost, again = (materialize(x.select(F.col(key).alias("_xn_k")).distinct(), "jaccard-lost") for x in (lost, again))
+    same = F.col(key).eqNullSafe(F.col("_xn_k"))
+    out = docs.join(lost, same, "left_anti")
+    if not again.isEmpty():
+        out = out.join(again, same, "left_anti").unionByName(out.join(again, same, "left_semi").dropDuplicates([key]))
+    return out

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import exact_dedup, fingerprint, language, mixing, ngram_join, packing, quality, token_hist
+from quarry.llm import exact_dedup, fingerprint, html_extract, language, lmscore, mixing, ngram_join, packing, quality, token_hist
 from quarry.llm.common import SPACES, held_out, may_learn, table, tokenizer_path
 from quarry.session import materialize
 
@@ -89,3 +89,17 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").filter(may_learn("doc_id", 3, 1))
     scored = quality.predict(feats, quality.fit(feats, labels))
     return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op3_html_main_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    got = html_extract.extract(pages.select("page_id", "url", "html"), out="text")
+    return got.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@register("op10_bloom_lm_scores")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lmscore.score(table(spark, sf_dir, "documents"), may_learn("doc_id", 7, 2))
+    cols = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return scored.select("doc_id", held_out("doc_id", 7, 2).alias("held_out"), *cols)
