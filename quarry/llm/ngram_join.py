@@ -13,9 +13,10 @@ in at most k = (|A|+|B|)(1-t)/(1+t) shingles, and of more than k groups one is
 then the same in both. Documents with an equal group form a block. No linked
 pair is outside every block, so the join is exact.
 
-Sets that are equal form one class before anything else. Within a block the
-members are first compared with two pivots; members that are then still in
-different components are searched by the block's tree. Pairs inside a
+Sets that are equal form one class before anything else. Each class first
+meets one pivot of its blocks; blocks still in several components compare
+members with two pivots of their own, and what is then still apart is searched
+by the block's tree. Pairs inside a
 component are not needed for membership and never made.
 """
 
@@ -28,10 +29,10 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import text_slices
 from quarry.llm.graph import components
-from quarry.session import materialize
+from quarry.session import materialize, shared_dir
 
 #: Coordinates of the points.
-GROUPS = 32
+GROUPS = 128
 #: Sets keep 48 bits of each shingle's hash.
 SET_BITS = 48
 
@@ -157,7 +158,7 @@ def shingle_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
                         blocks.append(None)
                         continue
                     cls.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True))
-                    point.append(np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<i4").tobytes())
+                    point.append(np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).clip(max=65535).astype("<u2").tobytes())
                     kept.append(np.sort(s >> np.uint64(64 - SET_BITS)).view(np.uint8).reshape(-1, 8)[:, : SET_BITS // 8].tobytes())
                     blocks.append(block_keys(s, percent, ends).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
@@ -169,6 +170,30 @@ def shingle_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
     return src.mapInArrow(run, "id bigint, cls bigint, n bigint, point binary, shingles binary, blocks array<bigint>")
 
 
+def among(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 24) -> DataFrame:
+    """``rows`` whose ``key`` may be in ``wanted``: a bitmap of key hashes, broadcast.
+
+    At most ``bits``/64 rows whatever the tables hold; a key that shares a
+    bit comes along, so an exact join follows. Keeps unmatched rows, and the
+    sets they carry, out of the shuffle.
+    """
+    bit = F.pmod(F.xxhash64(key), F.lit(bits))
+    mask = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({key}), {bits}L) % 64 AS int))")
+    seen = wanted.groupBy(F.floor(bit / 64).alias("_word")).agg(F.bit_or(mask).alias("_mask"))
+    x = rows.withColumn("_word", F.floor(bit / 64)).join(F.broadcast(seen), "_word")
+    return x.filter(mask.bitwiseAND(F.col("_mask")) != 0).drop("_word", "_mask")
+
+
+def by_class(sets: DataFrame) -> DataFrame:
+    """``sets`` written in buckets of their class, so that joins on it do not move them again."""
+    spark = sets.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_dir(spark, "jaccard-used")
+    name = "jaccard_used_" + path.rsplit("-", 1)[-1]
+    sets.repartition(n, "cls").write.bucketBy(n, "cls").sortBy("cls").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def enough(n_a, n_b, percent: int):
     """Least intersection of linked sets of these sizes."""
     return -(-(percent * (n_a + n_b)) // (100 + percent))
@@ -197,9 +222,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for t in batches:
             if not t.num_rows:
                 continue
-            p = [np.frombuffer(b"".join(t.column(c).to_pylist()), "<i4").reshape(-1, GROUPS) for c in ("p_a", "p_b")]
+            p = [np.frombuffer(b"".join(t.column(c).to_pylist()), "<u2").reshape(-1, GROUPS) for c in ("p_a", "p_b")]
             need = enough(t.column("n_a").to_numpy(), t.column("n_b").to_numpy(), percent)
-            yield t.select(["a", "b"]).filter(pa.array(np.minimum(*p).sum(axis=1) >= need))
+            yield t.select(["a", "b"]).filter(pa.array(np.minimum(*p).sum(axis=1, dtype=np.int64) >= need))
 
     near = materialize(near.select("a", "b", "n_a", "n_b", "p_a", "p_b").mapInArrow(bounded, "a bigint, b bigint"), "jaccard-near")
     full = sets.select("cls", "shingles")
@@ -293,7 +318,7 @@ def tree_pairs(members: DataFrame, percent: int, part_rows: int = 4096) -> DataF
 
         block, lo, hi, own = (table.column(c).to_numpy() for c in ("block", "_lo", "_hi", "_i"))
         cls, comp, n = (table.column(c).to_numpy() for c in ("cls", "comp", "n"))
-        pts = np.frombuffer(b"".join(table.column("point").to_pylist()), "<i4").reshape(-1, GROUPS)
+        pts = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u2").reshape(-1, GROUPS).astype(np.int32)
         order = np.lexsort((hi, lo, block))
         key = np.stack([block, lo, hi], axis=1)[order]
         cuts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
@@ -336,29 +361,37 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     blocks = sets.select("cls", F.explode("blocks").alias("block"))
     held = blocks.groupBy("block").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi")
     held = materialize(held, "jaccard-blocks")
-    members = materialize(blocks.join(held, "block").select("block", "cls", "lo", "hi").distinct(), "jaccard-members")
-    star = members.select(F.explode(F.array("lo", "hi")).alias("p"), "cls").filter("p <> cls")
-    star = star.select(F.least("p", "cls").alias("a"), F.greatest("p", "cls").alias("b")).distinct()
+    members = among(blocks, "block", held).join(held, "block").select("block", "cls", "lo", "hi").distinct()
+    members = materialize(members, "jaccard-members")
+    # every class of a block first meets one pivot
+    star = members.groupBy("cls").agg(F.min("lo").alias("p")).filter("p <> cls").select(F.col("p").alias("a"), F.col("cls").alias("b"))
     star = materialize(star, "jaccard-stars")
-    # one row per class: classes of several documents repeat their row
-    used = sets.join(star.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "cls", "left_semi").dropDuplicates(["cls"])
-    used = materialize(used.select("cls", "n", "point", "shingles"), "jaccard-used")
-    links = verified(star, used, percent)
+    one_each = among(sets, "cls", members.select("cls")).join(members.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
+    used = by_class(one_each.select("cls", "n", "point", "shingles"))
+    links, tried = verified(star, used, percent), star
+    for tree in (False, True):
+        comp = components(links)
+        # blocks whose members are still in several components
+        lab = members.join(comp, members["cls"] == comp["v"], "left").select("block", "cls", "lo", "hi", F.coalesce("comp", "cls").alias("comp"))
+        lab = materialize(lab, "jaccard-labels")
+        mixed = lab.groupBy("block").agg(
+            F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count(F.lit(1)).alias("_c"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("_s")
+        ).filter("_lo < _hi")
+        # blocks of the same members need one search
+        mixed = mixed.groupBy("_c", "_s").agg(F.min("block").alias("block"))
+        if not tree:  # the block's two pivots meet all members of other components
+            rest = lab.join(mixed.select("block"), "block", "left_semi")
+            pivot = rest.filter("cls = lo or cls = hi").select("block", F.col("cls").alias("p"), F.col("comp").alias("p_comp"))
+            more = rest.join(pivot, "block").filter("comp <> p_comp").select(F.least("p", "cls").alias("a"), F.greatest("p", "cls").alias("b")).distinct()
+        else:  # blocks of up to three have met both pivots; the others are searched by trees
+            rest = lab.join(mixed.filter("_c > 3").select("block"), "block", "left_semi").join(used.select("cls", "n", "point"), "cls")
+            rest = materialize(rest.select("block", "cls", "comp", "n", "point"), "jaccard-open")
+            if rest.isEmpty():
+                break
+            more = tree_pairs(rest, percent)
+        more = materialize(more.join(tried, ["a", "b"], "left_anti"), "jaccard-more")
+        links, tried = links.unionByName(verified(more, used, percent)), tried.unionByName(more)
     comp = components(links)
-    # blocks whose members are still in several components
-    lab = members.select("block", "cls").join(comp, members["cls"] == comp["v"], "left").select("block", "cls", F.coalesce("comp", "cls").alias("comp"))
-    lab = materialize(lab, "jaccard-labels")
-    open_ = lab.groupBy("block").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count(F.lit(1)).alias("_c"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("_s")).filter("_lo < _hi")
-    # two pivots have met all others, so up to three members need no tree; blocks of the same members need one tree
-    one = open_.filter("_c > 3").groupBy("_c", "_s").agg(F.min("block").alias("block")).select("block")
-    rest = lab.join(one, "block", "left_semi").join(used.select("cls", "n", "point"), "cls")
-    rest = materialize(rest.select("block", "cls", "comp", "n", "point"), "jaccard-open")
-    if not rest.isEmpty():
-        more = tree_pairs(rest, percent).join(star, ["a", "b"], "left_anti")
-        more = verified(more, used, percent)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            comp = components(links)
     # smallest key of each component, through the classes
     named = names.join(comp, names["cls"] == comp["v"], "left").select("cls", "least", F.coalesce("comp", "cls").alias("comp"))
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
