@@ -81,7 +81,7 @@ def token_totals(texts: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for b in batches:
-            for _, part in text_slices(b.column(0), 16_000_000):
+            for _, part in text_slices(b.column(0), 3_000_000):
                 words, at, _ = token_stream(part)
                 c = np.bincount(at, minlength=len(words))
                 some = np.flatnonzero(c)
@@ -112,7 +112,7 @@ def filter_parts(texts: DataFrame, shards: int, bits_per_entry: int, min_count:
         import pyarrow as pa
 
         for b in batches:
-            for _, part in text_slices(b.column(0), 8_000_000):
+            for _, part in text_slices(b.column(0), 3_000_000):
                 h = bigram_hashes(*token_stream(part))
                 shard = (h % np.uint64(shards)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
@@ -145,17 +145,23 @@ def filter_parts(texts: DataFrame, shards: int, bits_per_entry: int, min_count:
     )
 
 
-def probed_levels(keys, shard, parts: dict, shards: int):
-    """Quantised count of each bigram key: levels found in a row; -1 where its part is not in ``parts``."""
+def laid_out(parts: dict, shards: int):
+    """(bits in a row, first byte per shard, size in bits per shard; 0 where the part is not here)."""
     import numpy as np
 
-    size = np.zeros(shards, np.uint64)
-    start = np.zeros(shards, np.int64)
-    at = 0
+    size, start, at = np.zeros(shards, np.uint64), np.zeros(shards, np.int64), 0
+    bits = np.empty(sum(len(x) for _, x in parts.values()), np.uint8)
     for s in sorted(parts):
         size[s], start[s] = parts[s][0], at
+        bits[at : at + len(parts[s][1])] = np.frombuffer(parts[s][1], np.uint8)
         at += len(parts[s][1])
-    bits = np.concatenate([np.frombuffer(parts[s][1], np.uint8) for s in sorted(parts)]) if parts else np.zeros(0, np.uint8)
+    return bits, start, size
+
+
+def probed_levels(keys, shard, bits, start, size):
+    """Quantised count of each bigram key: levels found in a row; -1 where its part is not here."""
+    import numpy as np
+
     level = np.where(size[shard] > 0, 0, -1)
     alive = np.flatnonzero(size[shard] > 0)
     j = 1
@@ -238,8 +244,8 @@ def score(
     for i, seg in enumerate(segments):
         got = parts.filter(F.col("shard").isin(seg)).toArrow()
         data = {s: (z, x) for s, z, x in zip(*(got.column(c).to_pylist() for c in ("shard", "size", "bits")), strict=True)}
-        empty = [s for s in seg if s not in data]
-        held_parts = spark.sparkContext.broadcast(data | {s: (64, bytes(8)) for s in empty})
+        data |= {s: (64, bytes(8)) for s in seg if s not in data}
+        held_parts = spark.sparkContext.broadcast(laid_out(data, shards))
         done.append(materialize(_partial(rows, common, held_parts, shards, n, v, n_texts, mean, discount, i == 0), f"lm-pass-{i}"))
     p = done[0]
     for d in done[1:]:
@@ -288,11 +294,11 @@ def _partial(rows: DataFrame, common, parts, shards: int, n: int, v: int, n_text
         for b in batches:
             keys, ids = b.column(0), b.column(1)
             learns = b.column(3).to_numpy(zero_copy_only=False)
-            for at0, part in text_slices(b.column(2)):
+            for at0, part in text_slices(b.column(2), 1_500_000):
                 words, at, off = token_stream(part)
                 count = np.fromiter((top.get(w, -1) for w in words), np.int64, len(words))
                 h = bigram_hashes(words, at, off)
-                level = probed_levels(h, (h % np.uint64(shards)).astype(np.int64), held, shards)
+                level = probed_levels(h, (h % np.uint64(shards)).astype(np.int64), *held)
                 own = np.repeat(np.arange(len(part)), np.diff(off))
                 seen, backed = level > 0, level == 0
                 prev = np.empty(len(at), np.int64)
