@@ -147,13 +147,13 @@ def clean_documents(
     df: DataFrame,
     raw_col: str = "raw_text",
     out_col: str = "cleaned",
-    cap: int = fixed.TEXT_LENGTH_THRESHOLD,
+    cap: int | None = None,
     **kw,
 ) -> DataFrame:
-    """Regex phase on a table of extracted texts: X10 -> X9 -> X11."""
+    """Regex phase on a table of extracted texts: X10 -> X9, and X11 only where a cap is given."""
     df = drop_empty(df, raw_col)
     df = once(df, out_col, clean_text(raw_col, **kw))
-    return length_cap(df, out_col, cap)
+    return df if cap is None else length_cap(df, out_col, cap)
 
 
 def enrich_metadata(docs: DataFrame, catalog: DataFrame, name_col: str = "source") -> DataFrame:

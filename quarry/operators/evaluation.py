@@ -213,9 +213,10 @@ def similarity_edges(
     return x.groupBy("_pk", "_lo", "_hi").applyInPandas(_block_kernel(threshold, fixed.COSINE_EPS, contract), EDGE_SCHEMA)
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, rid: str = "rid", salts: int = 8) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame, rid: str = "rid", salts: int = 8, grp: str = "grp") -> DataFrame:
     """``(rid, cluster)`` with cluster = smallest member id of the
-    connected component (transitive closure of the links).
+    connected component (transitive closure of the links). Where both
+    tables have ``grp``, ids count within their group only.
 
     Min-label propagation with pointer jumping: each round every vertex
     takes the smallest label among itself and its neighbours (a partial
@@ -229,7 +230,13 @@ def connected_components(vertices: DataFrame, edges: DataFrame, rid: str = "rid"
     from quarry.session import materialize
 
     # the edge list is read every round: compute it once
-    e = materialize(edges.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b")), "cc-edges")
+    keyed = grp in edges.columns and grp in vertices.columns
+
+    def node(c: str) -> Column:
+        r = F.col(c).cast("bigint")
+        return F.struct(F.col(grp).alias("g"), r.alias("r")) if keyed else r
+
+    e = materialize(edges.select(node("a").alias("a"), node("b").alias("b")), "cc-edges")
     if e.isEmpty():  # no links: every response is its own cluster
         return vertices.withColumn("cluster", F.col(rid))
     und = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -253,8 +260,9 @@ def connected_components(vertices: DataFrame, edges: DataFrame, rid: str = "rid"
         labels = new.select("v", "cl")
         if new.filter("_chg").isEmpty():
             break
-    out = vertices.join(labels, vertices[rid] == labels["v"], "left")
-    return out.select(*[vertices[c] for c in vertices.columns], F.coalesce(F.col("cl"), vertices[rid]).alias("cluster"))
+    out = vertices.withColumn("_node", node(rid)).join(labels, F.col("_node") == F.col("v"), "left")
+    found = F.col("cl.r") if keyed else F.col("cl")
+    return out.select(*vertices.columns, F.coalesce(found, F.col(rid)).alias("cluster"))
 
 
 def cluster_sizes(clustered: DataFrame, grp: str = "grp") -> DataFrame:

@@ -90,9 +90,12 @@ def append_tail(answer: Column | str, original: Column | str, n: int = fixed.FIL
     return F.when(F.length(o) > n, F.concat(_c(answer), o.substr(F.lit(n + 1), F.lit(1 << 30)))).otherwise(_c(answer))
 
 
-def verdicts(df: DataFrame, generated: str = "generated", text: str = "text") -> DataFrame:
+def verdicts(df: DataFrame, generated: str = "generated", text: str = "text", head_only: bool = True) -> DataFrame:
     """L1 + L5 + L6 + L7: one verdict per row.
 
+    ``head_only``: the generator saw the text's head alone, so accepted
+    answers get the tail back (L7); False where it read the whole text.
+
     Adds ``rejected``, ``reason``, ``reasoning`` and ``content`` (null when
     rejected). Blank inputs are rejected with the fixed empty-content reason
     whatever the generator said (the generator never sees them).
@@ -106,7 +109,7 @@ def verdicts(df: DataFrame, generated: str = "generated", text: str = "text") ->
         F.when(blank, F.lit(fixed.EMPTY_REASON)).otherwise(F.col("_r.reason")).alias("reason"),
         F.when(blank, F.lit(None).cast("string")).otherwise(F.col("_p.reasoning")).alias("reasoning"),
         F.when(blank | F.col("_r.rejected"), F.lit(None).cast("string"))
-        .otherwise(append_tail(F.col("_p.answer"), F.col(text)))
+        .otherwise(append_tail(F.col("_p.answer"), F.col(text)) if head_only else F.col("_p.answer"))
         .alias("content"),
     )
 
@@ -184,7 +187,7 @@ def guessed_language(text: Column) -> Column:
     return bind(hits, pick)
 
 
-def _verdict(t: Column, lang: Column) -> Column:
+def _verdict(t: Column, lang: Column, min_words: int, min_letter_share: float) -> Column:
     letters = F.length(F.regexp_replace(t, r"[^\p{L}]", ""))
     share = letters / F.greatest(F.length(t), F.lit(1))
     words = F.regexp_count(t, F.lit(r"\S+"))
@@ -192,26 +195,32 @@ def _verdict(t: Column, lang: Column) -> Column:
     reject = (
         F.when(t == "", F.lit("empty after cleaning"))
         .when(t.rlike(r"^[\s•\-*]*$"), F.lit("only bullet points"))
-        .when(share < MIN_LETTER_SHARE, F.lit("garbled text"))
-        .when(words < MIN_WORDS, F.lit("too few words"))
+        .when(share < min_letter_share, F.lit("garbled text"))
+        .when(words < min_words, F.lit("too few words"))
         .when(guess.isNotNull() & (guess != lang), F.lit("wrong language"))
     )
     return F.when(reject.isNotNull(), F.concat(F.lit(fixed.REJECT_PREFIX + " "), reject)).otherwise(t)
 
 
-def rule_verdict(title: Column | str, text: Column | str, lang: Column | str) -> Column:
+def rule_verdict(
+    title: Column | str,
+    text: Column | str,
+    lang: Column | str,
+    min_words: int = MIN_WORDS,
+    min_letter_share: float = MIN_LETTER_SHARE,
+) -> Column:
     """The filter prompt's rules as expressions; returns a generated answer
     (cleaned text, or ``REJECT: reason`` for the first failing check).
 
     Rules: (1) cut everything before the title; (2) drop header/footer
     lines (Topic/Subject/Date/Page); (3) reject empty text, bullets only,
     garbled text (< 50 % letters), fewer than 20 words, or a language other
-    than the declared one (stop-word vote). The cleaned text is bound once
+    than the declared one (stop-word vote). Reads the whole text. The cleaned text is bound once
     and reused by every check.
     """
-    t = _strip(F.regexp_replace(cut_before_title(truncate_head(text), F.coalesce(_c(title), F.lit(""))), HEADER_LINES, ""))
+    t = _strip(F.regexp_replace(cut_before_title(_c(text), F.coalesce(_c(title), F.lit(""))), HEADER_LINES, ""))
     lang_c = _c(lang)
-    return bind(t, lambda x: _verdict(x, lang_c))
+    return bind(t, lambda x: _verdict(x, lang_c, min_words, min_letter_share))
 
 
 # -------------------------------------------------------------- L4 plug-in
@@ -225,29 +234,26 @@ def score_batches(
     """L4: run a user-supplied generator over prompts in batches.
 
     ``make_generator()`` is called once per Python worker (lazy model load)
-    and returns ``generate(list_of_messages) -> list_of_answers``. Blank
-    texts are filtered out before the Python stage (Catalyst cannot push a
-    filter through it) and only the 8,000-character head crosses Arrow.
+    and returns ``generate(list_of_messages) -> list_of_answers``. Only the
+    prompt with the text's 8,000-character head crosses Arrow, all other
+    columns stay in the JVM. Blank texts are not shown to the generator;
+    they stay, with an empty answer, and get their verdict (L1) downstream.
     Output: the input columns plus ``generated``.
     """
-    nonblank = df.filter(~is_blank(text))
-    feed = nonblank.withColumn("_msgs", build_prompt(title, text))
-    schema = feed.drop("_msgs").schema.add("generated", "string")
-    cols = [c for c in feed.columns if c != "_msgs"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("string")
+    def answers(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         generate = make_generator()
-        for pdf in batches:
+        for msgs in batches:
+            asked = [[{"role": m["role"], "content": m["content"]} for m in ms] for ms in msgs if ms is not None]
             outs: list[str] = []
-            msgs = pdf["_msgs"].tolist()
-            for i in range(0, len(msgs), batch_size):
-                chunk = [[{"role": m["role"], "content": m["content"]} for m in ms] for ms in msgs[i : i + batch_size]]
-                outs.extend(generate(chunk))
-            res = pdf[cols].copy()
-            res["generated"] = outs
-            yield res
-
-    return feed.mapInPandas(run, schema)
+            for i in range(0, len(asked), batch_size):
+                outs.extend(generate(asked[i : i + batch_size]))
+            got = iter(outs)
+            yield pd.Series([None if ms is None else next(got) for ms in msgs], dtype=object)
+
+    prompt = F.when(~is_blank(text), build_prompt(title, text))
+    return df.withColumn("generated", F.coalesce(answers(prompt), F.lit("")))
 
 
 def echo_generator() -> Callable[[list[list[dict]]], list[str]]:

@@ -171,20 +171,19 @@ def retain_checkpoints(
 ) -> DataFrame:
     """Keep ``keep`` checkpoints per run: the best one plus the newest others.
 
-    Steps are 1..n per run, so "newest k" is ``step > n - k`` against the
-    per-run count and best step (both partial aggregates); no per-run window.
-    The best step is kept; the newest ``keep - 1`` other steps are kept, or
-    the newest ``keep`` when the best is among them.
+    "Newest" ranks the run's own step numbers, whatever their spacing. The
+    best step is kept; the newest ``keep - 1`` other steps are kept, or the
+    newest ``keep`` when the best is among them. The newest steps of a run
+    are found in two levels (per slice of a step hash, then per run over at
+    most ``keep`` steps of each slice), so no window holds a whole run.
     """
-    per_run = evals.groupBy(run).agg(
-        F.max(step).alias("_n"),
-        F.min(F.struct(F.col(loss).alias("l"), F.col(step).alias("s"))).alias("_b"),
-    ).select(run, "_n", F.col("_b.s").alias("_best"))
-    j = salted_join(evals, per_run, [run], 8, F.xxhash64(F.col(step)), how="inner")  # a run may hold most rows
-    best_in_newest = F.col("_best") > F.col("_n") - keep
-    newest = F.when(best_in_newest, F.col(step) > F.col("_n") - keep).otherwise(
-        F.col(step) > F.col("_n") - (keep - 1)
-    )
-    return j.filter((F.col(step) == F.col("_best")) | newest).select(
-        run, step, loss, (F.col(step) == F.col("_best")).alias("is_best")
-    )
+    w = Window.partitionBy(run, "_slice").orderBy(F.desc(step))
+    top = evals.select(run, step).distinct().withColumn("_slice", F.pmod(F.xxhash64(step), F.lit(64)))
+    top = top.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= keep)
+    top = top.withColumn("_k", F.row_number().over(Window.partitionBy(run).orderBy(F.desc(step)))).filter(F.col("_k") <= keep)
+    newest = top.groupBy(run).agg(F.sort_array(F.collect_list(step), asc=False).alias("_new"))
+    per_run = evals.groupBy(run).agg(F.min(F.struct(F.col(loss).alias("l"), F.col(step).alias("s"))).alias("_b"))
+    per_run = per_run.join(newest, run).select(run, F.col("_b.s").alias("_best"), "_new")
+    kept = F.when(F.array_contains("_new", F.col("_best")), F.col("_new")).otherwise(F.concat(F.slice("_new", 1, keep - 1), F.array("_best")))
+    j = salted_join(evals, per_run.select(run, "_best", kept.alias("_keep")), [run], 8, F.xxhash64(F.col(step)), how="inner")  # a run may hold most rows
+    return j.filter(F.array_contains("_keep", F.col(step))).select(run, step, loss, (F.col(step) == F.col("_best")).alias("is_best"))

@@ -56,11 +56,11 @@ def sql_parse(g_expr):
     return f"SELECT *, {reasoning} AS reasoning, {answer} AS answer FROM (SELECT *, {sql_strip(g_expr)} AS g FROM {{src}})"
 
 
-def sql_verdicts(src: str, gen: str) -> dict:
+def sql_verdicts(src: str, gen: str, head_only: bool = True) -> dict:
     """Views p (parsed) and v (verdicts) over ``src`` having columns text and ``gen``."""
     rej = f"starts_with(answer, {sql_str(fixed.REJECT_PREFIX)})"
     reason = f"CASE WHEN {rej} THEN {sql_strip(f'substr(answer, {len(fixed.REJECT_PREFIX) + 1})')} END"
-    tail = f"CASE WHEN length(text) > {fixed.FILTER_MAX_INPUT_CHARS} THEN answer || substr(text, {fixed.FILTER_MAX_INPUT_CHARS + 1}) ELSE answer END"
+    tail = f"CASE WHEN length(text) > {fixed.FILTER_MAX_INPUT_CHARS} THEN answer || substr(text, {fixed.FILTER_MAX_INPUT_CHARS + 1}) ELSE answer END" if head_only else "answer"
     blank = sql_blank("text")
     return dict(
         p=sql_parse(gen).format(src=src),
@@ -74,7 +74,7 @@ def sql_verdicts(src: str, gen: str) -> dict:
 
 def sql_rule_verdict(title: str, text: str, lang: str) -> dict:
     """Views rv0 (cleaned t) and rv (generated) computing L9 in SQL."""
-    t0 = f"substr({text}, 1, {fixed.FILTER_MAX_INPUT_CHARS})"
+    t0 = text
     tt = f"coalesce({title}, '')"
     t1 = f"CASE WHEN length({tt}) > 0 AND instr({t0}, {tt}) > 1 THEN substr({t0}, instr({t0}, {tt})) ELSE {t0} END"
     t = sql_strip(f"regexp_replace({t1}, {sql_str(L.HEADER_LINES)}, '', 'g')")
@@ -173,12 +173,12 @@ def q_split_verdicts(spark, sf):
 # ---------------------------------------------------------------- L9-L11
 RULE_VIEWS = dict(pd=PD, fi=FI_SQL)
 RULE_VIEWS.update({k: v.format(src="fi") if k == "rv0" else v for k, v in sql_rule_verdict("title", "text", "lang").items()})
-RULE_VIEWS.update(sql_verdicts("rv", "generated"))
+RULE_VIEWS.update(sql_verdicts("rv", "generated", head_only=False))
 
 
 def rule_verdicts(spark, sf):
     fi = filter_inputs(spark, sf)
-    return L.verdicts(fi.withColumn("generated", L.rule_verdict("title", "text", "lang")))
+    return L.verdicts(fi.withColumn("generated", L.rule_verdict("title", "text", "lang")), head_only=False)
 
 
 @query("rule_filter", with_views("SELECT doc_id, rejected, reason_ AS reason FROM v", **RULE_VIEWS))
@@ -203,17 +203,17 @@ def q_reasons(spark, sf):
     return L.reject_reasons(rule_verdicts(spark, sf).filter("rejected"))
 
 
-ECHO_SQL = f"""SELECT doc_id, false AS rejected, CAST(NULL AS VARCHAR) AS reason,
-    CAST(length({sql_strip(f'substr(text, 1, {fixed.FILTER_MAX_INPUT_CHARS})')}
-         || CASE WHEN length(text) > {fixed.FILTER_MAX_INPUT_CHARS} THEN substr(text, {fixed.FILTER_MAX_INPUT_CHARS + 1}) ELSE '' END) AS BIGINT) AS n_chars
-  FROM fi WHERE NOT {sql_blank('text')}"""
+ECHO_SQL = f"""SELECT doc_id, {sql_blank('text')} AS rejected, CASE WHEN {sql_blank('text')} THEN {sql_str(fixed.EMPTY_REASON)} END AS reason,
+    CASE WHEN NOT {sql_blank('text')} THEN md5({sql_strip(f'substr(text, 1, {fixed.FILTER_MAX_INPUT_CHARS})')}
+         || CASE WHEN length(text) > {fixed.FILTER_MAX_INPUT_CHARS} THEN substr(text, {fixed.FILTER_MAX_INPUT_CHARS + 1}) ELSE '' END) END AS content_md5
+  FROM fi"""
 
 
 @query("score_batches", with_views(ECHO_SQL, pd=PD, fi=FI_SQL))
 def q_score_batches(spark, sf):
     """L4 batched generator plug-in (stand-in generator) followed by the verdict parse"""
     scored = L.score_batches(filter_inputs(spark, sf), L.echo_generator)
-    return L.verdicts(scored).select("doc_id", "rejected", "reason", F.length("content").cast("bigint").alias("n_chars"))
+    return L.verdicts(scored).select("doc_id", "rejected", "reason", F.md5(F.col("content")).alias("content_md5"))
 
 
 # -------------------------------------------------- F9 and the filtered run
@@ -221,7 +221,7 @@ def filtered_phase(spark, sf):
     """Regex phase output screened by the rule validator: (accepted, rejected)."""
     rx = regex_phase(spark, sf).select("title", "date", "source", "lang", F.col("cleaned").alias("text_in"))
     gen = rx.withColumn("generated", L.rule_verdict("title", "text_in", "lang"))
-    v = materialize(L.verdicts(gen, text="text_in"))  # one verdict table feeds both branches
+    v = materialize(L.verdicts(gen, text="text_in", head_only=False))  # one verdict table feeds both branches
     return L.split_verdicts(v)
 
 
@@ -229,7 +229,7 @@ FILTERED_VIEWS = dict(PREPARED_VIEWS)
 FILTERED_VIEWS.pop("ex")
 FILTERED_VIEWS["fin"] = "SELECT * EXCLUDE (cleaned), cleaned AS text FROM rx"
 FILTERED_VIEWS.update({k: v.format(src="fin") if k == "rv0" else v for k, v in sql_rule_verdict("title", "text", "lang").items()})
-FILTERED_VIEWS.update(sql_verdicts("rv", "generated"))
+FILTERED_VIEWS.update(sql_verdicts("rv", "generated", head_only=False))
 FILTERED_VIEWS["acc"] = "SELECT * FROM v WHERE NOT rejected"
 FILTERED_VIEWS["ex"] = sql_examples("acc", "content")
 

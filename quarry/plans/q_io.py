@@ -115,7 +115,7 @@ def q_assemble(spark, sf):
     "decode_pdf_pages",
     with_views(
         f"SELECT path, CAST(length(c) AS BIGINT) AS n_chars FROM (SELECT printf('%03d.pdf', idx) AS path, "
-        f"{SQ.clean_text('html')} AS c FROM f WHERE status = 200 AND idx % 3 <> 0 AND html <> '') WHERE length(c) <= 1000000",
+        f"{SQ.clean_text('html')} AS c FROM f WHERE status = 200 AND idx % 3 <> 0 AND html <> '')",
         f="SELECT page_id AS idx, CASE WHEN page_id % 5 = 0 THEN 404 ELSE 200 END AS status, html FROM pages",
     ),
 )
@@ -306,7 +306,7 @@ def q_sink_summary(spark, sf):
     "incremental_clean",
     with_views(
         f"SELECT doc_id, source, length(c) AS n_chars FROM (SELECT doc_id, source, {SQ.clean_text('raw_text')} AS c "
-        "FROM pd WHERE raw_text <> '') WHERE length(c) <= 1000000",
+        "FROM pd WHERE raw_text <> '')",
         pd=V.press_documents_sql(),
     ),
 )

@@ -78,7 +78,7 @@ def q_drop_empty(spark, sf):
 )
 def q_length_cap(spark, sf):
     """X11 cleaned texts within the length cap (cleaning runs once per row)"""
-    df = X.clean_documents(_pd(spark, sf))
+    df = X.clean_documents(_pd(spark, sf), cap=fixed.TEXT_LENGTH_THRESHOLD)
     return df.select("doc_id", F.length("cleaned").cast("bigint").alias("n_chars"))
 
 

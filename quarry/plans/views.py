@@ -214,7 +214,7 @@ def fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     pid = F.col("page_id")
     status = F.when(pid % 5 == 0, F.lit(404)).otherwise(F.lit(200))
     body = F.when(
-        pid % 3 == 0, F.concat(F.lit("<html>"), F.substring(F.col("html"), 1, 200))
+        pid % 3 == 0, F.concat(F.lit("<html>"), F.col("html"))
     ).otherwise(F.concat(F.lit("%PDF-1.4\n"), F.col("html")))
     return p.select(
         pid.alias("idx"),
@@ -229,6 +229,6 @@ def fetches_sql() -> str:
     SELECT page_id AS idx, url,
       CASE WHEN page_id % 5 = 0 THEN 404 ELSE 200 END AS status,
       CASE WHEN page_id % 5 = 0 THEN NULL
-           WHEN page_id % 3 = 0 THEN encode('<html>' || substr(html, 1, 200))
+           WHEN page_id % 3 = 0 THEN encode('<html>' || html)
            ELSE encode('%PDF-1.4' || chr(10) || html) END AS content
     FROM pages"""

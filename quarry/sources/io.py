@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,10 +28,15 @@ def write_catalog(catalog: DataFrame, path: str) -> str:
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """Catalog snapshot scan with a fixed schema; a missing folder is an empty catalog."""
+    """Catalog snapshot scan with a fixed schema; a missing folder is an empty catalog.
+
+    Any other failure (unknown scheme, permission) is raised.
+    """
     try:
         return spark.read.schema(CATALOG_SCHEMA).json(path)
-    except Exception:  # noqa: BLE001 - path does not exist
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], CATALOG_SCHEMA)
 
 

@@ -61,7 +61,7 @@ def run_incremental_filter(
     from quarry.operators import filtering as L
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(input_dir)
-    judged = L.verdicts(stream.withColumn("generated", L.rule_verdict("title", text_col, "lang")), text=text_col)
+    judged = L.verdicts(stream.withColumn("generated", L.rule_verdict("title", text_col, "lang")), text=text_col, head_only=False)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # one folder per micro-batch, overwritten on a retry: idempotent output

@@ -46,4 +46,12 @@ def test_score_batches_plugin(spark):
     df = spark.createDataFrame([(i, "t", f"text {i}") for i in range(30)] + [(99, "t", "  ")], "id int, title string, text string")
     v = L.verdicts(L.score_batches(df, L.echo_generator))
     rows = {r["id"]: r["content"] for r in v.collect()}
-    assert len(rows) == 30 and rows[3] == "text 3"
+    assert len(rows) == 31 and rows[3] == "text 3" and rows[99] is None
+
+
+def test_rule_verdict_reads_whole_text(spark):
+    head = "the cat is in the house and it was good " * 200
+    df = spark.createDataFrame([("", head + "#%&$" * 50_000, "en"), ("", head + "\nSubject mail\nend", "en")], "title string, text string, lang string")
+    out = [r[0] for r in df.select(L.rule_verdict("title", "text", "lang")).collect()]
+    assert out[0] == "REJECT: garbled text"
+    assert "Subject" not in out[1] and out[1].endswith("end")
