@@ -90,24 +90,21 @@ def targets(sizes: DataFrame, source: str = "source", weights: tuple = WEIGHTS,
     return per.select(source, "source_size", t.alias("target"))
 
 
-def fit_counts(lengths, counts, budget: int, reach: int = 1 << 16):
-    """How many documents of each length to take so that their words come as near to ``budget`` as can be.
+def fit_counts(lengths, counts, budget: int, most: int = 1, reach: int = 1 << 16):
+    """How many takes of documents of each length come nearest to ``budget`` words.
 
     Takes the same share of every count, then, from the longest down, what
     still fits until less than ``reach`` words are missing, and closes the
-    rest exactly by a bounded knapsack over reachable sums (a bit set per
-    length). Overshoots by no word.
+    rest by a bounded knapsack over reachable sums (a bit set per length),
+    with each document once if that hits the budget, else up to ``most`` times.
     """
     import numpy as np
 
     lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
-    take = np.zeros(len(lengths), np.int64)
     whole = int((lengths * counts).sum())
-    if budget <= 0 or whole == 0:
-        return take
-    if budget >= whole:
-        return counts.copy()
-    take = np.array([int(c) * budget // whole for c in counts], np.int64)
+    if budget <= 0 or whole == 0 or most < 1:
+        return np.zeros(len(lengths), np.int64)
+    take = np.array([min(int(c), int(c) * budget // whole) for c in counts], np.int64)
     left = budget - int((lengths * take).sum())
     order = np.argsort(-lengths, kind="stable")
     for i in order:
@@ -117,31 +114,56 @@ def fit_counts(lengths, counts, budget: int, reach: int = 1 << 16):
         if n > 0:
             take[i] += n
             left -= n * int(lengths[i])
-    # reachable sums 0..left as bits; a count is split into powers of two
-    mask = (1 << (left + 1)) - 1
+    best = None
+    for times in range(1, most + 1):
+        more, miss = nearest_sum(lengths, counts * times - take, left, order)
+        if best is None or miss < best[0]:
+            best = miss, take + more
+        if not miss:
+            break
+    if best[0] and budget <= reach:  # the even share itself may stand in the way: choose all takes anew
+        more, miss = nearest_sum(lengths, counts * most, budget, order)
+        if miss < best[0]:
+            return more
+    return best[1]
+
+
+def nearest_sum(lengths, room, goal: int, order):
+    """(takes per length, words off ``goal``): bounded knapsack for the sum nearest to ``goal``, below on ties."""
+    import numpy as np
+
+    more = np.zeros(len(lengths), np.int64)
+    mask = (1 << (2 * goal + 1)) - 1
     sums, steps = 1, []
     for i in order[::-1]:
-        if sums >> left & 1:
+        if sums >> goal & 1:
             break
-        size, n = int(lengths[i]), int(counts[i] - take[i])
-        if not size or size > left or n <= 0:
+        size, n = int(lengths[i]), int(room[i])
+        if not size or size > 2 * goal or n <= 0:
             continue
-        n, k = min(n, left // size), 1
-        while n > 0:
+        n, k = min(n, 2 * goal // size), 1
+        while n > 0:  # a count as powers of two
             k = min(k, n)
             steps.append((i, k, size * k, sums))
             sums |= (sums << (size * k)) & mask
             n, k = n - k, 2 * k
-    at = sums.bit_length() - 1
+    below = (sums & ((1 << (goal + 1)) - 1)).bit_length() - 1
+    above = sums >> (goal + 1)
+    at = below
+    if above:
+        up = goal + 1 + (above & -above).bit_length() - 1
+        if up - goal < goal - below:
+            at = up
+    off = abs(goal - at)
     for i, k, words, before in reversed(steps):
         if not before >> at & 1:
-            take[i] += k
+            more[i] += k
             at -= words
-    return take
+    return more, off
 
 
-def quotas(sizes: DataFrame, per_source: DataFrame, source: str = "source") -> DataFrame:
-    """(source, size, source_size, target, copies, extra): whole copies of every document and how many of a length get one more."""
+def quotas(sizes: DataFrame, per_source: DataFrame, source: str = "source", max_copies: int = MAX_COPIES) -> DataFrame:
+    """(source, size, n, source_size, target, copies, extra): copies of every document of a length, and how many get one more."""
     hist = sizes.groupBy(source, "size").agg(F.count(F.lit(1)).alias("n"))
     n = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("bigint")
     same = hist[source].eqNullSafe(per_source[source])
@@ -150,7 +172,9 @@ def quotas(sizes: DataFrame, per_source: DataFrame, source: str = "source") -> D
     def run(pdf):
         pdf = pdf.sort_values("size").reset_index(drop=True)
         goal = round(float(pdf["target"][0])) - int(pdf["copies"][0]) * int(pdf["source_size"][0])
-        pdf["extra"] = fit_counts(pdf["size"].to_numpy(), pdf["n"].to_numpy(), goal)
+        extra = fit_counts(pdf["size"].to_numpy(), pdf["n"].to_numpy(), goal, max_copies - int(pdf["copies"][0]))
+        pdf["copies"] += extra // pdf["n"]
+        pdf["extra"] = extra % pdf["n"]
         return pdf
 
     # a group is one source's lengths: bounded by its longest document
