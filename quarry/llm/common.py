@@ -50,6 +50,28 @@ def worker_state(key: str, make: Callable[[], Any]) -> Any:
     return store[key]
 
 
+def free_worker_state() -> None:
+    """Gives back what an earlier operator kept in this Python worker.
+
+    Workers outlive a query; without this, one stage's cache stands beside the
+    next one's arrays.
+    """
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    store = sys.__dict__.get("_quarry_llm_state")
+    if store:
+        store.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library: the allocator decides
+            pass
+
+
 def text_slices(texts, max_bytes: int = 4_000_000):
     """Yield (first row, slice) of an Arrow string array, about ``max_bytes`` of text each.
 

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import bytes_of, rebuilt, text_slices
+from quarry.llm.common import bytes_of, free_worker_state, rebuilt, text_slices
 
 UNKNOWN = "und"
 
@@ -177,6 +177,7 @@ def gram_counts(texts: DataFrame, order: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
+        free_worker_state()
         for b in batches:
             langs = np.array(b.column(0).to_pylist(), object)
             for first, part in text_slices(b.column(1), 2_000_000):
@@ -253,6 +254,7 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFra
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        free_worker_state()
         t = rebuilt(ContextTrees, model.value)
         for b in batches:
             col = b.column(at).cast(pa.large_string())

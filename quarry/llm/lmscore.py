@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import text_slices
+from quarry.llm.common import free_worker_state, text_slices
 from quarry.llm.ngram_join import mix64
 from quarry.session import materialize
 
@@ -80,6 +80,7 @@ def token_totals(texts: DataFrame) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
+        free_worker_state()
         for b in batches:
             for _, part in text_slices(b.column(0), 3_000_000):
                 words, at, _ = token_stream(part)

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import bytes_of, text_slices
+from quarry.llm.common import bytes_of, free_worker_state, text_slices
 from quarry.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -28,6 +28,7 @@ def word_sizes(docs: DataFrame, key: str = "doc_id", source: str = "source", tex
         import numpy as np
         import pyarrow as pa
 
+        free_worker_state()
         for b in batches:
             sizes = [np.zeros(0, np.int64)]
             for _, part in text_slices(b.column(3)):

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import text_slices
+from quarry.llm.common import free_worker_state, text_slices
 from quarry.llm.graph import components
 from quarry.session import materialize, shared_dir
 
@@ -142,6 +142,7 @@ def shingle_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
         import numpy as np
         import pyarrow as pa
 
+        free_worker_state()
         ends = np.array(bands(percent, 1 << 40), np.int64)
         for b in batches:
             ids = b.column(0)

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import bytes_of, rebuilt, text_slices
+from quarry.llm.common import bytes_of, free_worker_state, rebuilt, text_slices
 
 FEATURES = (
     "log_bytes", "log_words", "mean_word", "upper", "digit", "symbol", "bar", "stop_mark", "space",
@@ -100,6 +100,7 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         import numpy as np
         import pyarrow as pa
 
+        free_worker_state()
         for b in batches:
             got = [feature_matrix(part) for _, part in text_slices(b.column(1))]
             x = np.concatenate(got) if got else np.zeros((0, len(FEATURES)))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import text_slices, worker_state
 
 #: Words kept per worker before the cache starts anew.
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 500_000
 #: Closing marks that are a piece of their own right after a letter.
 MARKS = ".,"
 #: Ends a word in the rank form of the vocabulary; never part of an all-letter word.
