@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Callable
-from typing import Any
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,40 +32,23 @@ def may_learn(key: str | Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(k.cast("string").cast("binary")) % folds != fold, F.lit(False))
 
 
-def worker_state(key: str, make: Callable[[], Any]) -> Any:
-    """An object kept for the life of a Python worker process.
-
-    Functions reach the executors pickled by value, so their module globals
-    are new in every task; ``sys`` is the process-wide place. A lost worker
-    only costs making the object again.
-    """
-    store = sys.__dict__.setdefault("_quarry_llm_state", {})
-    if key not in store:
-        store.clear()  # one query's objects at a time: bounds the worker's memory
-        store[key] = make()
-    return store[key]
-
-
-def free_worker_state() -> None:
-    """Gives back what an earlier operator kept in this Python worker.
+def give_back() -> None:
+    """Returns freed memory of this Python worker to the system.
 
-    Workers outlive a query; without this, one stage's cache stands beside the
-    next one's arrays.
+    Workers outlive a task and may stand idle beside those of later stages;
+    called at the end of a task that held much.
     """
     import ctypes
     import gc
 
     import pyarrow as pa
 
-    store = sys.__dict__.get("_quarry_llm_state")
-    if store:
-        store.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (OSError, AttributeError):  # another C library: the allocator decides
-            pass
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: the allocator decides
+        pass
 
 
 def text_slices(texts, max_bytes: int = 4_000_000):

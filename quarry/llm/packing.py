@@ -16,8 +16,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import text_slices
-from quarry.llm.tokens import encoder, read_spec
+from quarry.llm.common import give_back, text_slices
+from quarry.llm.tokens import ChunkEncoder, read_spec
 from quarry.session import materialize
 
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, tie bigint"
@@ -37,7 +37,7 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0
         import numpy as np
         import pyarrow as pa
 
-        enc = encoder(spec.value)
+        enc = ChunkEncoder(spec.value)
         end = np.array([end_id], np.uint32)
         for b in batches:
             keys, ties = b.column(0), b.column(2).to_pylist()
@@ -62,6 +62,8 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0
                     cols.append(pa.array(whole, pa.list_(pa.int64())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
+        del enc
+        give_back()
 
     src = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("t"), F.xxhash64("doc_id", "text").alias("tie"))
     return src.mapInArrow(run, PIECE_SCHEMA + (", ids array<bigint>" if ids else ""))

@@ -2,7 +2,7 @@
 
 The tokenizer drops white space, so the ids of a text are those of its
 white-space-separated chunks one after another. Chunks repeat: each distinct
-one is encoded once per worker by ``tokenizers`` itself and gathered from a
+one is encoded once per task by ``tokenizers`` itself and gathered from a
 bounded cache afterwards, which gives the same ids as encoding the text whole
 (tests hold it against the plain call).
 """
@@ -14,9 +14,9 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import text_slices, worker_state
+from quarry.llm.common import give_back, text_slices
 
-#: Words kept per worker before the cache starts anew.
+#: Words kept per task before the cache starts anew.
 CACHE_WORDS = 500_000
 #: Closing marks that are a piece of their own right after a letter.
 MARKS = ".,"
@@ -166,10 +166,6 @@ def _ranges(starts, sizes):
     return out
 
 
-def encoder(spec: str) -> ChunkEncoder:
-    return worker_state(f"encoder-{hash(spec)}", lambda: ChunkEncoder(spec))
-
-
 def read_spec(path: str) -> str:
     """The tokenizer file's content; of a fixed size, so it may be broadcast."""
     with open(path, encoding="utf-8") as f:
@@ -184,11 +180,13 @@ def token_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        enc = encoder(spec.value)
+        enc = ChunkEncoder(spec.value)
         for b in batches:
             got = [enc.encode(part, ids=False)[1] for _, part in text_slices(b.column(0))]
             if got:
                 n, c = np.unique(np.concatenate(got), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(c, pa.int64())], ["length", "documents"])
+        del enc
+        give_back()
 
     return docs.select(F.coalesce(F.col(text), F.lit("")).alias("t")).mapInArrow(run, "length bigint, documents bigint")
