@@ -172,6 +172,36 @@ def _block_kernel(threshold: float, eps: float, contract: bool):
     return kernel
 
 
+def kernel_rows(
+    resp: DataFrame,
+    grp: str = "grp",
+    rid: str = "rid",
+    vec: str = "embedding",
+    block: int = 256,
+    salts: int = 8,
+    pack_vectors: int = 4096,
+) -> DataFrame:
+    """Rows of the similarity kernel, one group per (_pk, _lo, _hi).
+
+    A prompt of more than ``block`` responses gets one group per pair of its
+    blocks. Smaller prompts share groups; how many groups there are follows
+    from the counted sizes, so that one holds about ``pack_vectors`` vectors
+    at any number of prompts.
+    """
+    r = resp.select(F.col(grp).alias("grp"), F.col(rid).cast("bigint").alias("rid"), F.col(vec).alias("vec"))
+    sizes = r.groupBy("grp").agg(F.count(F.lit(1)).alias("_n"))
+    small = sizes.filter(F.col("_n") <= block).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_t"))
+    least = r.sparkSession.sparkContext.defaultParallelism * 4  # small inputs still use every core
+    packs = F.greatest(F.lit(least).cast("bigint"), F.ceil(small.scalar() / F.lit(pack_vectors)))
+    nblk = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block))).cast("int")
+    x = salted_join(r, sizes, ["grp"], salts, F.xxhash64("rid"), how="inner")
+    x = x.withColumn("_nb", nblk).withColumn("_blk", F.pmod(F.xxhash64("rid"), F.col("_nb")).cast("int"))
+    x = x.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
+    x = x.withColumn("_lo", F.least("_blk", "_j")).withColumn("_hi", F.greatest("_blk", "_j"))
+    pack = F.when(F.col("_nb") == 1, -1 - F.pmod(F.xxhash64("grp"), packs)).otherwise(F.col("grp"))
+    return x.select("grp", "rid", "vec", "_blk", "_lo", "_hi", pack.alias("_pk"))
+
+
 def similarity_edges(
     resp: DataFrame,
     threshold: float = fixed.ENTAILMENT_THRESHOLD,
@@ -181,6 +211,7 @@ def similarity_edges(
     block: int = 256,
     salts: int = 8,
     contract: bool = False,
+    pack_vectors: int = 4096,
 ) -> DataFrame:
     """Pairs of responses of one prompt with cosine > ``threshold``.
 
@@ -198,18 +229,7 @@ def similarity_edges(
     then null). Clustering uses this form: when a prompt fits in one block,
     its components are already complete.
     """
-    r = resp.select(F.col(grp).alias("grp"), F.col(rid).cast("bigint").alias("rid"), F.col(vec).alias("vec"))
-    sizes = r.groupBy("grp").agg(F.count(F.lit(1)).alias("_n"))
-    nblk = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block))).cast("int")
-    x = salted_join(r, sizes, ["grp"], salts, F.xxhash64("rid"), how="inner")
-    x = x.withColumn("_nb", nblk).withColumn("_blk", F.pmod(F.xxhash64("rid"), F.col("_nb")).cast("int"))
-    x = x.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
-    x = x.withColumn("_lo", F.least("_blk", "_j")).withColumn("_hi", F.greatest("_blk", "_j"))
-    # prompts that fit in one block share kernel calls (packed by hash);
-    # a larger prompt gets one call per block pair
-    packs = max(1, r.sparkSession.sparkContext.defaultParallelism * 4)
-    pack = F.when(F.col("_nb") == 1, -1 - F.pmod(F.xxhash64("grp"), F.lit(packs))).otherwise(F.col("grp"))
-    x = x.select("grp", "rid", "vec", "_blk", "_lo", "_hi", pack.alias("_pk"))
+    x = kernel_rows(resp, grp, rid, vec, block, salts, pack_vectors)
     return x.groupBy("_pk", "_lo", "_hi").applyInPandas(_block_kernel(threshold, fixed.COSINE_EPS, contract), EDGE_SCHEMA)
 
 

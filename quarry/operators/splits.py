@@ -58,32 +58,28 @@ def train_eval_split(
     """Exact seeded split; the first ``floor(n * ratio)`` rows in
     ``(md5(seed:key), key)`` order are ``train``, the rest ``eval``.
 
-    Plan: the rows are counted per hash prefix (partial aggregation, at most
+    Plan: the keys are counted per hash prefix (partial aggregation, at most
     ``16**bucket_hex`` groups); a two-level running sum over that bounded
-    count table gives each bucket's offset; buckets wholly before the cut
-    are train, wholly after are eval, and only the single boundary bucket is
-    ranked by a window. The count table is broadcast (its size bound is
-    ``16**bucket_hex`` rows); document rows are not shuffled except for that
-    one bucket.
+    count table finds the one bucket that holds the cut; the distinct keys of
+    that bucket alone are ranked, which leaves one row, the pair (hash, key)
+    of the last train row. The rows themselves are read once and compared
+    with that pair; they are never shuffled.
+
+    Keys are meant to be unique. Rows that share the key of the cut all go to
+    ``train`` (copies never straddle the split, at the price of an exact
+    count); null keys come first. An empty table stays empty.
     """
-    h = split_hash(F.col(key), seed)
-    rows = df.withColumn("_h", h).withColumn("_b", F.substring(F.col("_h"), 1, bucket_hex))
-    counts = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    h = F.coalesce(split_hash(F.col(key), seed), F.lit(""))
+    place = F.struct(h.alias("h"), F.col(key).alias("k"))
+    keys = df.select(place.alias("_p")).withColumn("_b", F.substring("_p.h", 1, bucket_hex))
+    counts = keys.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = bucket_offsets(counts).withColumn("_ntrain", F.floor(F.col("_n") * F.lit(float(ratio))).cast("bigint"))
-    offsets = offsets.select("_b", "_cnt", "_before", "_ntrain")
-    j = rows.join(F.broadcast(offsets), "_b")
-    whole_train = F.col("_before") + F.col("_cnt") <= F.col("_ntrain")
-    whole_eval = F.col("_before") >= F.col("_ntrain")
-    settled = j.filter(whole_train | whole_eval).withColumn(
-        split_col, F.when(whole_train, F.lit("train")).otherwise(F.lit("eval"))
-    )
-    boundary = j.filter(~(whole_train | whole_eval))
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key))
-    boundary = boundary.withColumn(
-        split_col, F.when(F.col("_before") + rank <= F.col("_ntrain"), F.lit("train")).otherwise(F.lit("eval"))
-    )
-    out = settled.unionByName(boundary)
-    return out.drop("_h", "_b", "_cnt", "_before", "_ntrain")
+    edge = offsets.filter((F.col("_before") < F.col("_ntrain")) & (F.col("_ntrain") <= F.col("_before") + F.col("_cnt")))
+    edge = edge.select("_b", (F.col("_ntrain") - F.col("_before")).alias("_need"))  # at most one row
+    near = keys.join(F.broadcast(edge), "_b").groupBy("_b", "_need", "_p").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy("_b").orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = near.withColumn("_run", F.sum("_c").over(w)).filter(F.col("_run") >= F.col("_need")).agg(F.min("_p").alias("_cut"))
+    return df.withColumn(split_col, F.when(place <= cut.scalar(), F.lit("train")).otherwise(F.lit("eval")))
 
 
 def split_counts(df: DataFrame, split_col: str = "split") -> DataFrame:

@@ -28,23 +28,30 @@ def _value_at(rank: Column) -> Column:
 
 
 def quantiles_from_frequency(
-    freq: DataFrame, probs: Sequence[float], group: Sequence[str] = (), names: Sequence[str] | None = None
+    freq: DataFrame,
+    probs: Sequence[float],
+    group: Sequence[str] = (),
+    names: Sequence[str] | None = None,
+    extra: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Linear-interpolation quantiles (numpy's default) read off a frequency table."""
-    g = list(group)
+    """Linear-interpolation quantiles (numpy's default) read off a frequency table.
+
+    ``extra`` are further aggregates over the frequency table by name, taken in the same pass.
+    """
+    g, extra = list(group), extra or {}
     freq = running_count(freq, "_v", "_c", g)
     aggs = []
     for i, p in enumerate(probs):
         pos = (F.col("_n") - 1) * F.lit(float(p))
         lo, hi = F.floor(pos), F.ceil(pos)
         aggs += [_value_at(lo).alias(f"_lo{i}"), _value_at(hi).alias(f"_hi{i}"), F.first(pos - lo).alias(f"_f{i}")]
-    out = freq.groupBy(*g).agg(*aggs)
+    out = freq.groupBy(*g).agg(*aggs, *[c.alias(n) for n, c in extra.items()])
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
     cols = [
         (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).cast("double").alias(names[i])
         for i in range(len(probs))
     ]
-    return out.select(*g, *cols)
+    return out.select(*g, *extra, *cols)
 
 
 def exact_quantiles(
@@ -55,16 +62,14 @@ def exact_quantiles(
 
 
 def stats_from_frequency(freq: DataFrame, group: Sequence[str]) -> DataFrame:
-    """count, min, max, mean, median per group from a frequency table."""
-    g = list(group)
-    basic = freq.groupBy(*g).agg(
-        F.sum("_c").cast("bigint").alias("count"),
-        F.min("_v").cast("bigint").alias("min"),
-        F.max("_v").cast("bigint").alias("max"),
-        (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("mean"),
-    )
-    med = quantiles_from_frequency(freq, [0.5], g, ["median"])
-    return basic.join(med, g)
+    """count, min, max, mean, median per group from a frequency table, in one aggregate."""
+    basic = {
+        "count": F.sum("_c").cast("bigint"),
+        "min": F.min("_v").cast("bigint"),
+        "max": F.max("_v").cast("bigint"),
+        "mean": F.sum(F.col("_v") * F.col("_c")) / F.sum("_c"),
+    }
+    return quantiles_from_frequency(freq, [0.5], group, ["median"], basic)
 
 
 def length_stats(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
@@ -76,8 +81,10 @@ def length_stats(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFr
 
 
 def length_stats_with_total(df: DataFrame, value: str, group: str, total_label: str = "all") -> DataFrame:
-    """M3: per-group stats plus one row over all groups, from one frequency table."""
-    freq = frequency(df, value, [group])
+    """M3: per-group stats plus one row over all groups, from one frequency table, written once."""
+    from quarry.session import materialize
+
+    freq = materialize(frequency(df, value, [group]), "length-freq")
     total = freq.groupBy("_v").agg(F.sum("_c").alias("_c")).withColumn(group, F.lit(total_label))
     return stats_from_frequency(freq.unionByName(total), [group])
 

@@ -203,13 +203,19 @@ def _edges_sql(by: str, t: float, r_sql: str | None = None) -> dict:
     )
 
 
+# response ids count within their prompt
+UND_SQL = "SELECT grp, a, b FROM e UNION ALL SELECT grp, b AS a, a AS b FROM e"
+CLUSTERS_SQL = """reach(grp, src, dst) AS (SELECT grp, rid, rid FROM r UNION
+      SELECT reach.grp, reach.src, und.b FROM reach JOIN und ON reach.grp = und.grp AND reach.dst = und.a),
+    cl AS (SELECT grp, src AS rid, min(dst) AS cluster FROM reach GROUP BY grp, src)"""
+
+
 def _cc_sql(by: str, t: float, body: str, r_sql: str | None = None) -> str:
     views = _edges_sql(by, t, r_sql)
-    views["und"] = "SELECT a, b FROM e UNION ALL SELECT b AS a, a AS b FROM e"
+    views["und"] = UND_SQL
     ctes = ",\n".join(f"{k} AS ({v})" for k, v in views.items())
     return f"""WITH RECURSIVE {ctes},
-    reach(src, dst) AS (SELECT rid, rid FROM r UNION SELECT reach.src, und.b FROM reach JOIN und ON reach.dst = und.a),
-    cl AS (SELECT r.grp, r.rid, min(reach.dst) AS cluster FROM r JOIN reach ON reach.src = r.rid GROUP BY r.grp, r.rid),
+    {CLUSTERS_SQL},
     sizes AS (SELECT grp, cluster, count(*) AS size FROM cl GROUP BY grp, cluster),
     ent AS (SELECT grp, 0.0 - sum((size / tot) * ln(size / tot)) AS entropy, CAST(sum(size) AS BIGINT) AS n_responses
             FROM (SELECT *, CAST(sum(size) OVER (PARTITION BY grp) AS DOUBLE) AS tot FROM sizes) GROUP BY grp)
@@ -406,11 +412,10 @@ def _models_sql() -> dict:
 
 def _results_sql(body: str) -> str:
     views = {**_edges_sql("prompt", fixed.ENTAILMENT_THRESHOLD), **_models_sql()}
-    views["und"] = "SELECT a, b FROM e UNION ALL SELECT b AS a, a AS b FROM e"
+    views["und"] = UND_SQL
     ctes = ",\n".join(f"{k} AS ({v})" for k, v in views.items())
     return f"""WITH RECURSIVE {ctes},
-    reach(src, dst) AS (SELECT rid, rid FROM r UNION SELECT reach.src, und.b FROM reach JOIN und ON reach.dst = und.a),
-    cl AS (SELECT r.grp, r.rid, min(reach.dst) AS cluster FROM r JOIN reach ON reach.src = r.rid GROUP BY r.grp, r.rid),
+    {CLUSTERS_SQL},
     sizes AS (SELECT grp, cluster, count(*) AS size FROM cl GROUP BY grp, cluster),
     ent AS (SELECT grp, 0.0 - sum((size / tot) * ln(size / tot)) AS entropy FROM
             (SELECT *, CAST(sum(size) OVER (PARTITION BY grp) AS DOUBLE) AS tot FROM sizes) GROUP BY grp),
@@ -556,7 +561,7 @@ def q_embed(spark, sf):
     return c.select("conv_id", "turn", F.array_join(F.transform(v, lambda x: x.cast("int").cast("string")), ",").alias("vec"))
 
 
-RESP_TEXT_SQL = f"""SELECT conv_id AS grp, conv_id * 1000 + turn AS rid,
+RESP_TEXT_SQL = f"""SELECT conv_id AS grp, turn AS rid,
     list_transform(range({EMB_DIM}), lambda i: CAST(len(list_filter(hs, lambda h: h = i)) AS FLOAT)) AS embedding
   FROM (SELECT conv_id, turn, {HASH_SQL} AS hs FROM conversations WHERE role = 'assistant')"""
 
@@ -568,7 +573,7 @@ RESP_TEXT_SQL = f"""SELECT conv_id AS grp, conv_id * 1000 + turn AS rid,
 def q_response_entropy(spark, sf):
     """E5 -> E6..E10: entropy of a conversation's assistant turns, embedded from text"""
     c = V.table(spark, sf, "conversations").filter(F.col("role") == "assistant")
-    resp = c.select(F.col("conv_id").alias("grp"), (F.col("conv_id") * 1000 + F.col("turn")).alias("rid"),
+    resp = c.select(F.col("conv_id").alias("grp"), F.col("turn").alias("rid"),
                     E.hashed_tf_embedding("text", EMB_DIM).alias("embedding"))
     ent = E.entropy_by_prompt(resp, fixed.ENTAILMENT_THRESHOLD)
     return ent.select("grp", r6(F.col("entropy")).alias("entropy"), "n_responses")

@@ -33,3 +33,26 @@ def test_missing_catalog_is_empty_but_other_failures_raise(spark, tmp_path):
     assert IO.read_catalog(spark, f"file://{tmp_path}/none").count() == 0
     with pytest.raises(Exception):
         IO.read_catalog(spark, "nosuchscheme://x/y").count()
+
+
+def test_kernel_groups_follow_the_data(spark):
+    from pyspark.sql import functions as F
+
+    resp = spark.range(20_000).select((F.col("id") / 8).cast("bigint").alias("grp"), F.col("id").alias("rid"), F.array(F.lit(1.0)).alias("embedding"))
+    hot = spark.range(900).select(F.lit(-1).cast("bigint").alias("grp"), F.col("id").alias("rid"), F.array(F.lit(1.0)).alias("embedding"))
+    g = E.kernel_rows(resp.unionByName(hot), pack_vectors=200).groupBy("_pk", "_lo", "_hi").count()
+    assert g.count() >= 100 and g.agg(F.max("count")).first()[0] <= 800
+
+
+def test_split_keeps_null_keys_and_copies(spark):
+    df = spark.createDataFrame([(None, "a")] * 3 + [(k, "b") for k in range(20)] + [(99, "c")] * 40, "k bigint, t string")
+    rows = T.train_eval_split(df, "k", 0.5, bucket_hex=1).collect()
+    assert len(rows) == 63
+    assert len({r["split"] for r in rows if r["k"] == 99}) == 1 and {r["split"] for r in rows if r["k"] is None} == {"train"}
+    assert T.train_eval_split(df.limit(0), "k").count() == 0
+
+
+def test_split_reads_texts_once(spark, tmp_path):
+    spark.createDataFrame([(k, f"text {k}") for k in range(50)], "k bigint, t string").write.parquet(f"{tmp_path}/d")
+    plan = T.train_eval_split(spark.read.parquet(f"{tmp_path}/d"), "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<k:bigint,t:string>") == 1
