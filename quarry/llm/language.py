@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import bytes_of, rebuilt, text_slices
+from quarry.llm.common import bytes_of, give_back, rebuilt, text_slices
 
 UNKNOWN = "und"
 
@@ -193,6 +193,7 @@ def gram_counts(texts: DataFrame, order: int) -> DataFrame:
                     for x in sorted(set(lang)):
                         u, c = np.unique(code[same & (lang == x)[own[d:]]], return_counts=True)
                         yield pa.RecordBatch.from_arrays([pa.array([x] * len(u), pa.string()), pa.array([d + 1] * len(u), pa.int32()), pa.array(u), pa.array(c)], ["lang", "n", "code", "c"])
+        give_back()
 
     parts = texts.mapInArrow(run, "lang string, n int, code bigint, c bigint")
     return parts.groupBy("lang", "n", "code").agg(F.sum("c").alias("c"))
@@ -271,6 +272,8 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFra
             known = letters & bool(t.langs)
             pred = [t.langs[i] if k else UNKNOWN for i, k in zip(won, known, strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(np.where(known, score, 0.0))], [*names, "lang_pred", "score"])
+        del t
+        give_back()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInArrow(run, schema + ", lang_pred string, score double")

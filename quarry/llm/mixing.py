@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import bytes_of, text_slices
+from quarry.llm.common import bytes_of, give_back, text_slices
 from quarry.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -40,6 +40,7 @@ def word_sizes(docs: DataFrame, key: str = "doc_id", source: str = "source", tex
                 at = np.concatenate([[0], np.cumsum(first, dtype=np.int64)])
                 sizes.append(at[off[1:]] - at[off[:-1]])
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(np.concatenate(sizes))], ["k", "s", "text_hash", "size"])
+        give_back()
 
     x = docs.select(F.col(key).cast("bigint").alias("k"), F.col(source).alias("s"), F.xxhash64(text).alias("text_hash"), F.coalesce(text, F.lit("")).alias("t"))
     return x.mapInArrow(run, "k bigint, s string, text_hash bigint, size bigint").select(F.col("k").alias(key), F.col("s").alias(source), "text_hash", "size")

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import text_slices
+from quarry.llm.common import give_back, text_slices
 from quarry.llm.graph import components
 from quarry.session import materialize, shared_dir
 
@@ -165,6 +165,7 @@ def shingle_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
                     [ids.slice(first, len(part)), pa.array(cls, pa.int64()), pa.array(n, pa.int64()), pa.array(point, pa.binary()), pa.array(kept, pa.binary()), pa.array(blocks, pa.list_(pa.int64()))],
                     ["id", "cls", "n", "point", "shingles", "blocks"],
                 )
+        give_back()
 
     src = docs.select(F.col(key).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     return src.mapInArrow(run, "id bigint, cls bigint, n bigint, point binary, shingles binary, blocks array<bigint>")
@@ -242,6 +243,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 common = len(x) + len(y) - len(np.union1d(x, y))
                 ok.append(100 * common >= percent * (len(x) + len(y) - common))
             yield t.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        give_back()
 
     return materialize(both.select("a", "b", "s_a", "s_b").mapInArrow(exact, "a bigint, b bigint"), "jaccard-links")
 
