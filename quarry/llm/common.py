@@ -32,6 +32,23 @@ def may_learn(key: str | Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(k.cast("string").cast("binary")) % folds != fold, F.lit(False))
 
 
+def suspects(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 24) -> DataFrame:
+    """``rows`` with a boolean ``_maybe``: false only where ``key`` is in no row of ``wanted``.
+
+    A bitmap of key hashes, broadcast: at most ``bits``/64 rows whatever the
+    tables hold. A key that shares a bit is a suspect too, so an exact join of
+    the suspects follows; all other rows need not move with their texts.
+    ``wanted`` has ``key`` under the name ``_w``; null keys count as equal.
+    """
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    mask = lambda c: F.expr(f"shiftleft(1L, cast(pmod(xxhash64({c}), {bits}L) % 64 AS int))")
+    seen = wanted.groupBy(F.floor(bit("_w") / 64).alias("_sus_word")).agg(F.bit_or(mask("_w")).alias("_sus_mask"))
+    x = rows.withColumn("_sus_k", F.col(key).cast(wanted.schema["_w"].dataType))  # one type, one hash
+    x = x.withColumn("_sus_at", F.floor(bit("_sus_k") / 64)).join(F.broadcast(seen), F.col("_sus_at") == F.col("_sus_word"), "left")
+    hit = F.coalesce(mask("_sus_k").bitwiseAND(F.col("_sus_mask")) != 0, F.lit(False))
+    return x.withColumn("_maybe", hit).drop("_sus_k", "_sus_at", "_sus_word", "_sus_mask")
+
+
 def give_back() -> None:
     """Returns freed memory of this Python worker to the system.
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACES
+from quarry.llm.common import SPACES, suspects
 from quarry.session import materialize
 
 
@@ -88,11 +88,14 @@ def drop_exact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     g = materialize(exact_groups(docs, key, text), "dedup-groups-all").filter("group_size > 1")
     lost = g.groupBy(F.col(key).alias("_xd_k"), F.col("full_hash").alias("_xd_h")).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
     lost = materialize(lost.filter("not kept or rows > 1"), "dedup-lost")
-    x = docs.withColumn("_xd_hash", F.sha2(F.encode(normalised(text), "UTF-8"), 256))
+    # only rows whose key may be among the lost ones are hashed and moved
+    x = suspects(docs, key, lost.select(F.col("_xd_k").alias("_w")))
+    clear = x.filter("not _maybe").select(*[F.col(f"`{c}`") for c in docs.columns])
+    x = x.filter("_maybe").drop("_maybe").withColumn("_xd_hash", F.sha2(F.encode(normalised(text), "UTF-8"), 256))
     same = F.col(key).eqNullSafe(F.col("_xd_k")) & (F.col("_xd_hash") == F.col("_xd_h"))
     out = x.join(lost.filter("not kept").select("_xd_k", "_xd_h"), same, "left_anti")
     again = lost.filter("kept and rows > 1").select("_xd_k", "_xd_h")
     if not again.isEmpty():
         twice = out.join(again, same, "left_semi").dropDuplicates([key, "_xd_hash"])
         out = out.join(again, same, "left_anti").unionByName(twice)
-    return out.drop("_xd_hash")
+    return clear.unionByName(out.drop("_xd_hash"))

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import give_back, text_slices
+from quarry.llm.common import give_back, suspects, text_slices
 from quarry.llm.graph import components
 from quarry.session import materialize, shared_dir
 
@@ -413,7 +413,9 @@ def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text", percent:
     again = c.filter(f"`{key}` = component_id and n_shingles > 0").groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     lost, again = (materialize(x.select(F.col(key).alias("_xn_k")).distinct(), "jaccard-lost") for x in (lost, again))
     same = F.col(key).eqNullSafe(F.col("_xn_k"))
-    out = docs.join(lost, same, "left_anti")
+    x = suspects(docs, key, lost.unionByName(again).select(F.col("_xn_k").alias("_w")))
+    clear, x = (x.filter(c).select(*[F.col(f"`{n}`") for n in docs.columns]) for c in ("not _maybe", "_maybe"))
+    out = x.join(lost, same, "left_anti")
     if not again.isEmpty():
         out = out.join(again, same, "left_anti").unionByName(out.join(again, same, "left_semi").dropDuplicates([key]))
-    return out
+    return clear.unionByName(out)

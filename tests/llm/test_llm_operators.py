@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quarry.llm import exact_dedup, fingerprint, html_extract, language, lmscore, mixing, ngram_join, packing, quality, token_hist
-from quarry.llm.common import held_out, may_learn, tokenizer_path
+from quarry.llm.common import held_out, may_learn, suspects, tokenizer_path
 from quarry.session import materialize
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -40,6 +40,20 @@ def test_exact_groups(docs, nothing):
     assert exact_dedup.exact_groups(nothing).count() == 0
     kept = exact_dedup.drop_exact(docs)
     assert kept.columns == docs.columns and kept.count() == len(groups)
+    assert exact_dedup.drop_exact(nothing).count() == 0
+
+
+def test_suspects_miss_no_key(spark):
+    rows = spark.range(3000).selectExpr("case when id < 2990 then id end as k", "cast(id as string) as _word")
+    wanted = rows.filter("k % 7 = 0 or k is null").selectExpr("k as _w")
+    for bits in (1 << 8, 1 << 20):
+        got = suspects(rows, "k", wanted, bits)
+        assert got.columns == ["k", "_word", "_maybe"] and got.count() == 3000
+        assert got.filter("(k % 7 = 0 or k is null) and not _maybe").isEmpty()
+    assert got.filter("_maybe").count() < 500
+    short = rows.selectExpr("cast(k as int) as k", "_word")
+    assert suspects(short, "k", wanted).filter("k % 7 = 0 and not _maybe").isEmpty()
+    assert suspects(rows, "k", wanted.limit(0)).filter("_maybe").isEmpty()
 
 
 def test_pieces_and_packing(docs, nothing):
