@@ -41,31 +41,49 @@ def q_links(spark, sf):
 
 
 EMB_SQL = f"nullif(regexp_extract(html, {sql_str('(?s)' + fixed.EMBEDDED_JSON_PATTERN)}, 1), '')"
+# items of the embedded list; a list that is no valid JSON has none
+N_EMB_SQL = f"coalesce(CASE WHEN json_valid({EMB_SQL}) THEN json_array_length({EMB_SQL}) END, 0)"
+PP = V.press_pages_sql()
 
 
-@query("extract_embedded_json", f"SELECT page_id, CAST(coalesce(json_array_length({EMB_SQL}), 0) AS BIGINT) AS n_items FROM pages")
+@query(
+    "extract_embedded_json",
+    with_views(
+        f"SELECT page_id, CAST({N_EMB_SQL} AS BIGINT) AS n_items, CASE WHEN {N_EMB_SQL} > 0 THEN "
+        f"json_extract_string({EMB_SQL}, '$[0].id') END AS first_id FROM pp",
+        pp=PP,
+    ),
+)
 def q_embedded(spark, sf):
     """C2 embedded-JSON link list per page (bad or absent -> 0 items)"""
-    p = V.table(spark, sf, "pages")
-    return p.select("page_id", F.coalesce(F.size(C.embedded_links("html")), F.lit(0)).cast("bigint").alias("n_items"))
+    p = V.press_pages(spark, sf).select("page_id", C.embedded_links("html").alias("e"))
+    return p.select("page_id", F.coalesce(F.size("e"), F.lit(0)).cast("bigint").alias("n_items"), F.try_element_at("e", F.lit(1))["id"].alias("first_id"))
+
+
+N_DETAIL_SQL = f"len(regexp_extract_all(html, {sql_str(fixed.ARTICLE_LINK_PATTERN)}, 1))"
 
 
 @query(
     "link_fallback",
-    f"""SELECT page_id,
-          CASE WHEN coalesce(json_array_length({EMB_SQL}), 0) > 0 THEN 'embedded'
-               WHEN len(regexp_extract_all(html, {sql_str(LINK_PATTERN)}, 1)) > 0 THEN 'regex' ELSE 'none' END AS src,
-          CAST(CASE WHEN coalesce(json_array_length({EMB_SQL}), 0) > 0 THEN json_array_length({EMB_SQL})
-               ELSE len(regexp_extract_all(html, {sql_str(LINK_PATTERN)}, 1)) END AS BIGINT) AS n_links
-        FROM pages""",
+    with_views(
+        f"""SELECT page_id,
+          CASE WHEN page_id % 7 = 3 THEN 'js' WHEN {N_EMB_SQL} > 0 THEN 'embedded' WHEN {N_DETAIL_SQL} > 0 THEN 'regex' ELSE 'none' END AS src,
+          CAST(CASE WHEN page_id % 7 = 3 THEN 1 WHEN {N_EMB_SQL} > 0 THEN {N_EMB_SQL} ELSE {N_DETAIL_SQL} END AS BIGINT) AS n_links,
+          CASE WHEN page_id % 7 = 3 THEN 'T' || CAST(page_id AS VARCHAR) || 'EN'
+               WHEN {N_EMB_SQL} > 0 THEN json_extract_string({EMB_SQL}, '$[0].id')
+               ELSE list_extract(regexp_extract_all(html, {sql_str(fixed.ARTICLE_LINK_PATTERN)}, 1), 1) END AS first_id
+        FROM pp""",
+        pp=PP,
+    ),
 )
 def q_fallback(spark, sf):
-    """C3 link source chain: script result, embedded JSON, regex"""
-    p = V.table(spark, sf, "pages")
-    js = F.lit(None).cast(C.LINK_STRUCT)  # no browser result in a stored page table
-    chosen = C.link_fallback(js, C.embedded_links("html"), C.regex_links("html", LINK_PATTERN))
+    """C3 link source chain: script result (every seventh page), embedded JSON, default link pattern, none"""
+    p = V.press_pages(spark, sf)
+    live = F.struct(F.concat(F.lit("T"), F.col("page_id").cast("string"), F.lit("EN")).alias("id"), F.lit("live").alias("slug"))
+    js = F.when(F.col("page_id") % 7 == 3, F.array(live))
+    chosen = C.link_fallback(js, C.embedded_links("html"), C.regex_links("html"))
     return p.select("page_id", chosen.alias("c")).select(
-        "page_id", F.col("c.src").alias("src"), F.size("c.links").cast("bigint").alias("n_links")
+        "page_id", F.col("c.src").alias("src"), F.size("c.links").cast("bigint").alias("n_links"), F.try_element_at("c.links", F.lit(1))["id"].alias("first_id")
     )
 
 
@@ -313,28 +331,35 @@ def q_success(spark, sf):
     return P.page_success(markdown(spark, sf)).select("page_id")
 
 
-@query("attachment_url", with_views(f"SELECT page_id, {sql_attachment('markdown', 'html')} AS pdf_url FROM md", md=MD_SQL))
+PRESS_MD_SQL = f"SELECT page_id, url, html, {sql_html_to_text('html')} AS markdown FROM ({PP})"
+
+
+def press_markdown(spark, sf):
+    return V.press_pages(spark, sf).select("page_id", "url", "html", F.explode(F.array(P.html_to_text("html"))).alias("markdown"))
+
+
+@query("attachment_url", with_views(f"SELECT page_id, {sql_attachment('markdown', 'html')} AS pdf_url FROM md", md=PRESS_MD_SQL))
 def q_attach(spark, sf):
     """P3 attachment link from text, else HTML"""
-    return markdown(spark, sf).select("page_id", P.attachment_url("markdown", "html").alias("pdf_url"))
+    return press_markdown(spark, sf).select("page_id", P.attachment_url("markdown", "html").alias("pdf_url"))
 
 
-@query("strip_sections", with_views(f"SELECT page_id, {sql_strip_sections('markdown')} AS content FROM md", md=MD_SQL))
+@query("strip_sections", with_views(f"SELECT page_id, {sql_strip_sections('markdown')} AS content FROM md", md=PRESS_MD_SQL))
 def q_sections(spark, sf):
     """P4 trailing-section removal"""
-    return markdown(spark, sf).select("page_id", P.strip_sections("markdown").alias("content"))
+    return press_markdown(spark, sf).select("page_id", P.strip_sections("markdown").alias("content"))
 
 
-@query("page_title", with_views(f"SELECT page_id, {sql_title(sql_strip_sections('markdown'))} AS title FROM md", md=MD_SQL))
+@query("page_title", with_views(f"SELECT page_id, {sql_title(sql_strip_sections('markdown'))} AS title FROM md", md=PRESS_MD_SQL))
 def q_title(spark, sf):
     """P5 first '# ' heading after section removal"""
-    return markdown(spark, sf).select("page_id", P.page_title(P.strip_sections("markdown")).alias("title"))
+    return press_markdown(spark, sf).select("page_id", P.page_title(P.strip_sections("markdown")).alias("title"))
 
 
-@query("collapse_blank", with_views(f"SELECT page_id, {sql_collapse(sql_strip_sections('markdown'))} AS content FROM md", md=MD_SQL))
+@query("collapse_blank", with_views(f"SELECT page_id, {sql_collapse(sql_strip_sections('markdown'))} AS content FROM md", md=PRESS_MD_SQL))
 def q_collapse(spark, sf):
     """P6 blank-line collapse and strip"""
-    return markdown(spark, sf).select("page_id", P.collapse_blank(P.strip_sections("markdown")).alias("content"))
+    return press_markdown(spark, sf).select("page_id", P.collapse_blank(P.strip_sections("markdown")).alias("content"))
 
 
 @query("parse_pub_date", with_views(f"SELECT doc_id, {sql_pub_date('content')} AS date FROM dt", dt=V.dated_text_sql()))
@@ -349,10 +374,10 @@ ARTICLE_SQL = f"""SELECT url, {sql_title(sql_strip_sections('markdown'))} AS tit
     '{SCRAPED_AT}' AS scraped_at FROM md WHERE markdown IS NOT NULL AND length(markdown) > 0"""
 
 
-@query("article_record", with_views("SELECT * FROM a", md=MD_SQL, a=ARTICLE_SQL))
+@query("article_record", with_views("SELECT * FROM a", md=PRESS_MD_SQL, a=ARTICLE_SQL))
 def q_article(spark, sf):
     """P8 article record per page (P1..P7)"""
-    return P.article_records(V.table(spark, sf, "pages"), F.lit(SCRAPED_AT))
+    return P.article_records(V.press_pages(spark, sf), F.lit(SCRAPED_AT))
 
 
 # --------------------------------------------------------------- C12, C13
@@ -397,17 +422,15 @@ def q_upsert(spark, sf):
 @query(
     "index_lookup",
     with_views(
-        "SELECT n.id, CAST(coalesce(min(cat.idx), 0) AS BIGINT) AS idx FROM n LEFT JOIN cat "
-        f"ON cat.article_id = n.id GROUP BY n.id UNION ALL SELECT {AID}, CAST(min(idx) AS BIGINT) FROM cat WHERE scraped GROUP BY 1",
+        "SELECT i.id, CAST(coalesce(min(cat.idx), 0) AS BIGINT) AS idx FROM i LEFT JOIN cat ON cat.article_id = i.id GROUP BY i.id",
         cat=CAT,
         **_new_views(),
+        i=f"SELECT id FROM n UNION SELECT {AID} AS id FROM cat WHERE scraped",
     ),
 )
 def q_index_lookup(spark, sf):
-    """C13 catalog position of ids (new link ids miss -> 0; scraped rows hit)"""
+    """C13 catalog position of ids (new link ids miss -> 0; ids of scraped rows hit)"""
     cat = V.catalog(spark, sf)
-    new_part = C.index_lookup(new_links(spark, sf).select("id"), cat.select("article_id", "idx"), "id")
-    hit_part = cat.filter("scraped").groupBy(C.article_id_of("article_id", "url").alias("id")).agg(
-        F.min("idx").cast("bigint").alias("idx")
-    )
-    return new_part.select("id", "idx").unionByName(hit_part)
+    known = cat.filter("scraped").select(C.article_id_of("article_id", "url").alias("id"))
+    items = new_links(spark, sf).select("id").unionByName(known).distinct()
+    return C.index_lookup(items, cat.select("article_id", "idx"), "id").select("id", "idx")

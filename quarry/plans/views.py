@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions import fixed
 from quarry.functions.regex import sql_str
 
 
@@ -86,6 +87,56 @@ def press_documents_sql() -> str:
     FROM documents"""
 
 
+# -------------------------------------------------------------- press pages
+ATTACHMENT_BASE = fixed.ARTICLE_URL_BASE.replace("/detail/", "/attachment/")
+SECTION_TITLES = ["Press Contact.", "Author.", "Downloads.", "This article in other PressClubs", "Article Offline Attachments.", "Article Media Material."]
+
+
+def press_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pages whose html ends in press furniture, by ``page_id``.
+
+    A good, a broken or no embedded link list; a detail link; an attachment
+    link as text or only in an attribute; one of the six page sections; a
+    date in one of three forms. All rows and all of the html are kept.
+    """
+    p = table(spark, sf_dir, "pages")
+    pid = F.col("page_id")
+    n = pid.cast("string")
+    say = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    none = F.lit("")
+    listed = F.when(pid % 5 == 0, say('<script>window.collectedArticles = [{"id":"T', n, 'EN","slug":"one"},{"id":"T', n, '1EN","slug":"two"}];</script>'))
+    listed = listed.when(pid % 5 == 1, say('<script>window.collectedArticles = [{"id":"T', n, 'EN",];</script>')).otherwise(none)
+    linked = F.when(pid % 3 == 0, say('<p><a href="/global/article/detail/T', n, 'EN/slug?x=1">more</a></p>')).otherwise(none)
+    url = say(ATTACHMENT_BASE, "T", n, "EN/", n)
+    attached = F.when(pid % 4 == 0, say("<h3>", url, "</h3>")).when(pid % 4 == 1, say('<a href="', url, '"></a>')).otherwise(none)
+    day, month = (pid % 28 + 1).cast("string"), F.element_at(F.array(*[F.lit(m) for m in _MONTH_NAMES]), (pid % 12 + 1).cast("int"))
+    dated = F.when(pid % 4 == 0, say("<h3>", day, " ", month, " 2024</h3>")).when(pid % 4 == 1, say("<h3>", day, ".", (pid % 13 + 1).cast("string"), ".2024</h3>"))
+    dated = dated.when(pid % 4 == 2, say("<h3>", month, " ", day, ", 2024</h3>")).otherwise(none)
+    title = F.element_at(F.array(*[F.lit(t) for t in SECTION_TITLES]), (pid % 6 + 1).cast("int"))
+    section = say("<h4>", title, "</h4><p>", F.repeat(F.lit("call the desk "), 20), n, "</p><h5>after the section</h5>")
+    return p.withColumn("html", F.concat("html", listed, linked, attached, dated, section))
+
+
+def press_pages_sql() -> str:
+    n = "CAST(page_id AS VARCHAR)"
+    url = f"{sql_str(ATTACHMENT_BASE)} || 'T' || {n} || 'EN/' || {n}"
+    names = lambda xs: "[" + ", ".join(sql_str(x) for x in xs) + "]"
+    day, month = "CAST(page_id % 28 + 1 AS VARCHAR)", f"list_extract({names(_MONTH_NAMES)}, CAST(page_id % 12 + 1 AS INTEGER))"
+    return f"""
+    SELECT page_id, url, html
+      || CASE page_id % 5
+           WHEN 0 THEN '<script>window.collectedArticles = [{{"id":"T' || {n} || 'EN","slug":"one"}},{{"id":"T' || {n} || '1EN","slug":"two"}}];</script>'
+           WHEN 1 THEN '<script>window.collectedArticles = [{{"id":"T' || {n} || 'EN",];</script>' ELSE '' END
+      || CASE WHEN page_id % 3 = 0 THEN '<p><a href="/global/article/detail/T' || {n} || 'EN/slug?x=1">more</a></p>' ELSE '' END
+      || CASE page_id % 4 WHEN 0 THEN '<h3>' || {url} || '</h3>' WHEN 1 THEN '<a href="' || {url} || '"></a>' ELSE '' END
+      || CASE page_id % 4 WHEN 0 THEN '<h3>' || {day} || ' ' || {month} || ' 2024</h3>'
+           WHEN 1 THEN '<h3>' || {day} || '.' || CAST(page_id % 13 + 1 AS VARCHAR) || '.2024</h3>'
+           WHEN 2 THEN '<h3>' || {month} || ' ' || {day} || ', 2024</h3>' ELSE '' END
+      || '<h4>' || list_extract({names(SECTION_TITLES)}, CAST(page_id % 6 + 1 AS INTEGER)) || '</h4><p>'
+      || repeat('call the desk ', 20) || {n} || '</p><h5>after the section</h5>' AS html
+    FROM pages"""
+
+
 # ------------------------------------------------------------------ catalog
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pages as an article catalog: idx, article_id, url, title, date, pdf_url, scraped.
