@@ -267,8 +267,8 @@ def q_sink_splits(spark, sf):
 @query("sink_jsonl", PREPARED_SQL)
 def q_sink_jsonl(spark, sf):
     """S9 JSON lines per split (nulls kept), read back"""
-    path = S.write_jsonl(prepared_no_filter(spark, sf), shared_dir(spark, "jsonl"))
-    return spark.read.json(path)
+    examples = prepared_no_filter(spark, sf)
+    return spark.read.schema(examples.schema).json(S.write_jsonl(examples, shared_dir(spark, "jsonl")))
 
 
 @query(
@@ -282,7 +282,7 @@ def q_sink_rejects(spark, sf):
     _, rej = filtered_phase(spark, sf)
     path = shared_dir(spark, "rejects")
     S.write_rejects(rej, path, "run-1")
-    return spark.read.json(path)
+    return spark.read.schema(rej.withColumn("run_id", F.lit("")).schema).json(path)
 
 
 @query(
@@ -298,7 +298,7 @@ def q_sink_rejects(spark, sf):
 def q_sink_summary(spark, sf):
     """S11 one-row run summary as a single JSON file"""
     summary = T.run_summary(prepared_no_filter(spark, sf), "instruct", llm_filtered=False)
-    return spark.read.json(S.write_summary(summary, shared_dir(spark, "summary")))
+    return spark.read.schema(summary.schema).json(S.write_summary(summary, shared_dir(spark, "summary")))
 
 
 # ------------------------------------------------------------------- I1

@@ -25,8 +25,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
     )
+    if (master or "").startswith("local"):  # on a cluster spark-submit sets it
+        builder = builder.config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
@@ -34,11 +35,26 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def is_local(master: str) -> bool:
+    """True where driver and executors are one process, so that a local folder is a shared one."""
+    return master == "local" or master.startswith("local[")
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme that Spark itself would use for it, in the form ``pyarrow.fs`` reads."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    full = p.getFileSystem(conf).makeQualified(p).toString()
+    return "file://" + full[len("file:") :] if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def _checkpoint_base(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a folder is created and
-    registered, so that ``DataFrame.checkpoint`` and phase outputs work.
+    Only when a local session has none (tests) a folder is created and
+    registered, so that ``DataFrame.checkpoint`` and phase outputs work. On a
+    cluster a missing setting is an error: a machine-local folder would lose
+    what the executors write.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
@@ -51,6 +67,8 @@ def _checkpoint_base(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not is_local(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="quarry-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.discover import CATALOG_SCHEMA
+from quarry.session import qualified
 
 SCRAPED_SCHEMA = "url string, title string, date string, pdf_url string, content string, scraped_at string"
 
@@ -46,18 +47,24 @@ def read_catalog_json_array(spark: SparkSession, path: str) -> DataFrame:
     An element's ``idx`` is used when present, else its array position. A
     JSON array is one document, so each file is parsed by one task; large
     catalogs should be written as JSON lines (``write_catalog``) or as
-    several array files (``write_catalog_json_arrays``).
+    several array files (``write_catalog_json_arrays``). A file that holds no
+    JSON array is an error, not an empty catalog.
     """
     fields = "idx:bigint,article_id:string,url:string,title:string,date:string,pdf_url:string,scraped:boolean,scraped_at:string"
     raw = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     arr = F.from_json("value", f"array<struct<{fields}>>")
-    x = raw.select(F.posexplode(arr).alias("pos", "a"))
+    bad = F.raise_error(F.concat(F.lit("no JSON array: "), F.col("_metadata.file_path")))
+    x = raw.select(F.posexplode(F.coalesce(arr, bad)).alias("pos", "a"))
     return x.select(F.coalesce(F.col("a.idx"), F.col("pos").cast("bigint")).alias("idx"), "a.article_id", "a.url",
                     "a.title", "a.date", "a.pdf_url", "a.scraped", "a.scraped_at")
 
 
 def write_catalog_json_arrays(catalog: DataFrame, directory: str) -> str:
-    """Catalog as JSON array files, one per partition, written by the executors."""
+    """Catalog as JSON array files, one per partition, written by the executors.
+
+    A path without scheme lies where Spark would look for it.
+    """
+    directory = qualified(catalog.sparkSession, directory)
 
     def run(rows: Iterator) -> None:
         import json
@@ -91,7 +98,11 @@ def read_scraped(spark: SparkSession, path: str) -> DataFrame:
 
 # --------------------------------------------------- S5 and file writers
 def write_files(df: DataFrame, directory: str, name: str, content: str) -> str:
-    """Write one file per row (``name`` -> bytes or text) from the executors."""
+    """Write one file per row (``name`` -> bytes or text) from the executors.
+
+    A path without scheme lies where Spark would look for it.
+    """
+    directory = qualified(df.sparkSession, directory)
 
     def run(rows: Iterator) -> None:
         from pyarrow import fs
