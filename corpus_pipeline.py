@@ -27,8 +27,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each component of documents with likeness 0.9 or more."""
-    return ngram_join.drop_near(docs)
+    """Keeps the smallest doc_id of each component of documents whose five-word likeness is 0.8 or more."""
+    return ngram_join.drop_near(docs, percent=80, width=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
