@@ -5,8 +5,9 @@ the open sequence, or a new one, after which the squared counts of open
 sequences per residual gap add up to the least. Pieces are spread over
 shards by hash, each shard packed on its own in decreasing length; what a
 shard leaves in poorly filled sequences is packed again in fewer shards, until
-one shard's worth is left, so that no task holds more than a fixed number of
-pieces and the number of sequences stays near the lower bound.
+one shard's worth is left or a round dissolves nearly all it was given, so
+that no task holds more than a fixed number of pieces (on average) and the
+number of sequences stays near the lower bound.
 """
 
 from __future__ import annotations
@@ -132,15 +133,17 @@ def pack(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = 4096, full
     Ties and repeated rows are spread by a hash of the whole piece; a piece
     of full length is a sequence by itself. Every round packs shards of about
     ``shard_pieces``; sequences filled below ``full`` are dissolved into the
-    next round, which has fewer shards. Ends when one shard is left.
+    next round, which has fewer shards. Ends when one shard is left, or with
+    a round in which every shard keeps its sequences, once a round has
+    dissolved nine tenths of its pieces or more.
     """
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
     done: list[DataFrame] = []
-    rest, level = pieces, 0
+    rest, level, stuck = pieces, 0, False
     n = rest.count()
     while True:
         shards = max(1, -(-n // shard_pieces))
-        last = shards == 1
+        last = stuck or shards == 1
 
         out = rest.withColumn("_shard", F.pmod(F.xxhash64("tie", "piece", F.lit(level)), F.lit(shards)))
         out = out.groupBy("_shard").applyInArrow(_packer(capacity, level, last, full), schema + ", sequence_id bigint, offset bigint, kept boolean")
@@ -152,8 +155,8 @@ def pack(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = 4096, full
         n_next = rest.count()
         if n_next == 0:
             break
-        # a round that dissolves nearly all keeps what it has in the next one
-        n, level = (n_next, level + 1) if n_next < 0.9 * n else (min(n_next, shard_pieces), level + 1)
+        # after a round that dissolves nearly all, every shard keeps what it has
+        stuck, n, level = n_next >= 0.9 * n, n_next, level + 1
     res = done[0]
     for d in done[1:]:
         res = res.unionByName(d)

@@ -2,7 +2,11 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from quarry.llm import packing
+from quarry.session import materialize
 
 
 def test_pipeline_drops_near_copies_edited_in_two_percent(spark):
@@ -15,3 +19,13 @@ def test_pipeline_drops_near_copies_edited_in_two_percent(spark):
     assert like(words, edited, 5) >= 0.8 and like(words, edited, 3) < 0.9 and like(words, apart, 5) < 0.8
     docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(edited)), (3, " ".join(apart))], "doc_id bigint, text string")
     assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == [1, 3]
+
+
+def test_packing_pieces_that_never_fit_stay_in_their_shards(spark):
+    pieces = spark.range(640).select(
+        F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("bigint").alias("start"), F.lit(1300).cast("bigint").alias("length"), F.lit(0).cast("bigint").alias("ids_crc32"), F.xxhash64("id").alias("tie")
+    )
+    got = packing.pack(materialize(pieces), shard_pieces=64)
+    assert got.count() == got.select("sequence_id").distinct().count() == got.select("doc_id").distinct().count() == 640
+    shards = got.groupBy(F.shiftright("sequence_id", 24).alias("shard")).count().collect()
+    assert len(shards) == 10 and max(r["count"] for r in shards) < 128
