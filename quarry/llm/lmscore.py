@@ -1,8 +1,8 @@
 """Language-model scoring with a log-frequency Bloom filter (operator 10).
 
-The filter holds, for every bigram of the training tokens seen at least
-``min_count`` times, the pairs (bigram, 1) .. (bigram, q), q = floor(log2 of
-its count). A look-up probes level after level until one is missing, which
+The filter holds, for every bigram of the training tokens, the pairs
+(bigram, 1) .. (bigram, q), q = 1 + floor(log2 of its count), so that one seen
+once has a level too. A look-up probes level after level until one is missing, which
 gives the quantised count back. Bigrams are counted in shards by hash, each
 shard makes its own part of the filter, and the parts are broadcast: all at
 once while they are small enough, else in several passes over the texts,
@@ -128,7 +128,7 @@ def filter_parts(texts: DataFrame, shards: int, bits_per_entry: int, min_count:
         u, c = np.unique(np.frombuffer(b"".join(t.column("hashes").to_pylist()), np.uint64), return_counts=True)
         once, twice = int((c == 1).sum()), int((c == 2).sum())
         u, c = u[c >= min_count], c[c >= min_count]
-        levels = np.floor(np.log2(c)).astype(np.int64) if len(c) else np.zeros(0, np.int64)
+        levels = 1 + np.floor(np.log2(c)).astype(np.int64) if len(c) else np.zeros(0, np.int64)
         size = max(64, int(levels.sum()) * bits_per_entry)
         bits = np.zeros(-(-size // 8), np.uint8)
         for level in range(1, int(levels.max()) + 1 if len(levels) else 1):
@@ -184,7 +184,7 @@ def score(
     learn,
     key: str = "doc_id",
     text: str = "text",
-    min_count: int = 2,
+    min_count: int = 1,
     bits_per_entry: int = 16,
     frequent: int = 1 << 17,
     segment_bytes: int = 96 << 20,
@@ -196,7 +196,7 @@ def score(
     log10((c + 1) / (N + V + 1)) over the tokens, c being a token's exact
     training count, N all tokens and V the distinct ones. score backs off
     with an absolute discount D = n1 / (n1 + 2 n2) from the numbers of
-    bigrams seen once and twice: a bigram in the filter has probability
+    bigrams seen once and twice (n2 at least 1): a bigram in the filter has probability
     (m - D) / c(before), m being the mean count of its level; any other has
     its token's base probability times the share that histories of that count
     leave (bigrams not in the filter, and the discounts), measured over all
@@ -225,9 +225,10 @@ def score(
     parts = materialize(filter_parts(texts, shards, bits_per_entry, min_count), "lm-filter")
     sizes = {r["shard"]: r["size"] // 8 + 1 for r in parts.select("shard", "size").collect()}
     seen = parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("once", "twice")]).first()
-    discount = seen["once"] / (seen["once"] + 2 * seen["twice"]) if seen["once"] else 0.5
+    # below 1, so that bigrams seen once keep a share where none is seen twice
+    discount = seen["once"] / (seen["once"] + 2 * max(seen["twice"], 1)) if seen["once"] else 0.5
     by_level = parts.select(F.posexplode("level_n").alias("q", "n"), "level_c").groupBy("q").agg(F.sum("n").alias("n"), F.sum(F.get("level_c", F.col("q"))).alias("c"))
-    mean = [float(2**q) for q in range(64)]
+    mean = [1.0, *(float(2**q) for q in range(63))]
     for r in by_level.filter("n > 0").collect():  # at most 64 rows
         mean[r["q"]] = r["c"] / r["n"]
     segments: list[list[int]] = [[]]

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import packing
+from quarry.llm import lmscore, packing
 from quarry.session import materialize
 
 
@@ -29,3 +29,25 @@ def test_packing_pieces_that_never_fit_stay_in_their_shards(spark):
     assert got.count() == got.select("sequence_id").distinct().count() == got.select("doc_id").distinct().count() == 640
     shards = got.groupBy(F.shiftright("sequence_id", 24).alias("shard")).count().collect()
     assert len(shards) == 10 and max(r["count"] for r in shards) < 128
+
+
+def test_bigrams_learnt_once_count(spark):
+    rnd = random.Random(5)
+    pool = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rnd.sample(pool, 20)) for _ in range(300)]
+    seen = {p for t in texts for p in zip(t.split(), t.split()[1:], strict=False)}
+    new = []
+    while len(new) < 60:  # the same words, in pairs never learnt
+        ws = rnd.sample(pool, 20)
+        if seen.isdisjoint(zip(ws, ws[1:], strict=False)):
+            new.append(" ".join(ws))
+    df = spark.createDataFrame([(i, t, i < 300) for i, t in enumerate(texts + new)], "doc_id bigint, text string, l boolean")
+    got = {r["doc_id"]: r["score"] - r["base_score"] for r in lmscore.score(df, F.col("l")).collect()}
+    pairs = lambda t: list(zip(t.split(), t.split()[1:], strict=False))
+    times = {}
+    for t in texts:
+        for p in pairs(t):
+            times[p] = times.get(p, 0) + 1
+    # texts of pairs learnt once each gain over the same words in pairs never learnt
+    single = [i for i, t in enumerate(texts) if all(times[p] == 1 for p in pairs(t))]
+    assert len(single) > 10 and sum(got[i] for i in single) / len(single) > 3 + sum(got[i] for i in range(300, 360)) / 60
