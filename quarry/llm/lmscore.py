@@ -2,12 +2,12 @@
 
 The filter holds, for every bigram of the training tokens, the pairs
 (bigram, 1) .. (bigram, q), q = 1 + floor(log2 of its count), so that one seen
-once has a level too. A look-up probes level after level until one is missing, which
-gives the quantised count back. Bigrams are counted in shards by hash, each
-shard makes its own part of the filter, and the parts are broadcast: all at
-once while they are small enough, else in several passes over the texts,
-each with a bounded segment; a token's score needs one part only, so
-passes add up to the same result.
+once has a level too. A look-up probes level after level until one is missing,
+which gives the quantised count back. Bigrams are counted per slice of a task,
+then summed in shards by hash, each shard makes its own part of the filter,
+and the parts are broadcast: all at once while they are small enough, else in
+several passes over the texts, each with a bounded segment; a token's score
+needs one part only, so passes add up to the same result.
 
 Unigram counts are exact: frequent tokens are broadcast (a bounded number),
 the others are joined.
@@ -100,32 +100,47 @@ def probe_places(keys, level: int, size):
         yield (a + np.uint64(i) * b) % size
 
 
-def filter_parts(texts: DataFrame, shards: int, bits_per_entry: int, min_count: int) -> DataFrame:
-    """(shard, size, bits, once, twice, level_n, level_c): one part of the filter per shard, ``size`` bits each.
-
-    once/twice: bigrams seen so often; level_n/level_c: bigrams per level and
-    the sum of their counts.
-    """
+def bigram_counts(texts: DataFrame, shards: int, slice_tokens: int = 2_000_000) -> DataFrame:
+    """(shard, hash, c): the bigrams of about ``slice_tokens`` tokens of a task at a time, each once with its count."""
 
-    def deal(batches: Iterator) -> Iterator:
+    def counted(held: list) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
+        u, c = np.unique(np.concatenate(held), return_counts=True)
+        for i in range(0, len(u), 1 << 17):
+            h = u[i : i + (1 << 17)]
+            cols = [pa.array((h % np.uint64(shards)).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(c[i : i + (1 << 17)].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(cols, ["shard", "hash", "c"])
+
+    def run(batches: Iterator) -> Iterator:
+        held, n = [], 0
         for b in batches:
             for _, part in text_slices(b.column(0), 3_000_000):
-                h = bigram_hashes(*token_stream(part))
-                shard = (h % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                h, cuts = h[order], np.searchsorted(shard[order], np.arange(shards + 1))
-                some = [s for s in range(shards) if cuts[s] < cuts[s + 1]]
-                blobs = [h[cuts[s] : cuts[s + 1]].tobytes() for s in some]
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "hashes"])
+                held.append(bigram_hashes(*token_stream(part)))
+                n += len(held[-1])
+                if n >= slice_tokens:
+                    yield from counted(held)
+                    held, n = [], 0
+        if held:
+            yield from counted(held)
+
+    return texts.mapInArrow(run, "shard int, hash bigint, c bigint")
+
+
+def filter_parts(texts: DataFrame, shards: int, bits_per_entry: int, min_count: int) -> DataFrame:
+    """(shard, size, bits, once, twice, level_n, level_c): one part of the filter per shard, ``size`` bits each.
+
+    once/twice: bigrams seen so often; level_n/level_c: bigrams per level and
+    the sum of their counts. Only counts move, and a group holds every bigram
+    once however frequent it is.
+    """
 
     def build(key, t):
         import numpy as np
         import pyarrow as pa
 
-        u, c = np.unique(np.frombuffer(b"".join(t.column("hashes").to_pylist()), np.uint64), return_counts=True)
+        u, c = t.column("hash").to_numpy().view(np.uint64), t.column("c").to_numpy()
         once, twice = int((c == 1).sum()), int((c == 2).sum())
         u, c = u[c >= min_count], c[c >= min_count]
         levels = 1 + np.floor(np.log2(c)).astype(np.int64) if len(c) else np.zeros(0, np.int64)
@@ -140,7 +155,10 @@ def filter_parts(texts: DataFrame, shards: int, bits_per_entry: int, min_count:
             {"shard": one(key[0].as_py(), pa.int32()), "size": one(size, pa.int64()), "bits": one(bits.tobytes(), pa.binary()), "once": one(once, pa.int64()), "twice": one(twice, pa.int64()), "level_n": per(None), "level_c": per(c)}
         )
 
-    return texts.mapInArrow(deal, "shard int, hashes binary").groupBy("shard").applyInArrow(
+    # one shuffle by shard serves the sums and the groups
+    width = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sums = bigram_counts(texts, shards).repartition(width, "shard").groupBy("shard", "hash").agg(F.sum("c").alias("c"))
+    return sums.groupBy("shard").applyInArrow(
         build, "shard int, size bigint, bits binary, once bigint, twice bigint, level_n array<bigint>, level_c array<bigint>"
     )
 

@@ -51,3 +51,14 @@ def test_bigrams_learnt_once_count(spark):
     # texts of pairs learnt once each gain over the same words in pairs never learnt
     single = [i for i, t in enumerate(texts) if all(times[p] == 1 for p in pairs(t))]
     assert len(single) > 10 and sum(got[i] for i in single) / len(single) > 3 + sum(got[i] for i in range(300, 360)) / 60
+
+
+def test_frequent_bigrams_are_counted_before_they_move(spark):
+    df = spark.createDataFrame([("so it " * 50_000,), ("so it goes",)] * 4, "t string").repartition(2)
+    moved = lmscore.bigram_counts(df, 3)
+    assert moved.count() <= 2 * 8  # two tasks; start-so, so-it, it-so, it-END, it-goes, goes-END
+    assert moved.agg(F.sum("c")).first()[0] == 4 * (100_001 + 4)
+    parts = lmscore.filter_parts(df, 3, 16, 1)
+    levels = parts.select(F.posexplode("level_c").alias("q", "c")).groupBy("q").agg(F.sum("c").alias("c")).filter("c > 0").collect()
+    # counts: start-so 8, so-it 200,004, it-so 199,996, it-END, it-goes and goes-END 4
+    assert {r["q"]: r["c"] for r in levels} == {3: 12, 4: 8, 18: 400_000}
