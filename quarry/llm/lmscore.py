@@ -90,6 +90,24 @@ def token_totals(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "token string, c bigint").groupBy("token").agg(F.sum("c").alias("c"))
 
 
+def broadcast_from(vocab: DataFrame, frequent: int) -> int:
+    """A count that at most ``frequent`` tokens reach, as low as the classes of counts allow.
+
+    Each count below 4,096 is a class, and from there on each power of two,
+    so the driver sees at most 4,147 rows. Where the top class alone is too
+    large, no token reaches the result.
+    """
+    power = F.expr("shiftleft(1L, length(bin(c)) - 1)")
+    per = vocab.groupBy(F.when(F.col("c") < 1 << 12, F.col("c")).otherwise(power).alias("c")).agg(F.count(F.lit(1)).alias("k"))
+    least, held = (1 << 63) - 1, 0
+    for r in per.orderBy(F.desc("c")).collect():
+        held += r["k"]
+        if held > frequent:
+            break
+        least = r["c"]
+    return least
+
+
 def probe_places(keys, level: int, size):
     """HASHES bit places below ``size`` for (key, level), by double hashing."""
     import numpy as np
@@ -228,13 +246,7 @@ def score(
     tot = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(tot["n"]), int(tot["v"])
     n_texts = texts.count()
-    # the count from which at most ``frequent`` tokens are left; one row per distinct count below it
-    by_count = vocab.groupBy(F.least("c", F.lit(1 << 12)).alias("c")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("c")).collect()
-    least, held = (1 << 12) + 1, 0
-    for r in by_count:
-        if held + r["k"] > frequent:
-            break
-        least, held = r["c"], held + r["k"]
+    least = broadcast_from(vocab, frequent)
     top = vocab.filter(F.col("c") >= least).toArrow()
     common = spark.sparkContext.broadcast(dict(zip(top.column("token").to_pylist(), top.column("c").to_pylist(), strict=True)))
     rare = vocab.filter(F.col("c") < least)

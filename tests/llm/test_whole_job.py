@@ -62,3 +62,15 @@ def test_frequent_bigrams_are_counted_before_they_move(spark):
     levels = parts.select(F.posexplode("level_c").alias("q", "c")).groupBy("q").agg(F.sum("c").alias("c")).filter("c > 0").collect()
     # counts: start-so 8, so-it 200,004, it-so 199,996, it-END, it-goes and goes-END 4
     assert {r["q"]: r["c"] for r in levels} == {3: 12, 4: 8, 18: 400_000}
+
+
+def test_broadcast_tokens_stay_within_their_bound(spark):
+    counts = [1] * 9 + [4095] * 3 + [4096, 5000, 8191, 8192, 70_000, 1 << 40]
+    vocab = spark.createDataFrame([(f"w{i}", c) for i, c in enumerate(counts)], "token string, c bigint")
+    for most, least in ((18, 1), (17, 4095), (9, 4095), (8, 4096), (5, 8192), (2, 1 << 16), (1, 1 << 40)):
+        assert lmscore.broadcast_from(vocab, most) == least
+    assert vocab.filter(F.col("c") >= lmscore.broadcast_from(vocab, 0)).count() == 0
+    # scores do not depend on it, even where all broadcast tokens would be very frequent
+    texts = spark.createDataFrame([(i, "a b c " * 3000, True) for i in range(2)], "doc_id bigint, text string, l boolean")
+    few, all_of = (lmscore.score(texts, F.col("l"), frequent=n).first() for n in (2, 100))
+    assert few["n_known"] == all_of["n_known"] == 9001 and abs(few["base_score"] - all_of["base_score"]) < 1e-6
