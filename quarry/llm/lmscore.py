@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import text_slices
+from quarry.llm.common import give_back, text_slices
 from quarry.llm.ngram_join import mix64
 from quarry.session import materialize
 
@@ -86,6 +86,7 @@ def token_totals(texts: DataFrame) -> DataFrame:
                 c = np.bincount(at, minlength=len(words))
                 some = np.flatnonzero(c)
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()).take(pa.array(some)), pa.array(c[some])], ["token", "c"])
+        give_back()
 
     return texts.mapInArrow(run, "token string, c bigint").groupBy("token").agg(F.sum("c").alias("c"))
 
@@ -142,6 +143,8 @@ def bigram_counts(texts: DataFrame, shards: int, slice_tokens: int = 2_000_000)
                     held, n = [], 0
         if held:
             yield from counted(held)
+        del held
+        give_back()
 
     return texts.mapInArrow(run, "shard int, hash bigint, c bigint")
 
@@ -169,12 +172,13 @@ def filter_parts(texts: DataFrame, shards: int, bits_per_entry: int, min_count:
                 np.bitwise_or.at(bits, (p >> np.uint64(3)).astype(np.int64), (1 << (p & np.uint64(7))).astype(np.uint8))
         per = lambda w: pa.array([np.bincount(levels, weights=w, minlength=64).astype(np.int64)], pa.list_(pa.int64()))
         one = lambda x, t: pa.array([x], t)
+        give_back()
         return pa.table(
             {"shard": one(key[0].as_py(), pa.int32()), "size": one(size, pa.int64()), "bits": one(bits.tobytes(), pa.binary()), "once": one(once, pa.int64()), "twice": one(twice, pa.int64()), "level_n": per(None), "level_c": per(c)}
         )
 
-    # one shuffle by shard serves the sums and the groups
-    width = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # one shuffle by shard serves the sums and the groups; wide enough that few shards share a task
+    width = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * shards)
     sums = bigram_counts(texts, shards).repartition(width, "shard").groupBy("shard", "hash").agg(F.sum("c").alias("c"))
     return sums.groupBy("shard").applyInArrow(
         build, "shard int, size bigint, bits binary, once bigint, twice bigint, level_n array<bigint>, level_c array<bigint>"
@@ -370,6 +374,7 @@ def _partial(rows: DataFrame, common, parts, shards: int, n: int, v: int, n_text
                 if len(u):
                     token = pa.array(words, pa.string()).take(pa.array(u % kinds))
                     yield _rows(len(u), {"r": own_ids.take(pa.array(u // kinds)), "token": token, "tf": tf, "tf_backed": tf_backed, "tf_before": tf_before})
+        give_back()
 
     return rows.select("k", "r", "t", "l").mapInArrow(run, ", ".join(f"{c} {t}" for c, t in PARTIAL.items()))
 
