@@ -129,6 +129,25 @@ def block_keys(s, percent: int, ends):
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
+def packed_point(s) -> bytes:
+    """Group counts of a set: 16 bits each, or 32 where one of them needs more."""
+    import numpy as np
+
+    c = np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+    return c.astype("<u2" if c.max() <= 65535 else "<u4").tobytes()
+
+
+def unpacked_points(raws: list):
+    """Points as ``packed_point`` gives them, one per row, 32 bits a coordinate."""
+    import numpy as np
+
+    out = np.empty((len(raws), GROUPS), np.uint32)
+    wide = np.array([len(r) > 2 * GROUPS for r in raws], bool)
+    for kind, rows in (("<u2", np.flatnonzero(~wide)), ("<u4", np.flatnonzero(wide))):
+        out[rows] = np.frombuffer(b"".join(raws[i] for i in rows), kind).reshape(-1, GROUPS)
+    return out
+
+
 def shingle_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 90, width: int = 3) -> DataFrame:
     """(id, cls, n, point, shingles, blocks): one row per document.
 
@@ -158,7 +177,7 @@ def shingle_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
                         blocks.append(None)
                         continue
                     cls.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True))
-                    point.append(np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).clip(max=65535).astype("<u2").tobytes())
+                    point.append(packed_point(s))
                     kept.append(np.sort(s >> np.uint64(64 - SET_BITS)).view(np.uint8).reshape(-1, 8)[:, : SET_BITS // 8].tobytes())
                     blocks.append(block_keys(s, percent, ends).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
@@ -223,7 +242,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for t in batches:
             if not t.num_rows:
                 continue
-            p = [np.frombuffer(b"".join(t.column(c).to_pylist()), "<u2").reshape(-1, GROUPS) for c in ("p_a", "p_b")]
+            p = [unpacked_points(t.column(c).to_pylist()) for c in ("p_a", "p_b")]
             need = enough(t.column("n_a").to_numpy(), t.column("n_b").to_numpy(), percent)
             yield t.select(["a", "b"]).filter(pa.array(np.minimum(*p).sum(axis=1, dtype=np.int64) >= need))
 
@@ -320,7 +339,7 @@ def tree_pairs(members: DataFrame, percent: int, part_rows: int = 4096) -> DataF
 
         block, lo, hi, own = (table.column(c).to_numpy() for c in ("block", "_lo", "_hi", "_i"))
         cls, comp, n = (table.column(c).to_numpy() for c in ("cls", "comp", "n"))
-        pts = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u2").reshape(-1, GROUPS).astype(np.int32)
+        pts = unpacked_points(table.column("point").to_pylist()).astype(np.int32)
         order = np.lexsort((hi, lo, block))
         key = np.stack([block, lo, hi], axis=1)[order]
         cuts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))

@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import lmscore, packing
+from quarry.llm import lmscore, ngram_join, packing
 from quarry.session import materialize
 
 
@@ -74,3 +75,16 @@ def test_broadcast_tokens_stay_within_their_bound(spark):
     texts = spark.createDataFrame([(i, "a b c " * 3000, True) for i in range(2)], "doc_id bigint, text string, l boolean")
     few, all_of = (lmscore.score(texts, F.col("l"), frequent=n).first() for n in (2, 100))
     assert few["n_known"] == all_of["n_known"] == 9001 and abs(few["base_score"] - all_of["base_score"]) < 1e-6
+
+
+def test_points_of_very_large_groups_prune_no_link(spark):
+    big = np.arange(200_000, dtype=np.uint64) * np.uint64(ngram_join.GROUPS << 16)  # all in one group
+    sets = {1: big, 2: big[1000:], 3: big[100_000:], 4: np.arange(200_000, dtype=np.uint64) << np.uint64(16)}
+    kept = lambda s: (s >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    df = spark.createDataFrame([(c, len(s), bytearray(ngram_join.packed_point(s)), bytearray(kept(s))) for c, s in sets.items()], "cls bigint, n bigint, point binary, shingles binary")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (1, 4)], "a bigint, b bigint")
+    assert [tuple(r) for r in ngram_join.verified(pairs, df, 90).collect()] == [(1, 2)]
+    members = df.select(F.lit(1).cast("bigint").alias("block"), "cls", F.col("cls").alias("comp"), "n", "point")
+    assert (1, 2) in {(r["a"], r["b"]) for r in ngram_join.tree_pairs(members, 90).collect()}
+    small = ngram_join.packed_point(np.arange(500, dtype=np.uint64))
+    assert len(small) == 2 * ngram_join.GROUPS and (ngram_join.unpacked_points([small, ngram_join.packed_point(big)]).sum(axis=1) == [500, 200_000]).all()
