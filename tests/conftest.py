@@ -10,9 +10,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
@@ -30,30 +27,3 @@ def spark():
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
-
-
-def one(spark, expr, **cols):
-    """Evaluate a column expression over a one-row DataFrame of string columns."""
-    names = list(cols)
-    df = spark.createDataFrame([tuple(cols[n] for n in names)], ", ".join(f"{n} string" for n in names))
-    return df.select(expr.alias("r")).first()["r"]
-
-
-MOCK_PDF_CONTENT = """
-    CORPORATE COMMUNICATIONS
-
-    Media Information
-    01 January 2024
-
-    The New BMW Model
-
-    Munich. This is a paragraph about the new model.
-    It breaks across lines.
-
-    Media Contact.
-    Name
-    Phone: +49 123 456
-
-    The BMW Group
-    With its four brands BMW, MINI, Rolls-Royce and BMW Motorrad...
-    """

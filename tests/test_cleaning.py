@@ -1,20 +1,20 @@
 from pyspark.sql import functions as F
 
-from conftest import MOCK_PDF_CONTENT, one
+from helpers import PRESS_RELEASE, one
 from quarry.functions.regex import jre, re2
 from quarry.operators import clean as X
 
 
 def test_clean_text_removes_headers_and_keeps_content(spark):
-    out = one(spark, X.clean_text(F.col("t")), t=MOCK_PDF_CONTENT)
+    out = one(spark, X.clean_text(F.col("t")), t=PRESS_RELEASE)
     assert "CORPORATE COMMUNICATIONS" not in out
     assert "Media Information" not in out
     assert "Media Contact" not in out
     assert "The BMW Group" not in out
-    assert "The New BMW Model" in out
-    assert "Munich. This is a paragraph about the new model." in out
+    assert "Quieter tyres for the city" in out
+    assert "Munich. Engineers present a tyre that rolls more quietly on wet roads." in out
     assert "\n\n" in out
-    assert "lines." in out
+    assert "near the plant." in out
 
 
 def test_hyphen_reassembly(spark):

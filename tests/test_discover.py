@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import one
+from helpers import one
 from quarry.operators import discover as C
 from quarry.operators import pages as P
 

@@ -2,7 +2,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import one
+from helpers import one
 from quarry.operators import evaluation as E
 
 
@@ -98,7 +98,7 @@ def test_hub_and_chain_graph(spark):
 
 
 def test_failing_metric_is_recorded_not_fatal(spark):
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from quarry.plans import q_evaluate as QE
 
     def broken(spark, sf):

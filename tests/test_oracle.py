@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 TABLES = "events documents embeddings pages benchmark labels conversations".split()
 ORACLES = entry.oracle_sql()

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
 
     df = spark.read.parquet(f"{SF_SMALL}/pages.parquet").filter(F.col("page_id") > 10).select("page_id", "url")
     plan = df._jdf.queryExecution().executedPlan().toString()

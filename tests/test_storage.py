@@ -49,7 +49,7 @@ def test_catalog_arrays(spark, tmp_path):
 
 def test_press_pages_exercise_every_branch(spark):
     import __spark_entry__ as entry
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
 
     q = lambda k: entry.queries()[k](spark, SF_SMALL)
     assert {r["src"] for r in q("link_fallback").select("src").distinct().collect()} == {"js", "embedded", "regex", "none"}
