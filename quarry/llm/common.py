@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 #: ASCII white space of the contracts, as a Java/RE2 character class body.
 SPACES = "\\x20\\x09-\\x0D"
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

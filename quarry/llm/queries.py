@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import exact_dedup, fingerprint, html_extract, language, lmscore, mixing, ngram_join, packing, quality, token_hist
-from quarry.llm.common import SPACES, held_out, may_learn, table, tokenizer_path
+from quarry.llm import byte_bpe, centroids, exact_dedup, fingerprint, html_extract, language, lmscore, mixing, ngram_join, packing, quality, token_hist, whitening
+from quarry.llm.common import BYTE_TOKENIZER, SPACES, held_out, may_learn, table, tokenizer_path
 from quarry.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,23 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = lmscore.score(table(spark, sf_dir, "documents"), may_learn("doc_id", 7, 2))
     cols = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     return scored.select("doc_id", held_out("doc_id", 7, 2).alias("held_out"), *cols)
+
+
+@register("op11_byte_bpe")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path(BYTE_TOKENIZER)
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), path)
+    got = byte_bpe.decode(encoded.select("doc_id", "n_tokens", "ids"), path)
+    return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op12_centroid_clusters")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clustered, final = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return centroids.with_totals(clustered, final).select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@register("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, size = whitening.vectors_of(table(spark, sf_dir, "embeddings"))
+    return whitening.whiten(vectors, size, whitening.fit(vectors, size))
