@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.order import first_n
+
 PDF_MAGIC = b"%PDF"
 
 
@@ -26,7 +28,7 @@ def has_attachment(catalog: DataFrame, col: str = "pdf_url") -> DataFrame:
 
 def attachment_limit(df: DataFrame, max_downloads: int | None, order: str = "idx") -> DataFrame:
     """A2: first ``max_downloads`` in catalog order; None or 0 means all."""
-    return df.orderBy(order).limit(max_downloads) if max_downloads else df
+    return first_n(df, [order], max_downloads) if max_downloads else df
 
 
 def skip_existing(todo: DataFrame, listing: DataFrame, name: str = "file_name", overwrite: bool = False) -> DataFrame:

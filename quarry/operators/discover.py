@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import fixed
-from quarry.operators.windows import row_number_within
+from quarry.operators.order import first_n, running_sum
 
 CATALOG_SCHEMA = (
     "idx bigint, article_id string, url string, title string, date string, pdf_url string, "
@@ -102,24 +102,22 @@ def catalog_stub(links: DataFrame, base: str = fixed.ARTICLE_URL_BASE) -> DataFr
 
 def target_limit(new_rows: DataFrame, n_existing: int, target: int, order: list[str]) -> DataFrame:
     """Take new rows until ``existing + new >= target`` (at least one
-    row once discovery runs; none when the target is already met). The
-    limit is applied after a global order; Spark keeps a bounded top-k per
-    partition."""
+    row once discovery runs; none when the target is already met). First rows
+    in ``order``; a large number of them stays spread (``order.first_n``)."""
     if n_existing >= target:
         return new_rows.limit(0)
-    return new_rows.orderBy(*order).limit(max(1, target - n_existing))
+    return first_n(new_rows, order, max(1, target - n_existing))
 
 
-def catalog_append(existing: DataFrame, new_rows: DataFrame, n_existing: int, order: list[str], bucket: Column) -> DataFrame:
+def catalog_append(existing: DataFrame, new_rows: DataFrame, n_existing: int, order: list[str]) -> DataFrame:
     """Existing + new, positions continue at ``n_existing``.
 
-    New rows are numbered in ``order`` with the slice-offset row number
-    (``bucket`` must be non-decreasing in ``order``), not a one-partition
-    window over all new rows.
+    New rows are numbered in ``order`` through key ranges and their offsets
+    (``order.running_sum``), not by a window over all new rows.
     """
-    numbered = row_number_within(new_rows.withColumn("_all", F.lit(0)), "_all", order, bucket, "_rn")
+    numbered = running_sum(new_rows, order, F.lit(1), "_before")
     appended = numbered.select(
-        (F.lit(n_existing) + F.col("_rn") - 1).cast("bigint").alias("idx"),
+        (F.lit(n_existing) + F.col("_before")).cast("bigint").alias("idx"),
         "article_id", "url", "title", "date", "pdf_url", "scraped",
         F.lit(None).cast("string").alias("scraped_at"),
     )
@@ -139,7 +137,7 @@ def pending_scrape(catalog: DataFrame, outputs: DataFrame, max_articles: int | N
     done = outputs.select(output_id("name").alias("_id")).filter(F.col("_id").isNotNull()).distinct()
     pend = catalog.filter(~F.coalesce(F.col("scraped"), F.lit(False))).withColumn("_id", cid)
     pend = pend.join(done, "_id", "left_anti").drop("_id")
-    return pend.orderBy("idx").limit(max_articles) if max_articles else pend
+    return first_n(pend, ["idx"], max_articles) if max_articles else pend
 
 
 def catalog_upsert(catalog: DataFrame, results: DataFrame, key: str = "idx") -> DataFrame:

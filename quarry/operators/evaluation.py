@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions import fixed
 from quarry.operators import tokens as TK
-from quarry.operators.joins import salted_join
+from quarry.operators.clean import bind
+from quarry.operators.joins import HOT_ROWS, hot_join, salted_join
 
 
 def _c(c: Column | str) -> Column:
@@ -66,9 +68,9 @@ def unigram_doc_losses(
     text: str,
     split_col: str = "split",
     alphas: Sequence[float] = (1.0,),
-    salts: int = 8,
     train: str = "train",
     evaluate: str = "eval",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per-document mean negative log-likelihood under add-alpha unigrams
     fitted on the ``train`` rows, for the ``evaluate`` rows.
@@ -76,8 +78,8 @@ def unigram_doc_losses(
     ``p(t) = (c_t + a) / (N + a V)`` with ``V`` = train vocabulary + 1
     (unknown). Returns ``key, n_tokens, loss`` (first alpha) plus ``loss_<i>``
     for every alpha. Texts are tokenised once into per-document token counts
-    (written at a phase boundary); the eval-side join to the vocabulary is
-    salted, so a very common token is not one task.
+    (written at a phase boundary); in the join with the vocabulary, tokens of
+    very many documents are split by their counts.
     """
     from quarry.session import materialize
 
@@ -91,7 +93,7 @@ def unigram_doc_losses(
     consts = vocab.agg(F.sum("c").alias("N"), (F.count(F.lit(1)) + 1).alias("V")).first()
     n_all, v_all = float(consts["N"] or 0), float(consts["V"])
     ev = counts.filter(F.col(split_col) == evaluate).select(key, "tok", "k")
-    j = salted_join(ev, vocab, ["tok"], salts, F.xxhash64(F.col(key), F.col("tok")))
+    j = hot_join(ev, vocab, ["tok"], "left", hot_rows)
     c = F.coalesce(F.col("c"), F.lit(0)).cast("double")
     aggs = [F.sum("k").alias("n_tokens")]
     for i, a in enumerate(alphas):
@@ -101,6 +103,85 @@ def unigram_doc_losses(
     return out.withColumn("loss", F.col("loss_0"))
 
 
+#: Fills the places before a text's first token; no token is a control character.
+START = "\x02"
+DISCOUNT = 0.75
+
+
+def grams(docs: DataFrame, keys: Sequence[str], text: str, order: int) -> DataFrame:
+    """(keys..., w0 .. w<order-1>, k): every token with the order - 1 before it, counted per keys."""
+    t = F.concat(F.array(*[F.lit(START)] * (order - 1)), TK.tokens(text, lower=True)) if order > 1 else TK.tokens(text, lower=True)
+    x = docs.select(*keys, t.alias("_t"))
+    at = F.sequence(F.lit(0), F.size("_t") - order)
+    gram = F.transform(at, lambda i: F.struct(*[F.get("_t", i + j).alias(f"w{j}") for j in range(order)]))
+    x = x.filter(F.size("_t") >= order).select(*keys, F.inline(gram))
+    return x.groupBy(*keys, *[f"w{j}" for j in range(order)]).agg(F.count(F.lit(1)).alias("k"))
+
+
+def ngram_doc_losses(
+    docs: DataFrame,
+    key: str,
+    text: str,
+    order: int = 2,
+    discount: float = DISCOUNT,
+    split_col: str = "split",
+    train: str = "train",
+    evaluate: str = "eval",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """E4 of order n: (key, n_tokens, loss) of the ``evaluate`` rows under an interpolated back-off model of the ``train`` rows.
+
+    At the highest order an n-gram's count is what it occurs, below it the
+    number of different tokens before it (continuation count). With ``c`` the
+    count, ``h`` the sum and ``t`` the number of n-grams with the same history,
+    ``p(w | history) = max(c - D, 0) / h + D t / h * p(w | shorter history)``; an
+    unknown history leaves its place to the shorter one, and the lowest order
+    goes over into ``1 / (V + 1)``, V being the train vocabulary.
+
+    Tables of counts are joins' small sides: each distinct n-gram of the
+    ``evaluate`` rows gets its probability once, order by order, and only then
+    meets the documents. Histories and n-grams with very many rows are split
+    by their counts. Without train tokens p is 1; texts without tokens have no row.
+    """
+    from quarry.session import materialize
+
+    w = [f"w{j}" for j in range(order)]
+    is_train = F.col(split_col) == train
+    scoped = docs.filter(is_train | (F.col(split_col) == evaluate)).select(F.when(is_train, F.lit(None)).otherwise(F.col(key)).alias(key), split_col, text)
+    per = materialize(grams(scoped, [key, split_col], text, order), "grams")
+    counts = per.filter(F.col(split_col) == train).groupBy(*w).agg(F.sum("k").alias("c"))
+    counts = materialize(counts, "gram-counts")
+    ev = per.filter(F.col(split_col) == evaluate).select(key, *w, "k")
+    asked = materialize(ev.select(*w).distinct(), "grams-asked")
+    # tables of each order, the highest first: n-gram (its last n tokens) -> c; history -> h, t
+    tables = []
+    for n in range(order, 0, -1):
+        own = w[order - n :]
+        if n < order:  # continuation counts: different tokens in the place before, the start mark among them
+            counts = materialize(counts.groupBy(*own).agg(F.count(F.lit(1)).alias("c")), "gram-continuations")
+        hist = counts.groupBy(*own[:-1]).agg(F.sum("c").alias("h"), F.count(F.lit(1)).alias("t"))
+        tables.append((own, counts, hist))
+    types = tables[-1][1].count()
+    total = tables[-1][2].first()
+    x, d = asked, F.lit(float(discount))
+    p = F.lit(1.0 / (types + 1))
+    for own, c, hist in reversed(tables):
+        x = hot_join(x, c.select(*own, F.col("c").alias("_c")), own, "left", hot_rows)
+        if len(own) > 1:
+            x = materialize(x, "gram-probabilities")
+            x = hot_join(x, hist.select(*own[:-1], F.col("h").alias("_h"), F.col("t").alias("_t")), own[:-1], "left", hot_rows)
+            h, t = F.col("_h").cast("double"), F.col("_t")
+        else:
+            h, t = F.lit(float(total["h"] or 0) if total else 0.0), F.lit(types)
+            h = F.nullif(h, F.lit(0.0))
+        here = F.greatest(F.coalesce("_c", F.lit(0)) - d, F.lit(0.0)) / h + d * t / h * p
+        x = materialize(x.withColumn("_q", F.coalesce(here, p)).drop("_c", "_h", "_t", "_p").withColumnRenamed("_q", "_p"), "gram-probabilities")
+        p = F.col("_p")
+    j = hot_join(ev, x.withColumnRenamed("_p", "p"), w, "inner", hot_rows)
+    nll = -F.log("p")
+    return j.groupBy(key).agg(F.sum("k").cast("bigint").alias("n_tokens"), (F.sum(F.col("k") * nll) / F.sum("k")).alias("loss"))
+
+
 # ------------------------------------------------------------------ E6-E10
 EDGE_SCHEMA = "grp bigint, a bigint, b bigint, cos double"
 
@@ -395,7 +476,14 @@ def hashed_tf_embedding(text: Column | str, dim: int = 64) -> Column:
     """E5 (native default): term-frequency vector of lower-cased tokens
     hashed into ``dim`` buckets (md5 prefix), as ``ARRAY<FLOAT>``."""
     hs = F.transform(TK.tokens(text, lower=True), lambda t: F.pmod(F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint"), F.lit(dim)))
-    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.size(F.filter(hs, lambda h: h == i)).cast("float"))
+    # the text is tokenised and hashed once; buckets are counted in two levels, so that each token is looked at
+    # about 2 sqrt(dim) times and not dim times
+    step = max(1, math.isqrt(dim))
+    count = lambda g, i: F.size(F.filter(g, lambda h: h == i)).cast("float")
+    group = lambda h, a: F.filter(h, lambda x: (x >= a) & (x < a + step))
+    ends = F.sequence(F.lit(0), F.lit(dim - 1), F.lit(step))
+    within = lambda g, a: F.transform(F.sequence(a, F.least(a + step - 1, F.lit(dim - 1))), lambda i: count(g, i))
+    return bind(hs, lambda h: F.flatten(F.transform(ends, lambda a: bind(group(h, a), lambda g: within(g, a)))))
 
 
 def embed_with(make_model, dim: int):
@@ -413,3 +501,25 @@ def embed_with(make_model, dim: int):
         return pd.Series(list(vecs))
 
     return _embed
+
+
+def embed_ids(ids: Column | str, make_encoder, length: int, dim: int, batch_size: int = 32) -> Column:
+    """E5 plug-in over token ids: ``make_encoder()`` -> ``encode(int array (n, length)) -> array (n, dim)``.
+
+    Ids are cut or padded to ``length`` in the JVM and arrive as one matrix of
+    at most ``batch_size`` rows, so a model takes them without a Python loop. The
+    encoder is made once per Python worker. Null id lists are all padding.
+    """
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql.types import ArrayType, FloatType
+
+    def make_predict():
+        encode = make_encoder()
+
+        def predict(batch: np.ndarray) -> np.ndarray:
+            return np.asarray(encode(batch.astype(np.int64)), dtype=np.float32).reshape(len(batch), dim)
+
+        return predict
+
+    embed = predict_batch_udf(make_predict, return_type=ArrayType(FloatType()), batch_size=batch_size, input_tensor_shapes=[[length]])
+    return embed(pad_labels(F.coalesce(_c(ids), F.array().cast("array<int>")), length))

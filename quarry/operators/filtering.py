@@ -14,9 +14,8 @@ leaves whole-stage codegen.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -154,6 +153,20 @@ MIN_LETTER_SHARE = 0.5
 HEADER_LINES = r"(?m)^(?:Topic|Subject|Date|Page)[ \t:][^\n]*\n?"
 
 
+#: A line of a list, and one of a table (tabs, bars or wide gaps between at least three cells).
+LIST_LINE = r"^[ \t]*(?:[•*\-–·▪]|\d{1,3}[.)])[ \t]"
+TABLE_LINE = r"\t[^\t\n]+\t|\|[^|\n]+\||\S {2,}\S.* {2,}\S"
+LIST_SHARE = 0.8
+LIST_MIN_LINES = 3
+
+
+def only_lists(text: Column) -> Column:
+    """True where at least ``LIST_SHARE`` of three or more non-blank lines are list or table lines."""
+    full = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"\S"))
+    listed = F.filter(full, lambda x: x.rlike(LIST_LINE) | x.rlike(TABLE_LINE))
+    return (F.size(full) >= LIST_MIN_LINES) & (F.size(listed) >= F.lit(LIST_SHARE) * F.size(full))
+
+
 def cut_before_title(text: Column, title: Column) -> Column:
     """Rule 1: drop everything before the first occurrence of the title."""
     pos = F.call_function("instr", text, title)
@@ -195,6 +208,7 @@ def _verdict(t: Column, lang: Column, min_words: int, min_letter_share: float) -
     reject = (
         F.when(t == "", F.lit("empty after cleaning"))
         .when(t.rlike(r"^[\s•\-*]*$"), F.lit("only bullet points"))
+        .when(only_lists(t), F.lit("only tables or lists"))
         .when(share < min_letter_share, F.lit("garbled text"))
         .when(words < min_words, F.lit("too few words"))
         .when(guess.isNotNull() & (guess != lang), F.lit("wrong language"))
@@ -214,7 +228,7 @@ def rule_verdict(
 
     Rules: (1) cut everything before the title; (2) drop header/footer
     lines (Topic/Subject/Date/Page); (3) reject empty text, bullets only,
-    garbled text (< 50 % letters), fewer than 20 words, or a language other
+    tables or lists only, garbled text (< 50 % letters), fewer than 20 words, or a language other
     than the declared one (stop-word vote). Reads the whole text. The cleaned text is bound once
     and reused by every check.
     """
@@ -234,26 +248,65 @@ def score_batches(
     """L4: run a user-supplied generator over prompts in batches.
 
     ``make_generator()`` is called once per Python worker (lazy model load)
-    and returns ``generate(list_of_messages) -> list_of_answers``. Only the
-    prompt with the text's 8,000-character head crosses Arrow, all other
-    columns stay in the JVM. Blank texts are not shown to the generator;
-    they stay, with an empty answer, and get their verdict (L1) downstream.
-    Output: the input columns plus ``generated``.
+    and returns ``generate(list_of_messages) -> list_of_answers``. Only the user
+    message with the text's 8,000-character head crosses Arrow; the system
+    prompt is added in the worker, and all other columns stay in the JVM.
+    Blank texts are not shown to the generator; they stay, with an empty
+    answer, and get their verdict (L1) downstream. Output: the input columns
+    plus ``generated``.
     """
 
-    @F.pandas_udf("string")
-    def answers(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def make_model():
         generate = make_generator()
-        for msgs in batches:
-            asked = [[{"role": m["role"], "content": m["content"]} for m in ms] for ms in msgs if ms is not None]
-            outs: list[str] = []
-            for i in range(0, len(asked), batch_size):
-                outs.extend(generate(asked[i : i + batch_size]))
-            got = iter(outs)
-            yield pd.Series([None if ms is None else next(got) for ms in msgs], dtype=object)
-
-    prompt = F.when(~is_blank(text), build_prompt(title, text))
-    return df.withColumn("generated", F.coalesce(answers(prompt), F.lit("")))
+        system = {"role": "system", "content": fixed.FILTER_SYSTEM_PROMPT}
+        return lambda users: [{"generated": g} for g in generate([[system, {"role": "user", "content": u}] for u in users])]
+
+    return score_with(df, make_model, "generated string", title, text, batch_size).withColumn("generated", F.coalesce("answer.generated", F.lit(""))).drop("answer")
+
+
+def score_with(
+    df: DataFrame,
+    make_model: Callable[[], Callable[[list[str]], list[dict]]],
+    fields: str,
+    title: str = "title",
+    text: str = "text",
+    batch_size: int = fixed.FILTER_BATCH_SIZE,
+    out: str = "answer",
+) -> DataFrame:
+    """L4 with any answer: ``make_model()`` -> ``answers(user messages) -> one dict of ``fields`` each``.
+
+    Adds the struct ``out`` with the columns that ``fields`` (DDL) names, null for
+    blank texts. Batches hold ``batch_size`` messages, the last of a partition
+    and Arrow batch fewer; a model that returns another number of answers than
+    it was asked for is an error.
+    """
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql.types import StructType
+
+    kind = StructType.fromDDL(fields)
+
+    def make_predict():
+        model = make_model()
+
+        def predict(users) -> dict:
+            import numpy as np
+
+            at = [i for i, u in enumerate(users) if u is not None]
+            got = list(model([users[i] for i in at])) if at else []
+            if len(got) != len(at):
+                raise ValueError(f"{len(at)} prompts, {len(got)} answers")
+            out = {n: np.full(len(users), None, object) for n in kind.names}
+            for i, a in zip(at, got, strict=True):
+                for n in kind.names:
+                    out[n][i] = a.get(n)
+            return out
+
+        return predict
+
+    ask = predict_batch_udf(make_predict, return_type=kind, batch_size=batch_size)
+    user = F.when(~is_blank(text), user_message(F.coalesce(F.col(title), F.lit("")), truncate_head(text)))
+    got = ask(user)
+    return df.withColumn(out, got)
 
 
 def echo_generator() -> Callable[[list[list[dict]]], list[str]]:

@@ -13,19 +13,27 @@ from pyspark.sql import functions as F
 
 from quarry.functions import fixed
 from quarry.functions.regex import jre
+from quarry.operators.clean import bind
 
 BLOCK_TAGS = "p|div|li|ul|ol|article|section|main|body|html|head|title|br|tr|td|th|table|blockquote|pre"
-# entity -> character; '&amp;' last so that '&amp;lt;' stays '&lt;'
-ENTITIES = [
-    ("&nbsp;", " "),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]
+#: One reference or the text up to the next '&'; a piece by itself is decoded once, so '&amp;lt;' gives '&lt;'.
+PIECE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);|&?[^&]+|&"
+NUMBER = r"^&#([0-9]+);$"
+HEX_NUMBER = r"^&#[xX]([0-9a-fA-F]+);$"
+NAME = r"^&([A-Za-z][A-Za-z0-9]*);$"
+UNKNOWN = "\ufffd"
+
+
+def named_characters() -> dict[str, str]:
+    """Name -> character of the HTML 4 entities and ``apos``; the no-break space becomes a space."""
+    from html.entities import name2codepoint
+
+    return {n: " " if c == 160 else chr(c) for n, c in sorted(name2codepoint.items())} | {"apos": "'"}
+
+
+def low_characters() -> list[str]:
+    """What the numbers 128 to 159 stand for: the Windows-1252 characters, as browsers read them."""
+    return [bytes([i]).decode("cp1252", "replace") for i in range(128, 160)]
 
 
 def _c(c: Column | str) -> Column:
@@ -42,9 +50,37 @@ def html_blocks(html: Column | str, excluded=fixed.PAGE_EXCLUDED_TAGS) -> Column
         t = F.regexp_replace(t, rf"(?i)</h{k}\s*>", "\n\n")
     t = F.regexp_replace(t, rf"(?i)</?(?:{BLOCK_TAGS})\b[^>]*>", "\n\n")
     t = F.regexp_replace(t, r"<[^>]*>", "")
-    for ent, ch in ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return t
+    return decode_references(t)
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point; U+FFFD for 0, surrogates and numbers beyond Unicode."""
+    low = F.array(*[F.lit(c) for c in low_characters()])
+    good = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
+    return (
+        F.when(code == 160, F.lit(" "))
+        .when((code >= 128) & (code <= 159), F.try_element_at(low, (code - 127).cast("int")))
+        .when(good, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        .otherwise(F.lit(UNKNOWN))
+    )
+
+
+def decode_references(text: Column | str) -> Column:
+    """Named, decimal and hexadecimal character references of a text, each decoded once.
+
+    An unknown name, a reference without a semicolon or a lone '&' stays as it is.
+    """
+    names = F.create_map(*[F.lit(x) for kv in named_characters().items() for x in kv])
+
+    def one(p: Column) -> Column:
+        number = F.regexp_extract(p, NUMBER, 1)
+        hexed = F.regexp_extract(p, HEX_NUMBER, 1)
+        code = F.when(number != "", number.cast("bigint")).otherwise(F.conv(hexed, 16, 10).cast("bigint"))
+        named = F.coalesce(F.try_element_at(names, F.regexp_extract(p, NAME, 1)), p)
+        return F.when(~p.startswith("&"), p).when((number != "") | (hexed != ""), _character(code)).otherwise(named)
+
+    whole = lambda t: F.array_join(F.transform(F.regexp_extract_all(t, F.lit(PIECE), 0), one), "")
+    return bind(_c(text), lambda t: F.when(t.contains("&"), whole(t)).otherwise(t))
 
 
 def _words(b: Column) -> Column:

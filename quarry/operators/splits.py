@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import fixed
 from quarry.operators.joins import salted_join
+from quarry.operators.order import RANGE_ROWS, running_sum
 
 SPLIT_BUCKET_HEX = 4  # 16**4 = 65,536 buckets in the count table
 
@@ -118,36 +119,25 @@ def truncate_tokens(tokens: Column | str, max_length: int) -> Column:
     return F.slice(t, 1, max_length)
 
 
-def pack_sequences(
-    df: DataFrame,
-    key: str,
-    n_tokens: str,
-    block_len: int,
-    shard: Column,
-) -> DataFrame:
-    """T5: pack examples into blocks of ``block_len`` tokens, per shard.
-
-    Within a shard, examples are concatenated in ``key`` order; the running
-    token sum gives each example's ``[start, end)`` span, and an example that
-    crosses a block border is split into pieces (``sequence`` + ``explode``).
-    Output: one row per (shard, block, example piece) with the piece's token
-    count. Blocks never exceed ``block_len``; zero-token rows produce nothing.
-    The running sum is a window per shard; ``shard`` should have enough
-    values to spread the data (it is a hash of the key in practice).
+def pack_sequences(df: DataFrame, key: str, n_tokens: str, block_len: int, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """T5: pack examples into blocks of ``block_len`` tokens.
+
+    All examples are concatenated in ``key`` order; the running token sum gives
+    each one's ``[start, end)`` span, and an example that crosses a block border
+    is split into pieces (``sequence`` + ``explode``). Output: one row per (block,
+    example piece) with the piece's token count. Every block but the last holds
+    ``block_len`` tokens; zero-token rows produce nothing. The running sum goes
+    through key ranges counted from the rows (``order.running_sum``), so no task
+    holds more than about ``range_rows`` rows.
     """
     L = int(block_len)
-    w = Window.partitionBy("shard").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = (
-        df.select(shard.alias("shard"), F.col(key), F.col(n_tokens).cast("bigint").alias("_n"))
-        .filter(F.col("_n") > 0)
-        .withColumn("_end", F.sum("_n").over(w))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-    )
+    x = df.select(F.col(key), F.col(n_tokens).cast("bigint").alias("_n")).filter(F.col("_n") > 0)
+    x = running_sum(x, [key], "_n", "_start", range_rows).withColumn("_end", F.col("_start") + F.col("_n"))
     first = F.floor(F.col("_start") / L).cast("bigint")
     last = F.floor((F.col("_end") - 1) / L).cast("bigint")
     x = x.withColumn("block", F.explode(F.sequence(first, last)))
     piece = F.least(F.col("_end"), (F.col("block") + 1) * L) - F.greatest(F.col("_start"), F.col("block") * L)
-    return x.select("shard", "block", key, piece.cast("bigint").alias("n_tokens"))
+    return x.select("block", key, piece.cast("bigint").alias("n_tokens"))
 
 
 def best_checkpoint(evals: DataFrame, run: str = "run_id", step: str = "step", loss: str = "eval_loss") -> DataFrame:

@@ -193,7 +193,7 @@ def q_append(spark, sf):
     cat = V.catalog(spark, sf)
     n_cat = cat.count()
     new = C.catalog_stub(C.target_limit(new_links(spark, sf), _n_existing(spark, sf), TARGET, ["page_id", "pos"]))
-    out = C.catalog_append(cat, new, n_cat, ["page_id", "pos"], F.floor(F.col("page_id") / 1024))
+    out = C.catalog_append(cat, new, n_cat, ["page_id", "pos"])
     return out.select("idx", "article_id", "url", "scraped")
 
 
@@ -261,13 +261,41 @@ def sql_html_blocks(e):
         t = rr(t, rf"(?i)</h{k}\s*>", "\n\n")
     t = rr(t, rf"(?i)</?(?:{P.BLOCK_TAGS})\b[^>]*>", "\n\n")
     t = rr(t, r"<[^>]*>", "")
-    for ent, ch in P.ENTITIES:
-        t = f"replace({t}, {sql_str(ent)}, {sql_str(ch)})"
     return t
 
 
+def sql_decode_references(e):
+    names = P.named_characters()
+    known = f"MAP([{', '.join(sql_str(n) for n in names)}], [{', '.join(sql_str(c) for c in names.values())}])"
+    low = f"[{', '.join(sql_str(c) for c in P.low_characters())}]"
+    code = f"CASE WHEN regexp_matches(p, {sql_str(P.NUMBER)}) THEN TRY_CAST(substr(p, 3, length(p) - 3) AS BIGINT) ELSE CAST('0x' || substr(p, 4, length(p) - 4) AS BIGINT) END"
+    char = f"""CASE WHEN {code} = 160 THEN ' ' WHEN {code} BETWEEN 128 AND 159 THEN list_extract({low}, {code} - 127)
+        WHEN ({code} > 0 AND {code} < 55296) OR ({code} > 57343 AND {code} <= 1114111) THEN chr(CAST({code} AS INTEGER)) ELSE {sql_str(P.UNKNOWN)} END"""
+    one = f"""CASE WHEN NOT starts_with(p, '&') THEN p WHEN regexp_matches(p, {sql_str(P.NUMBER)}) OR regexp_matches(p, {sql_str(P.HEX_NUMBER)}) THEN {char}
+        WHEN regexp_matches(p, {sql_str(P.NAME)}) THEN coalesce({known}[substr(p, 2, length(p) - 2)], p) ELSE p END"""
+    whole = f"array_to_string(list_transform(regexp_extract_all(t, {sql_str(P.PIECE)}), lambda p: {one}), '')"
+    return f"list_extract(list_transform([{e}], lambda t: CASE WHEN contains(t, '&') THEN {whole} ELSE t END), 1)"
+
+
+REFS = "&eacute;&amp;lt;&unknown; &#8217;&#x27;&nbsp;&#160;&; &rsquo &#150;&#0;&#xD800;"
+
+
+@query(
+    "decode_references",
+    f"""SELECT page_id, md5(r) AS text_md5, substr(r, 1, 40) AS start FROM (SELECT page_id, {sql_decode_references('x')} AS r FROM (
+          SELECT page_id, '&#' || CAST(page_id * 37 % 70000 AS VARCHAR) || ';&#x' || to_hex(page_id * 11 + 33) || '; ' || {sql_str(REFS)} || html AS x FROM pages))""",
+)
+def q_decode_references(spark, sf):
+    """P1 named, decimal and hexadecimal references over whole pages, with numbers from all ranges"""
+    p = V.table(spark, sf, "pages")
+    pid = F.col("page_id")
+    x = F.concat(F.lit("&#"), (pid * 37 % 70000).cast("string"), F.lit(";&#x"), F.hex(pid * 11 + 33), F.lit("; " + REFS), F.col("html"))
+    r = p.select("page_id", P.decode_references(x).alias("r"))
+    return r.select("page_id", F.md5("r").alias("text_md5"), F.substring("r", 1, 40).alias("start"))
+
+
 def sql_html_to_text(e, threshold=fixed.PAGE_WORD_THRESHOLD):
-    blocks = f"string_split_regex({sql_html_blocks(e)}, '\\n\\s*\\n')"
+    blocks = f"string_split_regex({sql_decode_references(sql_html_blocks(e))}, '\\n\\s*\\n')"
     norm = f"list_transform({blocks}, lambda b: trim(regexp_replace(b, '\\s+', ' ', 'g')))"
     keep = (
         f"list_filter({norm}, lambda b: b <> '' AND (starts_with(b, '#') OR "

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from quarry.evaluate import Model, evaluate
 from quarry.functions import fixed
 from quarry.functions.regex import sql_str
 from quarry.operators import evaluation as E
@@ -15,7 +17,8 @@ from quarry.operators.windows import row_number_within
 from quarry.plans import views as V
 from quarry.plans.q_prepare import SPLIT_SQL, sql_prompt, split_documents
 from quarry.plans.registry import query, with_views
-from quarry.session import materialize
+from quarry.session import materialize, shared_dir
+from quarry.sources import results as RS
 
 TOK = sql_str(TK.TOKEN_RE2)
 NTOK_SQL = f"CAST(len(regexp_extract_all(text, {TOK})) AS BIGINT)"
@@ -78,6 +81,23 @@ def q_percentiles(spark, sf):
     return q.select(*[r6(F.col(c)).alias(c) for c in ("p90", "p95", "p99")])
 
 
+SKETCH_PROBS = (0.01, 0.25, 0.5, 0.9, 0.95, 0.99)
+
+
+@query(
+    "length_sketches",
+    "SELECT p.prob, true AS within_error, count(*) AS n FROM documents, "
+    f"(SELECT unnest([{', '.join(map(str, SKETCH_PROBS))}]::DOUBLE[]) AS prob) p GROUP BY p.prob",
+)
+def q_sketches(spark, sf):
+    """M4 from mergeable sketches, one per source as a run would keep them; each quantile's exact rank is within the stated error"""
+    d = V.table(spark, sf, "documents").select("source", TK.token_count("text").alias("n"))
+    d = materialize(d, "sketch-lengths")
+    parts = materialize(M.length_sketches(d, "n", ["source"]), "length-sketches")
+    q = M.sketch_quantiles(parts, SKETCH_PROBS)
+    return M.rank_errors(q, d, "n").select(F.col("prob").cast("double"), (F.col("rank_error") <= M.rank_bound()).alias("within_error"), "n")
+
+
 HIST_SQL = with_views(
     """SELECT g.bin, round(bb.lo + g.bin * ((bb.hi - bb.lo) / 50), 6) AS lo,
          round(bb.lo + (g.bin + 1) * ((bb.hi - bb.lo) / 50), 6) AS hi, CAST(coalesce(c.cnt, 0) AS BIGINT) AS count
@@ -191,6 +211,48 @@ def q_perplexity(spark, sf):
     return w.select(r6(F.col("perplexity")).alias("perplexity"), r6(F.col("avg_loss")).alias("avg_loss"), "total_tokens")
 
 
+def _backoff_sql(order: int, d: float = E.DISCOUNT) -> dict:
+    """Views of the interpolated back-off model: counts of each order, probabilities from the lowest up, document losses."""
+    w = [f"w{j}" for j in range(order)]
+    lags = ", ".join(f"lag(tok, {order - 1 - j}, chr(2)) OVER (PARTITION BY doc_id ORDER BY i) AS w{j}" for j in range(order - 1))
+    views = dict(
+        sp=SPLIT_SQL,
+        tk=f"SELECT doc_id, split, unnest(t) AS tok, generate_subscripts(t, 1) AS i FROM "
+        f"(SELECT d.doc_id, s.split, regexp_extract_all(lower(d.text), {TOK}) AS t FROM documents d JOIN sp s USING (doc_id))",
+        g=f"SELECT doc_id, split, {lags}, tok AS w{order - 1} FROM tk",
+        ev=f"SELECT doc_id, {', '.join(w)}, count(*) AS k FROM g WHERE split = 'eval' GROUP BY ALL",
+    )
+    views[f"c{order}"] = f"SELECT {', '.join(w)}, count(*) AS c FROM g WHERE split = 'train' GROUP BY ALL"
+    for n in range(order - 1, 0, -1):
+        own = ", ".join(w[order - n :])
+        views[f"c{n}"] = f"SELECT {own}, count(*) AS c FROM c{n + 1} GROUP BY ALL"
+    views["h1"] = "SELECT CAST(sum(c) AS DOUBLE) AS h, count(*) AS t FROM c1"
+    last = w[-1]
+    views["p1"] = f"""SELECT DISTINCT {', '.join(f'ev.{x}' for x in w)},
+        greatest(coalesce(c, 0) - {d}, 0) / h + {d} * t / h / (t + 1) AS p FROM ev LEFT JOIN c1 USING ({last}) CROSS JOIN h1"""
+    for n in range(2, order + 1):
+        own, past = w[order - n :], w[order - n : -1]
+        views[f"h{n}"] = f"SELECT {', '.join(past)}, CAST(sum(c) AS DOUBLE) AS h, count(*) AS t FROM c{n} GROUP BY ALL"
+        views[f"p{n}"] = f"""SELECT {', '.join(f'q.{x}' for x in w)}, coalesce(greatest(coalesce(c, 0) - {d}, 0) / h + {d} * t / h * q.p, q.p) AS p
+            FROM p{n - 1} q LEFT JOIN c{n} ON {' AND '.join(f'q.{x} = c{n}.{x}' for x in own)}
+            LEFT JOIN h{n} ON {' AND '.join(f'q.{x} = h{n}.{x}' for x in past)}"""
+    on = " AND ".join(f"ev.{x} = q.{x}" for x in w)
+    views["dl"] = f"SELECT doc_id, CAST(sum(k) AS BIGINT) AS n_tokens, sum(k * -ln(p)) / sum(k) AS loss FROM ev JOIN p{order} q ON {on} GROUP BY doc_id"
+    return views
+
+
+@query("bigram_perplexity", with_views("SELECT doc_id, n_tokens, round(loss, 6) AS loss FROM dl", **_backoff_sql(2)))
+def q_bigram(spark, sf):
+    """E4 of order 2: interpolated back-off with continuation counts, per eval document"""
+    return E.ngram_doc_losses(split_documents(spark, sf), "doc_id", "text", 2).select("doc_id", "n_tokens", r6(F.col("loss")).alias("loss"))
+
+
+@query("trigram_perplexity", with_views("SELECT doc_id, n_tokens, round(loss, 6) AS loss FROM dl", **_backoff_sql(3)))
+def q_trigram(spark, sf):
+    """E4 of order 3"""
+    return E.ngram_doc_losses(split_documents(spark, sf), "doc_id", "text", 3).select("doc_id", "n_tokens", r6(F.col("loss")).alias("loss"))
+
+
 # ------------------------------------------------------------------ E6-E10
 def _edges_sql(by: str, t: float, r_sql: str | None = None) -> dict:
     return dict(
@@ -228,30 +290,30 @@ def _clusters(spark, sf, by, t):
     return E.connected_components(resp.select("grp", "rid"), edges)
 
 
-@query("pairwise_cosine", with_views("SELECT grp, a, b, round(cos, 6) AS cos FROM e", **_edges_sql("label", 0.3)))
+@query("pairwise_cosine", with_views("SELECT grp, a, b, round(cos, 6) AS cos FROM e", **_edges_sql("wide", 0.3)))
 def q_pairwise(spark, sf):
-    """E6 linked pairs (cosine > 0.3) among responses grouped by label"""
-    e = E.similarity_edges(V.responses(spark, sf, "label"), 0.3)
+    """E6 linked pairs (cosine > 0.3) among the 64 responses of a prompt"""
+    e = E.similarity_edges(V.responses(spark, sf, "wide"), 0.3)
     return e.select("grp", "a", "b", r6(F.col("cos")).alias("cos"))
 
 
-@query("semantic_clusters", _cc_sql("label", 0.3, "SELECT grp, rid, cluster FROM cl"))
+@query("semantic_clusters", _cc_sql("wide", 0.3, "SELECT grp, rid, cluster FROM cl"))
 def q_clusters(spark, sf):
     """E7 connected components of the cosine > 0.3 links"""
-    return _clusters(spark, sf, "label", 0.3).select("grp", "rid", "cluster")
+    return _clusters(spark, sf, "wide", 0.3).select("grp", "rid", "cluster")
 
 
-@query("cluster_sizes", _cc_sql("label", 0.3, "SELECT grp, cluster, CAST(size AS BIGINT) AS size FROM sizes"))
+@query("cluster_sizes", _cc_sql("wide", 0.3, "SELECT grp, cluster, CAST(size AS BIGINT) AS size FROM sizes"))
 def q_cluster_sizes(spark, sf):
     """E8 members per cluster"""
-    s = E.cluster_sizes(_clusters(spark, sf, "label", 0.3))
+    s = E.cluster_sizes(_clusters(spark, sf, "wide", 0.3))
     return s.select("grp", "cluster", F.col("size").cast("bigint"))
 
 
-@query("semantic_entropy", _cc_sql("label", 0.3, "SELECT grp, round(entropy, 6) AS entropy, n_responses FROM ent"))
+@query("semantic_entropy", _cc_sql("wide", 0.3, "SELECT grp, round(entropy, 6) AS entropy, n_responses FROM ent"))
 def q_entropy(spark, sf):
-    """E9 entropy of cluster sizes per group (label groups, threshold 0.3)"""
-    ent = E.semantic_entropy(_clusters(spark, sf, "label", 0.3))
+    """E9 entropy of cluster sizes per prompt of 64 responses, threshold 0.3"""
+    ent = E.semantic_entropy(_clusters(spark, sf, "wide", 0.3))
     return ent.select("grp", r6(F.col("entropy")).alias("entropy"), "n_responses")
 
 
@@ -352,123 +414,125 @@ def q_group_responses(spark, sf):
 
 
 # ---------------------------------------------------------------- E14-E17
-MODELS = [(f"unigram-a{a:g}", a) for a in ALPHAS]
-
-
-def assembled_results(spark, sf, entropy_fn=None, losses_fn=None):
-    """One nested record per model variant (alpha).
-
-    Each metric is computed on its own; a metric that fails leaves its
-    struct null and its message in ``error`` while the others are kept.
-    """
-    entropy_fn = entropy_fn or entropy_summary_df
-    losses_fn = losses_fn or doc_losses
-    errors = []
-    try:
-        ent = entropy_fn(spark, sf).first()
-    except Exception as e:  # noqa: BLE001 - recorded in the result record
-        ent, errors = None, errors + [f"semantic_entropy: {str(e).splitlines()[0][:200]}"]
-    names = F.array(*[F.lit(name) for name, _ in MODELS])
-    try:
-        losses = losses_fn(spark, sf, ALPHAS)
-        w = losses.agg(
-            F.sum("n_tokens").cast("bigint").alias("total_tokens"),
-            *[(F.sum(F.col(f"loss_{i}") * F.col("n_tokens")) / F.sum("n_tokens")).alias(f"l{i}") for i in range(len(ALPHAS))],
-        )
-        rows = F.array(*[F.struct(F.lit(name).alias("model"), F.col(f"l{i}").alias("avg_loss")) for i, (name, _) in enumerate(MODELS)])
-        per_model = w.select("total_tokens", F.inline(rows))
-        ppl = F.struct(F.exp("avg_loss").alias("perplexity"), F.col("avg_loss"), F.col("total_tokens"))
-    except Exception as e:  # noqa: BLE001 - recorded in the result record
-        errors.append(f"perplexity: {str(e).splitlines()[0][:200]}")
-        per_model = spark.range(1).select(F.explode(names).alias("model"))
-        ppl = F.lit(None).cast("struct<perplexity:double,avg_loss:double,total_tokens:bigint>")
-    if ent is not None:
-        ent_struct = F.struct(*[F.lit(ent[c]).alias(c) for c in ("mean_entropy", "max_entropy", "min_entropy")])
-    else:
-        ent_struct = F.lit(None).cast("struct<mean_entropy:double,max_entropy:double,min_entropy:double>")
-    last = F.element_at(F.split(F.concat(F.lit("hub/"), F.col("model")), "/"), -1)
-    return per_model.select(
-        "model",
-        F.concat(F.lit("evaluation_results_"), last, F.lit(".json")).alias("result_name"),
-        ppl.alias("perplexity"),
-        ent_struct.alias("semantic_entropy"),
-        (F.lit("; ".join(errors)) if errors else F.lit(None).cast("string")).alias("error"),
-    )
+# The models under evaluation come from the data: one per language of the
+# documents, fitted on the train rows of that language. Every second one has a
+# training config; each links responses at a threshold of its own. The last
+# one's generator is not there, which its record must tell.
+MODELS_SQL = """SELECT lang, k, 'hub/unigram-' || lang AS model_path, CASE WHEN k % 2 = 1 THEN 'configs/' || lang || '_lora.yaml' END AS config,
+      0.2 + 0.05 * k AS threshold FROM (SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS k FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL))"""
+RESPONSES_A_PROMPT = 32
 
 
-def _models_sql() -> dict:
-    views = _ngram_sql(1.0)
-    del views["dl"]
-    losses = ", ".join(
-        f"sum(k * -ln((coalesce(c, 0) + {a}) / (nn + {a} * vv))) / sum(k) AS l{i}" for i, a in enumerate(ALPHAS)
-    )
-    views["dl"] = f"SELECT doc_id, CAST(sum(k) AS BIGINT) AS n_tokens, {losses} FROM ev LEFT JOIN vocab USING (tok) CROSS JOIN consts GROUP BY doc_id"
-    views["m"] = " UNION ALL ".join(
-        f"SELECT '{name}' AS model, sum(l{i} * n_tokens) / sum(n_tokens) AS avg_loss, CAST(sum(n_tokens) AS BIGINT) AS total_tokens FROM dl"
-        for i, (name, _) in enumerate(MODELS)
-    )
-    return views
+def model_runs(spark, sf):
+    """(lang, k, model_path, config, threshold): one row per model, as many as the documents have languages."""
+    langs = V.table(spark, sf, "documents").select("lang").filter("lang is not null").distinct()
+    k = F.row_number().over(Window.orderBy("lang")) - 1  # over the list of models
+    x = langs.select("lang", k.cast("bigint").alias("k"))
+    config = F.when(F.col("k") % 2 == 1, F.concat(F.lit("configs/"), F.col("lang"), F.lit("_lora.yaml")))
+    return x.select("lang", "k", F.concat(F.lit("hub/unigram-"), F.col("lang")).alias("model_path"), config.alias("config"), (F.lit(0.2) + F.lit(0.05) * F.col("k")).alias("threshold"))
+
+
+def evaluated_models(spark, sf):
+    """The run table's models with their metrics."""
+    runs = model_runs(spark, sf).orderBy("k").collect()
+
+    def perplexity(r):
+        docs = split_documents(spark, sf).filter((F.col("split") == "eval") | (F.col("lang") == r["lang"]))
+        return E.weighted_loss(E.unigram_doc_losses(docs, "doc_id", "text"))
+
+    def entropy(r):
+        e = V.table(spark, sf, "embeddings").filter(F.col("label") % len(runs) == r["k"])
+        resp = e.select((F.col("vec_id") / RESPONSES_A_PROMPT).cast("bigint").alias("grp"), F.col("vec_id").alias("rid"), "embedding")
+        return E.entropy_summary(E.entropy_by_prompt(resp, r["threshold"]))
+
+    def generations(r):
+        turns = parsed_turns(spark, sf).filter(F.col("conv_id") % len(runs) == r["k"])
+        if r["k"] == len(runs) - 1:
+            turns = turns.withColumn("answer", F.when(F.col("turn") >= 0, F.raise_error(F.lit("no generator for " + r["lang"]))).otherwise(F.col("answer")))
+        return E.group_responses(turns, "conv_id", "turn", "answer", "thinking")
+
+    made = {"perplexity": perplexity, "semantic_entropy": entropy, "generations": generations}
+    return [Model(r["model_path"], {n: (lambda f=f, r=r: f(r)) for n, f in made.items()}, r["config"]) for r in runs]
+
+
+def assembled_results(spark, sf):
+    """E14 over the run table: one record per model."""
+    return evaluate(spark, shared_dir(spark, "evaluation"), evaluated_models(spark, sf))
 
 
 def _results_sql(body: str) -> str:
-    views = {**_edges_sql("prompt", fixed.ENTAILMENT_THRESHOLD), **_models_sql()}
+    views = dict(sp=SPLIT_SQL, m=MODELS_SQL, nm="SELECT count(*) AS n FROM m", pt=PARSED_SQL)
+    views["toks"] = f"SELECT d.doc_id, d.lang, s.split, unnest(regexp_extract_all(lower(d.text), {TOK})) AS tok FROM documents d JOIN sp s USING (doc_id)"
+    views["vocab"] = "SELECT lang, tok, count(*) AS c FROM toks WHERE split = 'train' GROUP BY lang, tok"
+    views["consts"] = "SELECT m.lang, CAST(coalesce(sum(c), 0) AS DOUBLE) AS nn, CAST(count(tok) + 1 AS DOUBLE) AS vv FROM m LEFT JOIN vocab USING (lang) GROUP BY m.lang"
+    views["ev"] = "SELECT tok, count(*) AS k FROM toks WHERE split = 'eval' GROUP BY tok"
+    views["pp"] = """SELECT x.lang, sum(k * -ln((coalesce(c, 0) + 1.0) / (nn + vv))) / sum(k) AS avg_loss, CAST(sum(k) AS BIGINT) AS total_tokens
+        FROM ev CROSS JOIN consts x LEFT JOIN vocab v ON v.lang = x.lang AND v.tok = ev.tok GROUP BY x.lang"""
+    views |= _edges_sql("prompt", 0, f"SELECT (label % n) * 1000000000 + vec_id // {RESPONSES_A_PROMPT} AS grp, vec_id AS rid, embedding FROM embeddings, nm")
+    views["e"] = "SELECT pairs.* FROM pairs JOIN m ON grp // 1000000000 = k WHERE cos > threshold"
     views["und"] = UND_SQL
+    views["gn"] = "SELECT conv_id % n AS k, count(DISTINCT conv_id) AS n_prompts, count(*) AS n_responses FROM pt, nm GROUP BY 1"
     ctes = ",\n".join(f"{k} AS ({v})" for k, v in views.items())
+    name = "'evaluation_results_' || CASE WHEN config IS NOT NULL THEN lang || '_lora' ELSE 'unigram-' || lang END || '.json'"
     return f"""WITH RECURSIVE {ctes},
     {CLUSTERS_SQL},
     sizes AS (SELECT grp, cluster, count(*) AS size FROM cl GROUP BY grp, cluster),
     ent AS (SELECT grp, 0.0 - sum((size / tot) * ln(size / tot)) AS entropy FROM
             (SELECT *, CAST(sum(size) OVER (PARTITION BY grp) AS DOUBLE) AS tot FROM sizes) GROUP BY grp),
-    es AS (SELECT round(coalesce(avg(entropy), 0.0), 6) AS mean_entropy, round(coalesce(max(entropy), 0.0), 6) AS max_entropy,
-                  round(coalesce(min(entropy), 0.0), 6) AS min_entropy FROM ent)
+    es AS (SELECT m.k, coalesce(avg(entropy), 0.0) AS mean_entropy, coalesce(max(entropy), 0.0) AS max_entropy,
+                  coalesce(min(entropy), 0.0) AS min_entropy FROM m LEFT JOIN ent ON grp // 1000000000 = m.k GROUP BY m.k),
+    rs AS (SELECT model_path, config, {name} AS result_name, avg_loss, total_tokens, mean_entropy, max_entropy, min_entropy,
+                  CASE WHEN m.k < n - 1 THEN coalesce(n_prompts, 0) END AS n_prompts, CASE WHEN m.k < n - 1 THEN coalesce(n_responses, 0) END AS n_responses, m.k = n - 1 AS failed
+           FROM m CROSS JOIN nm JOIN pp USING (lang) JOIN es USING (k) LEFT JOIN gn USING (k))
     {body}"""
 
 
 @query(
     "assemble_results",
     _results_sql(
-        "SELECT model, 'evaluation_results_' || model || '.json' AS result_name, round(exp(avg_loss), 6) AS perplexity, "
-        "round(avg_loss, 6) AS avg_loss, total_tokens, mean_entropy, max_entropy, min_entropy, CAST(NULL AS VARCHAR) AS error "
-        "FROM m CROSS JOIN es"
+        "SELECT model_path, config, result_name, round(exp(avg_loss), 6) AS perplexity, round(avg_loss, 6) AS avg_loss, total_tokens, "
+        "round(mean_entropy, 6) AS mean_entropy, round(max_entropy, 6) AS max_entropy, round(min_entropy, 6) AS min_entropy, "
+        "n_prompts, n_responses, failed AS generations_failed FROM rs"
     ),
 )
 def q_assemble(spark, sf):
-    """E14 per-model result records (perplexity + entropy + error slot)"""
+    """E14 per-model records: perplexity, entropy, generations, path and config; a failed metric leaves its own error"""
     r = assembled_results(spark, sf)
     return r.select(
-        "model",
+        "model_path",
+        "config",
         "result_name",
         r6(F.col("perplexity.perplexity")).alias("perplexity"),
         r6(F.col("perplexity.avg_loss")).alias("avg_loss"),
         F.col("perplexity.total_tokens").alias("total_tokens"),
         *[r6(F.col(f"semantic_entropy.{c}")).alias(c) for c in ("mean_entropy", "max_entropy", "min_entropy")],
-        "error",
+        "generations.n_prompts",
+        "generations.n_responses",
+        F.coalesce(F.col("generations.error").contains("no generator for"), F.lit(False)).alias("generations_failed"),
     )
 
 
 @query(
     "model_leaderboard",
     _results_sql(
-        "SELECT model, round(exp(avg_loss), 6) AS perplexity, mean_entropy, "
+        "SELECT model_path AS model, round(exp(avg_loss), 6) AS perplexity, round(mean_entropy, 6) AS mean_entropy, "
         "CAST(rank() OVER (ORDER BY round(exp(avg_loss), 6)) AS INTEGER) AS perplexity_rank, "
-        "CAST(rank() OVER (ORDER BY mean_entropy) AS INTEGER) AS entropy_rank FROM m CROSS JOIN es"
+        "CAST(rank() OVER (ORDER BY round(mean_entropy, 6)) AS INTEGER) AS entropy_rank FROM rs"
     ),
 )
 def q_leaderboard(spark, sf):
-    """E16 model comparison: write result records as JSON, scan them back, rank"""
-    from quarry.sources import results as RS
-
-    path = RS.write_results(assembled_results(spark, sf), spark)
-    return RS.leaderboard(RS.read_results(spark, path))
+    """E16 model comparison over the scanned result records"""
+    return RS.leaderboard(assembled_results(spark, sf))
 
 
 @query(
     "eval_result_name",
-    _results_sql("SELECT model, 'evaluation_results_' || model || '.json' AS result_name FROM m"),
+    f"SELECT model_path AS model, 'evaluation_results_' || CASE WHEN config IS NOT NULL THEN regexp_replace(list_extract(string_split(config, '/'), -1), '\\.[^.]*$', '') "
+    f"ELSE list_extract(string_split(model_path, '/'), -1) END || '.json' AS result_name FROM ({MODELS_SQL})",
 )
 def q_result_name(spark, sf):
-    """S12 result-file name from the model id (last path segment)"""
-    return assembled_results(spark, sf).select("model", "result_name")
+    """S12 result-file names of the run table: config stem, else last segment of the model id"""
+    return model_runs(spark, sf).select(F.col("model_path").alias("model"), RS.result_name_col(F.col("model_path"), F.col("config")).alias("result_name"))
 
 
 @query(

@@ -9,6 +9,7 @@ from quarry.functions import fixed
 from quarry.functions.regex import sql_str
 from quarry.operators import filtering as L
 from quarry.operators import formatting as FM
+from quarry.operators import headers as H
 from quarry.operators import splits as T
 from quarry.plans import views as V
 from quarry.plans.q_prepare import PREPARED_VIEWS, regex_phase, sql_examples, sql_split_on
@@ -87,8 +88,12 @@ def sql_rule_verdict(title: str, text: str, lang: str) -> dict:
     guess = f"CASE WHEN {best} = 0 THEN NULL " + " ".join(f"WHEN {h} = {best} THEN '{k}'" for k, h in hits.items()) + " END"
     share = "length(regexp_replace(t, '[^\\p{L}]', '', 'g')) / greatest(length(t), 1)"
     nwords = "len(regexp_extract_all(t, '\\S+'))"
+    full = "list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '\\S'))"
+    listed = f"list_filter({full}, lambda x: regexp_matches(x, {sql_str(L.LIST_LINE)}) OR regexp_matches(x, {sql_str(L.TABLE_LINE)}))"
+    only_lists = f"(len({full}) >= {L.LIST_MIN_LINES} AND len({listed}) >= {L.LIST_SHARE} * len({full}))"
     rj = f"""CASE WHEN t = '' THEN 'empty after cleaning'
                   WHEN regexp_matches(t, '^[\\s•\\-*]*$') THEN 'only bullet points'
+                  WHEN {only_lists} THEN 'only tables or lists'
                   WHEN {share} < {L.MIN_LETTER_SHARE} THEN 'garbled text'
                   WHEN {nwords} < {L.MIN_WORDS} THEN 'too few words'
                   WHEN ({guess}) IS NOT NULL AND ({guess}) <> {lang} THEN 'wrong language' END"""
@@ -203,6 +208,45 @@ def q_reasons(spark, sf):
     return L.reject_reasons(rule_verdicts(spark, sf).filter("rejected"))
 
 
+# lines of at least a tenth of all documents (and three) go, before the rules
+HEADER_VIEWS = dict(
+    pd=PD,
+    hl=f"""SELECT line, CAST(count(*) AS BIGINT) AS n_documents FROM (
+             SELECT DISTINCT doc_id, trim(unnest(string_split(raw_text, chr(10))), ' ' || chr(9) || chr(13)) AS line FROM pd) WHERE line <> ''
+           GROUP BY line HAVING count(*) >= greatest({H.MIN_DOCUMENTS}, (SELECT ceil(count(*) * {H.MIN_SHARE}) FROM pd))""",
+    hx="""SELECT doc_id, title, source, lang, raw_text, list_filter(string_split(raw_text, chr(10)),
+             lambda x: NOT list_contains(known, trim(x, ' ' || chr(9) || chr(13)))) AS kept FROM pd, (SELECT coalesce(list(line), []) AS known FROM hl)""",
+    hd="SELECT doc_id, title, source, lang, array_to_string(kept, chr(10)) AS text, CAST(len(string_split(raw_text, chr(10))) - len(kept) AS BIGINT) AS n_removed FROM hx",
+)
+
+
+@query("line_frequencies", with_views("SELECT line, n_documents FROM hl", **{k: HEADER_VIEWS[k] for k in ("pd", "hl")}))
+def q_line_frequencies(spark, sf):
+    """L9 lines that stand in a tenth of all documents or more"""
+    return H.line_frequencies(V.press_documents(spark, sf), "raw_text")
+
+
+@query("repeated_headers", with_views("SELECT doc_id, md5(text) AS text_md5, n_removed FROM hd", **HEADER_VIEWS))
+def q_repeated_headers(spark, sf):
+    """L9 documents without their repeated header lines"""
+    x = H.without_headers(V.press_documents(spark, sf).select("doc_id", F.col("raw_text").alias("text")))
+    return x.select("doc_id", F.md5("text").alias("text_md5"), "n_removed")
+
+
+HEADED_VIEWS = dict(HEADER_VIEWS)
+HEADED_VIEWS.update({k: v.format(src="hd") if k == "rv0" else v for k, v in sql_rule_verdict("title", "text", "lang").items()})
+HEADED_VIEWS.update(sql_verdicts("rv", "generated", head_only=False))
+
+
+@query("rule_filter_headers", with_views("SELECT doc_id, rejected, reason_ AS reason, md5(content) AS content_md5 FROM v", **HEADED_VIEWS))
+def q_rule_filter_headers(spark, sf):
+    """L9 whole: repeated headers over the corpus, then the rules of each document"""
+    pd = V.press_documents(spark, sf).select("doc_id", "title", "source", "lang", F.col("raw_text").alias("text"))
+    x = H.without_headers(pd)
+    v = L.verdicts(x.withColumn("generated", L.rule_verdict("title", "text", "lang")), head_only=False)
+    return v.select("doc_id", "rejected", "reason", F.md5("content").alias("content_md5"))
+
+
 ECHO_SQL = f"""SELECT doc_id, {sql_blank('text')} AS rejected, CASE WHEN {sql_blank('text')} THEN {sql_str(fixed.EMPTY_REASON)} END AS reason,
     CASE WHEN NOT {sql_blank('text')} THEN md5({sql_strip(f'substr(text, 1, {fixed.FILTER_MAX_INPUT_CHARS})')}
          || CASE WHEN length(text) > {fixed.FILTER_MAX_INPUT_CHARS} THEN substr(text, {fixed.FILTER_MAX_INPUT_CHARS + 1}) ELSE '' END) END AS content_md5

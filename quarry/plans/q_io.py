@@ -3,6 +3,8 @@ the incremental run (I1)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quarry.functions import fixed
@@ -14,11 +16,12 @@ from quarry.operators import formatting as FM
 from quarry.operators import splits as T
 from quarry.plans import views as V
 from quarry.plans import sqlfrag as SQ
-from quarry.plans.q_collect import ARTICLE_SQL, MD_SQL, UNTITLED, sql_safe_title
+from quarry.plans.q_collect import ARTICLE_SQL, LINKS_SQL, MD_SQL, OUTPUTS_SQL, PENDING_SQL, UNTITLED, links, outputs, sql_safe_title
 from quarry.plans.q_prepare import PREPARED_SQL, PREPARED_VIEWS, prepared_no_filter, sql_split_on
 from quarry.plans.registry import query, with_views
-from quarry.session import shared_dir
+from quarry.session import materialize, shared_dir
 from quarry.sources import io as S
+from quarry.streaming import discovery as D
 from quarry.streaming import incremental as I
 
 CAT = V.catalog_sql()
@@ -87,22 +90,23 @@ def q_fetch_summary(spark, sf):
 
 
 # ------------------------------------------------------------------- X1
-PAGES_LONG_SQL = """SELECT doc_id, unnest(range(len(parts))) AS page_no, unnest(parts) AS t
-  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)"""
+# pages are a text's lines; behind every third one comes a page that could not be decoded
+PAGES_LONG_SQL = """SELECT doc_id, unnest(range(len(parts))) * 2 AS page_no, unnest(parts) AS t
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)"""
 
 
 def pages_long(spark, sf):
     d = V.table(spark, sf, "documents")
-    x = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("page_no", "t"))
-    # every fourth page failed to decode
-    return x.withColumn("t", F.when(F.col("page_no") % 4 == 3, F.lit("")).otherwise(F.col("t")))
+    x = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("page_no", "t")).withColumn("page_no", F.col("page_no") * 2)
+    failed = x.filter(F.col("page_no") % 6 == 4).select("doc_id", (F.col("page_no") + 1).alias("page_no"), F.lit(None).cast("string").alias("t"))
+    return x.unionByName(failed)
 
 
 @query(
     "assemble_pages",
     with_views(
         "SELECT doc_id, coalesce(string_agg(t, chr(10) || chr(10) ORDER BY page_no) FILTER (WHERE t <> ''), '') AS raw_text "
-        "FROM (SELECT doc_id, page_no, CASE WHEN page_no % 4 = 3 THEN '' ELSE t END AS t FROM pl) GROUP BY doc_id",
+        "FROM pl GROUP BY doc_id",
         pl=PAGES_LONG_SQL,
     ),
 )
@@ -114,7 +118,7 @@ def q_assemble(spark, sf):
 @query(
     "decode_pdf_pages",
     with_views(
-        f"SELECT path, CAST(length(c) AS BIGINT) AS n_chars FROM (SELECT printf('%03d.pdf', idx) AS path, "
+        f"SELECT path, md5(c) AS text_md5 FROM (SELECT printf('%03d.pdf', idx) AS path, "
         f"{SQ.clean_text('html')} AS c FROM f WHERE status = 200 AND idx % 3 <> 0 AND html <> '')",
         f="SELECT page_id AS idx, CASE WHEN page_id % 5 = 0 THEN 404 ELSE 200 END AS status, html FROM pages",
     ),
@@ -125,7 +129,7 @@ def q_decode(spark, sf):
     ok = f.filter(F.col("result") == "ok").withColumn("path", F.format_string("%03d.pdf", F.col("idx")))
     pages = A.decode_pages(ok, "path", "content")
     docs = X.assemble_pages(pages, key="path", page_no="page_no", text="text")
-    return X.clean_documents(docs).select("path", F.length("cleaned").cast("bigint").alias("n_chars"))
+    return X.clean_documents(docs).select("path", F.md5("cleaned").alias("text_md5"))
 
 
 def _filtered_views():
@@ -135,10 +139,10 @@ def _filtered_views():
 
 
 # ------------------------------------------------------------------ S1-S12
-@query("src_pages", "SELECT page_id, url, CAST(length(html) AS BIGINT) AS n_chars FROM pages")
+@query("src_pages", "SELECT page_id, url, md5(html) AS html_md5 FROM pages")
 def q_src_pages(spark, sf):
     """S3 page scan with column pruning"""
-    return V.table(spark, sf, "pages").select("page_id", "url", F.length("html").cast("bigint").alias("n_chars"))
+    return V.table(spark, sf, "pages").select("page_id", "url", F.md5("html").alias("html_md5"))
 
 
 @query("sink_catalog", with_views("SELECT *, CAST(NULL AS VARCHAR) AS scraped_at FROM cat", cat=CAT))
@@ -244,7 +248,7 @@ def q_parse(spark, sf):
     with_views(
         "SELECT regexp_replace(title, '\\A\\s+|\\s+\\z', '', 'g') AS title, "
         "CASE WHEN doc_id % 3 = 0 THEN NULL ELSE '2024-01-01' END AS date, source, "
-        "CAST(length(regexp_replace(text, '\\A\\s+|\\s+\\z', '', 'g')) AS BIGINT) AS n_chars FROM pd",
+        "md5(regexp_replace(text, '\\A\\s+|\\s+\\z', '', 'g')) AS content_md5 FROM pd",
         pd=V.press_documents_sql(),
     ),
 )
@@ -254,7 +258,7 @@ def q_processed_files(spark, sf):
     directory = S.write_files(f, shared_dir(spark, "processed"), "name", "framed")
     back = S.read_text_files(spark, directory)
     p = back.select(FM.parse_processed("value", "file_name").alias("p"))
-    return p.select("p.title", "p.date", "p.source", F.length("p.content").cast("bigint").alias("n_chars"))
+    return p.select("p.title", "p.date", "p.source", F.md5("p.content").alias("content_md5"))
 
 
 @query("sink_splits", with_views("SELECT * FROM sp WHERE split = 'eval'", **PREPARED_VIEWS, sp=sql_split_on("ex", "source_pdf")))
@@ -305,7 +309,7 @@ def q_sink_summary(spark, sf):
 @query(
     "incremental_clean",
     with_views(
-        f"SELECT doc_id, source, length(c) AS n_chars FROM (SELECT doc_id, source, {SQ.clean_text('raw_text')} AS c "
+        f"SELECT doc_id, source, md5(c) AS text_md5 FROM (SELECT doc_id, source, {SQ.clean_text('raw_text')} AS c "
         "FROM pd WHERE raw_text <> '')",
         pd=V.press_documents_sql(),
     ),
@@ -320,13 +324,13 @@ def q_incremental(spark, sf):
     I.run_incremental_clean(spark, inbox, pd.schema, out, ckpt)
     second.write.parquet(f"{inbox}/batch=2")
     I.run_incremental_clean(spark, inbox, pd.schema, out, ckpt)  # only the new files are processed
-    return I.read_output(spark, out).select("doc_id", "source", F.length("cleaned").cast("bigint").alias("n_chars"))
+    return I.read_output(spark, out).select("doc_id", "source", F.md5("cleaned").alias("text_md5"))
 
 
 @query(
     "incremental_filter",
     with_views(
-        "SELECT source, title, date, content FROM v WHERE NOT rejected",
+        "SELECT source, title, CASE WHEN NOT rejected THEN date END AS date, md5(content) AS content_md5, CASE WHEN rejected THEN reason_ END AS reason FROM v",
         **{k: v for k, v in _filtered_views().items() if k not in ("acc", "ex")},
     ),
 )
@@ -337,5 +341,67 @@ def q_incremental_filter(spark, sf):
     rx = regex_phase(spark, sf).select("source", "title", "date", "lang", F.col("cleaned").alias("text"))
     inbox, acc, rej, ckpt = (shared_dir(spark, n) for n in ("rx-inbox", "accepted", "rejected", "filter-ckpt"))
     rx.write.parquet(f"{inbox}/batch=1")
-    I.run_incremental_filter(spark, inbox, rx.schema, acc, rej, ckpt)
-    return spark.read.parquet(acc).drop("batch_id")
+    I.run_incremental_filter(spark, inbox, rx.schema, acc, rej, ckpt, max_files=4)
+    none = F.lit(None).cast("string")
+    good = spark.read.parquet(acc).select("source", "title", "date", F.md5("content").alias("content_md5"), none.alias("reason"))
+    return good.unionByName(spark.read.parquet(rej).select("source", "title", none.alias("date"), none.alias("content_md5"), "reason"))
+
+
+# ------------------------------------------- I1: known ids as a stream's state
+@query(
+    "stream_new_ids",
+    with_views(
+        "SELECT id, page_id, pos, slug FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY page_id % 2 DESC, page_id, pos) AS k FROM l WHERE page_id % 4 <> 0) "
+        "WHERE k = 1 AND id NOT IN (SELECT id FROM l WHERE page_id % 4 = 0)",
+        l=LINKS_SQL,
+    ),
+)
+def q_stream_new_ids(spark, sf):
+    """C5 as a stream: known ids and two arriving batches of links; a restart between them adds nothing"""
+    place = F.struct("page_id", "pos")  # order of rows that arrive together
+    lk = links(spark, sf).select("id", "page_id", F.col("pos").cast("bigint").alias("pos"), "slug", (F.col("page_id") % 4 == 0).alias("known"))
+    lk = materialize(lk.withColumn("place", F.format_string("%020d %020d", place["page_id"], place["pos"])), "links")
+    inbox, out, ckpt = (shared_dir(spark, n) for n in ("links-inbox", "new-ids", "new-ids-ckpt"))
+    run = lambda: D.run_new_ids(spark, inbox, lk.schema, out, ckpt)
+    for batch in ("known", "not known and page_id % 2 = 1", "not known and page_id % 2 = 0"):
+        lk.filter(batch).write.parquet(f"{inbox}/{uuid.uuid4().hex}")
+        run()
+        run()
+    return spark.read.schema(lk.schema).parquet(out).select("id", "page_id", "pos", "slug")
+
+
+@query(
+    "stream_pending",
+    with_views("SELECT idx, article_id, url FROM p", cat=CAT, outs=OUTPUTS_SQL, p=PENDING_SQL),
+)
+def q_stream_pending(spark, sf):
+    """C11 as a stream: outputs on disk first, then the catalog in two batches"""
+    none = lambda t: F.lit(None).cast(t)
+    done = outputs(spark, sf).select(C.output_id("name").alias("id")).filter("id is not null").distinct()
+    done = done.select(none("bigint").alias("idx"), "id", none("string").alias("article_id"), none("string").alias("url"), none("boolean").alias("scraped"), F.lit(True).alias("known"))
+    cat = V.catalog(spark, sf).select("idx", C.article_id_of("article_id", "url").alias("id"), "article_id", "url", "scraped", F.lit(False).alias("known"))
+    inbox, out, ckpt = (shared_dir(spark, n) for n in ("catalog-inbox", "pending", "pending-ckpt"))
+    for batch in (done, cat.filter("idx % 2 = 0"), cat.filter("idx % 2 = 1")):
+        batch.write.parquet(f"{inbox}/{uuid.uuid4().hex}")
+        D.run_pending(spark, inbox, cat.schema, out, ckpt)
+    return spark.read.schema(cat.schema).parquet(out).select("idx", "article_id", "url")
+
+
+@query(
+    "stream_fetch_plan",
+    with_views(
+        f"SELECT idx, file_name, CASE WHEN file_name IN (SELECT file_name FROM t WHERE idx % 5 = 0) OR k > 1 THEN 'skipped' ELSE 'fetch' END AS action "
+        f"FROM (SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY idx % 2, idx) AS k FROM t)",
+        cat=CAT,
+        t="SELECT idx, regexp_replace(coalesce(nullif(pdf_url, ''), url), '^.*/', '') || '.pdf' AS file_name FROM cat",
+    ),
+)
+def q_stream_fetch(spark, sf):
+    """A3 as a stream: files on disk first, then targets in two batches; a name that comes again is skipped"""
+    name = F.concat(F.regexp_replace(F.coalesce(F.nullif(F.col("pdf_url"), F.lit("")), F.col("url")), "^.*/", ""), F.lit(".pdf"))
+    t = materialize(V.catalog(spark, sf).select("idx", name.alias("file_name"), F.lit(False).alias("known")), "targets")
+    inbox, out, ckpt = (shared_dir(spark, n) for n in ("targets-inbox", "fetch-plan", "fetch-ckpt"))
+    for batch in (t.filter("idx % 5 = 0").withColumn("known", F.lit(True)), t.filter("idx % 2 = 0"), t.filter("idx % 2 = 1")):
+        batch.write.parquet(f"{inbox}/{uuid.uuid4().hex}")
+        D.run_fetch_plan(spark, inbox, t.schema, out, ckpt)
+    return spark.read.schema("idx bigint, file_name string, action string").parquet(out)

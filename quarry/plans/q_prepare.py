@@ -71,7 +71,7 @@ def q_drop_empty(spark, sf):
 @query(
     "length_cap",
     with_views(
-        f"SELECT doc_id, CAST(length(c) AS BIGINT) AS n_chars FROM (SELECT doc_id, {S.clean_text('raw_text')} AS c FROM pd) "
+        f"SELECT doc_id, md5(c) AS text_md5 FROM (SELECT doc_id, {S.clean_text('raw_text')} AS c FROM pd) "
         f"WHERE length(c) <= {fixed.TEXT_LENGTH_THRESHOLD}",
         pd=PD,
     ),
@@ -79,7 +79,7 @@ def q_drop_empty(spark, sf):
 def q_length_cap(spark, sf):
     """X11 cleaned texts within the length cap (cleaning runs once per row)"""
     df = X.clean_documents(_pd(spark, sf), cap=fixed.TEXT_LENGTH_THRESHOLD)
-    return df.select("doc_id", F.length("cleaned").cast("bigint").alias("n_chars"))
+    return df.select("doc_id", F.md5("cleaned").alias("text_md5"))
 
 
 @query("idx_from_name", with_views(f"SELECT source, {S.idx_from_name('source')} AS idx FROM pd", pd=PD))
@@ -178,7 +178,7 @@ _fmt("format_style", "plain", "F5 unknown style leaves content unchanged")
 
 @query(
     "chat_messages",
-    "SELECT conv_id, CAST(count(*) AS BIGINT) AS n_messages, string_agg(role, ',' ORDER BY turn) AS roles "
+    "SELECT conv_id, CAST(count(*) AS BIGINT) AS n_messages, string_agg(role || chr(31) || text, chr(30) ORDER BY turn) AS messages "
     "FROM conversations GROUP BY conv_id",
 )
 def q_chat_messages(spark, sf):
@@ -187,7 +187,7 @@ def q_chat_messages(spark, sf):
     return m.select(
         "conv_id",
         F.size("messages").cast("bigint").alias("n_messages"),
-        F.array_join(F.transform("messages", lambda x: x["role"]), ",").alias("roles"),
+        F.array_join(F.transform("messages", lambda x: F.concat(x["role"], F.lit("\x1f"), x["content"])), "\x1e").alias("messages"),
     )
 
 
@@ -283,8 +283,7 @@ def sql_split_on(src: str, key: str) -> str:
 
 REGEX_PHASE_SQL = f"""
   SELECT * REPLACE ({S.strip_ws('title')} AS title) FROM (
-    SELECT *, {S.clean_text('raw_text')} AS cleaned FROM en WHERE raw_text IS NOT NULL AND raw_text <> '')
-  WHERE length(cleaned) <= {fixed.TEXT_LENGTH_THRESHOLD}"""
+    SELECT *, {S.clean_text('raw_text')} AS cleaned FROM en WHERE raw_text IS NOT NULL AND raw_text <> '')"""
 
 PREPARED_VIEWS = dict(pd=PD, cat=CAT, en=ENRICH_SQL, rx=REGEX_PHASE_SQL, ex=sql_examples("rx", "cleaned"))
 PREPARED_SQL = with_views(sql_split_on("ex", "source_pdf"), **PREPARED_VIEWS)
@@ -333,24 +332,18 @@ def q_truncate_tokens(spark, sf):
 
 
 PACK_L = 2048
-# shards are the unit of parallelism of the running sum; on a cluster use at
-# least as many as there are cores
-PACK_SHARDS = 64
 
 
 @query(
     "pack_sequences",
-    f"""WITH x AS (
-      SELECT doc_id % {PACK_SHARDS} AS shard, doc_id, CAST(len(regexp_extract_all(text, {sql_str(TK.TOKEN_RE2)})) AS BIGINT) AS n
-      FROM documents),
-    y AS (SELECT *, sum(n) OVER (PARTITION BY shard ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS e
-          FROM x WHERE n > 0),
-    z AS (SELECT shard, doc_id, e - n AS s, e, unnest(generate_series(CAST(floor((e - n) / {PACK_L}) AS BIGINT),
+    f"""WITH x AS (SELECT doc_id, CAST(len(regexp_extract_all(text, {sql_str(TK.TOKEN_RE2)})) AS BIGINT) AS n FROM documents),
+    y AS (SELECT *, sum(n) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS e FROM x WHERE n > 0),
+    z AS (SELECT doc_id, e - n AS s, e, unnest(generate_series(CAST(floor((e - n) / {PACK_L}) AS BIGINT),
                                                    CAST(floor((e - 1) / {PACK_L}) AS BIGINT))) AS block FROM y)
-    SELECT shard, block, doc_id, CAST(least(e, (block + 1) * {PACK_L}) - greatest(s, block * {PACK_L}) AS BIGINT) AS n_tokens
+    SELECT block, doc_id, CAST(least(e, (block + 1) * {PACK_L}) - greatest(s, block * {PACK_L}) AS BIGINT) AS n_tokens
     FROM z""",
 )
 def q_pack(spark, sf):
-    """T5 sequence packing into 2048-token blocks, 64 shards"""
+    """T5 sequence packing into 2048-token blocks"""
     d = V.table(spark, sf, "documents").select("doc_id", TK.token_count("text").alias("n"))
-    return T.pack_sequences(d, "doc_id", "n", PACK_L, F.col("doc_id") % PACK_SHARDS)
+    return T.pack_sequences(d, "doc_id", "n", PACK_L)

@@ -81,6 +81,23 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/quarry/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _filesystem(spark: SparkSession, path: str):
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _filesystem(spark, path)
+    return fs.exists(p)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes an output of this library that another, complete one has replaced."""
+    fs, p = _filesystem(spark, path)
+    fs.delete(p, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return _checkpoint_base(spark)
 

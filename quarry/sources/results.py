@@ -26,16 +26,25 @@ def result_name_col(model, config=None):
     return F.concat(F.lit("evaluation_results_"), F.coalesce(stem, last), F.lit(".json"))
 
 
+#: A model's record; a metric's ``error`` is null unless it failed, a skipped metric is null.
+RESULT_SCHEMA = (
+    "model_path string, config string, "
+    "perplexity struct<perplexity:double,avg_loss:double,total_tokens:bigint,error:string>, "
+    "semantic_entropy struct<mean_entropy:double,max_entropy:double,min_entropy:double,error:string>, "
+    "generations struct<n_prompts:bigint,n_responses:bigint,output:string,error:string>, result_name string"
+)
+
+
 def write_results(results: DataFrame, spark: SparkSession, path: str | None = None) -> str:
-    """Write one nested JSON record per model, partitioned by result name."""
+    """Write one nested JSON record per model, partitioned by result name; a written name is replaced, others stay."""
     out = path or shared_dir(spark, "eval-results")
-    results.write.mode("overwrite").partitionBy("result_name").json(out)
+    results.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("result_name").json(out)
     return out
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """Scan result records back (schema inferred from the nested JSON)."""
-    return spark.read.json(path)
+    """Scan result records back."""
+    return spark.read.schema(RESULT_SCHEMA).json(path)
 
 
 def leaderboard(results: DataFrame) -> DataFrame:
@@ -46,7 +55,7 @@ def leaderboard(results: DataFrame) -> DataFrame:
     """
     ppl = F.round(F.col("perplexity.perplexity"), 6)
     ent = F.round(F.col("semantic_entropy.mean_entropy"), 6)
-    base = results.select("model", ppl.alias("perplexity"), ent.alias("mean_entropy"))
+    base = results.select(F.col("model_path").alias("model"), ppl.alias("perplexity"), ent.alias("mean_entropy"))
     return base.select(
         "model",
         "perplexity",

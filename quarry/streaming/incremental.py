@@ -16,6 +16,12 @@ from pyspark.sql.types import StructType
 from quarry.operators.clean import clean_documents
 
 
+def source(spark: SparkSession, folder: str, schema: StructType, max_files: int | None = None) -> DataFrame:
+    """Parquet files as they arrive in ``folder`` or below it, at most ``max_files`` of them a micro-batch where that is given."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(folder)
+
+
 def run_incremental_clean(
     spark: SparkSession,
     input_dir: str,
@@ -24,9 +30,10 @@ def run_incremental_clean(
     checkpoint_dir: str,
     raw_col: str = "raw_text",
     keep: tuple[str, ...] = ("doc_id", "source"),
+    max_files: int | None = None,
 ) -> None:
-    """Clean every not-yet-processed input file and append the result."""
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(input_dir)
+    """Clean every not-yet-processed input file and append the result; micro-batches of ``max_files`` files, or one."""
+    stream = source(spark, input_dir, schema, max_files)
     cleaned = clean_documents(stream, raw_col=raw_col).select(*keep, "cleaned")
     q = (
         cleaned.writeStream.format("parquet")
@@ -50,6 +57,7 @@ def run_incremental_filter(
     rejected_dir: str,
     checkpoint_dir: str,
     text_col: str = "text",
+    max_files: int | None = None,
 ) -> None:
     """Filter phase (L1-L8) as a stream: each micro-batch of new regex-phase
     files gets its verdicts once and is split into the accepted set and the
@@ -60,7 +68,7 @@ def run_incremental_filter(
 
     from quarry.operators import filtering as L
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(input_dir)
+    stream = source(spark, input_dir, schema, max_files)
     judged = L.verdicts(stream.withColumn("generated", L.rule_verdict("title", text_col, "lang")), text=text_col, head_only=False)
 
     def write(batch: DataFrame, batch_id: int) -> None:

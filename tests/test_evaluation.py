@@ -98,13 +98,27 @@ def test_hub_and_chain_graph(spark):
 
 
 def test_failing_metric_is_recorded_not_fatal(spark):
-    from helpers import SF_SMALL
-    from quarry.plans import q_evaluate as QE
+    from quarry.evaluate import Model, evaluate
+    from quarry.session import shared_dir
 
-    def broken(spark, sf):
+    good = lambda: spark.range(1).selectExpr("2.0D as perplexity", "ln(2.0D) as avg_loss", "5L as total_tokens")
+    said = lambda: spark.range(3).selectExpr("id as prompt", "array('a', 'b') as responses")
+
+    def unplanned():
         raise RuntimeError("embedder unavailable")
 
-    rows = QE.assembled_results(spark, SF_SMALL, entropy_fn=broken).collect()
-    assert len(rows) == 3
-    assert all(r["semantic_entropy"] is None and "embedder unavailable" in r["error"] for r in rows)
-    assert all(r["perplexity"]["perplexity"] > 1 for r in rows)
+    # fails inside a task, long after the metric was planned
+    late = lambda: spark.range(10).selectExpr("if(id = 7, raise_error('no answer'), 1.0D) as mean_entropy")
+    folder = shared_dir(spark, "t-evaluate")
+    got = {r["model_path"]: r for r in evaluate(spark, folder, [
+        Model("org/a", {"perplexity": good, "semantic_entropy": unplanned, "generations": said}),
+        Model("ck/b/final", {"perplexity": good, "semantic_entropy": late}, "configs/b_lora.yaml"),
+    ]).collect()}
+    a, b = got["org/a"], got["ck/b/final"]
+    assert a["result_name"] == "evaluation_results_a.json" and b["result_name"] == "evaluation_results_b_lora.json"
+    assert a["perplexity"]["perplexity"] == b["perplexity"]["perplexity"] == 2.0 and a["perplexity"]["error"] is None
+    assert "embedder unavailable" in a["semantic_entropy"]["error"] and "no answer" in b["semantic_entropy"]["error"]
+    assert a["semantic_entropy"]["mean_entropy"] is None and (a["generations"]["n_prompts"], a["generations"]["n_responses"]) == (3, 6)
+    assert b["generations"] is None and b["config"] == "configs/b_lora.yaml"  # skipped
+    again = evaluate(spark, folder, [Model("org/a", {"perplexity": good})]).collect()
+    assert len(again) == 2 and next(r for r in again if r["model_path"] == "org/a")["generations"] is None  # replaced, the other stays
