@@ -115,4 +115,23 @@ def materialize(df, name: str = "phase"):
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._folder = path  # for ``release``
+    return out
+
+
+def release(*tables, sweep: bool = True) -> None:
+    """Removes the folders of ``materialize`` outputs that no later step reads.
+
+    For tables whose readers have all been written; frames that are not such an
+    output themselves are left alone. With ``sweep`` the driver also lets go of
+    what it no longer refers to, so that Spark clears those shuffle files.
+    """
+    spark = None
+    for df in tables:
+        path = getattr(df, "_folder", None)
+        if path:
+            spark = df.sparkSession
+            discard(spark, path)
+    if spark is not None and sweep:
+        spark.sparkContext._jvm.System.gc()
