@@ -236,8 +236,8 @@ def fit(
     return build_trees(data, order)
 
 
-def predict(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFrame:
-    """Adds lang_pred and score to ``docs``; every other column stays (older ones of these names go).
+def predict(docs: DataFrame, trees: ContextTrees, text: str = "text", pred: str = "lang_pred", score_as: str = "score") -> DataFrame:
+    """Adds ``pred`` and ``score_as`` to ``docs``; every other column stays (older ones of these names go).
 
     The score is the winner's posterior under equal priors, from code lengths
     of the whole text: 2^-bits over the sum for all languages. A null text
@@ -245,7 +245,7 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFra
     first in code-point order. Without any learned language all are ``und``.
     """
     model = docs.sparkSession.sparkContext.broadcast(vars(trees))
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(pred, score_as)
     names = docs.columns
     at = names.index(text)
 
@@ -271,9 +271,9 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFra
                 won, score = np.zeros(len(col), int), np.zeros(len(col))
             known = letters & bool(t.langs)
             pred = [t.langs[i] if k else UNKNOWN for i, k in zip(won, known, strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(np.where(known, score, 0.0))], [*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(np.where(known, score, 0.0))], [*names, pred, score_as])
         del t
         give_back()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, schema + ", lang_pred string, score double")
+    return docs.mapInArrow(run, schema + f", `{pred}` string, `{score_as}` double")

@@ -10,8 +10,10 @@ One tree over all documents would be walked almost whole for each of them,
 as no single coordinate tells unlike texts apart. So trees are built per
 block, and blocks come from the groups too: two sets with likeness t differ
 in at most k = (|A|+|B|)(1-t)/(1+t) shingles, and of more than k groups one is
-then the same in both. Documents with an equal group form a block. No linked
-pair is outside every block, so the join is exact.
+then the same in both. Documents with an equal group form a block. With some
+spare groups, linked pairs have several blocks in common, and each document
+leaves out its most frequent ones but that many. No linked pair is outside
+every block that is left, so the join is exact.
 
 Sets that are equal form one class before anything else. Each class first
 meets one pivot of its blocks; blocks still in several components compare
@@ -24,17 +26,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import give_back, suspects, text_slices
 from quarry.llm.graph import components
-from quarry.session import materialize, shared_dir
+from quarry.session import materialize, release
 
 #: Coordinates of the points.
 GROUPS = 128
 #: Sets keep 48 bits of each shingle's hash.
 SET_BITS = 48
+#: One spare group for so many needed ones: more of them find fewer false partners, at more keys a set.
+SPARE = 8
 
 
 def bands(percent: int, upto: int) -> list[int]:
@@ -97,24 +101,25 @@ def shingle_hashes(texts, width: int = 3):
     return h, out
 
 
-def block_keys(s, percent: int, ends):
-    """uint64 block keys of one sorted shingle set (see the module's text).
+def band_keys(s, percent: int, ends):
+    """(band, need, uint64 block keys) of one sorted shingle set, per size band in which a partner may be the larger set.
 
-    The set is dealt to k + 1 + spare groups for each size band in which a
-    partner may be the larger set. A group without shingles makes no key
-    unless more groups than the spare ones are empty.
+    The set is dealt to k + 1 + spare groups, of which a linked set has at
+    least spare + 1 in common. Groups without shingles make no key unless more
+    groups than the spare ones are empty. ``need`` keys at least are in common
+    with every linked set, as groups that are empty in both are empty here.
     """
     import numpy as np
 
     n = len(s)
-    keys = []
+    out = []
     for b in range(int(np.searchsorted(ends, n, side="right")) - 1, len(ends) - 1):
         if 100 * n < percent * ends[b]:
             break
         k = differing(int(ends[b + 1]) - 1, percent)
         if k == 0:
             continue
-        spare = max(1, (k + 1) // 16)
+        spare = max(1, (k + 1) // SPARE)
         m = k + 1 + spare
         g = (s >> np.uint64(20)) % np.uint64(m)
         order = np.argsort(g, kind="stable")
@@ -122,10 +127,19 @@ def block_keys(s, percent: int, ends):
         first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
         sums = np.add.reduceat(x, first)
         groups = g[first]
-        if m - len(groups) > spare:
+        empty = m - len(groups)
+        if empty > spare:
             none = np.setdiff1d(np.arange(m, dtype=np.uint64), groups)
             groups, sums = np.concatenate([groups, none]), np.concatenate([sums, np.zeros(len(none), np.uint64)])
-        keys.append(mix64(sums + mix64(groups + np.uint64(b << 32))))
+        out.append((b, max(1, spare + 1 - empty), mix64(sums + mix64(groups + np.uint64(b << 32)))))
+    return out
+
+
+def block_keys(s, percent: int, ends):
+    """All block keys of one sorted shingle set."""
+    import numpy as np
+
+    keys = [k for _, _, k in band_keys(s, percent, ends)]
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
@@ -148,16 +162,21 @@ def unpacked_points(raws: list):
     return out
 
 
+def set_name(s) -> int:
+    """64-bit name of a sorted shingle set."""
+    import hashlib
+
+    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 def shingle_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 90, width: int = 3) -> DataFrame:
-    """(id, cls, n, point, shingles, blocks): one row per document.
+    """(id, cls, n, point, blocks): one row per document.
 
     ``cls`` names the set (equal sets, equal name; null for an empty one),
-    ``point`` holds the group counts, ``shingles`` the sorted hashes.
+    ``point`` holds the group counts, ``blocks`` the keys per size band.
     """
 
     def run(batches: Iterator) -> Iterator:
-        import hashlib
-
         import numpy as np
         import pyarrow as pa
 
@@ -166,28 +185,52 @@ def shingle_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
             ids = b.column(0)
             for first, part in text_slices(b.column(1)):
                 h, off = shingle_hashes(part, width)
-                cls, n, point, kept, blocks = [], [], [], [], []
+                cls, n, point, found = [], [], [], []
                 for i in range(len(part)):
                     s = np.unique(h[off[i] : off[i + 1]])
                     n.append(len(s))
-                    if not len(s):
-                        cls.append(None)
-                        point.append(None)
-                        kept.append(None)
-                        blocks.append(None)
-                        continue
-                    cls.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True))
-                    point.append(packed_point(s))
-                    kept.append(np.sort(s >> np.uint64(64 - SET_BITS)).view(np.uint8).reshape(-1, 8)[:, : SET_BITS // 8].tobytes())
-                    blocks.append(block_keys(s, percent, ends).view(np.int64))
+                    cls.append(set_name(s) if len(s) else None)
+                    point.append(packed_point(s) if len(s) else None)
+                    found.append(band_keys(s, percent, ends) if len(s) else [])
+                per = [x for f in found for x in f]
+                keys = np.concatenate([np.zeros(0, np.uint64), *(k for _, _, k in per)]).view(np.int64)
+                ends_of = lambda sizes: pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+                inner = pa.ListArray.from_arrays(ends_of([len(k) for _, _, k in per]), pa.array(keys))
+                each = pa.StructArray.from_arrays([pa.array([x[0] for x in per], pa.int32()), pa.array([x[1] for x in per], pa.int32()), inner], ["band", "need", "keys"])
+                blocks = pa.ListArray.from_arrays(ends_of([len(f) for f in found]), each)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, len(part)), pa.array(cls, pa.int64()), pa.array(n, pa.int64()), pa.array(point, pa.binary()), pa.array(kept, pa.binary()), pa.array(blocks, pa.list_(pa.int64()))],
-                    ["id", "cls", "n", "point", "shingles", "blocks"],
+                    [ids.slice(first, len(part)), pa.array(cls, pa.int64()), pa.array(n, pa.int64()), pa.array(point, pa.binary()), blocks], ["id", "cls", "n", "point", "blocks"]
                 )
         give_back()
 
     src = docs.select(F.col(key).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    return src.mapInArrow(run, "id bigint, cls bigint, n bigint, point binary, shingles binary, blocks array<bigint>")
+    return src.mapInArrow(run, "id bigint, cls bigint, n bigint, point binary, blocks array<struct<band:int,need:int,keys:array<bigint>>>")
+
+
+def whole_sets(docs: DataFrame, named: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
+    """(cls, shingles): the sorted hashes of the sets in ``named`` (cls, id), made anew from the texts.
+
+    Only rows whose key may be wanted are read into a task; sets are several
+    times the size of what finds them, so they are not kept.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            for _, part in text_slices(b.column(0)):
+                h, off = shingle_hashes(part, width)
+                sets = [np.unique(h[off[i] : off[i + 1]]) for i in range(len(part))]
+                sets = [s for s in sets if len(s)]
+                kept = [np.sort(s >> np.uint64(64 - SET_BITS)).view(np.uint8).reshape(-1, 8)[:, : SET_BITS // 8].tobytes() for s in sets]
+                yield pa.RecordBatch.from_arrays([pa.array([set_name(s) for s in sets], pa.int64()), pa.array(kept, pa.binary())], ["cls", "shingles"])
+        give_back()
+
+    src = docs.select(F.col(key).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    maybe = suspects(src, "id", named.select(F.col("id").alias("_w"))).filter("_maybe").select("t")
+    made = maybe.mapInArrow(run, "cls bigint, shingles binary")
+    return made.join(named.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
 
 
 def among(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 24) -> DataFrame:
@@ -204,16 +247,6 @@ def among(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 24) ->
     return x.filter(mask.bitwiseAND(F.col("_mask")) != 0).drop("_word", "_mask")
 
 
-def by_class(sets: DataFrame) -> DataFrame:
-    """``sets`` written in buckets of their class, so that joins on it do not move them again."""
-    spark = sets.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = shared_dir(spark, "jaccard-used")
-    name = "jaccard_used_" + path.rsplit("-", 1)[-1]
-    sets.repartition(n, "cls").write.bucketBy(n, "cls").sortBy("cls").option("path", path).saveAsTable(name)
-    return spark.table(name)
-
-
 def enough(n_a, n_b, percent: int):
     """Least intersection of linked sets of these sizes."""
     return -(-(percent * (n_a + n_b)) // (100 + percent))
@@ -229,11 +262,22 @@ def unpacked(raw: bytes):
     return out.view("<u8").ravel()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes that link: the bound on their points first, then the sets themselves."""
-    small = sets.select("cls", "n", "point")
-    side = lambda c: small.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"), F.col("point").alias(f"p_{c}"))
-    near = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+def sizes_link(a: str, b: str, percent: int):
+    """True where sets of these sizes can link: the intersection is at most the smaller, the union at least the larger."""
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, whole=None) -> DataFrame:
+    """Pairs (a, b) of classes that link: their sizes, then the bound on their points, then the sets themselves.
+
+    sets: (cls, n, point), and shingles unless ``whole`` gives those of some
+    classes: (cls) -> (cls, shingles).
+    """
+    size = lambda c: sets.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"))
+    near = pairs.select("a", "b").join(size("a"), "a").join(size("b"), "b").filter(sizes_link("n_a", "n_b", percent))
+    # a class's point meets all its pairs where it is: it moves once, and once more with the pair
+    point = lambda c: sets.select(F.col("cls").alias(c), F.col("point").alias(f"p_{c}"))
+    near = near.join(point("a"), "a").join(point("b"), "b")
 
     def bounded(batches: Iterator) -> Iterator:
         import numpy as np
@@ -247,7 +291,11 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield t.select(["a", "b"]).filter(pa.array(np.minimum(*p).sum(axis=1, dtype=np.int64) >= need))
 
     near = materialize(near.select("a", "b", "n_a", "n_b", "p_a", "p_b").mapInArrow(bounded, "a bigint, b bigint"), "jaccard-near")
-    full = sets.select("cls", "shingles")
+    if whole is None:
+        full = sets.select("cls", "shingles")
+    else:
+        wanted = near.select(F.col("a").alias("cls")).unionByName(near.select(F.col("b").alias("cls"))).distinct()
+        full = materialize(whole(wanted), "jaccard-whole")
     both = near.join(full.select(F.col("cls").alias("a"), F.col("shingles").alias("s_a")), "a")
     both = both.join(full.select(F.col("cls").alias("b"), F.col("shingles").alias("s_b")), "b")
 
@@ -264,7 +312,21 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield t.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
         give_back()
 
-    return materialize(both.select("a", "b", "s_a", "s_b").mapInArrow(exact, "a bigint, b bigint"), "jaccard-links")
+    out = materialize(both.select("a", "b", "s_a", "s_b").mapInArrow(exact, "a bigint, b bigint"), "jaccard-links")
+    release(near, *([full] if whole is not None else []))
+    return out
+
+
+def rarest(members: DataFrame) -> DataFrame:
+    """Memberships (block, cls, band, need, size) without each class's ``need`` - 1 most frequent blocks of a band.
+
+    Linked sets have ``need`` keys of a band or more in common. Of these, the one
+    that comes first by (size, block) is among no class's need - 1 last ones, so
+    every linked pair still meets; documents that merely share some passages
+    mostly have fewer blocks in common with anyone, and none is left.
+    """
+    one = Window.partitionBy("cls", "band").orderBy(F.desc("size"), F.desc("block"))
+    return members.withColumn("_k", F.row_number().over(one)).filter("_k >= need").drop("_k")
 
 
 class CountTree:
@@ -375,21 +437,31 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     no rows. Equal 64-bit names of shingles and sets count as equal.
     """
     sets_all = materialize(shingle_sets(docs, key, text, percent, width), "jaccard-sets")
-    ids = sets_all.select("id", "cls", "n")
+    ids = materialize(sets_all.select("id", "cls", "n"), "jaccard-ids")
     # one row per class
     sets = sets_all.filter("cls is not null")
-    names = sets.groupBy("cls").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
-    blocks = sets.select("cls", F.explode("blocks").alias("block"))
-    held = blocks.groupBy("block").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi")
-    held = materialize(held, "jaccard-blocks")
-    members = among(blocks, "block", held).join(held, "block").select("block", "cls", "lo", "hi").distinct()
-    members = materialize(members, "jaccard-members")
+    names = ids.filter("cls is not null").groupBy("cls").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    per_band = sets.select("cls", F.inline("blocks"))
+    keys = per_band.select("cls", F.explode("keys").alias("block"))
+    held = keys.groupBy("block").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo < hi")
+    held = materialize(held.select("block", "size"), "jaccard-blocks")
+    own = per_band.select("cls", "band", "need", F.explode("keys").alias("block"))
+    members = among(own, "block", held).distinct().join(held, "block")
+    members = materialize(rarest(members).select("block", "cls"), "jaccard-kept")
+    held = members.groupBy("block").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi")
+    members = materialize(members.join(held, "block").select("block", "cls", "lo", "hi"), "jaccard-members")
     # every class of a block first meets one pivot
     star = members.groupBy("cls").agg(F.min("lo").alias("p")).filter("p <> cls").select(F.col("p").alias("a"), F.col("cls").alias("b"))
     star = materialize(star, "jaccard-stars")
-    one_each = among(sets, "cls", members.select("cls")).join(members.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
-    used = by_class(one_each.select("cls", "n", "point", "shingles"))
-    links, tried = verified(star, used, percent), star
+    met = materialize(members.select("cls").distinct(), "jaccard-met")
+    used = among(sets.select("cls", "n", "point"), "cls", met).join(met, "cls", "left_semi").dropDuplicates(["cls"])
+    used = materialize(used, "jaccard-used")
+    release(sets_all)
+
+    def whole(wanted: DataFrame) -> DataFrame:
+        return whole_sets(docs, names.select("cls", F.col("least").alias("id")).join(wanted, "cls", "left_semi"), key, text, width)
+
+    links, tried = verified(star, used, percent, whole), star
     for tree in (False, True):
         comp = components(links)
         # blocks whose members are still in several components
@@ -411,7 +483,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 break
             more = tree_pairs(rest, percent)
         more = materialize(more.join(tried, ["a", "b"], "left_anti"), "jaccard-more")
-        links, tried = links.unionByName(verified(more, used, percent)), tried.unionByName(more)
+        links, tried = links.unionByName(verified(more, used, percent, whole)), tried.unionByName(more)
     comp = components(links)
     # smallest key of each component, through the classes
     named = names.join(comp, names["cls"] == comp["v"], "left").select("cls", "least", F.coalesce("comp", "cls").alias("comp"))
