@@ -18,13 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTR = re.compile(r"\b(class|id|role|href|hidden|style|itemprop|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+#: One attribute after the other, its value with it, so that no name is found inside a value or another name.
+ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?|[\s=\"'/]+")
 SPACE = re.compile(r"[\s ]+")
 
 #: Elements whose content is no text of the page.
-SILENT = frozenset("script style noscript template svg iframe object canvas math select option textarea button head title audio video map datalist".split())
+SILENT = frozenset("script style noscript template svg iframe object canvas select option textarea button head title audio video map datalist".split())
 #: Elements read as raw text up to their end tag.
 RAW = frozenset("script style textarea title noscript iframe".split())
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr input".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
@@ -33,40 +35,78 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul figure".split())
 #: Weights for the log-odds of content, per element around a block.
 AROUND = {"article": 3.0, "main": 2.5, "nav": -7.0, "footer": -7.0, "aside": -6.0, "form": -7.0, "header": -2.5, "menu": -6.0, "dialog": -6.0, "address": -2.0, "figcaption": 0.0}
-NOT_CONTENT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|advertisement|banner|sponsor\w*|promo\w*|cookies?|consent|notice|gdpr|popup|modal|overlay|newsletter|subscribe|signup|login|"
-    r"comments?|commentlist|comment-\w+|disqus|replies|reply|respond|reader-\w+|sidebar|side-bar|widget\w*|related|recommend\w*|more-\w+|share|sharing|social|toolbar|"
-    r"nav|navbar|navigation|menu|menubar|breadcrumbs?|pagination|pager|footer|foot|header|masthead|topbar|copyright|legal|disclaimer|skip|search|tags|taboola|outbrain|hidden|sr-only|screen-reader-text)(?:$|[\s_-])",
-    re.I,
+#: Class and id words that speak against content, and those of reader comments.
+BOILERPLATE = frozenset(
+    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent notice gdpr popup modal overlay newsletter subscribe signup login "
+    "sidebar widget widgets related recommended share sharing social toolbar nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager "
+    "footer foot masthead topbar copyright legal disclaimer skip search tags taboola outbrain hidden header".split()
 )
-IS_CONTENT = re.compile(r"(?:^|[\s_-])(?:article|articlebody|content|entry|post|story|main|body|text|page-content|post-content|entry-content)(?:$|[\s_-])", re.I)
+COMMENTS = frozenset("comment comments commentlist disqus reply replies respond".split())
+#: Words that only say what shape the element has: a name is about what stands before them.
+SHAPES = frozenset(
+    "area bar block body box button card cell column container content element form group holder inner item items label left link links list main menu module number "
+    "page panel post posts right row section site slot strip text title top unit widget wrap wrapper zone".split()
+)
+IS_CONTENT = frozenset("article articlebody content entry post story main body text".split())
+PARTS = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
 ROLES = {"navigation": -7.0, "banner": -4.0, "contentinfo": -7.0, "complementary": -6.0, "search": -7.0, "form": -7.0, "dialog": -6.0, "alert": -5.0, "main": 2.5, "article": 3.0}
+HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+#: How far names around an ``article`` or ``main`` may count against it.
+NAMED_AROUND = -2.0
 #: Smoothness capacities: next block, and the same parent element.
 NEXT_EDGE, PARENT_EDGE = 0.6, 0.8
 
 
-def element_weight(name: str, attrs: str) -> tuple[float, bool]:
-    """(log-odds that the element speaks for content, whether it is hidden)."""
-    w = AROUND.get(name, 0.0)
+def name_kind(token: str) -> str:
+    """What one class or id says: ``comments``, ``boilerplate``, ``content`` or nothing.
+
+    A name is taken apart at hyphens, underscores and capitals. It is judged by
+    its last word, or by what is left when words of mere shape and numbers go:
+    ``site-footer`` and ``comments-area`` are boilerplate, ``legal-analysis`` is not.
+    """
+    parts = [x.lower() for x in PARTS.split(token) if x]
+    told = [x for x in parts if x not in SHAPES and not x.isdigit()]
+    if told and all(x in COMMENTS or x in ("div", "reader", "user", "thread") for x in told) and any(x in COMMENTS for x in told):
+        return "comments"
+    if told and (all(x in BOILERPLATE for x in told) or parts[-1] in BOILERPLATE and len(told) <= 2):
+        return "boilerplate"
+    if parts and all(x in IS_CONTENT or x in SHAPES for x in parts) and any(x in IS_CONTENT for x in parts):
+        return "content"
+    return ""
+
+
+def element_weight(name: str, attrs: str) -> tuple[float, float, bool]:
+    """(log-odds by what the element is, by how it is named, whether it is hidden).
+
+    A name counts less than what an element is: ``article`` and ``main`` are not
+    boilerplate because of a class word, unless they are reader comments.
+    """
+    kind, named = AROUND.get(name, 0.0), 0.0
     if not attrs:
-        return w, False
-    hidden = False
+        return kind, named, False
+    hidden, said = False, set()
     for m in ATTR.finditer(attrs):
+        if m[1] is None:
+            continue
         key, value = m[1].lower(), (m[2] or "").strip("\"'")
         if key in ("class", "id"):
-            if name in ("html", "body"):
-                continue
-            if NOT_CONTENT.search(value):
-                w -= 5.5
-            elif IS_CONTENT.search(value):
-                w += 1.5
+            if name not in ("html", "body"):
+                said.update(map(name_kind, value.split()))
         elif key == "role":
-            w += ROLES.get(value.lower(), 0.0)
+            kind += ROLES.get(value.lower(), 0.0)
         elif key == "itemprop" and value.lower() == "articlebody":
-            w += 3.0
-        elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
-            hidden = hidden or key != "aria-hidden"
-    return w, hidden
+            kind += 3.0
+        elif key == "hidden":
+            hidden = True
+        elif key == "style" and HIDING.search(value):
+            hidden = True
+    if "comments" in said:
+        kind -= 5.5 + max(kind, 0.0)
+    elif "boilerplate" in said and name not in ("article", "main"):
+        named -= 5.5
+    elif "content" in said and "boilerplate" not in said:
+        named += 1.5
+    return kind, named, hidden
 
 
 class Block:
@@ -80,32 +120,36 @@ class Block:
 def blocks(page: str) -> list[Block]:
     """Text blocks of a page in order; markup that never closes is taken as it comes."""
     out: list[Block] = []
-    # an open element: (name, serial, weight with all above, silent)
-    stack: list[tuple[str, int, float, bool]] = [("", 0, 0.0, False)]
+    # an open element: (name, serial, log-odds by kind and by name with all above, silent, index of the block element it is in)
+    stack: list[tuple[str, int, float, float, bool, int]] = [("", 0, 0.0, 0.0, False, 0)]
+    where: dict[str, list[int]] = {}  # open elements by name, so that nothing walks the stack
     pieces: list[str] = []
     state = {"links": 0, "serial": 0}
 
+    def last(*names: str) -> int:
+        return max((where[n][-1] for n in names if where.get(n)), default=0)
+
     def flush() -> None:
         if pieces:
             text = SPACE.sub(" ", html_lib.unescape("".join(pieces))).strip()
             pieces.clear()
             if text:
-                names = [e[0] for e in stack]
-                holder = next((e for e in reversed(stack) if e[0] not in INLINE), stack[0])
-                at = stack.index(holder)
-                up = stack[max(0, at - 1)][1]
-                out.append(Block(text, state["links"], stack[-1][2], any(n in HEADINGS for n in names), "li" in names, up, holder[1]))
+                top = stack[-1]
+                at = top[5]
+                out.append(Block(text, state["links"], top[2] + top[3], any(where.get(h) for h in HEADINGS), bool(where.get("li")), stack[max(0, at - 1)][1], stack[at][1]))
         state["links"] = 0
 
     def close_to(i: int) -> None:
-        if any(e[0] not in INLINE for e in stack[i:]):
+        if stack[-1][5] >= i:  # a block element is among them
             flush()
+        for e in stack[i:]:
+            where[e[0]].pop()
         del stack[i:]
 
     def say(text: str) -> None:
-        if text and not stack[-1][3]:
+        if text and not stack[-1][4]:
             pieces.append(text)
-            if any(e[0] == "a" for e in stack):
+            if where.get("a"):
                 state["links"] += len(text.strip())
 
     at, size = 0, len(page)
@@ -123,43 +167,36 @@ def blocks(page: str) -> list[Block]:
             continue
         name = m[2].lower()
         if m[1]:
-            if name == "p" and not any(e[0] == "p" for e in stack):
+            i = last(name)
+            if name == "p" and not i:
                 flush()
-                continue
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    close_to(i)
-                    break
-                if name in INLINE and stack[i][0] not in INLINE:
-                    break
+            elif i and (name not in INLINE or i > stack[-1][5]):  # an inline end tag stays inside its block
+                close_to(i)
             continue
         if name in ENDS_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p":
-                    close_to(i)
-                    break
-                if stack[i][0] in ("td", "th", "button", "object"):
-                    break
+            i = last("p")
+            if i > last("td", "th", "button", "object"):
+                close_to(i)
         if name in CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in CLOSES[name]:
-                    close_to(i)
-                    break
-                if stack[i][0] in ("ul", "ol", "dl", "table"):
-                    break
+            i = last(*CLOSES[name])
+            if i > last("ul", "ol", "dl", "table"):
+                close_to(i)
         if name not in INLINE:
             flush()
         if name in ("br", "hr"):
             say(" ")
         if name in VOID or m[3].endswith("/") and name in ("svg", "iframe"):
             continue
-        weight, hidden = element_weight(name, m[3])
-        state["serial"] += 1
-        stack.append((name, state["serial"], stack[-1][2] + weight, stack[-1][3] or hidden or name in SILENT))
         if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            stack.pop()
+            end = RAW_END[name].search(page, at)
             at = end.end() if end else size
+            continue
+        kind, named, hidden = element_weight(name, m[3])
+        top = stack[-1]
+        around = max(top[3], NAMED_AROUND) if name in ("article", "main") else top[3]
+        state["serial"] += 1
+        where.setdefault(name, []).append(len(stack))
+        stack.append((name, state["serial"], top[2] + kind, around + named, top[4] or hidden or name in SILENT, top[5] if name in INLINE else len(stack)))
     flush()
     return out
 

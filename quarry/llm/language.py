@@ -207,14 +207,16 @@ def fit(
     text: str = "text",
     lang: str = "lang",
     key: str = "doc_id",
+    min_count: int = 2,
 ) -> ContextTrees:
     """Trees of the languages of ``docs`` (labelled rows only), from a bounded sample.
 
     Sampled are at most ``max_rows`` rows per language, in the order of a
     hash of the key, of the rows whose text has at most ``max_bytes`` bytes
-    (longer ones only if a language has no others); n-grams counted once
-    over all languages are left out unless single bytes. Rows with null text or
-    language teach nothing.
+    (longer ones only if a language has no others). N-grams of two bytes and more
+    that are counted less than ``min_count`` times over all languages are left out:
+    most are met once, and with ``min_count`` 1 the trees are the exact ones, several times as large. Rows with null text or
+    language teach nothing; an empty table gives trees of no language.
     """
     from pyspark.sql import Window
 
@@ -230,8 +232,10 @@ def fit(
     chosen = rows.select(F.col(lang).alias("l0"), F.col(text).alias("t0"), F.xxhash64(key, text).alias("h0"))
     chosen = chosen.join(F.broadcast(top), (F.col("l0") == F.col("l")) & (F.col("h0") == F.col("h")), "left_semi").select("l0", "t0")
     counts = gram_counts(chosen, order)
-    seen = counts.groupBy("n", "code").agg(F.sum("c").alias("all")).filter((F.col("all") > 1) | (F.col("n") == 1)).select("n", "code")
-    got = counts.join(seen, ["n", "code"], "left_semi").select("lang", "n", "code", "c").toArrow()
+    if min_count > 1:
+        seen = counts.groupBy("n", "code").agg(F.sum("c").alias("all")).filter((F.col("all") >= min_count) | (F.col("n") == 1)).select("n", "code")
+        counts = counts.join(seen, ["n", "code"], "left_semi")
+    got = counts.select("lang", "n", "code", "c").toArrow()
     data = list(zip(*(got.column(c).to_pylist() for c in ("lang", "n", "code", "c")), strict=True))
     return build_trees(data, order)
 
@@ -242,7 +246,8 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text", pred: str
     The score is the winner's posterior under equal priors, from code lengths
     of the whole text: 2^-bits over the sum for all languages. A null text
     or one without a letter is ``und`` with score 0. Ties go to the language
-    first in code-point order. Without any learned language all are ``und``.
+    first in code-point order. Without any learned language all are ``und``;
+    repeated rows are judged each, an empty table gives no rows.
     """
     model = docs.sparkSession.sparkContext.broadcast(vars(trees))
     docs = docs.drop(pred, score_as)

@@ -98,6 +98,9 @@ def fit_counts(lengths, counts, budget: int, most: int = 1, reach: int = 1 << 16
     still fits until less than ``reach`` words are missing, and closes the
     rest by a bounded knapsack over reachable sums (a bit set per length),
     with each document once if that hits the budget, else up to ``most`` times.
+    ``reach`` is at least four times the longest length, so that what the
+    knapsack closes has room for any document at every budget; where it does
+    not hit, it chooses anew with ever more of the even share given back.
     """
     import numpy as np
 
@@ -105,28 +108,28 @@ def fit_counts(lengths, counts, budget: int, most: int = 1, reach: int = 1 << 16
     whole = int((lengths * counts).sum())
     if budget <= 0 or whole == 0 or most < 1:
         return np.zeros(len(lengths), np.int64)
-    take = np.array([min(int(c), int(c) * budget // whole) for c in counts], np.int64)
-    left = budget - int((lengths * take).sum())
+    reach = max(reach, 4 * int(lengths.max()))
     order = np.argsort(-lengths, kind="stable")
-    for i in order:
-        if left <= reach:
-            break
-        n = min(int(counts[i] - take[i]), (left - reach // 2) // int(lengths[i]) if lengths[i] else 0)
-        if n > 0:
-            take[i] += n
-            left -= n * int(lengths[i])
+    even = np.array([min(int(c), int(c) * budget // whole) for c in counts], np.int64)
     best = None
-    for times in range(1, most + 1):
-        more, miss = nearest_sum(lengths, counts * times - take, left, order)
-        if best is None or miss < best[0]:
-            best = miss, take + more
-        if not miss:
-            break
-    if best[0] and budget <= reach:  # the even share itself may stand in the way: choose all takes anew
-        more, miss = nearest_sum(lengths, counts * most, budget, order)
-        if miss < best[0]:
-            return more
-    return best[1]
+    while True:
+        take, left = even.copy(), budget - int((lengths * even).sum())
+        for i in order:
+            if left <= reach:
+                break
+            n = min(int(counts[i] - take[i]), (left - reach // 2) // int(lengths[i]) if lengths[i] else 0)
+            if n > 0:
+                take[i] += n
+                left -= n * int(lengths[i])
+        for times in range(1, most + 1):
+            more, miss = nearest_sum(lengths, counts * times - take, left, order)
+            if best is None or miss < best[0]:
+                best = miss, take + more
+            if not miss:
+                return best[1]
+        if not even.any() or budget - int((lengths * even).sum()) > reach:  # nothing left to give back, or more than the knapsack closes
+            return best[1]
+        even = even // 2
 
 
 def nearest_sum(lengths, room, goal: int, order):

@@ -226,7 +226,8 @@ def fit(feats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "
     n = lab.count()
     if n > max_rows:
         lab = lab.filter(F.pmod(F.xxhash64("_k"), F.lit(1 << 30)) < int(0.9 * max_rows / n * (1 << 30)))
-    got = feats.join(lab, feats[key] == lab["_k"]).select("x", "y").limit(max_rows).toArrow()
+    # keys that repeat can pass the bound: the first rows by hash and values, whatever order they come in
+    got = feats.join(lab, feats[key] == lab["_k"]).orderBy(F.xxhash64("_k"), "_k", "y", "x").select("x", "y").limit(max_rows).toArrow()
     x = np.array(got.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
     return fit_model(x, np.array(got.column("y").to_pylist(), float))
 

@@ -68,7 +68,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_token_histogram")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = token_hist.length_histogram(table(spark, sf_dir, "documents"), tokenizer_path())
-    return token_hist.context_totals(materialize(h, "length-histogram"))
+    totals = materialize(token_hist.context_totals(materialize(h, "length-histogram")), "length-totals")
+    asked = token_hist.at_limits(totals)
+    missing = asked.join(totals.select("length"), asked["limit"] == totals["length"], "left_anti")
+    none = F.lit(0).cast("bigint")
+    return totals.unionByName(missing.select(F.col("limit").alias("length"), none.alias("documents"), none.alias("tokens"), "documents_ge", "tokens_ge", "truncated_tokens", "share_le"))
 
 
 @register("op7_ngram_jaccard_join")

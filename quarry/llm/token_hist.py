@@ -30,16 +30,16 @@ def context_totals(hist: DataFrame, block: int = 256) -> DataFrame:
     x = hist.withColumn("tokens", F.col("length") * F.col("documents")).withColumn("_b", F.floor(F.col("length") / block))
     w = Window.partitionBy("_b").orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = x.withColumn("_d", F.sum("documents").over(w)).withColumn("_t", F.sum("tokens").over(w))
+    # one row per block of lengths: bounded by the longest document, not by the number of documents
     tot = x.groupBy("_b").agg(F.sum("documents").alias("_bd"), F.sum("tokens").alias("_bt"))
-    above = tot.groupBy().agg(F.array_sort(F.collect_list(F.struct("_b", "_bd", "_bt"))).alias("_a"))
-    total = lambda f, cond: F.aggregate(F.filter("_a", cond), F.lit(0).cast("bigint"), lambda s, y: s + y[f])
-    # one entry per block of lengths: bounded by the longest document, not by the number of documents
-    j = above.select(F.explode("_a").alias("_e"), "_a").select(
-        F.col("_e._b").alias("_b"),
-        total("_bd", lambda y: y["_b"] > F.col("_e._b")).alias("_ad"),
-        total("_bt", lambda y: y["_b"] > F.col("_e._b")).alias("_at"),
-        total("_bd", lambda y: F.lit(True)).alias("_nd"),
-        total("_bt", lambda y: F.lit(True)).alias("_nt"),
+    higher = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    j = tot.select(
+        "_b",
+        F.coalesce(F.sum("_bd").over(higher), F.lit(0)).alias("_ad"),
+        F.coalesce(F.sum("_bt").over(higher), F.lit(0)).alias("_at"),
+        F.sum("_bd").over(every).alias("_nd"),
+        F.sum("_bt").over(every).alias("_nt"),
     )
     r = x.join(F.broadcast(j), "_b")
     ge, tge = F.col("_d") + F.col("_ad"), F.col("_t") + F.col("_at")
@@ -54,6 +54,32 @@ def context_totals(hist: DataFrame, block: int = 256) -> DataFrame:
     )
 
 
+#: Context limits that are usually asked for.
+LIMITS = tuple(1 << k for k in range(7, 21))
+
+
+def at_limits(totals: DataFrame, limits=LIMITS) -> DataFrame:
+    """(limit, documents_ge, tokens_ge, truncated_tokens, share_le) at each of ``limits``, occurring lengths or not.
+
+    What holds from a limit on are the suffix sums of the next length that
+    occurs; beyond the longest document nothing is cut. One pass over
+    ``totals`` (of ``context_totals``), whose rows are distinct lengths. An empty
+    table gives zeros, and a null share.
+    """
+    whole = F.max_by("truncated_tokens", "length")  # at the longest length nothing is cut
+    n = F.max("documents_ge")
+    some = totals.agg(whole.alias("_t"), n.alias("_n"), *[F.min_by(F.struct("documents_ge", "tokens_ge"), F.when(F.col("length") >= x, F.col("length"))).alias(f"_{x}") for x in limits],
+                      *[F.max_by("share_le", F.when(F.col("length") <= x, F.col("length"))).alias(f"_s{x}") for x in limits])
+    zero = F.lit(0).cast("bigint")
+
+    def row(x: int):
+        ge, tge = F.coalesce(F.col(f"_{x}.documents_ge"), zero), F.coalesce(F.col(f"_{x}.tokens_ge"), zero)
+        share = F.when(F.col("_n") > 0, F.coalesce(F.col(f"_s{x}"), F.lit(0.0)))
+        return F.struct(F.lit(x).cast("bigint").alias("limit"), ge.alias("documents_ge"), tge.alias("tokens_ge"), (F.coalesce("_t", zero) - tge + ge * x).alias("truncated_tokens"), share.alias("share_le"))
+
+    return some.select(F.inline(F.array(*[row(int(x)) for x in limits])))
+
+
 def quantile(totals: DataFrame, q: float) -> DataFrame:
     """One row (length): the smallest length with ``share_le`` >= q; null over an empty table."""
     return totals.filter(F.col("share_le") >= q).agg(F.min("length").alias("length"))

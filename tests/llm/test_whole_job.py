@@ -3,10 +3,12 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import lmscore, ngram_join, packing
+from quarry.llm import html_extract, language, lmscore, mixing, ngram_join, packing, token_hist
+from quarry.llm import queries as llm_queries
 from quarry.session import materialize
 
 
@@ -88,3 +90,127 @@ def test_points_of_very_large_groups_prune_no_link(spark):
     assert (1, 2) in {(r["a"], r["b"]) for r in ngram_join.tree_pairs(members, 90).collect()}
     small = ngram_join.packed_point(np.arange(500, dtype=np.uint64))
     assert len(small) == 2 * ngram_join.GROUPS and (ngram_join.unpacked_points([small, ngram_join.packed_point(big)]).sum(axis=1) == [500, 200_000]).all()
+
+
+ARTICLE = "This is a long paragraph of the article, which says many things about the topic at hand, and goes on for a while. " * 2
+
+
+@pytest.mark.parametrize(
+    ("open_", "close"),
+    [
+        ('<article data-id="comment-5">', "</article>"),
+        ('<p data-hidden="false">', "</p>"),
+        ('<div alt="a hidden b" title="class=comments">', "</div>"),
+        ('<article class="post tags">', "</article>"),
+        ('<main><div class="legal-analysis">', "</div></main>"),
+        ('<div class="has-sidebar"><article>', "</article></div>"),
+        ('<div class="widget"><main>', "</main></div>"),
+        ("<div><math>", "</math></div>"),
+    ],
+)
+def test_articles_in_real_markup_are_kept(open_, close):
+    page = f"<html><body><nav><a href=/>Home</a> <a href=/x>More</a></nav>{open_}<p>{ARTICLE}</p><p>{ARTICLE}</p>{close}<footer>Copyright 2024</footer></body></html>"
+    assert html_extract.main_text(page) == f"{ARTICLE.strip()}\n\n{ARTICLE.strip()}"
+
+
+@pytest.mark.parametrize(
+    "open_",
+    ['<div class="comments-area">', '<article class="comment">', "<aside>", '<div id="cookie-banner">', '<div class="site-footer">', '<div style="display: none">', "<div hidden>", '<div class="sidebarWidget">', "<div role=complementary>"],
+)
+def test_boilerplate_beside_an_article_goes(open_):
+    name = open_[1:].split()[0].rstrip(">")
+    page = f"<body><article><p>{ARTICLE}</p><p>{ARTICLE}</p></article>{open_}<p>Short words to go away, they say, and so it was.</p></{name}></body>"
+    assert html_extract.main_text(page) == f"{ARTICLE.strip()}\n\n{ARTICLE.strip()}"
+
+
+def test_very_deep_and_very_long_pages():
+    import time
+
+    t = time.perf_counter()
+    assert len(html_extract.blocks("<div>" * 20_000 + "<p>word</p></i></span>" * 20_000)) == 20_000
+    assert time.perf_counter() - t < 5
+    long = "<p>" + "A sentence of the text that is said again and again. " * 100_000 + "</p>"  # 5.3 MB
+    assert len(html_extract.main_text(f"<article>{long}</article>")) > 5_000_000
+    assert html_extract.main_text("") == html_extract.main_text(None) == html_extract.main_text("<div><p") == ""
+
+
+def test_budgets_of_very_long_documents_are_met():
+    import itertools
+
+    rng = np.random.default_rng(3)
+    cases = [([74_000, 76_000, 90_000], [1, 1, 1], 150_000, 1), ([100_000, 100_001, 3], [5, 5, 1], 300_004, 1)]
+    cases += [(sorted(rng.choice(300_000, 4, replace=False) + 1), list(rng.integers(1, 3, 4)), int(rng.integers(1, 900_000)), 1) for _ in range(40)]
+    for lengths, counts, budget, most in cases:
+        got = int((np.array(lengths) * mixing.fit_counts(lengths, counts, budget, most)).sum())
+        sums = {sum(n * x for n, x in zip(ns, lengths, strict=True)) for ns in itertools.product(*(range(c * most + 1) for c in counts))}
+        assert abs(got - budget) == min(abs(s - budget) for s in sums), (lengths, counts, budget)
+
+
+def test_every_context_limit_is_answered(spark):
+    lengths = {0: 3, 5: 2, 600: 4, 70_000: 1}
+    hist = spark.createDataFrame(list(lengths.items()), "length bigint, documents bigint")
+    totals = token_hist.context_totals(hist, block=4)
+    got = {r["limit"]: r for r in token_hist.at_limits(totals, (1, 5, 512, 600, 4096, 1 << 20)).collect()}
+    flat = np.repeat(list(lengths), list(lengths.values()))
+    for x, r in got.items():
+        assert (r["documents_ge"], r["tokens_ge"], r["truncated_tokens"]) == ((flat >= x).sum(), flat[flat >= x].sum(), np.minimum(flat, x).sum())
+        assert abs(r["share_le"] - (flat <= x).mean()) < 1e-12
+    none = token_hist.at_limits(token_hist.context_totals(hist.limit(0)), (512,)).first()
+    assert tuple(none) == (512, 0, 0, 0, None)
+    q = {r["length"]: r["documents"] for r in llm_queries.QUERIES["op8_token_histogram"](spark, "/root/testdata/sf0.001").collect()}
+    assert set(token_hist.LIMITS) <= set(q) and sum(q.values()) == 200
+
+
+def test_linked_sets_share_what_the_blocks_need():
+    rng = np.random.default_rng(8)
+    for percent in (80, 90):
+        ends = np.array(ngram_join.bands(percent, 1 << 40), np.int64)
+        for n in (12, 40, 300, 2000):
+            base = np.sort(rng.choice(1 << 62, n, replace=False).astype(np.uint64))
+            drop = int(n * (100 - percent) / (100 + percent))
+            other = np.sort(np.concatenate([rng.permutation(base)[drop:], rng.choice(1 << 62, drop, replace=False).astype(np.uint64)]))
+            common = len(np.intersect1d(base, other))
+            if 100 * common < percent * (2 * n - common):
+                continue
+            a, b = ({band: (need, set(k.tolist())) for band, need, k in ngram_join.band_keys(s, percent, ends)} for s in (base, other))
+            for band in a.keys() & b.keys():
+                assert len(a[band][1] & b[band][1]) >= max(a[band][0], b[band][0])
+
+
+def test_frequent_blocks_go_and_linked_pairs_stay(spark):
+    rows = [(1, c, 0, 2, 3) for c in (10, 11, 12)] + [(2, c, 0, 2, 2) for c in (10, 11)] + [(3, 13, 0, 1, 2), (1, 13, 0, 1, 3)]
+    kept = ngram_join.rarest(spark.createDataFrame(rows, "block bigint, cls bigint, band int, need int, size bigint")).select("block", "cls").collect()
+    assert sorted(tuple(r) for r in kept) == [(1, 13), (2, 10), (2, 11), (3, 13)]
+
+
+def test_pipeline_keeps_columns_that_are_named_like_results(spark):
+    docs = spark.createDataFrame([(1, "the words of a text", "en", 42.0, "mine", 5), (2, "der text und das wort", "de", 1.0, "x", 6), (3, "12 !", "en", 2.0, "y", 7)], "doc_id bigint, text string, lang string, score double, lang_pred string, _xl int")
+    got = corpus_pipeline.keep_known_language(spark, docs, "")
+    assert got.columns == docs.columns and sorted(tuple(r)[3:] for r in got.collect()) == [(1.0, "x", 6), (42.0, "mine", 5)]
+
+
+def test_pipeline_over_an_empty_table(spark, tmp_path):
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_registered_queries_run_over_the_whole_table(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").count()
+    for name in ("op1_exact_dedup", "op4_fingerprints", "op5_source_mix", "op6_language_id", "op7_ngram_jaccard_join", "op9_quality_model", "op10_bloom_lm_scores"):
+        assert llm_queries.QUERIES[name](spark, sf).count() == docs, name
+    assert llm_queries.QUERIES["op2_best_fit_packing"](spark, sf).select("doc_id").distinct().count() == docs
+    assert llm_queries.QUERIES["op3_html_main_text"](spark, sf).count() == spark.read.parquet(f"{sf}/pages.parquet").count()
+
+
+def test_context_trees_of_all_ngrams(spark):
+    docs = spark.createDataFrame([(1, "abab", "x"), (2, "abc", "x"), (3, "zzz", "y")], "doc_id bigint, text string, lang string")
+    whole, cut = (language.fit(docs, min_count=n) for n in (1, 2))
+    sizes = lambda t: [len(c) for c in t.cost]
+    assert sizes(whole)[1:] > sizes(cut)[1:] and sizes(whole)[0] == sizes(cut)[0]
+    # order 1 of "x": a is followed by b three times, b by a and c once each
+    raw = np.frombuffer(b"ab", np.uint8)
+    bits = whole.bits(raw, np.array([0, 2]))[0]
+    at = whole.langs.index("x")
+    assert np.isfinite(bits).all() and bits[at] == bits.min()
