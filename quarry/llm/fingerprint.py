@@ -72,6 +72,10 @@ def to_string(s: str | Column) -> Column:
     return F.array_join(F.transform(c, lambda h: F.lower(F.lpad(F.hex(h), HASH_BITS // 4, "0"))), "")
 
 
+#: Rows that one bucket of neighbouring keys holds, at most about.
+BUCKET_ROWS = 20_000
+
+
 def with_next(docs: DataFrame, key: str, carried: list[str], buckets: int) -> DataFrame:
     """Adds ``_next``: struct of ``carried`` of the next row by descending ``key``; the first row's after the last.
 
@@ -113,10 +117,11 @@ def edited_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
 
     The edited text's last third (floor) is the next document's first as
     many code points, or all it has. One row per row of ``docs``; a single
-    row is its own next; an empty table gives no rows.
+    row is its own next; an empty table gives no rows. Rows are dealt by key to
+    as many buckets as their number asks for (``BUCKET_ROWS``), unless given.
     """
     if buckets is None:
-        buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // BUCKET_ROWS))
     x = docs.select(F.col(key).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
     x = x.withColumn("_sk", sketch("_t", k, width))
     x = with_next(x, "_id", ["_t", "_sk"], buckets)

@@ -275,8 +275,8 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text", pred: str
             else:
                 won, score = np.zeros(len(col), int), np.zeros(len(col))
             known = letters & bool(t.langs)
-            pred = [t.langs[i] if k else UNKNOWN for i, k in zip(won, known, strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(np.where(known, score, 0.0))], [*names, pred, score_as])
+            named = [t.langs[i] if k else UNKNOWN for i, k in zip(won, known, strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(named, pa.string()), pa.array(np.where(known, score, 0.0))], [*names, pred, score_as])
         del t
         give_back()
 

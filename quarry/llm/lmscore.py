@@ -9,8 +9,9 @@ and the parts are broadcast: all at once while they are small enough, else in
 several passes over the texts, each with a bounded segment; a token's score
 needs one part only, so passes add up to the same result.
 
-Unigram counts are exact: frequent tokens are broadcast (a bounded number),
-the others are joined.
+Texts are taken apart once: their tokens are written as numbers, with the rows'
+numbers, and every pass reads those. Unigram counts are exact: frequent tokens
+are broadcast (a bounded number), the others are joined by their 64-bit hash.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import give_back, text_slices
 from quarry.llm.ngram_join import mix64
-from quarry.session import materialize
+from quarry.session import materialize, release
 
 #: The token that closes every text. Words are never empty.
 END = ""
@@ -62,19 +63,18 @@ def token_hashes(words):
     return pd.util.hash_array(np.array(words, dtype=object), categorize=False)
 
 
-def bigram_hashes(words, at, off):
-    """uint64 hash of (token before, token); before the first token stands a start mark."""
+def bigram_hashes(own, off):
+    """uint64 hash of (token before, token) from the tokens' hashes; before the first token stands a start mark."""
     import numpy as np
 
-    own = token_hashes(words)[at]
-    before = np.empty(len(at), np.uint64)
+    before = np.empty(len(own), np.uint64)
     before[1:] = own[:-1]
     before[off[:-1]] = np.uint64(0x51A7)
     return mix64(mix64(before) * np.uint64(3) + own)
 
 
 def token_totals(texts: DataFrame) -> DataFrame:
-    """(token, c): exact counts over all rows of (t); END is a token."""
+    """(token, h, c): exact counts over all rows of (t), and the token's hash; END is a token."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -85,10 +85,11 @@ def token_totals(texts: DataFrame) -> DataFrame:
                 words, at, _ = token_stream(part)
                 c = np.bincount(at, minlength=len(words))
                 some = np.flatnonzero(c)
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()).take(pa.array(some)), pa.array(c[some])], ["token", "c"])
+                own = token_hashes(words)[some].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()).take(pa.array(some)), pa.array(own), pa.array(c[some])], ["token", "h", "c"])
         give_back()
 
-    return texts.mapInArrow(run, "token string, c bigint").groupBy("token").agg(F.sum("c").alias("c"))
+    return texts.mapInArrow(run, "token string, h bigint, c bigint").groupBy("token").agg(F.min("h").alias("h"), F.sum("c").alias("c"))
 
 
 def broadcast_from(vocab: DataFrame, frequent: int) -> int:
@@ -136,7 +137,8 @@ def bigram_counts(texts: DataFrame, shards: int, slice_tokens: int = 2_000_000)
         held, n = [], 0
         for b in batches:
             for _, part in text_slices(b.column(0), 3_000_000):
-                held.append(bigram_hashes(*token_stream(part)))
+                words, at, off = token_stream(part)
+                held.append(bigram_hashes(token_hashes(words)[at], off))
                 n += len(held[-1])
                 if n >= slice_tokens:
                     yield from counted(held)
@@ -252,8 +254,9 @@ def score(
     n_texts = texts.count()
     least = broadcast_from(vocab, frequent)
     top = vocab.filter(F.col("c") >= least).toArrow()
-    common = spark.sparkContext.broadcast(dict(zip(top.column("token").to_pylist(), top.column("c").to_pylist(), strict=True)))
-    rare = vocab.filter(F.col("c") < least)
+    numbers = spark.sparkContext.broadcast({w: i for i, w in enumerate(top.column("token").to_pylist())})
+    common = spark.sparkContext.broadcast((top.column("h").to_numpy().astype("<i8").view("<u8"), top.column("c").to_numpy()))
+    rare = vocab.filter(F.col("c") < least).select("h", "c")
 
     shards = max(1, -(-n // shard_tokens))
     parts = materialize(filter_parts(texts, shards, bits_per_entry, min_count), "lm-filter")
@@ -275,6 +278,8 @@ def score(
         room -= sizes.get(s, 0)
 
     rows = docs.select(F.col(key).cast("bigint").alias("k"), F.monotonically_increasing_id().alias("r"), F.coalesce(F.col(text), F.lit("")).alias("t"), learn.alias("l"))
+    rows = materialize(packed_tokens(rows, numbers), "lm-tokens")  # also fixes the rows' numbers for all passes
+    numbers.destroy()
     done = []
     for i, seg in enumerate(segments):
         got = parts.filter(F.col("shard").isin(seg)).toArrow()
@@ -282,6 +287,9 @@ def score(
         data |= {s: (64, bytes(8)) for s in seg if s not in data}
         held_parts = spark.sparkContext.broadcast(laid_out(data, shards))
         done.append(materialize(_partial(rows, common, held_parts, shards, n, v, n_texts, mean, discount, i == 0), f"lm-pass-{i}"))
+        held_parts.destroy()
+    common.destroy()
+    release(rows, parts)
     p = done[0]
     for d in done[1:]:
         p = p.unionByName(d)
@@ -292,8 +300,8 @@ def score(
         if r["met"]:
             share[r["b"]] = min(1.0, max(1e-6, r["m"] / r["met"]))
     logs = F.array(*[F.log10(F.lit(x)) for x in share])
-    # tokens outside the broadcast: their terms come by a join on the token
-    x = p.filter("token is not null").join(rare, "token", "left")
+    # tokens outside the broadcast: their terms come by a join on the token's hash
+    x = p.filter("h is not null").join(rare, "h", "left")
     c = F.coalesce("c", F.lit(0))
     log_base = F.log10((c + 1) / F.lit(float(n + v + 1)))
     x = x.select(
@@ -305,13 +313,43 @@ def score(
         (F.col("tf_backed") * log_base - F.col("tf_before") * F.log10(F.greatest(c, F.lit(min_count)))).alias("lm"),
     )
     backed = F.aggregate(F.zip_with("backed", logs, lambda m, lg: m * lg), F.lit(0.0), lambda a, y: a + y)
-    d = p.filter("token is null and r >= 0").select("r", "k", "n_tokens", "n_known", "base", (F.col("lm") + backed).alias("lm"))
+    d = p.filter("h is null and r >= 0").select("r", "k", "n_tokens", "n_known", "base", (F.col("lm") + backed).alias("lm"))
     out = d.unionByName(x).groupBy("r").agg(F.max("k").alias(key), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("lm").alias("score"))
     return out.select(key, "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"), "base_score", "score")
 
 
+def packed_tokens(rows: DataFrame, numbers) -> DataFrame:
+    """(k, r, l, ids, rare) of rows (k, r, t, l): the tokens of every whole text as numbers.
+
+    ``ids`` are 32 bits each: a broadcast token's number, or -1 - i for the i-th
+    of the text's other tokens, whose hashes are ``rare``.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        number = numbers.value
+        for b in batches:
+            for at0, part in text_slices(b.column(2), 1_500_000):
+                words, at, off = token_stream(part)
+                known = np.fromiter((number.get(w, -1) for w in words), np.int64, len(words))
+                ids = known[at]
+                own = np.repeat(np.arange(len(part)), np.diff(off))
+                here = ids < 0
+                u, inv = np.unique(own[here] * len(words) + at[here], return_inverse=True)
+                first = np.searchsorted(u // max(1, len(words)), np.arange(len(part) + 1))
+                ids[here] = -1 - (inv - first[own[here]])
+                rare = token_hashes(words)[u % len(words)] if len(u) else np.zeros(0, np.uint64)
+                cols = [pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(np.ascontiguousarray(o * w, np.int64)), pa.py_buffer(np.ascontiguousarray(x))]).cast(pa.binary()) for x, o, w in ((ids.astype("<i4"), off, 4), (rare.astype("<u8"), first, 8))]
+                yield pa.RecordBatch.from_arrays([*(b.column(i).slice(at0, len(part)) for i in (0, 1, 3)), *cols], ["k", "r", "l", "ids", "rare"])
+        give_back()
+
+    return rows.select("k", "r", "t", "l").mapInArrow(run, "k bigint, r bigint, l boolean, ids binary, rare binary")
+
+
 def _partial(rows: DataFrame, common, parts, shards: int, n: int, v: int, n_texts: int, mean: list, discount: float, first: bool) -> DataFrame:
-    """One pass: a row per document with what is known here, rows (r, token, tf, tf_backed, tf_before), and sums.
+    """One pass over packed tokens: a row per document with what is known here, rows (r, h, tf, tf_backed, tf_before), and sums.
 
     backed: tokens whose bigram is not in the filter, per class of the token
     before. The rows with r < 0 hold, per class, training tokens (met) and
@@ -320,69 +358,83 @@ def _partial(rows: DataFrame, common, parts, shards: int, n: int, v: int, n_text
     in the filter, tf_before: how often the token stands before one that is.
     """
 
+    def slices(b) -> Iterator:
+        """(first row, token numbers, their offsets, rare hashes, their offsets) of about 400,000 tokens each."""
+        import numpy as np
+
+        ids, rare = b.column(3).to_pylist(), b.column(4).to_pylist()
+        i = 0
+        while i < len(ids):
+            j, held = i, 0
+            while j < len(ids) and (j == i or held + len(ids[j]) // 4 <= 400_000):
+                held += len(ids[j]) // 4
+                j += 1
+            ends = lambda xs, w: np.concatenate([[0], np.cumsum([len(x) // w for x in xs])]).astype(np.int64)
+            yield i, np.frombuffer(b"".join(ids[i:j]), "<i4").astype(np.int64), ends(ids[i:j], 4), np.frombuffer(b"".join(rare[i:j]), "<u8"), ends(rare[i:j], 8)
+            i = j
+
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        top, held = common.value, parts.value
+        (top_hash, top_count), held = common.value, parts.value
         log_n = np.log10(n + v + 1)
         for b in batches:
-            keys, ids = b.column(0), b.column(1)
-            learns = b.column(3).to_numpy(zero_copy_only=False)
-            for at0, part in text_slices(b.column(2), 1_500_000):
-                words, at, off = token_stream(part)
-                count = np.fromiter((top.get(w, -1) for w in words), np.int64, len(words))
-                h = bigram_hashes(words, at, off)
+            keys, numbers = b.column(0), b.column(1)
+            learns = b.column(2).to_numpy(zero_copy_only=False)
+            for at0, ids, off, rare, rare_off in slices(b):
+                docs = len(off) - 1
+                own = np.repeat(np.arange(docs), np.diff(off))
+                known = ids >= 0
+                spot = np.where(known, 0, rare_off[own] - 1 - ids)  # of a rare token: its place among the slice's
+                c = np.full(len(ids), -1, np.int64)
+                c[known] = top_count[ids[known]]
+                hashes = np.empty(len(ids), np.uint64)
+                hashes[known] = top_hash[ids[known]]
+                hashes[~known] = rare[spot[~known]]
+                h = bigram_hashes(hashes, off)
                 level = probed_levels(h, (h % np.uint64(shards)).astype(np.int64), *held)
-                own = np.repeat(np.arange(len(part)), np.diff(off))
                 seen, backed = level > 0, level == 0
-                prev = np.empty(len(at), np.int64)
-                prev[1:] = at[:-1]
-                prev[off[:-1]] = -1  # the start mark, seen once per training text
-                c = count[at]
-                known = c >= 0
+                prev_c = np.empty(len(ids), np.int64)
+                prev_c[1:] = c[:-1]
+                prev_c[off[:-1]] = n_texts  # the start mark, seen once per training text
                 base = np.where(known, np.log10(np.maximum(c, 0) + 1) - log_n, 0.0)
-                prev_c = np.where(prev < 0, n_texts, count[np.maximum(prev, 0)])
                 m_q = np.asarray(mean)[np.maximum(level, 0)]
                 lm = np.where(seen, np.log10(np.maximum(m_q - discount, 1e-9)) - np.where(prev_c > 0, np.log10(np.maximum(prev_c, 1)), 0.0), 0.0)
                 lm += np.where(backed, base, 0.0)
                 kind = np.where(prev_c > 0, np.minimum(1 + np.floor(np.log2(np.maximum(prev_c, 1))), CLASSES - 1), 0).astype(np.int64)
-                by_class = np.bincount(own[backed] * CLASSES + kind[backed], minlength=len(part) * CLASSES)
-                used = (seen | backed) & learns[at0 : at0 + len(part)][own]
+                by_class = np.bincount(own[backed] * CLASSES + kind[backed], minlength=docs * CLASSES)
+                used = (seen | backed) & learns[at0 : at0 + docs][own]
                 met = np.bincount(kind[used], minlength=CLASSES)
                 mass = np.bincount(kind[used], weights=np.where(backed, 1.0, discount / m_q)[used], minlength=CLASSES)
-                total = lambda x: np.bincount(own, weights=x, minlength=len(part))
-                docs_n = total(np.ones(len(at))) if first else np.zeros(len(part))
-                docs_known = total(known & (c > 0)) if first else np.zeros(len(part))
-                docs_base = total(base) if first else np.zeros(len(part))
-                # rare tokens, once per text
-                kinds = len(words)
-                a = own * kinds + at
-                here = ~known & (first | backed)
-                bef = seen & (prev >= 0) & (count[np.maximum(prev, 0)] < 0)
-                code = np.concatenate([a[here], (own * kinds + prev)[bef]])
-                u, inv = np.unique(code, return_inverse=True)
-                m = int(here.sum())
-                tf = np.bincount(inv[:m], minlength=len(u)) if first else np.zeros(len(u), np.int64)
-                tf_backed = np.bincount(inv[:m], weights=backed[here], minlength=len(u)).astype(np.int64)
-                tf_before = np.bincount(inv[m:], minlength=len(u))
-                own_ids = ids.slice(at0, len(part))
-                whole = {"r": own_ids, "k": keys.slice(at0, len(part)), "n_tokens": docs_n.astype(np.int64), "n_known": docs_known.astype(np.int64), "base": docs_base, "lm": total(lm)}
+                total = lambda x: np.bincount(own, weights=x, minlength=docs)
+                none = np.zeros(docs)
+                own_rows = numbers.slice(at0, docs)
+                whole = {"r": own_rows, "k": keys.slice(at0, docs), "n_tokens": np.diff(off) if first else none.astype(np.int64), "n_known": (total(known & (c > 0)) if first else none).astype(np.int64)}
+                whole |= {"base": total(base) if first else none, "lm": total(lm)}
                 whole["backed"] = pa.FixedSizeListArray.from_arrays(pa.array(by_class), CLASSES).cast(pa.list_(pa.int64()))
-                yield _rows(len(part), whole)
+                yield _rows(docs, whole)
                 yield _rows(1, {"r": np.array([-1]), "met": pa.array([met], pa.list_(pa.int64())), "mass": pa.array([mass], pa.list_(pa.float64()))})
-                if len(u):
-                    token = pa.array(words, pa.string()).take(pa.array(u % kinds))
-                    yield _rows(len(u), {"r": own_ids.take(pa.array(u // kinds)), "token": token, "tf": tf, "tf_backed": tf_backed, "tf_before": tf_before})
+                # rare tokens, once per text
+                per = lambda at: np.bincount(at, minlength=len(rare))
+                before = np.zeros(len(ids), bool)  # tokens that stand before a seen bigram's second one
+                before[:-1] = seen[1:]
+                before[off[1:] - 1] = False
+                tf = per(spot[~known]) if first else np.zeros(len(rare), np.int64)
+                tf_backed, tf_before = per(spot[~known & backed]), per(spot[~known & before])
+                some = np.flatnonzero((tf > 0) | (tf_backed > 0) | (tf_before > 0))
+                if len(some):
+                    of = np.searchsorted(rare_off, some, side="right") - 1
+                    yield _rows(len(some), {"r": own_rows.take(pa.array(of)), "h": rare[some].view(np.int64), "tf": tf[some], "tf_backed": tf_backed[some], "tf_before": tf_before[some]})
         give_back()
 
-    return rows.select("k", "r", "t", "l").mapInArrow(run, ", ".join(f"{c} {t}" for c, t in PARTIAL.items()))
+    return rows.select("k", "r", "l", "ids", "rare").mapInArrow(run, ", ".join(f"{c} {t}" for c, t in PARTIAL.items()))
 
 
 #: Columns of a pass: of documents, of the sums over training tokens, of tokens.
 PARTIAL = {
     "r": "bigint", "k": "bigint", "n_tokens": "bigint", "n_known": "bigint", "base": "double", "lm": "double", "backed": "array<bigint>",
-    "met": "array<bigint>", "mass": "array<double>", "token": "string", "tf": "bigint", "tf_backed": "bigint", "tf_before": "bigint",
+    "met": "array<bigint>", "mass": "array<double>", "h": "bigint", "tf": "bigint", "tf_backed": "bigint", "tf_before": "bigint",
 }
 
 
@@ -390,7 +442,7 @@ def _rows(n: int, given: dict):
     """A record batch of PARTIAL's columns, null where not given."""
     import pyarrow as pa
 
-    kinds = {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string(), "array<bigint>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64())}
+    kinds = {"bigint": pa.int64(), "double": pa.float64(), "array<bigint>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64())}
     cols = []
     for c, t in PARTIAL.items():
         x = given.get(c)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import html_extract, language, lmscore, mixing, ngram_join, packing, token_hist
+from quarry.llm import html_extract, language, lmscore, mixing, ngram_join, packing, quality, token_hist
 from quarry.llm import queries as llm_queries
 from quarry.session import materialize
 
@@ -214,3 +214,145 @@ def test_context_trees_of_all_ngrams(spark):
     bits = whole.bits(raw, np.array([0, 2]))[0]
     at = whole.langs.index("x")
     assert np.isfinite(bits).all() and bits[at] == bits.min()
+
+
+@pytest.mark.parametrize("frequent", [1000, 6])
+def test_scores_equal_a_model_of_exact_counts(spark, frequent):
+    import math
+    from collections import Counter
+
+    rnd = random.Random(2)
+    pool = [f"w{i}" for i in range(25)]
+    texts = [" ".join(rnd.choices(pool, weights=range(25, 0, -1), k=rnd.randint(0, 30))) for _ in range(60)] + ["new words here", "w0 w1 new", None, "W0  W1"]
+    learnt = 50
+    df = spark.createDataFrame([(i, t, i < learnt) for i, t in enumerate(texts)], "doc_id bigint, text string, l boolean").repartition(3)
+    toks = lambda t: [*(t or "").lower().split(), ""]
+    uni = Counter(w for t in texts[:learnt] for w in toks(t))
+    pairs = lambda t: list(zip(["<s>", *toks(t)], toks(t), strict=False))
+    bi = Counter(p for t in texts[:learnt] for p in pairs(t))
+    level = lambda c: 1 + int(math.log2(c))
+    sums, kinds = Counter(), Counter()
+    for c in bi.values():
+        sums[level(c)] += c
+        kinds[level(c)] += 1
+    mean = {q: sums[q] / kinds[q] for q in sums}
+    once, twice = sum(c == 1 for c in bi.values()), sum(c == 2 for c in bi.values())
+    d = once / (once + 2 * max(twice, 1))
+    # tokens of the broadcast: all whose count reaches the least one that keeps within the bound
+    wide = {w for w in uni if sum(c >= uni[w] for c in uni.values()) <= frequent}
+    before = lambda w: learnt if w == "<s>" else uni[w]
+    kind = lambda w: 1 + int(math.log2(before(w))) if w == "<s>" or w in wide else 0
+    met, mass = Counter(), Counter()
+    for t in texts[:learnt]:
+        for u, _ in pairs(t):
+            met[kind(u)] += 1
+        for p in pairs(t):
+            mass[kind(p[0])] += d / mean[level(bi[p])]
+    base = lambda w: math.log10((uni[w] + 1) / (sum(uni.values()) + len(uni) + 1))
+
+    def score(t):
+        z = 0.0
+        for u, w in pairs(t):
+            if bi[u, w]:
+                z += math.log10(mean[level(bi[u, w])] - d) - math.log10(before(u))
+            else:
+                k = kind(u)
+                z += base(w) + math.log10(min(1.0, max(1e-6, mass[k] / met[k])) if met[k] else 1.0)
+        return z
+
+    got = lmscore.score(df, F.col("l"), bits_per_entry=64, frequent=frequent, shard_tokens=200).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        t = texts[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(toks(t)), sum(uni[w] > 0 for w in toks(t)), sum(uni.values()))
+        assert abs(r["base_score"] - sum(map(base, toks(t)))) < 1e-6 and abs(r["score"] - score(t)) < 1e-6
+
+
+def slow_split(g, h, lo, hi):
+    """Best cut of bins lo..hi by trying all."""
+    best = (0.0, lo)
+    total = lambda x, a, b: sum(x[a:b])
+    for i, cut in enumerate(range(lo + 1, hi)):
+        gain = total(g, lo, cut) ** 2 / (total(h, lo, cut) + 1) + total(g, cut, hi) ** 2 / (total(h, cut, hi) + 1) - total(g, lo, hi) ** 2 / (total(h, lo, hi) + 1)
+        if i == 0 or gain > best[0] + 1e-12:
+            best = (gain, cut)
+    return best
+
+
+def slow_tree(g, h, leaves):
+    parts = [(0, len(g))]
+    while len(parts) < leaves:
+        found = [(*slow_split(g, h, *p), p) for p in parts]
+        gain, cut, p = max(found, key=lambda f: f[0])
+        if gain <= 1e-9:
+            break
+        parts.remove(p)
+        parts += [(p[0], cut), (cut, p[1])]
+    return [next(sum(g[a:b]) / (sum(h[a:b]) + 1) for a, b in parts if a <= i < b) for i in range(len(g))]
+
+
+def test_quality_tables_equal_a_slow_fit():
+    import itertools
+    import math
+
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.normal(size=160), rng.integers(0, 4, 160).astype(float), rng.normal(size=160)])
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 1)).astype(int)  # needs a pair
+    m = quality.fit_model(x, y, max_bins=6, rounds=4, pairs=2, pair_rounds=3)
+    bins = [[sum(v >= e for e in np.unique(np.quantile(x[:, j], np.linspace(0, 1, 7)[1:-1]))) for v in x[:, j]] for j in range(3)]
+    weight = [0.5 / y.mean() if t else 0.5 / (1 - y.mean()) for t in y]
+    size = [len(t) for t in m.tables]
+    tables, z = [[0.0] * s for s in size], [0.0] * len(y)
+
+    def slopes():
+        p = [1 / (1 + math.exp(-v)) for v in z]
+        return [w * (t - q) for w, t, q in zip(weight, y, p, strict=True)], [w * q * (1 - q) for w, q in zip(weight, p, strict=True)]
+
+    def summed(values, at, n, rows):
+        out = [0.0] * n
+        for r in rows:
+            out[at[r]] += values[r]
+        return out
+
+    every = range(len(y))
+    for _ in range(4):
+        for j in range(3):
+            g, h = slopes()
+            leaf = [0.2 * v for v in slow_tree(summed(g, bins[j], size[j], every), summed(h, bins[j], size[j], every), 4)]
+            tables[j] = [a + b for a, b in zip(tables[j], leaf, strict=True)]
+            z = [a + leaf[bins[j][r]] for r, a in enumerate(z)]
+    g, h = slopes()
+    gains = []
+    for i, j in itertools.combinations(range(3), 2):
+        side = [2 * (bins[i][r] >= np.median(bins[i])) + (bins[j][r] >= np.median(bins[j])) for r in every]
+        gains.append((sum(a * a / (b + 1) for a, b in zip(summed(g, side, 4, every), summed(h, side, 4, every), strict=True)), i, j))
+    chosen = [(i, j) for _, i, j in sorted(gains, reverse=True)[:2]]
+    assert [(i, j) for i, j, _ in m.pairs] == chosen
+    pair_tables = [np.zeros((size[i], size[j])) for i, j in chosen]
+    for _ in range(3):
+        for (i, j), t in zip(chosen, pair_tables, strict=True):
+            g, h = slopes()
+            cut = slow_split(summed(g, bins[i], size[i], every), summed(h, bins[i], size[i], every), 0, size[i])[1]
+            leaf = np.zeros_like(t)
+            for low in (True, False):
+                rows = [r for r in every if (bins[i][r] < cut) == low]
+                leaf[slice(0, cut) if low else slice(cut, None)] = [0.2 * v for v in slow_tree(summed(g, bins[j], size[j], rows), summed(h, bins[j], size[j], rows), 2)]
+            t += leaf
+            z = [a + leaf[bins[i][r], bins[j][r]] for r, a in enumerate(z)]
+    for got, want in zip(m.tables, tables, strict=True):
+        assert np.allclose(got, want, atol=1e-9)
+    for (_, _, got), want in zip(m.pairs, pair_tables, strict=True):
+        assert np.allclose(got, want, atol=1e-9)
+    assert np.allclose(m.score(x), [1 / (1 + math.exp(-v)) for v in z], atol=1e-9)
+
+
+def test_quality_sample_does_not_depend_on_row_order(spark):
+    rows = [(i % 40, f"{'good words here ' * (i % 7 + 1) if i % 2 else '#### || ' * (i % 5 + 1)}", i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, quality int")
+    scores = []
+    for parts in (1, 7):
+        x = df.repartition(parts)
+        feats = materialize(quality.features(x))
+        model = quality.fit(feats, x.select("doc_id", "quality"), max_rows=50)
+        scores.append(model.score(np.array([[1.0] * len(quality.FEATURES), [0.0] * len(quality.FEATURES)])).tolist())
+    assert scores[0] == scores[1]
