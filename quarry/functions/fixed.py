@@ -66,8 +66,7 @@ BOILERPLATE_RULES: list[tuple[str, str]] = [
     ("disclaimers", r"www\.bmw\.de/wltp.*?(?=\n)"),
     (
         "disclaimers",
-        r"(?:Weitere\s+)?(?:Informationen|Information).*?(?:Kraftstoffverbrauch|fuel\s+consumption)"
-        r".*?unentgeltlich\s+erhältlich.*?(?=\n\n|\Z)",
+        r"(?:Weitere\s+)?(?:Informationen|Information).*?(?:Kraftstoffverbrauch|fuel\s+consumption).*?unentgeltlich\s+erhältlich.*?(?=\n\n|\Z)",
     ),
     # published-by / contacts / investor sections
     ("sections", r"PUBLISHED\s+BY\s*\n.*?(?=\n\n|\Z)"),
@@ -133,9 +132,11 @@ Instructions:
 If content is VALID after cleaning, return ONLY the cleaned text, nothing else.
 If content is INVALID after cleaning, return exactly: REJECT: [reason]
 """
-FILTER_USER_TEMPLATE_HEAD = "Title: "
-FILTER_USER_TEMPLATE_MID = "\n\nRaw Content:\n"
-FILTER_USER_TEMPLATE_TAIL = "\n"
+FILTER_USER_TEMPLATE = """Title: {title}
+
+Raw Content:
+{content}
+"""
 REASONING_MARKER = "analysis"
 ANSWER_MARKER = "assistantfinal"
 REJECT_PREFIX = "REJECT:"

@@ -89,3 +89,49 @@ def re2(pattern: str, flags: str = "ims") -> Re2Rule:
 def sql_str(s: str) -> str:
     """SQL string literal (standard quoting; backslashes stay literal)."""
     return "'" + s.replace("'", "''") + "'"
+
+
+def required_words(pattern: str) -> list[list[str]]:
+    """What every match of a Python-syntax pattern holds: of each list at least one lower-case ASCII word.
+
+    Read off the parsed pattern: the runs of three and more plain characters that
+    no quantifier, class or look-around makes optional, and for an alternation
+    one word per branch. A text that lacks all words of one list (see
+    ``probe_text``) has no match.
+    """
+    import re._constants as sre  # the standard library's own parser, so that no syntax is read twice
+    import re._parser as parser
+
+    def of(items) -> list[list[str]]:
+        found, run = [], ""
+        for op, arg in [*items, (None, None)]:
+            if op is sre.LITERAL and arg < 128:
+                run += chr(arg).lower()
+                continue
+            if len(run) >= 3:
+                found.append([run])
+            run = ""
+            if op is sre.SUBPATTERN:
+                found += of(arg[-1])
+            elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and arg[0] >= 1:
+                found += of(arg[2])
+            elif op is sre.BRANCH:
+                each = [of(b) for b in arg[1]]
+                if all(each):  # of each branch the list with the longest words
+                    found.append([w for b in each for w in max(b, key=lambda o: min(map(len, o)))])
+        return found
+
+    return [list(x) for x in dict.fromkeys(tuple(x) for x in of(list(parser.parse(pattern, re_flags()))))]
+
+
+def re_flags() -> int:
+    import re
+
+    return re.IGNORECASE | re.MULTILINE | re.DOTALL
+
+
+def probe_text(t):
+    """What ``required_words`` are looked up in: lower case, with the two letters that fold to ASCII without lower-casing to it."""
+    from pyspark.sql import functions as F
+
+    return F.translate(F.lower(t), "\u017f\u0131", "si")

@@ -8,35 +8,15 @@ order; a rule can be switched off by group.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import fixed
-from quarry.functions.regex import jre
-
-# Rules whose lazy ``.*?`` may scan to the end of the text from every start
-# position when a later literal is absent. Each guard is a literal the rule
-# cannot match without; the rule runs only when the guard is found, which
-# leaves the result unchanged and keeps the cost linear.
-RULE_GUARDS: dict[str, str] = {
-    # distinctive part of the rule -> guard literal (same flags as the rule)
-    r"(?:WLTP|NEFZ)": r"WLTP|NEFZ",
-    r"unentgeltlich\s+erhältlich": r"unentgeltlich\s+erhältlich",
-    r"Website\.?": r"www\.",
-    r"Head\s+of\s+": r"Communications",
-    r"useful\s+life": r"useful\s+life",
-    r"Nutzungsphase": r"Nutzungsphase",
-}
-
-
-def _guard_for(pattern: str) -> str | None:
-    for part, guard in RULE_GUARDS.items():
-        if part in pattern:
-            return guard
-    return None
-
+from quarry.functions.regex import jre, probe_text, required_words
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -44,7 +24,7 @@ def _col(c: Column | str) -> Column:
 
 def fix_hyphens(c: Column | str) -> Column:
     """``beauti-\\nful`` -> ``beautiful``."""
-    return F.regexp_replace(_col(c), r"(?U)(\w)-\n(\w)", "$1$2")
+    return F.regexp_replace(_col(c), jre(r"(\w)-\n(\w)", ""), "$1$2")
 
 
 def norm_spaces(c: Column | str) -> Column:
@@ -64,7 +44,7 @@ def norm_paragraphs(c: Column | str) -> Column:
 
 def drop_page_numbers(c: Column | str) -> Column:
     """Lines made of digits only (``\\s*`` also takes following blank lines)."""
-    return F.regexp_replace(_col(c), r"(?mdU)^\d+\s*$", "")
+    return F.regexp_replace(_col(c), jre(r"^\d+\s*$", "md"), "")
 
 
 def bind(c: Column, fn) -> Column:
@@ -77,32 +57,46 @@ def bind(c: Column, fn) -> Column:
     return F.element_at(F.transform(F.array(c), fn), 1)
 
 
-def apply_rule(c: Column, pattern: str, guards: bool = True) -> Column:
-    guard = _guard_for(pattern) if guards else None
-    if guard is None:
-        return F.regexp_replace(c, jre(pattern), "")
-    java, g = jre(pattern), jre(guard)
-    return bind(c, lambda x: F.when(x.rlike(g), F.regexp_replace(x, java, "")).otherwise(x))
-
-
 def strip_boilerplate(
     c: Column | str,
     rules: Iterable[tuple[str, str]] = fixed.BOILERPLATE_RULES,
     skip_groups: Iterable[str] = (),
     guards: bool = True,
 ) -> Column:
-    """Ordered rule table folded into nested ``regexp_replace``."""
-    out = _col(c)
+    """Ordered rule table folded into one chain of ``regexp_replace``.
+
+    With ``guards`` a rule runs only on a running text that holds the words which
+    every match of it needs: a look-up in the lower-cased text, which is kept
+    beside it and renewed when a rule has changed something. The result is the
+    same; rules that cannot match cost a substring search, and none scans to the
+    end of the text for a literal that is not there.
+    """
     skip = set(skip_groups)
-    for group, pattern in rules:
-        if group not in skip:
-            out = apply_rule(out, pattern, guards)
-    return out
+    todo = [(pattern, required_words(pattern) if guards else []) for group, pattern in rules if group not in skip]
+    if not any(words for _, words in todo):
+        out = _col(c)
+        for pattern, _ in todo:
+            out = F.regexp_replace(out, jre(pattern), "")
+        return out
+    pair = lambda t, p: F.struct(t.alias("t"), p.alias("p"))
+    state = bind(_col(c), lambda t: pair(t, probe_text(t)))
+    for pattern, words in todo:
+        java = jre(pattern)
+
+        def cut(s: Column, java: str = java) -> Column:
+            return bind(F.regexp_replace(s["t"], java, ""), lambda t: pair(t, F.when(t == s["t"], s["p"]).otherwise(probe_text(t))))
+
+        def guarded(s: Column, words: list[list[str]] = words, cut=cut) -> Column:
+            hit = functools.reduce(operator.and_, [functools.reduce(operator.or_, [s["p"].contains(w) for w in any_of]) for any_of in words])
+            return F.when(hit, cut(s)).otherwise(s)
+
+        state = bind(state, guarded if words else cut)
+    return state["t"]
 
 
 def strip_and_collapse(c: Column | str) -> Column:
     """Unicode strip, then collapse blank-line runs."""
-    return norm_paragraphs(F.regexp_replace(_col(c), r"(?U)\A\s+|\s+\z", ""))
+    return norm_paragraphs(F.regexp_replace(_col(c), jre(r"\A\s+|\s+\z", ""), ""))
 
 
 def clean_text(c: Column | str, rules: Iterable[tuple[str, str]] = fixed.BOILERPLATE_RULES, **kw) -> Column:
@@ -113,7 +107,7 @@ def clean_text(c: Column | str, rules: Iterable[tuple[str, str]] = fixed.BOILERP
 
 def word_count(c: Column | str) -> Column:
     """Whitespace-separated token count (``len(str.split())``)."""
-    return F.regexp_count(_col(c), F.lit(r"(?U)\S+")).cast("bigint")
+    return F.regexp_count(_col(c), F.lit(jre(r"[^\s]+", ""))).cast("bigint")
 
 
 def idx_from_name(c: Column | str) -> Column:

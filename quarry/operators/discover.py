@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import fixed
+from quarry.functions.regex import jre
 from quarry.operators.order import first_n, running_sum
 
 CATALOG_SCHEMA = (
@@ -177,7 +178,7 @@ def index_lookup(items: DataFrame, catalog: DataFrame, id_col: str = "article_id
 
 
 def safe_title(title: Column | str, n: int = 50) -> Column:
-    return F.substring(F.regexp_replace(_c(title), r"(?U)[^\w\-]", "_"), 1, n)
+    return F.substring(F.regexp_replace(_c(title), jre(r"[^\w\-]", ""), "_"), 1, n)
 
 
 def scraped_filename(idx: Column | str, article_id: Column | str, title: Column | str) -> Column:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import fixed
+from quarry.functions.regex import jre
 from quarry.operators import tokens as TK
 from quarry.operators.clean import bind
 from quarry.operators.joins import HOT_ROWS, hot_join, salted_join
@@ -30,7 +31,7 @@ def _c(c: Column | str) -> Column:
 
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
+    return F.regexp_replace(c, jre(r"\A\s+|\s+\z", ""), "")
 
 
 # ------------------------------------------------------------------ E1-E3
@@ -328,7 +329,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, rid: str = "rid"
     lineage and survives executor loss. Only vertices with edges take part;
     the others are their own cluster.
     """
-    from quarry.session import materialize
+    from quarry.session import materialize, release
 
     # the edge list is read every round: compute it once
     keyed = grp in edges.columns and grp in vertices.columns
@@ -352,15 +353,19 @@ def connected_components(vertices: DataFrame, edges: DataFrame, rid: str = "rid"
             "v", F.least(F.col("cl"), F.col("pcl")).alias("cl")
         )
 
+    done = None
     while True:  # two propagate-and-jump steps per written round; ends when nothing changes
         nxt = step(step(labels))
         new = materialize(
             nxt.join(labels.withColumnRenamed("cl", "_old"), "v").withColumn("_chg", F.col("cl") != F.col("_old")).drop("_old"),
             "cc-labels",
         )
-        labels = new.select("v", "cl")
+        if done is not None:
+            release(done, sweep=False)
+        done, labels = new, new.select("v", "cl")
         if new.filter("_chg").isEmpty():
             break
+    release(e, sweep=False)
     out = vertices.withColumn("_node", node(rid)).join(labels, F.col("_node") == F.col("v"), "left")
     found = F.col("cl.r") if keyed else F.col("cl")
     return out.select(*vertices.columns, F.coalesce(found, F.col(rid)).alias("cluster"))

@@ -20,15 +20,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import fixed
+from quarry.functions.regex import jre
 from quarry.operators.clean import bind
 
 
+#: The user message around its two placeholders.
+USER_HEAD, _, USER_MID = fixed.FILTER_USER_TEMPLATE.partition("{title}")
+USER_MID, _, USER_TAIL = USER_MID.partition("{content}")
+
+
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
+    return F.regexp_replace(c, jre(r"\A\s+|\s+\z", ""), "")
 
 
 # ---------------------------------------------------------------- L1-L3
@@ -45,11 +51,11 @@ def truncate_head(text: Column | str, n: int = fixed.FILTER_MAX_INPUT_CHARS) ->
 
 def user_message(title: Column | str, content: Column | str) -> Column:
     return F.concat(
-        F.lit(fixed.FILTER_USER_TEMPLATE_HEAD),
+        F.lit(USER_HEAD),
         _c(title),
-        F.lit(fixed.FILTER_USER_TEMPLATE_MID),
+        F.lit(USER_MID),
         _c(content),
-        F.lit(fixed.FILTER_USER_TEMPLATE_TAIL),
+        F.lit(USER_TAIL),
     )
 
 
@@ -211,7 +217,7 @@ def _verdict(t: Column, lang: Column, min_words: int, min_letter_share: float) -
         .when(only_lists(t), F.lit("only tables or lists"))
         .when(share < min_letter_share, F.lit("garbled text"))
         .when(words < min_words, F.lit("too few words"))
-        .when(guess.isNotNull() & (guess != lang), F.lit("wrong language"))
+        .when(lang.isin(LANG_ORDER) & guess.isNotNull() & (guess != lang), F.lit("wrong language"))
     )
     return F.when(reject.isNotNull(), F.concat(F.lit(fixed.REJECT_PREFIX + " "), reject)).otherwise(t)
 
@@ -229,7 +235,8 @@ def rule_verdict(
     Rules: (1) cut everything before the title; (2) drop header/footer
     lines (Topic/Subject/Date/Page); (3) reject empty text, bullets only,
     tables or lists only, garbled text (< 50 % letters), fewer than 20 words, or a language other
-    than the declared one (stop-word vote). Reads the whole text. The cleaned text is bound once
+    than the declared one (stop-word vote; only where that is one of the four
+    the vote knows, texts declared otherwise are not judged by it). Reads the whole text. The cleaned text is bound once
     and reused by every check.
     """
     t = _strip(F.regexp_replace(cut_before_title(_c(text), F.coalesce(_c(title), F.lit(""))), HEADER_LINES, ""))
@@ -311,14 +318,14 @@ def score_with(
 
 def echo_generator() -> Callable[[list[list[dict]]], list[str]]:
     """Stand-in generator: accepts every text unchanged, with a reasoning line."""
-    head = fixed.FILTER_USER_TEMPLATE_MID
+    head = USER_MID
 
     def generate(batch: list[list[dict]]) -> list[str]:
         out = []
         for messages in batch:
             user = messages[-1]["content"]
             body = user.split(head, 1)[1] if head in user else user
-            body = body[: -len(fixed.FILTER_USER_TEMPLATE_TAIL)] if body.endswith(fixed.FILTER_USER_TEMPLATE_TAIL) else body
+            body = body[: -len(USER_TAIL)] if body.endswith(USER_TAIL) else body
             out.append(f"{fixed.REASONING_MARKER} Looks like a clean article. {fixed.ANSWER_MARKER} {body}")
         return out
 

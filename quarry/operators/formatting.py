@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import fixed
+from quarry.functions.regex import jre
 from quarry.operators.clean import word_count
 
 
@@ -15,7 +16,7 @@ def _c(c: Column | str) -> Column:
 
 def clean_title(title: Column | str) -> Column:
     """strip whitespace, then drop every trailing dot."""
-    stripped = F.regexp_replace(_c(title), r"(?U)\A\s+|\s+\z", "")
+    stripped = F.regexp_replace(_c(title), jre(r"\A\s+|\s+\z", ""), "")
     return F.regexp_replace(stripped, r"\.+\z", "")
 
 
@@ -159,7 +160,7 @@ def serialize_processed(
 
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
+    return F.regexp_replace(c, jre(r"\A\s+|\s+\z", ""), "")
 
 
 def _after(t: Column, marker: str) -> Column:

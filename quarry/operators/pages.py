@@ -121,7 +121,7 @@ def page_title(text: Column | str) -> Column:
 def collapse_blank(text: Column | str) -> Column:
     """Collapse blank-line runs, then strip."""
     t = F.regexp_replace(_c(text), r"\n{3,}", "\n\n")
-    return F.regexp_replace(t, r"(?U)\A\s+|\s+\z", "")
+    return F.regexp_replace(t, jre(r"\A\s+|\s+\z", ""), "")
 
 
 def _try_ts(s: Column, fmt: str) -> Column:

@@ -23,6 +23,7 @@ from quarry.manifest import Manifest, parquet_step
 from quarry.operators import clean as X
 from quarry.operators import filtering as L
 from quarry.operators import formatting as FM
+from quarry.operators import headers as H
 from quarry.operators import splits as T
 from quarry.sources import io as S
 
@@ -61,14 +62,18 @@ def regex_phase(m: Manifest, documents: DataFrame, catalog: DataFrame, cap: int
     return m.step("regex", [p for _, p in m.outputs("regex")], parquet_step(x))
 
 
-def llm_phase(m: Manifest, make_generator: Callable | None = None) -> str:
+def llm_phase(m: Manifest, make_generator: Callable | None = None, header_share: float | None = None) -> str:
     """L10, then L1-L8 by ``make_generator`` (see ``filtering.score_batches``), else by the rules.
 
     Sources accepted before are skipped, all others judged; each is judged in
-    one pass, whose verdicts are written once for accepted and rejected.
+    one pass, whose verdicts are written once for accepted and rejected. With
+    ``header_share``, lines that stand in that share of all cleaned texts go first
+    (repeated headers).
     """
     known = accepted(m)
     texts = m.read("regex", CLEANED).drop("attempt").withColumnRenamed("content", "text")
+    if header_share is not None:
+        texts = H.drop_lines(texts, H.line_frequencies(texts, "text", header_share), "text").drop("n_removed")
     todo = L.skip_filtered(texts, known)
     if make_generator is None:
         v = L.verdicts(todo.withColumn("generated", L.rule_verdict("title", "text", "lang")), head_only=False)
@@ -122,11 +127,13 @@ def preprocess(
     seed: int = fixed.DEFAULT_SEED,
     make_generator: Callable | None = None,
     cap: int | None = None,
+    header_share: float | None = None,
 ) -> Prepared:
     """Runs ``phase`` (one of ``PHASES``) in ``folder``, which all executors share.
 
     ``documents`` and ``catalog`` are needed by phases that clean; without a
-    catalog, titles are file stems and dates empty. An empty result leaves
+    catalog, titles are file stems and dates empty. ``header_share`` switches the
+    removal of repeated header lines on in the llm phase. An empty result leaves
     ``examples`` and ``summary`` None, whichever phase it was.
     """
     if phase not in PHASES:
@@ -139,7 +146,7 @@ def preprocess(
             catalog = spark.createDataFrame([], "idx bigint, title string, date string")
         regex_phase(m, documents, catalog, cap)
     if phase in ("llm", "all"):
-        llm_phase(m, make_generator)
+        llm_phase(m, make_generator, header_share)
     if phase in ("format", "all", "no-llm"):
         return format_phase(m, phase, style, ratio, seed)
     return Prepared(m)

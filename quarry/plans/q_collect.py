@@ -10,13 +10,13 @@ from quarry.operators import discover as C
 from quarry.operators import pages as P
 from quarry.plans import views as V
 from quarry.plans.registry import query, with_views
+from quarry.plans.sqlfrag import W
 
 # The fixture pages link to '/word' targets; (id, slug) = (word, rest of href).
 LINK_PATTERN = r'<a href="/([^",]+)([^"]*)"'
 TARGET = 200
 SCRAPED_AT = "2024-06-01T00:00:00+00:00"
 CAT = V.catalog_sql()
-W = r"[\p{L}\p{Mn}\p{Mc}\p{Me}\p{Nd}\p{Pc}]"
 
 
 def rr(e, p, r=""):

@@ -40,8 +40,8 @@ def sql_blank(t):
 
 def sql_user(title, text):
     return (
-        f"{sql_str(fixed.FILTER_USER_TEMPLATE_HEAD)} || {title} || {sql_str(fixed.FILTER_USER_TEMPLATE_MID)} || "
-        f"substr({text}, 1, {fixed.FILTER_MAX_INPUT_CHARS}) || {sql_str(fixed.FILTER_USER_TEMPLATE_TAIL)}"
+        f"{sql_str(L.USER_HEAD)} || {title} || {sql_str(L.USER_MID)} || "
+        f"substr({text}, 1, {fixed.FILTER_MAX_INPUT_CHARS}) || {sql_str(L.USER_TAIL)}"
     )
 
 
@@ -96,7 +96,7 @@ def sql_rule_verdict(title: str, text: str, lang: str) -> dict:
                   WHEN {only_lists} THEN 'only tables or lists'
                   WHEN {share} < {L.MIN_LETTER_SHARE} THEN 'garbled text'
                   WHEN {nwords} < {L.MIN_WORDS} THEN 'too few words'
-                  WHEN ({guess}) IS NOT NULL AND ({guess}) <> {lang} THEN 'wrong language' END"""
+                  WHEN {lang} IN ({', '.join(sql_str(x) for x in L.LANG_ORDER)}) AND ({guess}) IS NOT NULL AND ({guess}) <> {lang} THEN 'wrong language' END"""
     return dict(
         rv0=f"SELECT *, {t} AS t FROM {{src}}",
         rv=f"SELECT * EXCLUDE (t), CASE WHEN ({rj}) IS NOT NULL THEN {sql_str(fixed.REJECT_PREFIX + ' ')} || ({rj}) ELSE t END AS generated FROM rv0",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quarry import pipeline as P
 from quarry.manifest import Manifest
+from quarry.operators import headers as H
 from quarry.plans import views as V
 from quarry.plans.q_filter import FILTERED_VIEWS
 from quarry.plans.q_prepare import PREPARED_VIEWS, sql_split_on
@@ -21,7 +22,7 @@ class _Inputs:
         self.catalog = V.catalog(spark, sf)
         self.all = V.press_documents(spark, sf).select("doc_id", "source", "raw_text", "lang")
         self.earlier = self.all.join(V.table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
-        self.run = lambda docs, phase: P.preprocess(spark, self.folder, docs, self.catalog, phase)
+        self.run = lambda docs, phase, **kw: P.preprocess(spark, self.folder, docs, self.catalog, phase, **kw)
 
 
 EARLIER = "doc_id IN (SELECT doc_id FROM labels)"
@@ -106,3 +107,21 @@ def q_run_no_llm(spark, sf):
     out = x.run(x.all, "no-llm").output
     fields = "text string, title string, source_pdf string, date string, word_count bigint, split string"
     return _examples(spark.read.schema(fields).json(f"{out}/jsonl"))
+
+
+# cleaned texts without the lines that stand in a tenth of them (and in three)
+WITHOUT_HEADERS = dict(FILTERED_VIEWS)
+WITHOUT_HEADERS["hl"] = f"""SELECT line FROM (SELECT DISTINCT source, trim(unnest(string_split(cleaned, chr(10))), ' ' || chr(9) || chr(13)) AS line FROM rx) WHERE line <> ''
+    GROUP BY line HAVING count(*) >= greatest({H.MIN_DOCUMENTS}, (SELECT ceil(count(*) * {H.MIN_SHARE}) FROM rx))"""
+WITHOUT_HEADERS["fin"] = """SELECT * EXCLUDE (cleaned, known), array_to_string(list_filter(string_split(cleaned, chr(10)),
+    lambda x: NOT list_contains(known, trim(x, ' ' || chr(9) || chr(13)))), chr(10)) AS text FROM rx, (SELECT coalesce(list(line), []) AS known FROM hl)"""
+_order = [k for k in WITHOUT_HEADERS if k not in ("hl", "fin")]
+_order[_order.index("rx") + 1 : _order.index("rx") + 1] = ["hl", "fin"]
+WITHOUT_HEADERS = {k: WITHOUT_HEADERS[k] for k in _order}
+
+
+@query("run_all_headers", with_views(EXAMPLES_SQL, **WITHOUT_HEADERS, sp=sql_split_on("ex", "source_pdf")))
+def q_run_all_headers(spark, sf):
+    """I2 phase all with the removal of repeated headers (L9, rule 2)"""
+    x = _Inputs(spark, sf)
+    return _examples(x.run(x.all, "all", header_share=H.MIN_SHARE).examples)

@@ -8,9 +8,10 @@ that the rule table exists once.
 from __future__ import annotations
 
 from quarry.functions import fixed
-from quarry.functions.regex import re2, sql_str
+from quarry.functions.regex import PY_DIGIT, PY_SPACE, PY_WORD, re2, sql_str
 
-W = r"[\p{L}\p{Mn}\p{Mc}\p{Me}\p{Nd}\p{Pc}]"  # Java (?U)\w, spelled for RE2
+W = f"[{PY_WORD}]"
+SPACE, DIGIT = f"[{PY_SPACE}]", f"[{PY_DIGIT}]"
 
 
 def rr(expr: str, pattern: str, repl: str = "") -> str:
@@ -34,7 +35,7 @@ def norm_paragraphs(e: str) -> str:
 
 
 def drop_page_numbers(e: str) -> str:
-    return rr(e, r"(?m)^\d+\s*$")
+    return rr(e, f"(?m)^{DIGIT}+{SPACE}*$")
 
 
 def apply_rule(e: str, pattern: str, flags: str = "ims") -> str:
@@ -50,7 +51,7 @@ def strip_boilerplate(e: str, rules=fixed.BOILERPLATE_RULES, skip_groups=()) ->
 
 
 def strip_ws(e: str) -> str:
-    return rr(e, r"\A\s+|\s+\z")
+    return rr(e, f"\\A{SPACE}+|{SPACE}+\\z")
 
 
 def strip_and_collapse(e: str) -> str:
@@ -63,7 +64,7 @@ def clean_text(e: str, rules=fixed.BOILERPLATE_RULES, skip_groups=()) -> str:
 
 
 def word_count(e: str) -> str:
-    return f"CAST(len(regexp_extract_all({e}, '\\S+')) AS BIGINT)"
+    return f"CAST(len(regexp_extract_all({e}, '[^{PY_SPACE}]+')) AS BIGINT)"
 
 
 def idx_from_name(e: str) -> str:

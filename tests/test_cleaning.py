@@ -1,6 +1,9 @@
+import random
+
 from pyspark.sql import functions as F
 
 from helpers import PRESS_RELEASE, one
+from quarry.functions import fixed
 from quarry.functions.regex import jre, re2
 from quarry.operators import clean as X
 
@@ -77,3 +80,23 @@ def test_assemble_pages_skips_empty_pages(spark):
     pages = spark.createDataFrame([("d", 2, "c"), ("d", 0, "a"), ("d", 1, ""), ("e", 0, "")], "source string, page_no int, text string")
     got = {r["source"]: r["raw_text"] for r in X.assemble_pages(pages).collect()}
     assert got == {"d": "a\n\nc", "e": ""}
+
+
+def test_required_words_are_read_off_the_pattern():
+    from quarry.functions.regex import required_words
+
+    assert required_words(r"Media\s+Contact\..*?(?=\n\n|\Z)") == [["media"], ["contact."]]
+    assert required_words(r"(?:WLTP|NEFZ).*?x?abc*(?:def)?") == [["wltp", "nefz"]]
+    assert required_words(r"a+|bcd") == [] and required_words(r"[abc]def?(?!xyz)") == []
+    for _, p in fixed.BOILERPLATE_RULES:
+        assert required_words(p), p
+
+
+def test_guards_change_no_result(spark):
+    rnd = random.Random(4)
+    words = ["Media", "Information", "Contact.", "CORPORATE", "COMMUNICATIONS", "Page 3", "Subject", "Phone: +49 1", "The BMW Group", "With its four brands", "useful life.", "WLTP", "Die Angaben"]
+    words += ["www.bmw.de/wltp x", "Website", "www.x.com/a", "Fax +4", "CONTACTS", "\n", "\n\n", " ", "12 May 2020", "a", "Investor Relations", "ſubject", "Thema", "PreſſE", "ınformation", "medİa", "Kelvin", "faX +1", "E-mail: a@b.c"]
+    rows = [("".join(rnd.choice(words) + rnd.choice([" ", "\n", " ", "\n\n"]) for _ in range(rnd.randint(1, 25))),) for _ in range(400)] + [(PRESS_RELEASE,), ("",), (None,)]
+    df = spark.createDataFrame(rows, "t string")
+    got = df.select(X.strip_boilerplate("t").alias("a"), X.strip_boilerplate("t", guards=False).alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in got) and sum(r["a"] is not None for r in got) == 402
