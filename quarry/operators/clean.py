@@ -79,18 +79,18 @@ def strip_boilerplate(
             out = F.regexp_replace(out, jre(pattern), "")
         return out
     pair = lambda t, p: F.struct(t.alias("t"), p.alias("p"))
-    state = bind(_col(c), lambda t: pair(t, probe_text(t)))
-    for pattern, words in todo:
-        java = jre(pattern)
 
-        def cut(s: Column, java: str = java) -> Column:
-            return bind(F.regexp_replace(s["t"], java, ""), lambda t: pair(t, F.when(t == s["t"], s["p"]).otherwise(probe_text(t))))
+    def cut(pattern: str):
+        java = jre(pattern)
+        return lambda s: bind(F.regexp_replace(s["t"], java, ""), lambda t: pair(t, F.when(t == s["t"], s["p"]).otherwise(probe_text(t))))
 
-        def guarded(s: Column, words: list[list[str]] = words, cut=cut) -> Column:
-            hit = functools.reduce(operator.and_, [functools.reduce(operator.or_, [s["p"].contains(w) for w in any_of]) for any_of in words])
-            return F.when(hit, cut(s)).otherwise(s)
+    def guarded(pattern: str, words: list[list[str]]):
+        holds = lambda s: functools.reduce(operator.and_, [functools.reduce(operator.or_, [s["p"].contains(w) for w in any_of]) for any_of in words])
+        return lambda s: F.when(holds(s), cut(pattern)(s)).otherwise(s)
 
-        state = bind(state, guarded if words else cut)
+    state = bind(_col(c), lambda t: pair(t, probe_text(t)))
+    for pattern, words in todo:
+        state = bind(state, guarded(pattern, words) if words else cut(pattern))
     return state["t"]
 
 

@@ -208,6 +208,11 @@ def sql_scraped_name(idx, aid, title):
     )
 
 
+def sql_pdf_name(idx, title):
+    safe = sql_safe_title(f"coalesce({title}, 'Untitled')")
+    return f"printf('%03d_%s.pdf', {idx}, {safe})"
+
+
 UNTITLED = "coalesce(title, 'Untitled')"
 AID = "coalesce(nullif(article_id, ''), list_extract(string_split(url, '/'), -2))"
 OUTPUTS_SQL = f"SELECT {sql_scraped_name('idx', AID, 'title')} AS name FROM cat WHERE idx % 6 = 0"

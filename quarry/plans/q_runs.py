@@ -6,9 +6,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry import collect as CO
 from quarry import pipeline as P
 from quarry.manifest import Manifest
 from quarry.operators import headers as H
+from quarry.plans import q_collect as QC
 from quarry.plans import views as V
 from quarry.plans.q_filter import FILTERED_VIEWS
 from quarry.plans.q_prepare import PREPARED_VIEWS, sql_split_on
@@ -125,3 +127,56 @@ def q_run_all_headers(spark, sf):
     """I2 phase all with the removal of repeated headers (L9, rule 2)"""
     x = _Inputs(spark, sf)
     return _examples(x.run(x.all, "all", header_share=H.MIN_SHARE).examples)
+
+
+# ------------------------------------------------------------ collection run
+# Two runs over the given pages as listing: the second goes on to a higher
+# target. The article behind a catalog row is the given page at its position.
+FIRST_TARGET, LAST_TARGET = 60, 150
+
+
+def _collected(spark, sf):
+    pages = V.press_pages(spark, sf)
+    n = pages.count()
+    at = lambda todo: todo.select("idx", (F.col("idx") % n).alias("page_id"))
+    html = lambda todo: at(todo).join(pages.select("page_id", "html"), "page_id").select("idx", "html")
+    fetched = V.fetches(spark, sf).select(F.col("idx").alias("page_id"), "status", "content")
+    files = lambda todo: at(todo).join(fetched, "page_id").select("idx", "status", "content")
+    folder = shared_dir(spark, "collection")
+    listing = V.table(spark, sf, "pages")
+    for target in (FIRST_TARGET, LAST_TARGET, LAST_TARGET):
+        got = CO.collect(spark, folder, listing, target, html, files, F.lit(QC.SCRAPED_AT), QC.LINK_PATTERN)
+    return got
+
+
+COLLECT_VIEWS = dict(
+    l=QC.LINKS_SQL,
+    g="SELECT id, arg_min(page_id, (page_id, pos)) AS page_id, arg_min(pos, (page_id, pos)) AS pos, arg_min(slug, (page_id, pos)) AS slug FROM l GROUP BY id",
+    c=f"SELECT row_number() OVER (ORDER BY page_id, pos) - 1 AS idx, id AS article_id, {QC.sql_norm_url('id', 'slug')} AS u FROM g QUALIFY idx < {LAST_TARGET}",
+    md=f"SELECT c.idx, article_id, u AS url, html, {QC.sql_html_to_text('html')} AS markdown FROM c JOIN ({QC.PP}) pp ON pp.page_id = c.idx % (SELECT count(*) FROM pages)",
+    a=QC.ARTICLE_SQL.replace("SELECT url,", "SELECT idx, article_id, url,"),
+    k="SELECT c.idx, c.article_id, c.u AS url, a.title, a.date, a.pdf_url, a.idx IS NOT NULL AS scraped FROM c LEFT JOIN a ON a.idx = c.idx",
+)
+
+
+@query("run_collect", with_views("SELECT * FROM k", **COLLECT_VIEWS))
+def q_run_collect(spark, sf):
+    """Collection run in three calls: urls to a target, articles, attachments; the catalog it leaves"""
+    return _collected(spark, sf).catalog.drop("scraped_at")
+
+
+@query(
+    "run_collect_files",
+    with_views(
+        f"""SELECT k.idx, {QC.sql_pdf_name('k.idx', 'k.title')} AS file_name, f.status,
+              CASE WHEN f.status <> 200 THEN 'failed' WHEN f.content IS NULL OR f.content[1:4] <> '%PDF'::BLOB THEN 'not_pdf' ELSE 'ok' END AS result,
+              CASE WHEN f.status = 200 AND f.idx % 3 <> 0 THEN 1 WHEN k.idx < {FIRST_TARGET} THEN 3 ELSE 2 END AS fetches
+            FROM k JOIN f ON f.idx = k.idx % (SELECT count(*) FROM pages) WHERE nullif(k.pdf_url, '') IS NOT NULL""",
+        **COLLECT_VIEWS,
+        f=V.fetches_sql(),
+    ),
+)
+def q_run_collect_files(spark, sf):
+    """Attachments of the collection run: good files are fetched once, the others again by every call"""
+    f = _collected(spark, sf).files
+    return f.groupBy("idx", "file_name").agg(F.max("status").alias("status"), F.max("result").alias("result"), F.count(F.lit(1)).cast("int").alias("fetches"))

@@ -261,3 +261,36 @@ def test_run_queries_on_the_small_tables(spark):
     q = lambda k: entry.queries()[k](spark, SF_SMALL)
     assert {r["attempt"] for r in q("run_regex").select("attempt").distinct().collect()} == {1, 2}
     assert q("run_format").first()["total_processed"] > 0
+
+
+def test_collection_goes_on_where_it_ended(spark):
+    from quarry.collect import collect
+
+    pattern = r'<a href="/([^",]+)([^"]*)"'
+    listing = spark.createDataFrame([(0, '<a href="/b/x"><a href="/a">'), (1, '<a href="/a?q"><a href="/c"><a href="/d">')], "page_id bigint, html string")
+    asked = []
+
+    def pages(todo):
+        rows = [r["idx"] for r in todo.collect()]
+        asked.append(rows)
+        word = "<p>" + "word " * 60 + "</p>"
+        link = "https://www.press.bmwgroup.com/global/article/attachment/T1EN/"
+        # the page at position 1 is empty, the one at 2 does not come back
+        return spark.createDataFrame([(i, "" if i == 1 else f"<h1>Title {i}</h1>{word}<h3>{link}{i}</h3>") for i in rows if i != 2], "idx bigint, html string")
+
+    def files(todo):
+        return todo.select("idx", F.lit(200).alias("status"), F.encode(F.when(F.col("idx") == 0, F.lit("%PDF-1 x")).otherwise(F.lit("<html>")), "UTF-8").alias("content"))
+
+    folder, at = shared_dir(spark, "t-collect"), F.lit("2024-01-01")
+    first = collect(spark, folder, listing, 2, pattern=pattern)
+    assert [(r["idx"], r["article_id"], r["scraped"]) for r in first.catalog.orderBy("idx").collect()] == [(0, "b/x", False), (1, "a", False)]
+    got = collect(spark, folder, listing, 10, pages, files, at, pattern)
+    cat = {r["article_id"]: r for r in got.catalog.collect()}
+    assert sorted((r["idx"], a) for a, r in cat.items()) == [(0, "b/x"), (1, "a"), (2, "c"), (3, "d")]
+    assert [cat[a]["scraped"] for a in ("b/x", "a", "c", "d")] == [True, False, False, True] and cat["d"]["title"] == "Title 3"
+    assert {(r["idx"], r["result"]) for r in got.files.collect()} == {(0, "ok"), (3, "not_pdf")}
+    again = collect(spark, folder, listing, 10, pages, files, at, pattern)
+    assert [sorted(x) for x in asked] == [[0, 1, 2, 3], [1, 2]] and again.records.count() == 2
+    assert sorted((r["idx"], r["result"]) for r in again.files.collect()) == [(0, "ok"), (3, "not_pdf"), (3, "not_pdf")]
+    empty = collect(spark, shared_dir(spark, "t-collect"), listing.limit(0), 5, pages, files, at, pattern)
+    assert empty.catalog.count() == 0 and empty.records.count() == 0 and empty.files.count() == 0
