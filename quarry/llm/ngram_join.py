@@ -423,7 +423,9 @@ def tree_pairs(members: DataFrame, percent: int, part_rows: int = 4096) -> DataF
         a, b = np.array(a, np.int64), np.array(b, np.int64)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return x.groupBy("pack").applyInArrow(run, "a bigint, b bigint").distinct()
+    # searching costs far more than its few bytes tell: as many tasks as packs, not as bytes
+    width = max(packs, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return x.repartition(width, "pack").groupBy("pack").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 90, width: int = 3) -> DataFrame:
