@@ -131,7 +131,7 @@ def re_flags() -> int:
 
 
 def probe_text(t):
-    """What ``required_words`` are looked up in: lower case, with the two letters that fold to ASCII without lower-casing to it."""
+    """What ``required_words`` are looked up in: lower case, after the four letters that a pattern's folding takes for ASCII ones."""
     from pyspark.sql import functions as F
 
-    return F.translate(F.lower(t), "\u017f\u0131", "si")
+    return F.lower(F.translate(t, "\u017f\u0131\u0130\u212a", "siik"))

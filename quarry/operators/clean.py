@@ -57,6 +57,28 @@ def bind(c: Column, fn) -> Column:
     return F.element_at(F.transform(F.array(c), fn), 1)
 
 
+def guard_groups(patterns: list[str], most: int = 4) -> list[tuple[list[str], list[list[str]]]]:
+    """Consecutive rules with the words that every match of any of them needs (see ``required_words``).
+
+    A text without the words leaves all rules of the group idle: none can match
+    before another has changed the text.
+    """
+
+    def needs(lists: list[list[str]], words: list[str]) -> bool:
+        return any(all(any(w in own for w in words) for own in one) for one in lists)
+
+    out: list[tuple[list[str], list[list[str]]]] = []
+    for p in patterns:
+        own = required_words(p)
+        if out and len(out[-1][0]) < most:
+            common = [words for words in out[-1][1] if needs(own, words)]
+            if common:
+                out[-1] = ([*out[-1][0], p], common)
+                continue
+        out.append(([p], own))
+    return out
+
+
 def strip_boilerplate(
     c: Column | str,
     rules: Iterable[tuple[str, str]] = fixed.BOILERPLATE_RULES,
@@ -65,33 +87,29 @@ def strip_boilerplate(
 ) -> Column:
     """Ordered rule table folded into one chain of ``regexp_replace``.
 
-    With ``guards`` a rule runs only on a running text that holds the words which
-    every match of it needs: a look-up in the lower-cased text, which is kept
-    beside it and renewed when a rule has changed something. The result is the
-    same; rules that cannot match cost a substring search, and none scans to the
-    end of the text for a literal that is not there.
+    With ``guards``, consecutive rules run only on a running text that holds the
+    words which every match of them needs: a search in the lower-cased text. The
+    result is the same; rules that cannot match cost a substring search, and
+    none scans to the end of the text for a literal that is not there.
     """
     skip = set(skip_groups)
-    todo = [(pattern, required_words(pattern) if guards else []) for group, pattern in rules if group not in skip]
-    if not any(words for _, words in todo):
-        out = _col(c)
-        for pattern, _ in todo:
-            out = F.regexp_replace(out, jre(pattern), "")
-        return out
-    pair = lambda t, p: F.struct(t.alias("t"), p.alias("p"))
-
-    def cut(pattern: str):
-        java = jre(pattern)
-        return lambda s: bind(F.regexp_replace(s["t"], java, ""), lambda t: pair(t, F.when(t == s["t"], s["p"]).otherwise(probe_text(t))))
-
-    def guarded(pattern: str, words: list[list[str]]):
-        holds = lambda s: functools.reduce(operator.and_, [functools.reduce(operator.or_, [s["p"].contains(w) for w in any_of]) for any_of in words])
-        return lambda s: F.when(holds(s), cut(pattern)(s)).otherwise(s)
-
-    state = bind(_col(c), lambda t: pair(t, probe_text(t)))
-    for pattern, words in todo:
-        state = bind(state, guarded(pattern, words) if words else cut(pattern))
-    return state["t"]
+    patterns = [p for group, p in rules if group not in skip]
+
+    def cut(x: Column, group: list[str]) -> Column:
+        for p in group:
+            x = F.regexp_replace(x, jre(p), "")
+        return x
+
+    def guarded(group: list[str], words: list[list[str]]):
+        # the two lists of the longest words tell most
+        told = sorted(words, key=lambda one: -min(map(len, one)))[:2]
+        holds = lambda x: functools.reduce(operator.and_, [functools.reduce(operator.or_, [probe_text(x).contains(w) for w in one]) for one in told])
+        return lambda x: F.when(holds(x), cut(x, group)).otherwise(x)
+
+    out = _col(c)
+    for group, words in guard_groups(patterns) if guards else [(patterns, [])]:
+        out = bind(out, guarded(group, words)) if words else cut(out, group)
+    return out
 
 
 def strip_and_collapse(c: Column | str) -> Column:
