@@ -37,8 +37,9 @@ from quarry.session import materialize, release
 GROUPS = 128
 #: Sets keep 48 bits of each shingle's hash.
 SET_BITS = 48
-#: One spare group for so many needed ones: more of them find fewer false partners, at more keys a set.
-SPARE = 8
+#: One spare group for so many needed ones. Sets that share a part of their shingles have few equal groups, those
+#: that link many: with more spare groups fewer false partners are left, at more keys a set.
+SPARE = 2
 
 
 def bands(percent: int, upto: int) -> list[int]:
@@ -338,7 +339,7 @@ class CountTree:
     sizes need.
     """
 
-    LEAF = 16
+    LEAF = 48
 
     def __init__(self, points, sizes, comps):
         import numpy as np
@@ -402,6 +403,7 @@ def tree_pairs(members: DataFrame, percent: int, part_rows: int = 4096) -> DataF
         block, lo, hi, own = (table.column(c).to_numpy() for c in ("block", "_lo", "_hi", "_i"))
         cls, comp, n = (table.column(c).to_numpy() for c in ("cls", "comp", "n"))
         pts = unpacked_points(table.column("point").to_pylist()).astype(np.int32)
+        corners: dict = {}
         order = np.lexsort((hi, lo, block))
         key = np.stack([block, lo, hi], axis=1)[order]
         cuts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
@@ -410,6 +412,15 @@ def tree_pairs(members: DataFrame, percent: int, part_rows: int = 4096) -> DataF
             if len(rows) < 2 or (comp[rows] == comp[rows[0]]).all():
                 continue
             across = lo[rows[0]] != hi[rows[0]]
+            if not across and len(rows) <= CountTree.LEAF:  # one leaf: its pairs at once
+                i, j = corners.setdefault(len(rows), np.triu_indices(len(rows), 1))
+                i, j = rows[i], rows[j]
+                ok = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+                i, j = i[ok], j[ok]
+                ok = np.minimum(pts[i], pts[j]).sum(axis=1) >= enough(n[i], n[j], percent)
+                a.extend(cls[i[ok]].tolist())
+                b.extend(cls[j[ok]].tolist())
+                continue
             base = rows[own[rows] == lo[rows[0]]] if across else rows
             asked = rows[own[rows] == hi[rows[0]]] if across else rows
             if not len(base):
