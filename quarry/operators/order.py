@@ -14,9 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import materialize
+from quarry.session import materialize, release
 
-RANGE_ROWS = 1_000_000
+RANGE_ROWS = 200_000
 #: Ranges per group when offsets are summed.
 GROUP = 1024
 #: Up to so many rows Spark's own top-k (one task, bounded) takes the first n.
@@ -25,12 +25,14 @@ TOP_ROWS = 10_000
 
 def ranged(df: DataFrame, order: Sequence[str], range_rows: int = RANGE_ROWS) -> DataFrame:
     """``df``, written, with ``_range`` (rising in ``order``) and ``_row``, which tells rows of equal keys apart."""
-    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "order-rows")
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_range", F.lit(0)), "order-rows")
     n = max(1, -(-rows.count() // range_rows))
     if n == 1:
-        return rows.withColumn("_range", F.lit(0))
+        return rows
     dealt = rows.repartitionByRange(n, *order, "_row")
-    return materialize(dealt.withColumn("_range", F.spark_partition_id()), "order-ranges")
+    out = materialize(dealt.withColumn("_range", F.spark_partition_id()), "order-ranges")
+    release(rows, sweep=False)
+    return out
 
 
 def range_offsets(x: DataFrame, value: Column) -> DataFrame:
