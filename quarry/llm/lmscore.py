@@ -359,14 +359,14 @@ def _partial(rows: DataFrame, common, parts, shards: int, n: int, v: int, n_text
     """
 
     def slices(b) -> Iterator:
-        """(first row, token numbers, their offsets, rare hashes, their offsets) of about 400,000 tokens each."""
+        """(first row, token numbers, their offsets, rare hashes, their offsets) of about 100,000 tokens each."""
         import numpy as np
 
         ids, rare = b.column(3).to_pylist(), b.column(4).to_pylist()
         i = 0
         while i < len(ids):
             j, held = i, 0
-            while j < len(ids) and (j == i or held + len(ids[j]) // 4 <= 400_000):
+            while j < len(ids) and (j == i or held + len(ids[j]) // 4 <= 100_000):
                 held += len(ids[j]) // 4
                 j += 1
             ends = lambda xs, w: np.concatenate([[0], np.cumsum([len(x) // w for x in xs])]).astype(np.int64)
@@ -378,7 +378,14 @@ def _partial(rows: DataFrame, common, parts, shards: int, n: int, v: int, n_text
         import pyarrow as pa
 
         (top_hash, top_count), held = common.value, parts.value
-        log_n = np.log10(n + v + 1)
+        # what depends on a token or a level alone is looked up; the last entry is for tokens outside the broadcast
+        class_of = lambda c: np.where(c > 0, np.minimum(1 + np.floor(np.log2(np.maximum(c, 1))), CLASSES - 1), 0).astype(np.int64)
+        counts = np.append(top_count, -1)
+        base_of = np.append(np.log10(top_count + 1) - np.log10(n + v + 1), 0.0)
+        log_of, kind_of = np.where(counts > 0, np.log10(np.maximum(counts, 1)), 0.0), class_of(counts)
+        start_log, start_kind = float(np.log10(max(n_texts, 1))), int(class_of(np.array([n_texts]))[0])
+        level_mean = np.asarray(mean)
+        level_log = np.log10(np.maximum(level_mean - discount, 1e-9))
         for b in batches:
             keys, numbers = b.column(0), b.column(1)
             learns = b.column(2).to_numpy(zero_copy_only=False)
@@ -387,22 +394,20 @@ def _partial(rows: DataFrame, common, parts, shards: int, n: int, v: int, n_text
                 own = np.repeat(np.arange(docs), np.diff(off))
                 known = ids >= 0
                 spot = np.where(known, 0, rare_off[own] - 1 - ids)  # of a rare token: its place among the slice's
-                c = np.full(len(ids), -1, np.int64)
-                c[known] = top_count[ids[known]]
+                at = np.where(known, ids, len(top_count))
                 hashes = np.empty(len(ids), np.uint64)
                 hashes[known] = top_hash[ids[known]]
                 hashes[~known] = rare[spot[~known]]
                 h = bigram_hashes(hashes, off)
                 level = probed_levels(h, (h % np.uint64(shards)).astype(np.int64), *held)
                 seen, backed = level > 0, level == 0
-                prev_c = np.empty(len(ids), np.int64)
-                prev_c[1:] = c[:-1]
-                prev_c[off[:-1]] = n_texts  # the start mark, seen once per training text
-                base = np.where(known, np.log10(np.maximum(c, 0) + 1) - log_n, 0.0)
-                m_q = np.asarray(mean)[np.maximum(level, 0)]
-                lm = np.where(seen, np.log10(np.maximum(m_q - discount, 1e-9)) - np.where(prev_c > 0, np.log10(np.maximum(prev_c, 1)), 0.0), 0.0)
-                lm += np.where(backed, base, 0.0)
-                kind = np.where(prev_c > 0, np.minimum(1 + np.floor(np.log2(np.maximum(prev_c, 1))), CLASSES - 1), 0).astype(np.int64)
+                before_log, kind = np.empty(len(ids)), np.empty(len(ids), np.int64)
+                before_log[1:], kind[1:] = log_of[at[:-1]], kind_of[at[:-1]]
+                before_log[off[:-1]], kind[off[:-1]] = start_log, start_kind  # the start mark, seen once per training text
+                base = base_of[at]
+                reached = np.maximum(level, 0)
+                m_q = level_mean[reached]
+                lm = np.where(seen, level_log[reached] - before_log, np.where(backed, base, 0.0))
                 by_class = np.bincount(own[backed] * CLASSES + kind[backed], minlength=docs * CLASSES)
                 used = (seen | backed) & learns[at0 : at0 + docs][own]
                 met = np.bincount(kind[used], minlength=CLASSES)
@@ -410,7 +415,7 @@ def _partial(rows: DataFrame, common, parts, shards: int, n: int, v: int, n_text
                 total = lambda x: np.bincount(own, weights=x, minlength=docs)
                 none = np.zeros(docs)
                 own_rows = numbers.slice(at0, docs)
-                whole = {"r": own_rows, "k": keys.slice(at0, docs), "n_tokens": np.diff(off) if first else none.astype(np.int64), "n_known": (total(known & (c > 0)) if first else none).astype(np.int64)}
+                whole = {"r": own_rows, "k": keys.slice(at0, docs), "n_tokens": np.diff(off) if first else none.astype(np.int64), "n_known": (total(known) if first else none).astype(np.int64)}
                 whole |= {"base": total(base) if first else none, "lm": total(lm)}
                 whole["backed"] = pa.FixedSizeListArray.from_arrays(pa.array(by_class), CLASSES).cast(pa.list_(pa.int64()))
                 yield _rows(docs, whole)
