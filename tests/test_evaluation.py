@@ -122,3 +122,35 @@ def test_failing_metric_is_recorded_not_fatal(spark):
     assert b["generations"] is None and b["config"] == "configs/b_lora.yaml"  # skipped
     again = evaluate(spark, folder, [Model("org/a", {"perplexity": good})]).collect()
     assert len(again) == 2 and next(r for r in again if r["model_path"] == "org/a")["generations"] is None  # replaced, the other stays
+
+
+def _labelled(spark, folder):
+    """Two labels and no label; the linked rows of a label lie far apart by id, one row has no vector."""
+    rows = [(0, [1.0, 0.0], 1), (200, [1.0, 0.1], 1), (400, [0.0, 1.0], 1), (1, [1.0, 0.0], 2), (2, [1.0, 0.0], None), (3, [1.0, 0.0], None), (4, None, 2)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.mode("overwrite").parquet(f"{folder}/embeddings.parquet")
+    return str(folder)
+
+
+def _query(spark, folder, name):
+    from quarry.plans import catalogue
+
+    return sorted((tuple(r) for r in catalogue.QUERIES[name].build(spark, _labelled(spark, folder)).collect()), key=str)
+
+
+def test_pairs_are_all_of_a_label(spark, tmp_path):
+    assert [r[:3] for r in _query(spark, tmp_path, "pairwise_cosine")] == [(1, 0, 200)]
+
+
+def test_clusters_are_those_of_a_label(spark, tmp_path):
+    got = _query(spark, tmp_path, "semantic_clusters")
+    assert got == sorted([(1, 0, 0), (1, 200, 0), (1, 400, 400), (2, 1, 1), (2, 4, 4), (None, 2, 2), (None, 3, 3)], key=str)
+
+
+def test_cluster_sizes_are_those_of_a_label(spark, tmp_path):
+    got = _query(spark, tmp_path, "cluster_sizes")
+    assert got == sorted([(1, 0, 2), (1, 400, 1), (2, 1, 1), (2, 4, 1), (None, 2, 1), (None, 3, 1)], key=str)
+
+
+def test_entropy_is_that_of_a_label(spark, tmp_path):
+    two, three = round(math.log(2), 6), round(math.log(3) - 2 / 3 * math.log(2), 6)
+    assert _query(spark, tmp_path, "semantic_entropy") == sorted([(1, three, 3), (2, two, 2), (None, two, 2)], key=str)
