@@ -3,9 +3,14 @@
 import random
 import re
 
-from quarry.functions.regex import RARE_SPACE
+from pyspark.sql import functions as F
+
+from helpers import SF_SMALL
+from quarry.functions import fixed
+from quarry.functions.regex import RARE_SPACE, strip_space
 from quarry.operators import clean as X
 from quarry.operators import evaluation as E
+from quarry.operators import filtering as L
 
 
 def test_word_count_makes_no_string_of_every_word(spark):
@@ -33,3 +38,13 @@ def test_backoff_model_moves_numbers_and_each_gram_once(spark, monkeypatch):
     assert [n for n, _ in written].count("gram-counts") == 1 and [n for n, _ in written].count("gram-continuations") == 2
     asked = {r["w2"]: r["n"] for r in E.grams(df.filter("doc_id = 30"), [], "text", 3).groupBy("w2").count().withColumnRenamed("count", "n").collect()}
     assert sorted(asked.values()) == [1, 1, 1, 1, 1, 1]
+
+
+def test_filtered_phase_writes_each_text_once(spark, monkeypatch):
+    from quarry.plans import q_filter
+
+    written, plain = [], q_filter.materialize
+    monkeypatch.setattr(q_filter, "materialize", lambda x, *a: written.append(x.columns) or plain(x, *a))
+    acc, rej = q_filter.filtered_phase(spark, SF_SMALL)
+    assert len(written) == 1 and "content" in written[0] and not {"text_in", "generated"} & set(written[0])
+    assert acc.count() > 0 and rej.columns == ["source", "title", "reason", "reasoning"]
