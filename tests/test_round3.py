@@ -40,6 +40,21 @@ def test_backoff_model_moves_numbers_and_each_gram_once(spark, monkeypatch):
     assert sorted(asked.values()) == [1, 1, 1, 1, 1, 1]
 
 
+def test_list_lines_are_found_behind_an_indent(spark):
+    lines = ["\t \t• a", "12. a", "123) a", "1234. a", "a\tb\tc", "|a|", "a  b  c", "a  b", "-a", "- a", " ", "plain words", "*\tx"]
+    df = spark.createDataFrame([("\n".join([x] * 3),) for x in lines], "t string")
+    plain = [len(x.strip()) > 0 and bool(re.search(L.LIST_LINE, x) or re.search(L.TABLE_LINE, x)) for x in lines]
+    assert [r[0] for r in df.select(L.only_lists(F.col("t"))).collect()] == plain
+
+
+def test_verdict_evaluates_each_check_once(spark):
+    df = spark.createDataFrame([("a", "b", "en")], "title string, text string, lang string")
+    v = L.verdicts(df.withColumn("generated", L.rule_verdict("title", "text", "lang")), head_only=False)
+    plan = v._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(lower(") == 1 and plan.count("garbled text") == 1 and "regexp_extract_all" not in plan
+    assert len(re.findall(re.escape(L.TABLE_LINE.split("|")[0]), plan)) == 1
+
+
 def test_filtered_phase_writes_each_text_once(spark, monkeypatch):
     from quarry.plans import q_filter
 
