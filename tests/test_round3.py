@@ -40,6 +40,22 @@ def test_backoff_model_moves_numbers_and_each_gram_once(spark, monkeypatch):
     assert sorted(asked.values()) == [1, 1, 1, 1, 1, 1]
 
 
+def test_line_and_space_patterns_equal_the_plain_ones(spark):
+    rnd = random.Random(5)
+    texts = ["", " ", "\t", "\n", " a", "a ", None, *("".join(rnd.choice(" \t\nab.\r　") for _ in range(rnd.randint(0, 14))) for _ in range(3000))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", X.trim_lines("t").alias("lines"), X.norm_spaces("t").alias("spaces"), strip_space(F.col("t")).alias("strip"), L.is_blank("t").alias("blank"), L.has_words(F.col("t"), 3).alias("three")).collect()
+    for r in got:
+        t = r["t"]
+        if t is None:
+            assert r["lines"] is None and r["spaces"] is None and r["strip"] is None and r["blank"] is True
+            continue
+        assert r["lines"] == re.sub(r"(?m)^[ \t]+|[ \t]+$", "", t) and r["spaces"] == re.sub(r"[ \t]+", " ", t)
+        assert r["strip"] == t.strip() and r["blank"] == (t.strip() == "") and r["three"] == (len(re.findall(r"[^ \t\n\r\f\v]+", t)) >= 3)
+    plan = df.select(X.trim_lines("t"), X.norm_spaces("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "^[" not in plan and "{2,}" not in plan  # neither tries a line's start or a run at every character
+
+
 def test_list_lines_are_found_behind_an_indent(spark):
     lines = ["\t \t• a", "12. a", "123) a", "1234. a", "a\tb\tc", "|a|", "a  b  c", "a  b", "-a", "- a", " ", "plain words", "*\tx"]
     df = spark.createDataFrame([("\n".join([x] * 3),) for x in lines], "t string")
@@ -63,3 +79,13 @@ def test_filtered_phase_writes_each_text_once(spark, monkeypatch):
     acc, rej = q_filter.filtered_phase(spark, SF_SMALL)
     assert len(written) == 1 and "content" in written[0] and not {"text_in", "generated"} & set(written[0])
     assert acc.count() > 0 and rej.columns == ["source", "title", "reason", "reasoning"]
+
+
+def test_rules_that_need_a_word_in_common_stand_in_steps_of_their_own():
+    patterns = [p for _, p in fixed.BOILERPLATE_RULES]
+    steps = X.rule_steps(patterns)
+    assert [p for s in steps for p in s] == patterns and len(steps) <= X.MOST_STEPS
+    first = next(s for s in steps if "CORPORATE" in s[0])
+    assert len(first) == 1
+    assert len(X.rule_steps(["abc"] * 200)) <= X.MOST_STEPS
+    assert X.quick_part("investor") == "vestor" and X.quick_part("fax") == "fax" and X.quick_part("www.") == "www."
