@@ -89,3 +89,30 @@ def test_rules_that_need_a_word_in_common_stand_in_steps_of_their_own():
     assert len(first) == 1
     assert len(X.rule_steps(["abc"] * 200)) <= X.MOST_STEPS
     assert X.quick_part("investor") == "vestor" and X.quick_part("fax") == "fax" and X.quick_part("www.") == "www."
+
+
+def test_rows_of_a_large_row_group_are_spread(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from quarry.plans import views as V
+
+    n = spark.sparkContext.defaultParallelism
+    t = pa.table({"doc_id": range(40_000), "text": [f"{i} {i * 7919 % 10007}" for i in range(40_000)]})
+    pq.write_table(t, tmp_path / "one.parquet")
+    pq.write_table(t, tmp_path / "many.parquet", row_group_size=400)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        size = (tmp_path / "one.parquet").stat().st_size
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // (2 * n)))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        filled = lambda df: [len(p) for p in df.select("doc_id").rdd.glom().collect() if p]
+        one = spark.read.parquet(str(tmp_path / "one.parquet"))
+        assert one.rdd.getNumPartitions() >= n and len(filled(one)) == 1
+        dealt = filled(V.spread(one))
+        assert len(dealt) >= 4 * n and sum(dealt) == 40_000 and max(dealt) < 40_000 / n
+        many = spark.read.parquet(str(tmp_path / "many.parquet"))
+        assert V.idle(one, n) and (V.idle(many, n) or V.spread(many) is many)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
