@@ -1,5 +1,6 @@
 """Shared folders, path schemes and files that are not what they should be."""
 
+import hashlib
 import json
 
 import pytest
@@ -57,3 +58,38 @@ def test_press_pages_exercise_every_branch(spark):
     for c in ("date", "pdf_url"):
         assert not rec.filter(f"{c} is null").isEmpty() and not rec.filter(f"{c} is not null").isEmpty()
     assert not q("index_lookup").filter("idx > 0").isEmpty()
+
+
+def test_processed_files_are_listed_by_the_executors(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as entry
+    from quarry.plans import q_io
+
+    monkeypatch.setattr(q_io, "FILES_PER_FOLDER", 10, raising=False)
+    docs = [(i, f" Title {i}\nline é {i}\n", "en", "web") for i in range(100)] + [(7, " Title 7\nline é 7\n", "en", "web"), (200, None, "en", "web")]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+    monkeypatch.setattr(q_io, "shared_dir", lambda spark, name: seen.append(f"{tmp_path}/{name}") or seen[-1])
+    out = entry.queries()["processed_text_files"](spark, str(tmp_path))
+    assert out.inputFiles() == []  # no list of the files in the driver, which grew with the rows
+    folders = list((tmp_path / "processed").iterdir())
+    assert all(p.is_dir() for p in folders) and 5 < len(folders) <= 11
+    assert sum(len(list(p.iterdir())) for p in folders) == 100  # a name that comes twice is one file, a null text none
+    want = {(f"Title {i}", None if i % 3 == 0 else "2024-01-01", f"{i:03d}_web.pdf", hashlib.md5(f"Title {i}\nline é {i}".encode()).hexdigest()) for i in range(100)}
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == 100 and set(got) == want
+
+
+def test_text_files_as_the_reader_of_spark_gives_them(spark, tmp_path):
+    files = {"a.txt": b"a", "b c%#.txt": b"x y\r\n", "empty.txt": b"", ".h.txt": b"h", "_h.txt": b"h", "_k=1.txt": b"k", "o.dat": b"o", "bad.txt": b"\xff\xfe", "in/deep/d.txt": b"d", "_no/e.txt": b"e", "k=1/f.txt": b"f" * 5_000_000}
+    for name, data in files.items():
+        (tmp_path / "d" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "d" / name).write_bytes(data)
+    rows = lambda df: sorted((r[0], bytes(r[1])) for r in df.selectExpr("file_name", "cast(value as binary)").collect())
+    plain = lambda glob: spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(f"{tmp_path}/d", wholetext=True).selectExpr("_metadata.file_name", "value")
+    for glob, n in (("*.txt", 6), ("*", 7), ("{a,b*}.t[!y]t", 3), ("*.none", 0)):
+        assert rows(S.read_text_files(spark, f"{tmp_path}/d", glob)) == rows(plain(glob)) and len(rows(plain(glob))) == n
+    (tmp_path / "nothing").mkdir()
+    assert rows(S.read_text_files(spark, f"{tmp_path}/nothing")) == []
+    with pytest.raises(PySparkException, match="PATH_NOT_FOUND"):
+        S.read_text_files(spark, f"{tmp_path}/missing")
+    assert rows(S.read_text_files(spark, f"{tmp_path}/d/i*")) == [("d.txt", b"d")]  # a pattern, not a folder: left to Spark
